@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import simhash
+from . import packing, simhash, toxicity
 from .common import table
 
 
@@ -16,8 +16,22 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), length=2048)
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    remainder = F.crc32(F.col("doc_id").cast("string")) % 3
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").where("toxic is not null").select("doc_id", F.col("toxic").alias("label"))
+    lexicon = toxicity.fit(docs.join(labels.where(remainder != 1), "doc_id"), threshold=0.7)
+    return toxicity.score(docs, lexicon, threshold=0.7).select("doc_id", F.coalesce(remainder == 1, F.lit(False)).alias("held_out"), "score", "predicted")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op6_simhash": op6_simhash}
+    return {"op4_packing": op4_packing, "op6_simhash": op6_simhash, "op8_toxicity": op8_toxicity}
 
 
 def oracle_sql() -> dict[str, str]:
