@@ -7,10 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, simhash, toxicity
+from . import language, packing, simhash, toxicity
 from .common import table
 
 
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    remainder = F.crc32(F.col("doc_id").cast("string")) % 4
+    docs = table(spark, sf_dir, "documents")
+    model = language.fit(docs.where(F.coalesce(remainder != 2, F.lit(True))).select("text", "lang"))
+    found = language.identify(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", F.coalesce(remainder == 2, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.classes(table(spark, sf_dir, "documents"), words=3, radius=3)
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
@@ -31,7 +39,7 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op4_packing": op4_packing, "op6_simhash": op6_simhash, "op8_toxicity": op8_toxicity}
+    return {"op4_packing": op4_packing, "op5_language": op5_language, "op6_simhash": op6_simhash, "op8_toxicity": op8_toxicity}
 
 
 def oracle_sql() -> dict[str, str]:
