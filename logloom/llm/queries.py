@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, packing, simhash, toxicity
+from . import html, language, licenses, packing, simhash, toxicity
 from .common import table
 
 
@@ -24,6 +24,10 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents")).drop("spans")
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -38,9 +42,13 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, lexicon, threshold=0.7).select("doc_id", F.coalesce(remainder == 1, F.lit(False)).alias("held_out"), "score", "predicted")
 
 
+def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(table(spark, sf_dir, "pages"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op4_packing": op4_packing, "op5_language": op5_language, "op6_simhash": op6_simhash, "op8_toxicity": op8_toxicity}
+    return {"op3_licenses": op3_licenses, "op4_packing": op4_packing, "op5_language": op5_language, "op6_simhash": op6_simhash, "op8_toxicity": op8_toxicity, "op10_html": op10_html}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op3_licenses": licenses.sql()}
