@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import html, language, licenses, packing, pii, simhash, toxicity
+from . import html, language, licenses, lines, packing, pii, simhash, toxicity
 from .common import table
 
 
@@ -24,6 +24,11 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lines.dedup(docs, edits=2, least_chars=40).select("doc_id", "n_lines", "n_removed", F.coalesce("gone", F.array().cast("array<int>")).alias("gone"), "text")
+
+
 def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents")).drop("spans")
 
@@ -52,8 +57,8 @@ def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op3_licenses": op3_licenses, "op4_packing": op4_packing, "op5_language": op5_language, "op6_simhash": op6_simhash, "op7_pii": op7_pii, "op8_toxicity": op8_toxicity, "op10_html": op10_html}
+    return {"op1_line_dedup": op1_line_dedup, "op3_licenses": op3_licenses, "op4_packing": op4_packing, "op5_language": op5_language, "op6_simhash": op6_simhash, "op7_pii": op7_pii, "op8_toxicity": op8_toxicity, "op10_html": op10_html}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_licenses": licenses.sql()}
+    return {"op1_line_dedup": op1_line_dedup, "op3_licenses": licenses.sql()}
