@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import html, language, licenses, lines, packing, pii, simhash, toxicity
+from . import decontaminate, html, language, licenses, lines, packing, pii, simhash, toxicity
 from .common import table
 
 
@@ -52,12 +52,16 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, lexicon, threshold=0.7).select("doc_id", F.coalesce(remainder == 1, F.lit(False)).alias("held_out"), "score", "predicted")
 
 
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract(table(spark, sf_dir, "pages"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_line_dedup": op1_line_dedup, "op3_licenses": op3_licenses, "op4_packing": op4_packing, "op5_language": op5_language, "op6_simhash": op6_simhash, "op7_pii": op7_pii, "op8_toxicity": op8_toxicity, "op10_html": op10_html}
+    return {"op1_line_dedup": op1_line_dedup, "op3_licenses": op3_licenses, "op4_packing": op4_packing, "op5_language": op5_language, "op6_simhash": op6_simhash, "op7_pii": op7_pii, "op8_toxicity": op8_toxicity, "op9_decontaminate": op9_decontaminate, "op10_html": op10_html}
 
 
 def oracle_sql() -> dict[str, str]:
