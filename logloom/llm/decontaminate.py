@@ -2,9 +2,8 @@
 
 Words are hashed; passages of the corpus are TF-IDF rows. A randomised SVD in one pass (Nystroem's form:
 Z = A'(A W) for a random W, from which the leading right singular vectors and values of A follow) gives a
-latent space in which each direction counts alike. Windows of an item, at steps of an eighth of their
-length, are compared by cosine with all side-by-side windows of every document, so that one of a leak's
-windows lies within a sixteenth of each of the document's. A window whose words are mostly foreign to
+latent space in which each direction counts alike. All windows of an item are compared by cosine with
+the side-by-side windows of every document: those of a leak are the same as some of the item's. A window whose words are mostly foreign to
 the benchmark cannot be near and is passed over (its TF-IDF cosine is bounded by the share of its weight
 on benchmark words). Candidates are verified: the longest common subsequence of words against the item,
 and the item's answer, its last sentence, must be there too.
@@ -202,7 +201,7 @@ def prepare(rows: list[tuple[int, str]], space: Space) -> Items:
             continue
         w = max(s for s in SCALES if len(x) >= 2 * s - 1)
         known[x & (TERMS - 1)] = True
-        for o in range(0, len(x) - w + 1, max(1, w // 8)):
+        for o in range(len(x) - w + 1):
             found.setdefault(w, []).append((x[o : o + w], len(ids), o))
         ids.append(item)
         words.append(x)
