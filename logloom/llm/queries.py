@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, html, language, licenses, lines, packing, pii, simhash, toxicity
+from . import decontaminate, embeddings, html, language, licenses, lines, packing, pii, simhash, toxicity
 from .common import table
 
 
@@ -29,6 +29,10 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.dedup(docs, edits=2, least_chars=40).select("doc_id", "n_lines", "n_removed", F.coalesce("gone", F.array().cast("array<int>")).alias("gone"), "text")
 
 
+def op2_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"), cosine=0.98)
+
+
 def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents")).drop("spans")
 
@@ -61,8 +65,8 @@ def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_line_dedup": op1_line_dedup, "op3_licenses": op3_licenses, "op4_packing": op4_packing, "op5_language": op5_language, "op6_simhash": op6_simhash, "op7_pii": op7_pii, "op8_toxicity": op8_toxicity, "op9_decontaminate": op9_decontaminate, "op10_html": op10_html}
+    return {"op1_line_dedup": op1_line_dedup, "op2_embedding_near_dedup": op2_embedding_near_dedup, "op3_licenses": op3_licenses, "op4_packing": op4_packing, "op5_language": op5_language, "op6_simhash": op6_simhash, "op7_pii": op7_pii, "op8_toxicity": op8_toxicity, "op9_decontaminate": op9_decontaminate, "op10_html": op10_html}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_line_dedup": op1_line_dedup, "op3_licenses": licenses.sql()}
+    return {"op1_line_dedup": op1_line_dedup, "op2_embedding_near_dedup": op2_embedding_near_dedup, "op3_licenses": licenses.sql()}
