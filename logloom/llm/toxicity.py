@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import Cut
+
 # Look-alike letters and the Latin ones that they stand for.
 HOMOGLYPHS = str.maketrans({
     "а": "a", "е": "e", "о": "o", "р": "p", "с": "c", "у": "y", "х": "x", "і": "i", "ѕ": "s", "ј": "j", "к": "k", "м": "m", "т": "t", "н": "h", "в": "b", "ԁ": "d",
@@ -145,15 +147,30 @@ def _best_cut(z: np.ndarray, y: np.ndarray) -> float:
     return float((z[k] + z[k + 1]) / 2) if k + 1 < len(z) else float(z[k])
 
 
-def fit(rows: DataFrame, entries: int = 5000, least: int = 5, odds: float = 1.5, strength: float = 30.0, shortest: int = 4, sample: int = 20_000, threshold: float = 0.7, exceptions: tuple[str, ...] = EXCEPTIONS) -> Lexicon:
-    """Learns from rows with text and label (0 or 1; others are ignored).
+def sample_labels(labels: DataFrame, most: int = 40_000) -> DataFrame:
+    """doc_id and label of at most `most` labelled rows, those whose hashed id is smallest, one per id."""
+    one = labels.where("label in (0, 1) and doc_id is not null").groupBy("doc_id").agg(F.max("label").cast("int").alias("label"))
+    return one.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
+
+
+def fit(docs: DataFrame, labels: DataFrame, sample: int = 40_000, entries: int = 5000, least: int = 5, odds: float = 1.5, strength: float = 30.0, shortest: int = 4, threshold: float = 0.7, exceptions: tuple[str, ...] = EXCEPTIONS) -> Lexicon:
+    """Learns from the texts of docs (doc_id, text) that labels (doc_id, label of 0 or 1) has.
 
-    Word counts cover all rows. The lexicon has at most `entries` beginnings, those with the highest
-    likelihood ratio among those seen `least` times in toxic texts, with log odds of `odds` and a ratio
-    of `strength` or more; whole words of lower odds under them come along as exceptions. The curve is
-    fitted on at most `sample` rows, those whose hashed id is smallest. With no rows: an empty lexicon.
+    A bounded sample of `sample` labelled rows is used, so the ids are broadcast and texts not shuffled.
+    It gives the lexicon: at most `entries` beginnings, those with the highest likelihood
+    ratio among those seen `least` times in toxic texts, with log odds of `odds` and a ratio of
+    `strength` or more; whole words of lower odds under them come along as exceptions. The
+    same sample fits the curve. Labels that are null or other, and rows without text, teach nothing; an id
+    with both labels counts as 1. With no rows: an empty lexicon, under which all texts score alike.
     """
-    rows = rows.where("label in (0, 1)").select("doc_id", "text", F.col("label").cast("int").alias("label"))
+    chosen = F.broadcast(sample_labels(labels, sample))
+    taken = Cut(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(chosen, "doc_id"))
+    lexicon = _fit(taken.df, entries, least, odds, strength, shortest, threshold, exceptions)
+    taken.drop()
+    return lexicon
+
+
+def _fit(rows: DataFrame, entries: int, least: int, odds: float, strength: float, shortest: int, threshold: float, exceptions: tuple[str, ...]) -> Lexicon:
     words = _word_counts(rows)
     parts = words.select("bad", "good", F.explode(F.concat(F.transform(F.sequence(F.lit(shortest), F.greatest(F.lit(shortest), F.least(F.length("word"), F.lit(LONGEST)))), lambda n: F.substring("word", F.lit(1), n)), F.array(F.concat(F.substring("word", 1, 4 * LONGEST), F.lit("|"))))).alias("part"))
     parts = parts.where(F.length("part") >= shortest).groupBy("part").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
@@ -178,9 +195,10 @@ def fit(rows: DataFrame, entries: int = 5000, least: int = 5, odds: float = 1.5,
             x = [lexicon.features(t.as_py()) for t in b.column(0)]
             yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.float64()) for c in (zip(*x) if x else ([], [], []))), b.column(1)], ["a", "b", "c", "label"])
 
-    some = rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).select("text", "label")
-    got = some.mapInArrow(each, "a double, b double, c double, label int").toPandas().to_numpy(float)
+    got = rows.select("text", "label").mapInArrow(each, "a double, b double, c double, label int").toPandas().to_numpy(float)
     x, y = got[:, :3], got[:, 3]
+    if len(set(y)) < 2:
+        return lexicon
     w = _logistic(x, y)
     w[0] += math.log(threshold / (1 - threshold)) - _best_cut(w[0] + x @ w[1:], y)
     lexicon.curve = tuple(float(v) for v in w)
