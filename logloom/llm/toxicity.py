@@ -217,3 +217,14 @@ def score(docs: DataFrame, lexicon: Lexicon, threshold: float = 0.7) -> DataFram
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(scores, pa.float64()), pa.array([int(s >= threshold) for s in scores], pa.int32())], ["doc_id", "score", "predicted"])
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(each, "doc_id long, score double, predicted int")
+
+
+def keep_clean(docs: DataFrame, lexicon: Lexicon, threshold: float = 0.7) -> DataFrame:
+    """The rows of docs, with all their columns, whose text scores below the threshold."""
+    at = docs.columns.index("text")
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield b.filter(pa.array([lexicon.score(t.as_py()) < threshold for t in b.column(at)], pa.bool_()))
+
+    return docs.mapInArrow(each, docs.schema)
