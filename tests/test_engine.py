@@ -1,0 +1,148 @@
+"""The search API, the catalog, settings, rollup and streaming."""
+
+import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from logloom.engine import Engine
+from logloom.model import Model, nanoseconds
+from logloom.operators import fulltext, histograms, hits
+from logloom.sources.catalog import Catalog, UnknownTable, write_postings, write_rows
+from logloom.sources.settings import Settings
+from logloom.streaming import ingest
+
+START = datetime.datetime(2024, 1, 1)
+
+
+@pytest.fixture(scope="module")
+def events(spark):
+    rows = [(i, START + datetime.timedelta(seconds=97 * i), i % 7, ["error", "click", "view"][i % 3], float(i % 30), f"item {i % 5} page:{i % 2}") for i in range(500)]
+    df = spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string")
+    return df, Model.of(df, id="event_id", timestamp="ts", full_text=("props",))
+
+
+@pytest.fixture(scope="module")
+def engine(events):
+    catalog = Catalog()
+    catalog.add("logs_events", *events, rollup=histograms.build_rollup(events[0], events[1].timestamp))
+    catalog.add("logs_events_old", events[0].limit(0), events[1], rollup=histograms.build_rollup(events[0].limit(0), events[1].timestamp))
+    catalog.add("other", *events)
+    return Engine(catalog)
+
+
+def test_patterns(engine):
+    assert engine.catalog.names("logs_ev*") == ["logs_events", "logs_events_old"]
+    assert engine.catalog.names(".other") == ["other"]
+    for index in ("oth*", "nope"):
+        with pytest.raises(UnknownTable):
+            engine.catalog.names(index)
+
+
+def test_search(engine):
+    body = {
+        "size": 3, "sort": [{"ts": {"order": "desc"}}], "docvalue_fields": ["ts"], "query": {"terms": {"event_type": ["error", "view"]}},
+        "aggs": {"h": {"date_histogram": {"field": "ts", "interval": "1h"}, "aggs": {"f": {"filters": {"filters": {"errors": {"match_phrase": {"event_type": "error"}}}}}}}},
+    }
+    found = engine.search("logs_events", body, matched=True)
+    assert [h["_id"] for h in found["hits"]["hits"]] == ["498", "497", "495"]
+    assert found["hits"]["total"] == 3 and found["hits"]["matched"] == 333
+    assert found["hits"]["hits"][0]["fields"]["ts"] == ["2024-01-01 13:25:06.000000000"]
+    buckets = found["aggregations"]["h"]["buckets"]
+    assert sum(b["doc_count"] for b in buckets) == 333 and sum(b["f"]["buckets"]["errors"]["doc_count"] for b in buckets) == 167
+    assert [b["key"] for b in buckets] == sorted(b["key"] for b in buckets)
+    assert "hits" not in engine.aggregations("logs_events", body)
+    assert engine.search("_all", {}) == {"hits": {"total": 0}}
+
+
+def test_msearch_answers_each_alone(engine):
+    one, two = engine.msearch([("logs_events", {"size": 2}), ("logs_events", {"query": {"match_phrase": {"no": 1}}})])["responses"]
+    assert len(one["hits"]["hits"]) == 2 and two["hits"]["hits"] == [] and "no field" in two["_debug"]["warnings"]
+
+
+def test_mget_and_caps(engine):
+    assert {d["_id"] for d in engine.mget("logs_events", ["7", 9, "x"])["docs"]} == {"7", "9"}
+    caps = engine.field_caps("logs_events")["fields"]
+    assert caps["ts"] == {"date": {"type": "date", "searchable": True, "aggregatable": True}}
+    assert caps["props"]["text"]["aggregatable"] is False
+    assert engine.field_caps("nope")["status"] == 404
+
+
+@pytest.mark.parametrize("bounds", [{}, {"gte": 1704068100000, "lt": 1704100000000}, {"gt": 1704067300001, "lte": 1704067400000}, {"gte": 1704090000123}, {"lt": 1704067200000}])
+@pytest.mark.parametrize("interval", ["5m", "1h", "35m"])
+def test_rollup_gives_the_raw_histogram(engine, events, bounds, interval):
+    body = {"query": {"range": {"ts": {**bounds, "format": "epoch_millis"}}}, "aggs": {"h": {"date_histogram": {"field": "ts", "interval": interval}}}}
+    raw = Catalog()
+    raw.add("logs_events", *events)
+    rows = lambda e: {(r.key, r.doc_count) for r in e.histogram("logs_events", body, "h").collect()}
+    assert rows(engine) == rows(Engine(raw))
+
+
+def test_narrowing_keeps_the_page(engine):
+    body = {"size": 40, "sort": [{"ts": {"order": "desc"}}], "aggs": {"h": {"date_histogram": {"field": "ts", "interval": "30m"}}}}
+    buckets = [(r.key, r.doc_count) for r in engine.histogram("logs_events", body, "h").collect()]
+    assert hits.newest_bound(buckets, 40) is not None and hits.newest_bound(buckets, 10_000) is None
+    assert engine.hits("logs_events", body, buckets).collect() == engine.hits("logs_events", body).collect()
+
+
+def test_time_bounds_reach_the_files(spark, events, tmp_path):
+    df, model = events
+    write_rows(df.withColumn("day", F.to_date("ts")), str(tmp_path / "rows"), model)
+    write_postings(fulltext.build_postings(df, model), str(tmp_path / "postings"))
+    catalog = Catalog()
+    catalog.add("logs_e", spark.read.parquet(str(tmp_path / "rows")).drop("day"), model, postings=spark.read.parquet(str(tmp_path / "postings")))
+    body = {"size": 600, "query": {"bool": {"must": [{"query_string": {"query": 'props:"item 3"'}}, {"range": {"ts": {"gte": "2024-01-01T01:00:00", "lt": "2024-01-01T09:00:00"}}}]}}}
+    found = Engine(catalog).hits("logs_e", body)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(ts" in plan and "LeftSemi" in plan
+    want = [r.event_id for r in df.collect() if r.event_id % 5 == 3 and START + datetime.timedelta(hours=1) <= r.ts < START + datetime.timedelta(hours=9)]
+    assert sorted(r.event_id for r in found.collect()) == want
+
+
+def test_settings(spark, tmp_path):
+    store = Settings(spark, str(tmp_path / "settings"))
+    store.put("config", "5.6", {"buildNum": 1, "defaultIndex": "a", "title": "not a config's"})
+    store.put("config", "5.6", {"doc": {"defaultIndex": "b"}})
+    store.put("dashboard", "d", {"title": "T", "refreshInterval": {"pause": False, "value": 5}, "kibanaSavedObjectMeta": {"searchSourceJSON": "{}"}})
+    store.put("search", None, {"title": "S", "columns": ["x", "y"]})
+    docs = {d["_id"]: d for d in store.mget(["5.6", "d", "none"])["docs"]}
+    assert docs["5.6"]["_source"] == {"defaultIndex": "b"}
+    assert docs["d"]["_source"] == {"title": "T", "refreshInterval": {"pause": False, "value": 5}, "kibanaSavedObjectMeta": {"searchSourceJSON": "{}"}}
+    assert store.read().count() == 3
+    store.delete_by_query({"query": {"match_phrase": {"type": "config"}}})
+    assert {r.type for r in store.read().collect()} == {"dashboard", "search"}
+    with pytest.raises(ValueError):
+        store.delete_by_query({})
+    with pytest.raises(ValueError):
+        store.put("nope", "x", {})
+
+
+def test_streams_match_batches_and_survive_a_repeated_batch(spark, events, tmp_path):
+    df, model = events
+    df.repartition(4).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    ingest.ingest(stream, model, str(tmp_path / "out"), str(tmp_path / "checkpoint")).awaitTermination()
+    first = spark.createDataFrame(spark.read.parquet(str(tmp_path / "out/rows/batch=0")).select(*df.columns).collect(), df.schema)
+    ingest.write_batch(first, 0, model, str(tmp_path / "out"))
+    same = lambda a, b: sorted(map(tuple, a.collect())) == sorted(map(tuple, b.select(*a.columns).collect()))
+    read = lambda t: ingest.read(spark, str(tmp_path / "out"), t)
+    assert same(read("rollup"), histograms.build_rollup(df, model.timestamp))
+    assert same(read("postings"), fulltext.build_postings(df, model))
+    assert same(read("rows"), df.withColumn("day", F.to_date("ts")))
+
+
+def test_bad_lines_are_set_aside(spark, tmp_path):
+    lines = spark.createDataFrame([('{"id": 1, "ts": 5, "m": "a b"}',), ("not json",), ("",), ('{"id": 2, "ts": 400000000000}',)], "value string")
+    schema = spark.createDataFrame([], "id long, ts long, m string").schema
+    rows = ingest.parse(lines, schema)
+    model = Model.of(rows, id="id", timestamp="ts", full_text=("m",))
+    ingest.write_batch(rows, 0, model, str(tmp_path))
+    assert spark.read.parquet(str(tmp_path / "rows/batch=0")).count() == 2
+    assert spark.read.parquet(str(tmp_path / "rejected/batch=0")).count() == 2
+    assert {(r.key, r["count"]) for r in ingest.read(spark, str(tmp_path), "rollup").collect()} == {(0, 1), (1, 1)}
+
+
+def test_nanoseconds_of_all_kinds(spark):
+    df = spark.sql("select timestamp_ntz'2024-01-01 00:00:00.000123' a, timestamp'2024-01-01 00:00:00.000123Z' b, 1704067200000123000L c, date'2024-01-01' d")
+    of = lambda c: df.select(nanoseconds(Model.of(df, timestamp=c).timestamp)).first()[0]
+    assert [of(c) for c in "abc"] == [1704067200000123000] * 3 and of("d") == 1704067200000000000
