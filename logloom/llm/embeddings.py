@@ -26,7 +26,7 @@ from .simhash import spanning
 
 BLOCK_SIZE, GRID = 8, 4
 TILE = 1024
-HOT = 200_000  # pairs of a cell beyond which it is verified in tiles
+HOT = 40_000  # pairs of a cell beyond which it is verified in tiles
 
 
 def rotation(d: int, seed: int = 23) -> np.ndarray:
@@ -232,3 +232,19 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.98) -> DataFrame:
     joined = good.join(known, ["label", "embedding"]).select("vec_id", "n_links", "component_id")
     alone = rows.where(~usable).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     return joined.unionByName(alone).withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)))
+
+
+def sql(cosine: float = 0.98) -> str:
+    """The same rows in DuckDB's SQL, by comparing all pairs; for small tables with unique ids."""
+    return f"""
+with recursive e as (
+    select vec_id, label, embedding::double[] as v from embeddings
+    where label is not null and embedding is not null and list_bool_and([x is not null and isfinite(x) for x in embedding])
+      and list_inner_product(embedding::double[], embedding::double[]) > 0),
+l as materialized (
+    select a.vec_id as u, b.vec_id as v from e a join e b on a.label = b.label and len(a.v) = len(b.v) and a.vec_id <> b.vec_id
+    where list_inner_product(a.v, b.v) / sqrt(list_inner_product(a.v, a.v) * list_inner_product(b.v, b.v)) >= {cosine}),
+reach(node, root) as (select vec_id, vec_id from e union select l.v, reach.root from reach join l on l.u = reach.node where reach.root < l.v)
+select x.vec_id, coalesce(n.links, 0)::bigint as n_links, coalesce(m.root, x.vec_id) as component_id, coalesce(m.root, x.vec_id) = x.vec_id as kept
+from embeddings x left join (select u, count(*) as links from l group by 1) n on n.u = x.vec_id
+left join (select node, min(root) as root from reach group by 1) m on m.node = x.vec_id"""

@@ -69,4 +69,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_line_dedup": op1_line_dedup, "op2_embedding_near_dedup": op2_embedding_near_dedup, "op3_licenses": licenses.sql()}
+    return {"op2_embedding_near_dedup": embeddings.sql(cosine=0.98), "op3_licenses": licenses.sql()}
