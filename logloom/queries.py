@@ -197,10 +197,10 @@ def filters_top(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan.filter_counts(Request.of(body, plan.model), "f")
 
 
-@query("sum_if", "select user_id, coalesce(sum(value) filter (event_type = 'purchase'), 0) as spent, count(*) filter (event_type = 'error') as errors from events group by 1")
+@query("sum_if", "select user_id, round(coalesce(sum(value) filter (event_type = 'purchase'), 0), 4) as spent, count(*) filter (event_type = 'error') as errors from events group by 1")
 def sum_if(spark: SparkSession, sf_dir: str) -> DataFrame:
     kind = F.col("event_type")
-    return events(spark, sf_dir)[0].groupBy("user_id").agg(histograms.sum_where(F.col("value"), kind == "purchase").alias("spent"), histograms.count_where(kind == "error").alias("errors"))
+    return events(spark, sf_dir)[0].groupBy("user_id").agg(F.round(histograms.sum_where(F.col("value"), kind == "purchase"), 4).alias("spent"), histograms.count_where(kind == "error").alias("errors"))
 
 
 @query("having_uniq", "select user_id, count(distinct event_type) as kinds from events group by 1 having count(distinct event_type) = 5")
