@@ -23,12 +23,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Cut, by_run, runs
+from .common import Cut, by_run, cut, runs
 
 WORD = re.compile(r"[^\W_]+")
 TERMS = 1 << 14
 PASSAGE = 64
-RANK, EXTRA = 48, 16
+RANK, EXTRA = 40, 8
+CHUNK = 1 << 14  # words that a step of the sketch takes at once
 SCALES = (4, 8, 16, 32)
 ITEMS = 4096
 BLOCKS = 64
@@ -36,12 +37,14 @@ HITS = "doc_id long, item_id long, cosine double, lcs double, answer double, sta
 
 
 class Hashes(dict):
-    """CRC-32 of words, remembered; starts anew when large."""
-
-    def __missing__(self, word: str) -> int:
-        if len(self) > 500_000:
-            self.clear()
-        value = self[word] = zlib.crc32(word.encode("utf-8", "surrogatepass"))
+    """The hashes of the words in a piece of text without white space; short pieces are remembered."""
+
+    def __missing__(self, piece: str) -> bytes:
+        value = b"".join([zlib.crc32(w.encode("utf-8", "surrogatepass")).to_bytes(4, "little") for w in WORD.findall(piece)])
+        if len(piece) <= 48:
+            if len(self) > 500_000:
+                self.clear()
+            self[piece] = value
         return value
 
 
@@ -49,8 +52,8 @@ HASHES = Hashes()
 
 
 def words_of(text: str | None) -> np.ndarray:
-    """Hashes of the words of a text in lower case."""
-    return np.fromiter(map(HASHES.__getitem__, WORD.findall((text or "").lower())), np.uint32)
+    """CRC-32 of the words of a text in lower case."""
+    return np.frombuffer(b"".join(map(HASHES.__getitem__, (text or "").lower().split())), "<u4")
 
 
 def hashed(docs: DataFrame) -> DataFrame:
@@ -60,7 +63,7 @@ def hashed(docs: DataFrame) -> DataFrame:
         for b in batches:
             for i in range(0, b.num_rows, 1000):
                 part = b.slice(i, 1000)
-                words = [words_of(t.as_py()).astype("<u4").tobytes() for t in part.column(1)]
+                words = [words_of(t.as_py()).tobytes() for t in part.column(1)]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(words, pa.binary())], ["doc_id", "words"])
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(each, "doc_id long, words binary")
@@ -137,10 +140,10 @@ def _sketch(idf: np.ndarray, columns: int):
         held, n = [], 0
         for b in batches:
             for x in _read(b.column(0)):
-                for i in range(0, len(x), 1 << 16):
-                    held.append((x[i : i + (1 << 16)] & (TERMS - 1)).astype(np.uint16))
+                for i in range(0, len(x), CHUNK):
+                    held.append((x[i : i + CHUNK] & (TERMS - 1)).astype(np.uint16))
                     n += len(held[-1])
-                    if n >= 1 << 16:
+                    if n >= CHUNK:
                         add(held)
                         held, n = [], 0
         if n:
@@ -249,7 +252,9 @@ def _search(items: Items, space: Space, cosine: float, share: float, least: floa
                 i, j = np.nonzero(near >= cosine)
                 for k in range(0, len(i), 8192):
                     p, q = i[k : k + 8192], j[k : k + 8192]
-                    shared = (within[p][:, :, None] == texts[q][:, None, :]).any(axis=2).sum(axis=1) * 2 >= w
+                    same = (within[p][:, :, None] == texts[q][:, None, :]).any(axis=2)
+                    weigh = weights[within[p] & (TERMS - 1)]
+                    shared = (same * weigh).sum(axis=1) >= 0.5 * weigh.sum(axis=1)
                     for b, c in zip(p[shared].tolist(), q[shared].tolist()):
                         n = len(items.words[item[c]])
                         start = int(some[b]) - int(offset[c])
@@ -277,7 +282,7 @@ def _search(items: Items, space: Space, cosine: float, share: float, least: floa
     return each
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, cosine: float = 0.85, share: float = 0.5, least: float = 0.6, sure: float = 0.8) -> DataFrame:
+def contaminated(docs: DataFrame, benchmark: DataFrame, cosine: float = 0.85, share: float = 0.6, least: float = 0.6, sure: float = 0.8) -> DataFrame:
     """doc_id, item_id, cosine, lcs, answer, start: a row for each item that a document holds.
 
     An item is held if `sure` of its words, in order, stand in a place found by a latent cosine of
@@ -295,4 +300,6 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, cosine: float = 0.85, sh
         one = words.df.mapInArrow(_search(prepare([(r.item_id, r.text) for r in rows], space), space, cosine, share, least, sure), HITS)
         found = one if found is None else found.unionByName(one)
     best = F.max_by(F.struct("cosine", "lcs", "answer", "start"), F.struct("lcs", "cosine", -F.col("start"))).alias("best")
-    return found.groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", "best.*")
+    held = cut(found.groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", "best.*"))
+    words.drop()
+    return held
