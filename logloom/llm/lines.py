@@ -159,7 +159,8 @@ def _texts(docs: DataFrame, wanted: DataFrame, least_chars: int) -> DataFrame:
 
 
 def line_classes(docs: DataFrame, edits: int = 2, least_chars: int = 40) -> tuple[Cut, DataFrame]:
-    """All distinct lines (h, n, first, first_doc), and node, component of those with near ones (as h)."""
+    """All distinct lines (h, n, first, first_doc), to be dropped by the caller, and node, component of
+    those with near ones (as h)."""
     lines = split_lines(docs, least_chars)
     length = F.length("line")
     looks = probes(edits)
@@ -171,22 +172,27 @@ def line_classes(docs: DataFrame, edits: int = 2, least_chars: int = 40) -> tupl
     entries = table.df.select("h", "length", entry).select("h", "length", "e.sig", "e.indexed").repartition("sig")
     entries = entries.groupBy("sig", "h").agg(F.max("indexed").alias("indexed"), F.first("length").alias("length"))
     met = entries.groupBy("sig").agg(F.count("*").alias("size"), F.max("indexed").alias("any"), F.min("h").alias("u"), F.max("h").alias("v"), F.sum("length").alias("chars")).where("size > 1 and any")
-    groups = cut(met)
-    twos = groups.where("size = 2").select("u", "v")
-    more = Cut(entries.join(groups.where("size > 2").select("sig", "size", "chars"), "sig"))
+    groups = Cut(met)
+    twos = groups.df.where("size = 2").select("u", "v")
+    more = Cut(entries.join(groups.df.where("size > 2").select("sig", "size", "chars"), "sig"))
     few = more.df.where(F.col("size") <= PAIRS_UP_TO)
     pairs = few.where("indexed").select("sig", F.col("h").alias("a")).join(few.select("sig", F.col("h").alias("b")), "sig").where("a <> b")
-    pairs = cut(twos.unionByName(pairs.select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v"))).distinct())
+    found = Cut(twos.unionByName(pairs.select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v"))).distinct())
+    pairs = found.df
     hot = more.df.where(F.col("size") > PAIRS_UP_TO)
     named = pairs.select(F.explode(F.array("u", "v")).alias("h")).unionByName(hot.select("h")).distinct()
-    texts = cut(_texts(docs, named.join(table.df.select("h", "first_doc"), "h"), least_chars))
+    held = Cut(_texts(docs, named.join(table.df.select("h", "first_doc"), "h"), least_chars))
+    texts = held.df
     left, right = texts.select(F.col("h").alias("u"), F.col("line").alias("x")), texts.select(F.col("h").alias("v"), F.col("line").alias("y"))
     links = pairs.join(left, "u").join(right, "v").select("u", "v", "x", "y").mapInArrow(_verify(edits), "u long, v long")
     tiles = F.ceil(F.greatest(F.col("size") / TILE, F.col("chars") / TILE_CHARS)).cast("int")
     dealt = hot.withColumn("own_tile", F.pmod(F.xxhash64(F.lit(3), "h"), tiles).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), tiles - 1)))
     dealt = dealt.select("sig", F.least("own_tile", "other").alias("tile_i"), F.greatest("own_tile", "other").alias("tile_j"), "own_tile", "h", "indexed").join(texts, "h")
-    found = by_run(dealt, ["sig", "tile_i", "tile_j"]).mapInArrow(_tile_links(edits), "u long, v long")
-    return table, components(links.unionByName(found))
+    joined = by_run(dealt, ["sig", "tile_i", "tile_j"]).mapInArrow(_tile_links(edits), "u long, v long")
+    classes = components(links.unionByName(joined))
+    for written in (groups, more, found, held):
+        written.drop()
+    return table, classes
 
 
 def removals(docs: DataFrame, edits: int = 2, least_chars: int = 40) -> DataFrame:
@@ -197,6 +203,7 @@ def removals(docs: DataFrame, edits: int = 2, least_chars: int = 40) -> DataFram
     linked = named.where("component is not null")
     firsts = linked.groupBy("component").agg(F.min("first").alias("first"))
     again = cut(lone.unionByName(linked.drop("first").join(firsts, "component").select("h", "first")))
+    table.drop()
     places = split_lines(docs, least_chars).select("h", "place", "doc_id", "line_no")
     repeats = places.join(again, "h").where("place <> first")
     return repeats.groupBy("doc_id").agg(F.array_sort(F.collect_set("line_no")).alias("gone"))
