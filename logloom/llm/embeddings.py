@@ -222,6 +222,8 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.98) -> DataFrame:
     both = probers.unionByName(homes).join(reps.select("rep", "weight", "embedding"), "rep")
     tiles = Cut(by_run(both, KEYS).mapInArrow(_tiles(cosine), "kind int, u long, v long"))
     links = Cut(pairs)
+    entries.drop()
+    cells.drop()
     weight = reps.select(F.col("rep").alias("other"), "weight")
     ends = links.df.unionByName(links.df.select(F.col("v").alias("u"), F.col("u").alias("v")))
     counts = ends.join(weight, F.col("v") == F.col("other")).select("u", "weight").unionByName(tiles.df.where("kind = 0").select("u", F.col("v").alias("weight")))
