@@ -13,9 +13,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import Cut
+
 ORDER = 3
 UNDETERMINED = "und"
 SLOT_BITS = 22
@@ -151,16 +153,20 @@ def count_grams(rows: DataFrame) -> DataFrame:
 def fit(rows: DataFrame, per_language: int = 1 << 18, cells: int = 1 << 24) -> Model:
     """Learns from all rows (text, lang) whose lang is not null; an empty or null text adds nothing.
 
-    Counts cover all rows. The model is bounded: of each language its most frequent four-byte sequences
-    are kept, `per_language` at most and so many that languages squared times them stay within `cells`.
+    Counts cover all rows. The model is bounded: of each language the four-byte sequences seen at least t
+    times are kept, with the smallest power of two t that leaves `per_language` at most, and so many that
+    languages squared times them stay within `cells`.
     """
-    counted = count_grams(rows.where("lang is not null"))
+    counted = Cut(count_grams(rows.where("lang is not null")))
     names = sorted(r.lang for r in rows.where("lang is not null").select("lang").distinct().collect())
     if not names:
         return Model([], np.array([], np.uint32), np.zeros((0, 0)))
     most = max(1, min(per_language, cells // len(names) ** 2))
-    order = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
-    kept = counted.withColumn("k", F.row_number().over(order)).where(F.col("k") <= most).drop("k").toPandas()
+    left = counted.df.groupBy("lang").agg(*[F.count_if(F.col("n") >= 1 << k).alias(str(k)) for k in range(63)]).collect()
+    least = [(r.lang, 1 << next((k for k in range(63) if r[str(k)] <= most), 62)) for r in left]
+    limits = counted.df.sparkSession.createDataFrame(least or [("", 1)], "lang string, least long")
+    kept = counted.df.join(F.broadcast(limits), "lang").where("n >= least").toPandas()
+    counted.drop()
     keys, at = np.unique(kept.gram.to_numpy(np.int64).astype(np.uint32), return_inverse=True)
     counts = np.zeros((len(keys), len(names)))
     counts[at, [names.index(x) for x in kept.lang]] = kept.n
