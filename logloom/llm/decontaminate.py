@@ -30,6 +30,7 @@ TERMS = 1 << 14
 PASSAGE = 64
 RANK, EXTRA = 40, 8
 CHUNK = 1 << 14  # words that a step of the sketch takes at once
+COMMON = 0.3  # terms in a larger share of documents say nothing of a passage and stay out of the latent space
 SCALES = (4, 8, 16, 32)
 ITEMS = 4096
 BLOCKS = 64
@@ -120,7 +121,7 @@ def _sketch(idf: np.ndarray, columns: int):
     """Z = A'(A W) of a task's passages."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        directions, total = random_directions(columns), np.zeros((TERMS, columns), np.float32)
+        directions, total, kept = random_directions(columns), np.zeros((TERMS, columns), np.float32), idf > 0
 
         def add(docs: list[np.ndarray]) -> None:
             starts, n = [], 0
@@ -140,8 +141,10 @@ def _sketch(idf: np.ndarray, columns: int):
         held, n = [], 0
         for b in batches:
             for x in _read(b.column(0)):
+                x = (x & (TERMS - 1)).astype(np.uint16)
+                x = x[kept[x]]
                 for i in range(0, len(x), CHUNK):
-                    held.append((x[i : i + CHUNK] & (TERMS - 1)).astype(np.uint16))
+                    held.append(x[i : i + CHUNK])
                     n += len(held[-1])
                     if n >= CHUNK:
                         add(held)
@@ -166,7 +169,8 @@ def fit(words: DataFrame, rank: int = RANK, extra: int = EXTRA) -> Space:
     df, n = document_frequencies(words)
     idf = (np.log((n + 1) / (df + 1)) + 0.2).astype(np.float32)
     tasks = 4 * words.sparkSession.sparkContext.defaultParallelism
-    sketch = words.select("words").coalesce(tasks).mapInArrow(_sketch(idf, rank + extra), PARTS)
+    rare = np.where(df <= COMMON * n, idf, 0).astype(np.float32)
+    sketch = words.select("words").coalesce(tasks).mapInArrow(_sketch(rare, rank + extra), PARTS)
     z = _summed(sketch, "<f4", rank + extra)
     w = random_directions(rank + extra).astype(np.float64)
     shift = 1e-6 * max(np.linalg.norm(z), 1e-9)
