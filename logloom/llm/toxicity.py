@@ -225,6 +225,8 @@ def keep_clean(docs: DataFrame, lexicon: Lexicon, threshold: float = 0.7) -> Dat
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield b.filter(pa.array([lexicon.score(t.as_py()) < threshold for t in b.column(at)], pa.bool_()))
+            for i in range(0, b.num_rows, 1000):  # small pieces go back, so that few copies are held
+                part = b.slice(i, 1000)
+                yield part.filter(pa.array([lexicon.score(t.as_py()) < threshold for t in part.column(at)], pa.bool_()))
 
     return docs.mapInArrow(each, docs.schema)
