@@ -1,16 +1,20 @@
-"""Benchmark decontamination by latent semantic retrieval.
-
-Words are hashed; passages of the corpus are TF-IDF rows. A randomised SVD in one pass (Nystroem's form:
-Z = A'(A W) for a random W, from which the leading right singular vectors and values of A follow) gives a
-latent space in which each direction counts alike. All windows of an item are compared by cosine with
-the side-by-side windows of every document: those of a leak are the same as some of the item's. A window whose words are mostly foreign to
-the benchmark cannot be near and is passed over (its TF-IDF cosine is bounded by the share of its weight
-on benchmark words). Candidates are verified: the longest common subsequence of words against the item,
-and the item's answer, its last sentence, must be there too.
+"""Benchmark decontamination: places by an exact bound, longest common subsequence, latent cosine.
+
+Words are hashed. An item is held where enough of its words stand in order, so all but a few of its words
+must be there: of its n - need + k rarest words at least k. Postings of these words give all places that
+meet this bound, and none that holds the item is missed, whatever its other words were changed to. Each
+place is verified: the longest common subsequence of words against the item, and for a share between the
+two limits the item's answer, its last sentence, must be there too.
+
+Passages of the corpus are TF-IDF rows. A randomised SVD in one pass (Nystroem's form: Z = A'(A W) for a
+random W, from which the leading right singular vectors and values of A follow) gives a latent space in
+which each direction counts alike; the cosine of an item and its place there ranks places that share as
+much, and is reported. It decides nothing else.
 """
 
 from __future__ import annotations
 
+import math
 import re
 import zlib
 from collections.abc import Iterator
@@ -28,10 +32,10 @@ from .common import Cut, by_run, cut, runs
 WORD = re.compile(r"[^\W_]+")
 TERMS = 1 << 14
 PASSAGE = 64
-RANK, EXTRA = 40, 8
+RANK, EXTRA = 48, 16
 CHUNK = 1 << 14  # words that a step of the sketch takes at once
-COMMON = 0.3  # terms in a larger share of documents say nothing of a passage and stay out of the latent space
-SCALES = (4, 8, 16, 32)
+POSTINGS = 1 << 20  # that a step of the search takes at once
+SHORTEST = 7
 ITEMS = 4096
 BLOCKS = 64
 HITS = "doc_id long, item_id long, cosine double, lcs double, answer double, start long"
@@ -121,7 +125,7 @@ def _sketch(idf: np.ndarray, columns: int):
     """Z = A'(A W) of a task's passages."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        directions, total, kept = random_directions(columns), np.zeros((TERMS, columns), np.float32), idf > 0
+        directions, total = random_directions(columns), np.zeros((TERMS, columns), np.float32)
 
         def add(docs: list[np.ndarray]) -> None:
             starts, n = [], 0
@@ -142,7 +146,6 @@ def _sketch(idf: np.ndarray, columns: int):
         for b in batches:
             for x in _read(b.column(0)):
                 x = (x & (TERMS - 1)).astype(np.uint16)
-                x = x[kept[x]]
                 for i in range(0, len(x), CHUNK):
                     held.append(x[i : i + CHUNK])
                     n += len(held[-1])
@@ -169,8 +172,7 @@ def fit(words: DataFrame, rank: int = RANK, extra: int = EXTRA) -> Space:
     df, n = document_frequencies(words)
     idf = (np.log((n + 1) / (df + 1)) + 0.2).astype(np.float32)
     tasks = 4 * words.sparkSession.sparkContext.defaultParallelism
-    rare = np.where(df <= COMMON * n, idf, 0).astype(np.float32)
-    sketch = words.select("words").coalesce(tasks).mapInArrow(_sketch(rare, rank + extra), PARTS)
+    sketch = words.select("words").coalesce(tasks).mapInArrow(_sketch(idf, rank + extra), PARTS)
     z = _summed(sketch, "<f4", rank + extra)
     w = random_directions(rank + extra).astype(np.float64)
     shift = 1e-6 * max(np.linalg.norm(z), 1e-9)
@@ -183,12 +185,19 @@ def fit(words: DataFrame, rank: int = RANK, extra: int = EXTRA) -> Space:
 
 @dataclass
 class Items:
-    """The benchmark's items, and by scale their windows: words, latent unit vectors, item and offset."""
+    """The benchmark's items, and postings of their rarer words: a word's are at first[k]:first[k + 1]."""
 
     ids: list[int]
     words: list[np.ndarray]
     answers: list[set[int]]
-    windows: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]
+    latent: np.ndarray
+    slack: np.ndarray
+    least: np.ndarray
+    hits: np.ndarray
+    vocabulary: np.ndarray
+    first: np.ndarray
+    item: np.ndarray
+    place: np.ndarray
     known: np.ndarray
 
 
@@ -199,86 +208,130 @@ def answer_of(text: str) -> set[int]:
     return {int(w) for w in (parts[-1] if len(parts) > 1 else words[-max(1, len(words) // 4) :])}
 
 
-def prepare(rows: list[tuple[int, str]], space: Space) -> Items:
-    ids, words, answers, found = [], [], [], {}
-    known = np.zeros(TERMS, bool)
+def prepare(rows: list[tuple[int, str]], space: Space, least: float) -> Items:
+    """Of n words `need` must be met, so n - need may be missing: of the n - need + k rarest, k are there."""
+    ids, words, answers, slack, lowest, hits, posted = [], [], [], [], [], [], []
     for item, text in rows:
         x = words_of(text)
-        if item is None or len(x) < 2 * SCALES[0] - 1:
+        n = len(x)
+        if item is None or n < SHORTEST:
             continue
-        w = max(s for s in SCALES if len(x) >= 2 * s - 1)
-        known[x & (TERMS - 1)] = True
-        for o in range(len(x) - w + 1):
-            found.setdefault(w, []).append((x[o : o + w], len(ids), o))
+        need = max(1, math.ceil(least * n - 1e-9))
+        k = (need + 1) // 2
+        rarest = np.argsort(-space.idf[x & (TERMS - 1)], kind="stable")[: n - need + k]
+        posted += [(int(x[j]), len(ids), j) for j in rarest.tolist()]
         ids.append(item)
         words.append(x)
         answers.append(answer_of(text))
-    windows = {}
-    for w, some in found.items():
-        x = np.stack([a for a, _, _ in some])
-        latent = space.terms[x & (TERMS - 1)].sum(axis=1)
-        windows[w] = (x, latent / (np.linalg.norm(latent, axis=1, keepdims=True) + 1e-9), np.array([b for _, b, _ in some]), np.array([c for _, _, c in some]))
-    return Items(ids, words, answers, windows, known)
+        slack.append(4 + n // 4)
+        lowest.append(need)
+        hits.append(k)
+    posted.sort()
+    word, item, place = np.array(posted, np.int64).reshape(-1, 3).T
+    vocabulary, first = np.unique(word, return_index=True)
+    known = np.zeros(1 << 16, bool)
+    known[vocabulary & 0xFFFF] = True
+    latent = [_latent(space, x) for x in words]
+    return Items(ids, words, answers, np.array(latent), np.array(slack, np.int64), np.array(lowest, np.int64), np.array(hits, np.int64), vocabulary.astype(np.uint32), np.append(first, len(word)), item, place, known)
+
+
+def _latent(space: Space, words: np.ndarray) -> np.ndarray:
+    x = space.terms[words & (TERMS - 1)].sum(axis=0)
+    return x / (np.linalg.norm(x) + 1e-9)
+
+
+def _bits(item: np.ndarray) -> dict[int, int]:
+    """Where each word stands in an item, a bit for each place."""
+    bits: dict[int, int] = {}
+    for i, w in enumerate(item.tolist()):
+        bits[w] = bits.get(w, 0) | 1 << i
+    return bits
+
+
+def _common(bits: dict[int, int], n: int, other: list[int]) -> int:
+    full = v = (1 << n) - 1
+    for w in other:
+        if u := v & bits.get(w, 0):
+            v = ((v + u) | (v - u)) & full
+    return n - v.bit_count()
 
 
 def lcs(item: np.ndarray, other: np.ndarray) -> int:
     """Length of the longest common subsequence, a bit for each word of the item."""
-    places: dict[int, int] = {}
-    for i, w in enumerate(item.tolist()):
-        places[w] = places.get(w, 0) | 1 << i
-    full = v = (1 << len(item)) - 1
-    for w in other.tolist():
-        u = v & places.get(w, 0)
-        v = ((v + u) | (v - u)) & full
-    return len(item) - v.bit_count()
-
-
-def _search(items: Items, space: Space, cosine: float, share: float, least: float, sure: float):
-    weights = space.idf.astype(np.float64) ** 2
-
-    def hits(doc: np.ndarray) -> dict[int, tuple[float, float, float, int]]:
-        """item: (cosine, LCS share, answer share, start) of its best place in the document."""
-        terms = doc & (TERMS - 1)
-        weight = weights[terms]
-        benchmark = np.where(items.known[terms], weight, 0.0)
-        best: dict[int, tuple[float, float, float, int]] = {}
-        tried: set[tuple[int, int]] = set()
-        for w, (texts, latent, item, offset) in items.windows.items():
-            at = np.arange(0, len(doc), w)
-            at = at[np.add.reduceat(benchmark, at) >= share * np.add.reduceat(weight, at)]
-            at = np.minimum(at, max(0, len(doc) - w))
-            for a in range(0, len(at), 4096):
-                some = at[a : a + 4096]
-                within = doc[np.minimum(some[:, None] + np.arange(w), len(doc) - 1)]
-                x = space.terms[within & (TERMS - 1)].sum(axis=1)
-                x /= np.linalg.norm(x, axis=1, keepdims=True) + 1e-9
-                near = x @ latent.T
-                i, j = np.nonzero(near >= cosine)
-                for k in range(0, len(i), 8192):
-                    p, q = i[k : k + 8192], j[k : k + 8192]
-                    same = (within[p][:, :, None] == texts[q][:, None, :]).any(axis=2)
-                    weigh = weights[within[p] & (TERMS - 1)]
-                    shared = (same * weigh).sum(axis=1) >= 0.5 * weigh.sum(axis=1)
-                    for b, c in zip(p[shared].tolist(), q[shared].tolist()):
-                        n = len(items.words[item[c]])
-                        start = int(some[b]) - int(offset[c])
-                        if (key := (int(item[c]), start // 8)) in tried:
-                            continue
-                        tried.add(key)
-                        slack = 4 + n // 4
-                        region = doc[max(0, start - slack) : start + n + slack]
-                        common = lcs(items.words[key[0]], region) / n
-                        answer = len(items.answers[key[0]] & set(region.tolist())) / len(items.answers[key[0]])
-                        if common >= sure or common >= least and answer >= 0.5:
-                            best[key[0]] = max(best.get(key[0], (0.0, 0.0, 0.0, 0)), (float(near[b, c]), common, answer, max(0, start)), key=lambda r: (r[1], r[0], -r[3]))
+    return _common(_bits(item), len(item), other.tolist())
+
+
+def places(items: Items, words: np.ndarray) -> np.ndarray:
+    """item, start: where an item could stand in words, so that one of its rarer words is in its place.
+
+    A place is an item's words from `slack` before to `slack` after; it is left out only if fewer of the
+    item's rarer words are there than any place that holds the item has.
+    """
+    at = np.flatnonzero(items.known[words & 0xFFFF])
+    k = np.minimum(np.searchsorted(items.vocabulary, words[at]), len(items.vocabulary) - 1)
+    same = items.vocabulary[k] == words[at]
+    at, k = at[same], k[same]
+    n = items.first[k + 1] - items.first[k]
+    if n.sum() > POSTINGS and len(words) > 8 * (reach := int((2 * items.slack + [len(x) for x in items.words]).max())):
+        half = len(words) // 2
+        left, right = places(items, words[: half + 2 * reach]), places(items, words[half - 2 * reach :])
+        return np.unique(np.concatenate([left, right + [0, half - 2 * reach]]), axis=0)
+    posting = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(items.first[k], n)
+    item, at = items.item[posting], np.repeat(at, n)
+    key = item << 40 | at
+    order = np.argsort(key, kind="stable")
+    key, item, start = key[order], item[order], (at - items.place[posting])[order]
+    span = (2 * items.slack + [len(x) for x in items.words])[item]
+    last = np.arange(len(key)) + items.hits[item] - 1
+    inside = last < len(key)
+    enough = np.flatnonzero(inside & (key[np.where(inside, last, 0)] - key < span))
+    change = np.zeros(len(key) + 1, np.int64)
+    change[enough] += 1
+    np.subtract.at(change, np.searchsorted(key, key[enough] + span[enough]), 1)
+    held = np.cumsum(change)[:-1] > 0
+    return np.unique(np.stack([item[held], start[held]], axis=1), axis=0)
+
+
+def _search(items: Items, space: Space, least: float, sure: float):
+    bits = [_bits(x) for x in items.words]
+    lengths = np.array([len(x) for x in items.words], np.int64)
+
+    def hits(docs: list[np.ndarray]) -> list[dict[int, tuple[float, float, float, int]]]:
+        """For each document item: (cosine, LCS share, answer share, start) of its best place."""
+        best: list[dict[int, tuple[float, float, float, int]]] = [{} for _ in docs]
+        if not items.ids:
+            return best
+        gap = int((2 * items.slack + lengths).max())  # so that no place reaches into two documents
+        unknown = next((w for w, v in enumerate(items.vocabulary.tolist()) if w != v), len(items.vocabulary))
+        between = np.full(gap, unknown, np.uint32)
+        begin = np.cumsum([gap + len(d) for d in docs]) - [len(d) for d in docs]
+        found = places(items, np.concatenate([x for d in docs for x in (between, d)]))
+        of = np.searchsorted(begin, found[:, 1] + (lengths + items.slack)[found[:, 0]] - 1, side="right") - 1
+        texts: dict[int, list[int]] = {}
+        for (k, at), d in zip((found - np.stack([0 * of, begin[of]], axis=1)).tolist(), of.tolist()):
+            if (text := texts.get(d)) is None:
+                text = texts[d] = docs[d].tolist()
+            n, slack, known = len(items.words[k]), int(items.slack[k]), bits[k]
+            region = text[max(0, at - slack) : at + n + slack]
+            if sum([w in known for w in region]) < items.least[k] or (common := _common(known, n, region)) < items.least[k]:
+                continue
+            answer = len(items.answers[k] & set(region)) / len(items.answers[k])
+            if common / n >= sure or answer >= 0.5:
+                near = float(_latent(space, docs[d][max(0, at) : max(0, at + n)]) @ items.latent[k])
+                best[d][k] = max(best[d].get(k, (0.0, 0.0, 0.0, 0)), (near, common / n, answer, max(0, at)), key=lambda r: (r[1], r[0], -r[3]))
         return best
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows = []
-            for doc_id, x in zip(b.column(0), _read(b.column(1))):
-                if len(x):
-                    rows += [(doc_id.as_py(), items.ids[k], *r) for k, r in hits(x).items()]
+            rows, doc_ids, docs, size = [], b.column(0).to_pylist(), _read(b.column(1)), 0
+            held: list[int] = []
+            for i, x in enumerate(docs):
+                held += [i] if len(x) else []
+                size += len(x)
+                if held and (size >= CHUNK or i + 1 == len(docs)):
+                    for d, found in zip(held, hits([docs[j] for j in held])):
+                        rows += [(doc_ids[d], items.ids[k], *r) for k, r in found.items()]
+                    held, size = [], 0
             if rows:
                 kinds = (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64(), pa.int64())
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], [x.split()[0] for x in HITS.split(", ")])
@@ -286,11 +339,12 @@ def _search(items: Items, space: Space, cosine: float, share: float, least: floa
     return each
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, cosine: float = 0.85, share: float = 0.6, least: float = 0.6, sure: float = 0.8) -> DataFrame:
+def contaminated(docs: DataFrame, benchmark: DataFrame, least: float = 0.6, sure: float = 0.8) -> DataFrame:
     """doc_id, item_id, cosine, lcs, answer, start: a row for each item that a document holds.
 
-    An item is held if `sure` of its words, in order, stand in a place found by a latent cosine of
-    `cosine`, or `least` of them with half of its answer's words. Items of fewer than seven words and null
+    An item is held if `sure` of its words, in order, stand in a place, or `least` of them with half of its
+    answer's words. A place is a quarter of the item and four words longer at both ends than the item would
+    be with one of its rarer words as it stands in the document. Items of fewer than seven words and null
     ones are not sought; null and empty documents hold none. All items are sought, in blocks of 4096 at a
     time, in all documents. Repeated rows give one row; documents with a null id are reported as null.
     """
@@ -301,7 +355,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, cosine: float = 0.85, sh
     found = None
     for b in range(blocks):
         rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b).orderBy("item_id", "text").collect()
-        one = words.df.mapInArrow(_search(prepare([(r.item_id, r.text) for r in rows], space), space, cosine, share, least, sure), HITS)
+        one = words.df.mapInArrow(_search(prepare([(r.item_id, r.text) for r in rows], space, least), space, least, sure), HITS)
         found = one if found is None else found.unionByName(one)
     best = F.max_by(F.struct("cosine", "lcs", "answer", "start"), F.struct("lcs", "cosine", -F.col("start"))).alias("best")
     held = cut(found.groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", "best.*"))

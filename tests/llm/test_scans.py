@@ -244,6 +244,50 @@ def test_decontamination(spark):
     assert decontaminate.contaminated(documents(spark, rows[:9]), bench.limit(0)).count() == 0
 
 
+def swapped(words, share, rnd, spared):
+    """The words with a share of those before the last `spared` changed to words that no item has."""
+    words = list(words)
+    for k in rnd.sample(range(len(words) - spared), math.ceil(share * len(words) - 1e-9)):
+        words[k] = f"zq{rnd.randrange(10**9)}"
+    return words
+
+
+@pytest.mark.parametrize("share", [0.2, 0.28, 0.35])
+def test_paraphrased_items(spark, share):
+    rnd = random.Random(int(share * 100))
+    items = [(i, f"{prose(500 + i, n - 4)} x{i}a. Its end{i} is x{i}b.") for i, n in enumerate([9, 12, 15, 20, 31, 47, 64, 120] * 2)]
+    rows = []
+    for i, t in items:
+        w = swapped(re.findall(r"\w+", t), share, rnd, 4)
+        for k, gaps in enumerate((0, 1)):
+            some = list(w)
+            if gaps:
+                some.insert(len(some) // 3, "added")
+            rows.append((2 * i + k, f"{prose(900 + i, 37 + i)} {' '.join(some)} {prose(950 + i, 40)}"))
+    rows += [(1000 + i, prose(3000 + i, 150)) for i in range(20)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in decontaminate.contaminated(documents(spark, rows), bench).collect()}
+    assert {(d, i) for d, i in got if d < 1000 and d // 2 == i} == {(d, d // 2) for d in range(32)}
+
+
+def test_places_miss_none_that_hold_an_item(monkeypatch):
+    rnd = random.Random(5)
+    space = decontaminate.Space(np.random.default_rng(1).random(decontaminate.TERMS).astype(np.float32), np.ones((decontaminate.TERMS, 2), np.float32))
+    rows = [(i, " ".join(rnd.choices("abcdefghij", k=rnd.randint(7, 20)))) for i in range(12)]
+    items = decontaminate.prepare(rows, space, 0.6)
+    doc = decontaminate.words_of(" ".join(rnd.choices("abcdefghijklmnopqrst", k=900)))
+    want = set()
+    for k, x in enumerate(items.words):
+        slack = int(items.slack[k])
+        for j, p in ((j, p) for w, k2, j in zip(np.repeat(items.vocabulary, np.diff(items.first)), items.item, items.place) if k2 == k for p in np.flatnonzero(doc == w)):
+            start = int(p - j)
+            if plain_lcs(x.tolist(), doc[max(0, start - slack) : start + len(x) + slack].tolist()) >= items.least[k]:
+                want.add((k, start))
+    assert want and want <= set(map(tuple, decontaminate.places(items, doc).tolist()))
+    monkeypatch.setattr(decontaminate, "POSTINGS", 64)
+    assert want <= set(map(tuple, decontaminate.places(items, doc).tolist()))
+
+
 PAGES = [
     ("<p>One<p>Two <b>bold<br>next</b>", "One\n\nTwo bold\nnext"),
     ("<ul><li>a<li>b<ul><li>c</ul><li>d</ul>", "- a\n- b\n  - c\n- d"),
