@@ -29,13 +29,16 @@ from pyspark.sql import functions as F
 
 from .common import Cut, by_run, cut, runs
 
-WORD = re.compile(r"[^\W_]+")
+#: Scripts without spaces between words: Thai, Lao, Myanmar, Khmer, kana and ideographs.
+UNSPACED = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3005-\u3007\u3040-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff"
+WORD = re.compile(rf"[^\W_{UNSPACED}]+|(?=[^\W_])[{UNSPACED}]")
+SPACED = re.compile(r"[^\W_]+")
 TERMS = 1 << 14
 PASSAGE = 64
 RANK, EXTRA = 48, 16
 CHUNK = 1 << 14  # words that a step of the sketch takes at once
 POSTINGS = 1 << 20  # that a step of the search takes at once
-SHORTEST = 7
+SHORT = 7  # items of fewer words are sought word for word
 ITEMS = 4096
 BLOCKS = 64
 HITS = "doc_id long, item_id long, cosine double, lcs double, answer double, start long"
@@ -45,7 +48,7 @@ class Hashes(dict):
     """The hashes of the words in a piece of text without white space; short pieces are remembered."""
 
     def __missing__(self, piece: str) -> bytes:
-        value = b"".join([zlib.crc32(w.encode("utf-8", "surrogatepass")).to_bytes(4, "little") for w in WORD.findall(piece)])
+        value = b"".join([zlib.crc32(w.encode("utf-8", "surrogatepass")).to_bytes(4, "little") for w in (SPACED if piece.isascii() else WORD).findall(piece)])
         if len(piece) <= 48:
             if len(self) > 500_000:
                 self.clear()
@@ -57,7 +60,7 @@ HASHES = Hashes()
 
 
 def words_of(text: str | None) -> np.ndarray:
-    """CRC-32 of the words of a text in lower case."""
+    """CRC-32 of the words of a text in lower case; a character is a word in scripts without spaces."""
     return np.frombuffer(b"".join(map(HASHES.__getitem__, (text or "").lower().split())), "<u4")
 
 
@@ -203,27 +206,28 @@ class Items:
 
 def answer_of(text: str) -> set[int]:
     """Words of the last sentence that has three or more; of the last quarter if there is but one."""
-    parts = [w for w in (words_of(s) for s in re.split(r"[.!?\n]+", text)) if len(w) >= 3]
+    parts = [w for w in (words_of(s) for s in re.split(r"[.!?\u3002\uff01\uff1f\n]+", text)) if len(w) >= 3]
     words = words_of(text)
     return {int(w) for w in (parts[-1] if len(parts) > 1 else words[-max(1, len(words) // 4) :])}
 
 
 def prepare(rows: list[tuple[int, str]], space: Space, least: float) -> Items:
-    """Of n words `need` must be met, so n - need may be missing: of the n - need + k rarest, k are there."""
+    """Of n words `need` must be met, so n - need may be missing: of the n - need + k rarest, k are there.
+    A short item must stand there whole, so it is looked up by its rarest word."""
     ids, words, answers, slack, lowest, hits, posted = [], [], [], [], [], [], []
     for item, text in rows:
         x = words_of(text)
         n = len(x)
-        if item is None or n < SHORTEST:
+        if item is None or not n:
             continue
-        need = max(1, math.ceil(least * n - 1e-9))
-        k = (need + 1) // 2
+        need = max(1, math.ceil(least * n - 1e-9)) if n >= SHORT else n
+        k = (need + 1) // 2 if n >= SHORT else 1
         rarest = np.argsort(-space.idf[x & (TERMS - 1)], kind="stable")[: n - need + k]
         posted += [(int(x[j]), len(ids), j) for j in rarest.tolist()]
         ids.append(item)
         words.append(x)
         answers.append(answer_of(text))
-        slack.append(4 + n // 4)
+        slack.append(4 + n // 4 if n >= SHORT else 0)
         lowest.append(need)
         hits.append(k)
     posted.sort()
@@ -344,8 +348,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least: float = 0.6, sure
 
     An item is held if `sure` of its words, in order, stand in a place, or `least` of them with half of its
     answer's words. A place is a quarter of the item and four words longer at both ends than the item would
-    be with one of its rarer words as it stands in the document. Items of fewer than seven words and null
-    ones are not sought; null and empty documents hold none. All items are sought, in blocks of 4096 at a
+    be with one of its rarer words as it stands in the document. Items of fewer than seven words are held
+    where all their words stand side by side. Null items and those without a word are not sought; null and
+    empty documents hold none. All items are sought, in blocks of 4096 at a
     time, in all documents. Repeated rows give one row; documents with a null id are reported as null.
     """
     words = Cut(hashed(docs))

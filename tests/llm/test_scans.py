@@ -270,6 +270,15 @@ def test_paraphrased_items(spark, share):
     assert {(d, i) for d, i in got if d < 1000 and d // 2 == i} == {(d, d // 2) for d in range(32)}
 
 
+def test_short_items_and_unspaced_scripts(spark):
+    items = [(1, "Who wrote the blue ladder?"), (2, "Name six rivers"), (3, "zyzzyva"), (4, "\u5317\u4eac\u662f\u4e2d\u56fd\u7684\u9996\u90fd\u5417"), (5, "\u6771\u4eac\u306f\u3069\u3053\u3067\u3059\u304b\u3002\u65e5\u672c\u306e\u9996\u90fd\u3067\u3059\u3002"), (6, "\u5927\u962a"), (7, "...")]
+    inside = "\u6211\u4eec\u8bf4"
+    rows = [(k, f"{prose(k, 12)}{inside if k >= 4 else ' '}{t}{inside if k >= 4 else ' '}{prose(50 + k, 9)}") for k, t in items[:6]]
+    rows += [(10, prose(4, 9) + " who wrote the green blue ladder"), (11, "rivers six name"), (12, items[0][1]), (13, prose(5, 200)), (14, "the blue ladder who wrote")]
+    got = {(r.doc_id, r.item_id) for r in decontaminate.contaminated(documents(spark, rows), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert got == {(k, k) for k in range(1, 7)} | {(12, 1)}
+
+
 def test_places_miss_none_that_hold_an_item(monkeypatch):
     rnd = random.Random(5)
     space = decontaminate.Space(np.random.default_rng(1).random(decontaminate.TERMS).astype(np.float32), np.ones((decontaminate.TERMS, 2), np.float32))
