@@ -23,7 +23,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without lines that repeat an earlier one; n_chars follows the text."""
-    rows = lines.dedup(docs, edits=2, least_chars=40)
+    rows = lines.dedup(docs, edits=2, least_chars=1)
     if "n_chars" in docs.columns:
         rows = rows.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
     return rows.select(*docs.columns)

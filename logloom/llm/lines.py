@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from .common import Cut, by_run, cut, runs
 from .components import components
 
+SEGMENT_CHARS = 4  # the edit join takes lines with so many characters a segment; shorter ones are compared whole
 PAIRS_UP_TO = 48
 TILE, TILE_CHARS = 512, 4_000_000
 
@@ -93,9 +94,9 @@ def _signature(line: Column, length: Column, less: int, i: int, shift: int, edit
 
 
 def split_lines(docs: DataFrame, least_chars: int) -> DataFrame:
-    """doc_id, line_no, place (their order in one number), line and its hash h, of all lines long enough."""
+    """doc_id, line_no, place (their order in one number), line and its hash h, of all lines long enough and not blank."""
     lines = docs.where("doc_id is not null and text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.posexplode(F.split(F.col("text").cast("string"), "\n")).alias("line_no", "line"))
-    lines = lines.withColumn("line", F.lower(F.trim("line"))).where(F.length("line") >= least_chars)
+    lines = lines.withColumn("line", F.lower(F.trim("line"))).where(F.length("line") >= least_chars).where(F.col("line").rlike(r"(?U)\S"))
     place = F.col("doc_id").cast("decimal(20,0)") * F.lit(1 << 31).cast("decimal(10,0)") + F.col("line_no")
     return lines.select("doc_id", "line_no", place.cast("decimal(38,0)").alias("place"), "line", F.xxhash64("line").alias("h"))
 
@@ -158,18 +159,19 @@ def _texts(docs: DataFrame, wanted: DataFrame, least_chars: int) -> DataFrame:
     return lines.where(F.array_contains("hs", F.col("h"))).select("h", "line").dropDuplicates(["h"])
 
 
-def line_classes(docs: DataFrame, edits: int = 2, least_chars: int = 40) -> tuple[Cut, DataFrame]:
+def line_classes(docs: DataFrame, edits: int = 2, least_chars: int = 1) -> tuple[Cut, DataFrame]:
     """All distinct lines (h, n, first, first_doc), to be dropped by the caller, and node, component of
     those with near ones (as h)."""
     lines = split_lines(docs, least_chars)
+    edit_chars = max(least_chars, SEGMENT_CHARS * (edits + 1))
     length = F.length("line")
     looks = probes(edits)
-    signs = [_signature(F.col("line"), length, *x, edits).alias(f"s{k}") for k, x in enumerate(looks)]
+    signs = [F.when(length >= edit_chars, _signature(F.col("line"), length, *x, edits)).alias(f"s{k}") for k, x in enumerate(looks)]
     kept = [F.first(f"s{k}").alias(f"s{k}") for k in range(len(looks))]
     distinct = lines.select("h", "doc_id", "place", length.alias("length"), *signs).groupBy("h").agg(F.count("*").alias("n"), F.min("place").alias("first"), F.min("doc_id").alias("first_doc"), F.first("length").alias("length"), *kept)
     table = Cut(distinct)
     entry = F.explode(F.array(*[F.struct(F.col(f"s{k}").alias("sig"), F.lit(x[0] == 0 and x[2] == 0).alias("indexed")) for k, x in enumerate(looks)])).alias("e")
-    entries = table.df.select("h", "length", entry).select("h", "length", "e.sig", "e.indexed").repartition("sig")
+    entries = table.df.where(F.col("length") >= edit_chars).select("h", "length", entry).select("h", "length", "e.sig", "e.indexed").repartition("sig")
     entries = entries.groupBy("sig", "h").agg(F.max("indexed").alias("indexed"), F.first("length").alias("length"))
     met = entries.groupBy("sig").agg(F.count("*").alias("size"), F.max("indexed").alias("any"), F.min("h").alias("u"), F.max("h").alias("v"), F.sum("length").alias("chars")).where("size > 1 and any")
     groups = Cut(met)
@@ -181,7 +183,7 @@ def line_classes(docs: DataFrame, edits: int = 2, least_chars: int = 40) -> tupl
     pairs = found.df
     hot = more.df.where(F.col("size") > PAIRS_UP_TO)
     named = pairs.select(F.explode(F.array("u", "v")).alias("h")).unionByName(hot.select("h")).distinct()
-    held = Cut(_texts(docs, named.join(table.df.select("h", "first_doc"), "h"), least_chars))
+    held = Cut(_texts(docs, named.join(table.df.select("h", "first_doc"), "h"), edit_chars))
     texts = held.df
     left, right = texts.select(F.col("h").alias("u"), F.col("line").alias("x")), texts.select(F.col("h").alias("v"), F.col("line").alias("y"))
     links = pairs.join(left, "u").join(right, "v").select("u", "v", "x", "y").mapInArrow(_verify(edits), "u long, v long")
@@ -195,7 +197,7 @@ def line_classes(docs: DataFrame, edits: int = 2, least_chars: int = 40) -> tupl
     return table, classes
 
 
-def removals(docs: DataFrame, edits: int = 2, least_chars: int = 40) -> DataFrame:
+def removals(docs: DataFrame, edits: int = 2, least_chars: int = 1) -> DataFrame:
     """doc_id, gone: the line numbers (from 0) of lines that repeat an earlier one, exactly or nearly."""
     table, found = line_classes(docs, edits, least_chars)
     named = table.df.select("h", "n", "first").join(found.withColumnRenamed("node", "h"), "h", "left")
@@ -209,11 +211,11 @@ def removals(docs: DataFrame, edits: int = 2, least_chars: int = 40) -> DataFram
     return repeats.groupBy("doc_id").agg(F.array_sort(F.collect_set("line_no")).alias("gone"))
 
 
-def dedup(docs: DataFrame, edits: int = 2, least_chars: int = 40) -> DataFrame:
+def dedup(docs: DataFrame, edits: int = 2, least_chars: int = 1) -> DataFrame:
     """All rows and columns of docs with repeated lines taken out of text, and n_lines, n_removed, gone.
 
-    A line counts from `least_chars` characters on, trimmed and in lower case; shorter ones always stay.
-    Lines within `edits` edits of one another, and what is reached by such steps, form a class; the one
+    A line counts from `least_chars` characters on, trimmed and in lower case; shorter and blank ones always
+    stay. Exact repeats go at any length; edits are allowed from SEGMENT_CHARS characters a segment on. Lines within `edits` edits of one another, and what is reached by such steps, form a class; the one
     in the smallest doc_id, first in it, stays. Null texts stay null with no lines; empty texts, and
     texts whose lines all go, are empty; rows with a null doc_id are left alone. Rows that repeat a
     doc_id lose the same lines.

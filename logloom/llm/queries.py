@@ -26,7 +26,7 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return lines.dedup(docs, edits=2, least_chars=40).select("doc_id", "n_lines", "n_removed", F.coalesce("gone", F.array().cast("array<int>")).alias("gone"), "text")
+    return lines.dedup(docs, edits=2, least_chars=1).select("doc_id", "n_lines", "n_removed", F.coalesce("gone", F.array().cast("array<int>")).alias("gone"), "text")
 
 
 def op2_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

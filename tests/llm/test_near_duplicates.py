@@ -82,6 +82,14 @@ def test_lines_against_brute_force(spark, monkeypatch, pairs_up_to):
     assert all(r.n_removed == len(r.gone or []) and r.h == "x" for r in got.values())
 
 
+def test_short_lines(spark):
+    rows = [
+        (1, "All rights reserved.\n}\n\n\t\r\nonly here\nshare this page"), (2, " all rights reserved. \n}\n\n\t\r\nfirst\nshare that page"), (3, "all rights reserved!\n}\nfirst\nonly hers\nShare this page"),
+    ]
+    got = {r.doc_id: r.gone or [] for r in lines.dedup(documents(spark, rows), edits=2, least_chars=1).collect()}
+    assert got == {1: [], 2: [0, 1, 5], 3: [0, 1, 2, 4]}  # a short line goes only if it is the same; blank ones stay
+
+
 def test_lines_of_no_documents(spark):
     assert lines.dedup(documents(spark, []), edits=2).count() == 0
 
