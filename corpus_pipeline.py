@@ -30,7 +30,8 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document with the smallest id; rows without an id are left alone."""
+    """Of each group linked by SimHashes within 3 bits the document with the smallest id; rows without an id
+    are left alone. README has the recall by similarity: most near copies below 0.95 are not linked."""
     kept = simhash.classes(docs, words=3, radius=3).where("doc_id = component_id").select("doc_id").distinct()
     one = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
     return one.unionByName(docs.where("doc_id is null")).select(*docs.columns)
