@@ -21,9 +21,11 @@ from pyspark.sql import functions as F
 # Names of HTML elements by how they are parsed and shown.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript iframe noembed noframes xmp template".split())
-UNSEEN = frozenset("head script style noscript template title meta link iframe noembed noframes object svg math canvas audio video datalist map dialog".split())
-SPACED = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl table pre blockquote figure".split())
-BLOCK = SPACED | frozenset("html body div section article aside header footer nav main form fieldset address li dt dd tr caption hr details summary figcaption legend menu center dir hgroup search thead tbody tfoot".split())
+#: All else, and text that is not blank, ends an open head.
+IN_HEAD = frozenset("html head base basefont bgsound link meta noframes noscript script style template title".split())
+UNSEEN = frozenset("head script style noscript template title meta link iframe noembed noframes object canvas audio video datalist map defs desc metadata symbol annotation annotation-xml".split())
+SPACED = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl table pre xmp blockquote figure".split())
+BLOCK = SPACED | frozenset("html body div section article aside header footer nav main form fieldset address li dt dd tr caption hr details summary figcaption legend menu center dir hgroup search dialog thead tbody tfoot".split())
 #: An opening tag closes these, up to the nearest of the bounds.
 CLOSES = {
     **dict.fromkeys(BLOCK - {"html", "body", "li", "dt", "dd", "tr", "caption", "thead", "tbody", "tfoot"}, ({"p"}, {"button", "td", "th", "table", "caption"})),
@@ -61,6 +63,8 @@ class Node:
     def hidden(self) -> bool:
         if self.tag in UNSEEN or self.tag == "input":
             return True
+        if self.tag == "dialog" and self.get("open") is None:
+            return True
         if not self.attrs.strip(" /"):
             return False
         return self.get("hidden") is not None or (self.get("aria-hidden") or "").lower() == "true" or bool(HIDING.search(self.get("style") or ""))
@@ -71,29 +75,42 @@ def parse(markup: str) -> Node:
     root = at = Node("#root")
     open_tags: dict[str, int] = {}
     pos, end = 0, len(markup)
+
+    def close(closed: set[str]) -> None:
+        """Ends what is open up to the nearest element of these names."""
+        nonlocal at
+        while True:
+            open_tags[at.tag] -= 1
+            done, at = at.tag in closed, at.parent
+            if done:
+                break
+
     while pos < end:
         m = MARKUP.search(markup, pos)
+        stop = m.start() if m else end
+        if stop > pos:
+            text = markup[pos:stop]
+            if open_tags.get("head") and not text.isspace():
+                close({"head"})
+            at.children.append(entities.unescape(text))
         if m is None:
-            at.children.append(entities.unescape(markup[pos:]))
             break
-        if m.start() > pos:
-            at.children.append(entities.unescape(markup[pos : m.start()]))
         pos = m.end()
         if not m[2]:
             continue
         tag = m[2].lower()
         if m[1]:
+            if open_tags.get("head") and tag in ("p", "br"):
+                close({"head"})
             if tag == "p" and not open_tags.get("p"):
                 at.children.append(Node("p", "", at))  # a lone end of a paragraph is an empty one
             elif open_tags.get(tag):
-                while True:
-                    open_tags[at.tag] -= 1
-                    done, at = at.tag == tag, at.parent
-                    if done:
-                        break
+                close({tag})
             elif tag == "br":
                 at.children.append(Node("br", "", at))
             continue
+        if open_tags.get("head") and tag not in IN_HEAD:
+            close({"head"})
         if tag in CLOSES:
             closed, bounds = CLOSES[tag]
             if any(map(open_tags.get, closed)):
@@ -110,11 +127,13 @@ def parse(markup: str) -> Node:
         node = Node(tag, m[3], at)
         at.children.append(node)
         if tag in RAW:
-            close = re.compile(rf"</{re.escape(tag)}[\s/>]", re.I).search(markup, pos)
-            stop = close.start() if close else end
+            ending = re.compile(rf"</{re.escape(tag)}[\s/>]", re.I).search(markup, pos)
+            stop = ending.start() if ending else end
             if tag == "textarea":
                 node.children.append(entities.unescape(markup[pos:stop]))
-            past = markup.find(">", close.end() - 1) if close else -1
+            elif tag == "xmp":
+                node.children.append(markup[pos:stop])
+            past = markup.find(">", ending.end() - 1) if ending else -1
             pos = past + 1 if past >= 0 else end
         elif tag not in VOID and not m[3].endswith("/"):
             open_tags[tag] = open_tags.get(tag, 0) + 1
@@ -172,7 +191,7 @@ class Renderer:
             self.end_line(1)
         elif tag == "img":
             self.line.append(node.get("alt") or "")
-        elif tag == "pre":
+        elif tag in ("pre", "xmp"):
             self.end_line(1)
             for i, line in enumerate(plain(node).strip("\r\n").splitlines()):
                 self.gap = 0 if i else self.gap
@@ -247,7 +266,7 @@ def item_mark(node: Node) -> str:
 
 
 def plain(node: Node) -> str:
-    """All visible text below a node, with line breaks of <br> alone."""
+    """All visible text below a node and what its images are called, with line breaks of <br> alone."""
     out, todo = [], [node]
     while todo:
         x = todo.pop()
@@ -255,6 +274,8 @@ def plain(node: Node) -> str:
             out.append(x)
         elif x.tag == "br":
             out.append("\n")
+        elif x.tag == "img" and not x.hidden():
+            out.append(x.get("alt") or "")
         elif x is node or not x.hidden():
             todo.extend(reversed(x.children))
     return "".join(out)

@@ -314,6 +314,14 @@ PAGES = [
     ("", ""),
     ("<p", ""),
     ("<div>" * 3000 + "deep", "deep"),
+    ("<html><head><title>T</title><p>text", "text"),
+    ("<head>\n<meta charset=utf-8>\n<style>p{}</style>plain words", "plain words"),
+    ("<head><title>T</title></head><body>a<math><mi>x</mi></math> <svg><title>t</title><text>label</text></svg>", "ax label"),
+    ("a<dialog>no</dialog><dialog open>yes</dialog>", "a\nyes"),
+    ("a<xmp><b> &amp;</xmp>b", "a\n\n<b> &amp;\n\nb"),
+    ("<table><tr><td>A<td><img alt='pic'></table>", "A  pic"),
+    ("<pre>x <img alt=pic> y</pre>", "x pic y"),
+    ("<head><br>seen", "seen"),
 ]
 
 
