@@ -1,15 +1,16 @@
-"""Benchmark decontamination: places by an exact bound, longest common subsequence, latent cosine.
-
-Words are hashed. An item is held where enough of its words stand in order, so all but a few of its words
-must be there: of its n - need + k rarest words at least k. Postings of these words give all places that
-meet this bound, and none that holds the item is missed, whatever its other words were changed to. Each
-place is verified: the longest common subsequence of words against the item, and for a share between the
-two limits the item's answer, its last sentence, must be there too.
+"""Benchmark decontamination: latent semantic retrieval, then longest common subsequence and answer checks.
 
 Passages of the corpus are TF-IDF rows. A randomised SVD in one pass (Nystroem's form: Z = A'(A W) for a
 random W, from which the leading right singular vectors and values of A follow) gives a latent space in
-which each direction counts alike; the cosine of an item and its place there ranks places that share as
-much, and is reported. It decides nothing else.
+which each direction counts alike. A word's vector there is brought to the length of the fourth root of
+its idf, so that no few rare or frequent words decide alone; a window of text is the sum of the vectors of
+its words but for those that no item has, which can't be in common. Windows of an item's length, at every fourth or eighth word of every document, whose
+cosine with the item is high enough are candidates. Each is verified: the longest common subsequence of
+words against the item, and for a share between the two limits the item's answer, its last sentence, must
+be there too.
+
+The cosine's limit is low, so that what it lets through is many times what holds an item, and next to
+nothing that the LCS rule accepts is below it; the tests measure this against brute force.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -35,9 +36,12 @@ WORD = re.compile(rf"[^\W_{UNSPACED}]+|(?=[^\W_])[{UNSPACED}]")
 SPACED = re.compile(r"[^\W_]+")
 TERMS = 1 << 14
 PASSAGE = 64
-RANK, EXTRA = 48, 16
-CHUNK = 1 << 14  # words that a step of the sketch takes at once
-POSTINGS = 1 << 20  # that a step of the search takes at once
+DAMPED = 0.25
+RANK, EXTRA = 112, 16
+CHUNK = 1 << 15  # words that a step takes at once
+TASK_WORDS = 1 << 23  # about how many words a task of the sketch sums up, so that tasks grow with the input
+GROUP = 4  # windows begin and end at every fourth word
+COSINES = 1 << 22  # that a step of the search holds at once
 SHORT = 7  # items of fewer words are sought word for word
 ITEMS = 4096
 BLOCKS = 64
@@ -106,8 +110,8 @@ def _by_block(total: np.ndarray) -> pa.RecordBatch:
 PARTS = "block int, task int, data binary"
 
 
-def document_frequencies(words: DataFrame) -> tuple[np.ndarray, int]:
-    """In how many documents each term is, over all documents, and how many those are."""
+def document_frequencies(words: DataFrame) -> tuple[np.ndarray, int, int]:
+    """In how many documents each term is, over all documents, how many those are, and all their words."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(TERMS, np.int64)
@@ -116,19 +120,22 @@ def document_frequencies(words: DataFrame) -> tuple[np.ndarray, int]:
                 total += np.bincount(x & (TERMS - 1), minlength=TERMS) > 0
         yield _by_block(total)
 
-    return _summed(words.select("words").mapInArrow(each, PARTS), "<i8", 1)[:, 0], words.count()
+    n, size = words.agg(F.count("*"), F.sum(F.length("words"))).first()
+    return _summed(words.select("words").mapInArrow(each, PARTS), "<i8", 1)[:, 0], n, (size or 0) // 4
 
 
-@lru_cache(maxsize=2)
-def random_directions(columns: int, seed: int = 17) -> np.ndarray:
-    return np.random.default_rng(seed).standard_normal((TERMS, columns)).astype(np.float32)
+def random_directions(columns: int, seed: int = 17) -> tuple[np.ndarray, np.ndarray]:
+    """A sparse random matrix: the column of each term's only entry, and the entry, 1 or -1."""
+    rng = np.random.default_rng(seed)
+    return rng.integers(0, columns, TERMS), rng.choice([-1.0, 1.0], TERMS)
 
 
 def _sketch(idf: np.ndarray, columns: int):
-    """Z = A'(A W) of a task's passages."""
+    """Z = A'(A W) of a task's passages, a row for each term."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        directions, total = random_directions(columns), np.zeros((TERMS, columns), np.float32)
+        column, sign = random_directions(columns)
+        total = np.zeros((columns, TERMS))
 
         def add(docs: list[np.ndarray]) -> None:
             starts, n = [], 0
@@ -138,17 +145,15 @@ def _sketch(idf: np.ndarray, columns: int):
             at, terms = np.concatenate(starts), np.concatenate(docs)
             weight = idf[terms]
             row = np.repeat(np.arange(len(at)), np.diff(np.append(at, n)))
-            norm = np.sqrt(np.add.reduceat(weight * weight, at))
-            weight = (weight / norm[row]).astype(np.float32)
-            y = np.add.reduceat(weight[:, None] * directions[terms], at)
-            order = np.argsort(terms, kind="stable")
-            term, first = np.unique(terms[order], return_index=True)
-            total[term] += np.add.reduceat(weight[order, None] * y[row[order]], first)
+            weight = weight / np.sqrt(np.add.reduceat(weight * weight, at))[row]
+            y = np.bincount(column[terms] * len(at) + row, weight * sign[terms], columns * len(at)).reshape(columns, len(at))
+            for k in range(columns):
+                total[k] += np.bincount(terms, weight * y[k][row], TERMS)
 
         held, n = [], 0
         for b in batches:
             for x in _read(b.column(0)):
-                x = (x & (TERMS - 1)).astype(np.uint16)
+                x = (x & (TERMS - 1)).astype(np.int64)
                 for i in range(0, len(x), CHUNK):
                     held.append(x[i : i + CHUNK])
                     n += len(held[-1])
@@ -157,51 +162,37 @@ def _sketch(idf: np.ndarray, columns: int):
                         held, n = [], 0
         if n:
             add([x for x in held if len(x)])
-        yield _by_block(total)
+        yield _by_block(total.T.astype(np.float32))
 
     return each
 
 
 @dataclass
 class Space:
-    """idf by term, and the latent coordinates of a term's occurrence."""
+    """The latent vector of each term, as long as a power of its idf."""
+
+    vectors: np.ndarray
 
-    idf: np.ndarray
-    terms: np.ndarray
+    def of(self, words: np.ndarray) -> np.ndarray:
+        return np.take(self.vectors, words & (TERMS - 1), axis=0)
 
 
 def fit(words: DataFrame, rank: int = RANK, extra: int = EXTRA) -> Space:
-    """The latent space of all passages in words (doc_id, words). No more than 4 tasks a core sum it up."""
-    df, n = document_frequencies(words)
+    """The latent space of all passages in words (doc_id, words)."""
+    df, n, size = document_frequencies(words)
     idf = (np.log((n + 1) / (df + 1)) + 0.2).astype(np.float32)
-    tasks = 4 * words.sparkSession.sparkContext.defaultParallelism
-    sketch = words.select("words").coalesce(tasks).mapInArrow(_sketch(idf, rank + extra), PARTS)
-    z = _summed(sketch, "<f4", rank + extra)
-    w = random_directions(rank + extra).astype(np.float64)
+    tasks = max(2 * words.sparkSession.sparkContext.defaultParallelism, size // TASK_WORDS)
+    z = _summed(words.select("words").coalesce(tasks).mapInArrow(_sketch(idf, rank + extra), PARTS), "<f4", rank + extra)
+    column, sign = random_directions(rank + extra)
+    w = np.zeros((TERMS, rank + extra))
+    w[np.arange(TERMS), column] = sign
     shift = 1e-6 * max(np.linalg.norm(z), 1e-9)
     z = z + shift * w
     values, vectors = np.linalg.eigh((w.T @ z + z.T @ w) / 2)
     root = vectors / np.sqrt(np.maximum(values, shift * 1e-3))
     u, s, _ = np.linalg.svd(z @ root, full_matrices=False)
-    return Space(idf, (idf[:, None] * u[:, :rank] / np.maximum(s[:rank], s[0] * 1e-3)).astype(np.float32))
-
-
-@dataclass
-class Items:
-    """The benchmark's items, and postings of their rarer words: a word's are at first[k]:first[k + 1]."""
-
-    ids: list[int]
-    words: list[np.ndarray]
-    answers: list[set[int]]
-    latent: np.ndarray
-    slack: np.ndarray
-    least: np.ndarray
-    hits: np.ndarray
-    vocabulary: np.ndarray
-    first: np.ndarray
-    item: np.ndarray
-    place: np.ndarray
-    known: np.ndarray
+    u = u[:, :rank] / np.maximum(s[:rank], s[0] * 1e-3)
+    return Space((idf[:, None] ** DAMPED * u / np.maximum(np.linalg.norm(u, axis=1, keepdims=True), 1e-300)).astype(np.float32))
 
 
 def answer_of(text: str) -> set[int]:
@@ -211,37 +202,15 @@ def answer_of(text: str) -> set[int]:
     return {int(w) for w in (parts[-1] if len(parts) > 1 else words[-max(1, len(words) // 4) :])}
 
 
-def prepare(rows: list[tuple[int, str]], space: Space, least: float) -> Items:
-    """Of n words `need` must be met, so n - need may be missing: of the n - need + k rarest, k are there.
-    A short item must stand there whole, so it is looked up by its rarest word."""
-    ids, words, answers, slack, lowest, hits, posted = [], [], [], [], [], [], []
-    for item, text in rows:
-        x = words_of(text)
-        n = len(x)
-        if item is None or not n:
-            continue
-        need = max(1, math.ceil(least * n - 1e-9)) if n >= SHORT else n
-        k = (need + 1) // 2 if n >= SHORT else 1
-        rarest = np.argsort(-space.idf[x & (TERMS - 1)], kind="stable")[: n - need + k]
-        posted += [(int(x[j]), len(ids), j) for j in rarest.tolist()]
-        ids.append(item)
-        words.append(x)
-        answers.append(answer_of(text))
-        slack.append(4 + n // 4 if n >= SHORT else 0)
-        lowest.append(need)
-        hits.append(k)
-    posted.sort()
-    word, item, place = np.array(posted, np.int64).reshape(-1, 3).T
-    vocabulary, first = np.unique(word, return_index=True)
-    known = np.zeros(1 << 16, bool)
-    known[vocabulary & 0xFFFF] = True
-    latent = [_latent(space, x) for x in words]
-    return Items(ids, words, answers, np.array(latent), np.array(slack, np.int64), np.array(lowest, np.int64), np.array(hits, np.int64), vocabulary.astype(np.uint32), np.append(first, len(word)), item, place, known)
-
-
-def _latent(space: Space, words: np.ndarray) -> np.ndarray:
-    x = space.terms[words & (TERMS - 1)].sum(axis=0)
-    return x / (np.linalg.norm(x) + 1e-9)
+class Item:
+    """An item of the benchmark: its words, the least LCS that counts, and how far a place reaches beyond it."""
+
+    def __init__(self, id: int, text: str, least: float):
+        self.id, self.words, self.answer = id, words_of(text), answer_of(text)
+        n = len(self.words)
+        self.need = max(1, math.ceil(least * n - 1e-9)) if n >= SHORT else n
+        self.slack = 4 + n // 4 if n >= SHORT else 0
+        self.bits = _bits(self.words)
 
 
 def _bits(item: np.ndarray) -> dict[int, int]:
@@ -265,104 +234,181 @@ def lcs(item: np.ndarray, other: np.ndarray) -> int:
     return _common(_bits(item), len(item), other.tolist())
 
 
-def places(items: Items, words: np.ndarray) -> np.ndarray:
-    """item, start: where an item could stand in words, so that one of its rarer words is in its place.
+def scales(items: list[Item]) -> dict[tuple[int, int], list[int]]:
+    """(groups in a window, groups between windows): the long items sought with it. A window is a sixth longer
+    than the item, up to a twelfth or two words more or less, and windows overlap by three quarters at least."""
+    out: dict[tuple[int, int], list[int]] = {}
+    for k, x in enumerate(items):
+        if (n := len(x.words)) >= SHORT:
+            exact = n * 7 / 6 / GROUP
+            step = max(1, 1 << int(math.log2(max(1, exact / 6))))
+            size = round(exact / step) * step
+            out.setdefault((max(1, size), max(1, min(step, size // 4))), []).append(k)
+    return out
+
+
+def _sums(groups: np.ndarray, size: int, known: dict[int, np.ndarray]) -> np.ndarray:
+    """The sum of `size` rows from each row on, from sums of powers of two."""
+    out, at, n = None, 0, len(groups) - size + 1
+    for b in range(size.bit_length()):
+        if b and 1 << b not in known:
+            half = known[1 << b - 1]
+            known[1 << b] = half[: len(half) - (1 << b - 1)] + half[1 << b - 1 :]
+        if size >> b & 1:
+            part = known[1 << b][at : at + n]
+            out, at = part.copy() if out is None else np.add(out, part, out=out), at + (1 << b)
+    return out
+
+
+class Search:
+    """Candidates in pieces of documents: (document, item, cosine, first word) where windows are near an item."""
+
+    def __init__(self, items: list[Item], space: Space, cosine: float):
+        self.items, self.cosine = items, cosine
+        self.vectors = np.zeros_like(space.vectors)
+        for x in items:
+            self.vectors[x.words & (TERMS - 1)] = space.of(x.words)
+        self.scales = scales(items)
+        latent = np.array([space.of(x.words).sum(axis=0) for x in items], np.float32).reshape(len(items), space.vectors.shape[1])
+        self.latent = latent / (np.linalg.norm(latent, axis=1, keepdims=True) + 1e-9)
+        self.reach = max([len(x.words) + 2 * x.slack for x in items], default=1)
+        self.short: dict[int, dict[int, list[int]]] = {}
+        for k, x in enumerate(items):
+            if len(x.words) < SHORT:
+                self.short.setdefault(len(x.words), {}).setdefault(int(self.rolled(x.words, len(x.words))[0]), []).append(k)
+
+    @staticmethod
+    def rolled(words: np.ndarray, n: int) -> np.ndarray:
+        """A number for each run of n words."""
+        out = np.zeros(max(0, len(words) - n + 1), np.uint64)
+        for k in range(n):
+            out = out * np.uint64(0x9E3779B97F4A7C15) + words[k : k + len(out)].astype(np.uint64)
+        return out
+
+    def candidates(self, docs: list[np.ndarray]) -> Iterator[tuple[int, int, float, int]]:
+        sizes = np.array([-(-len(x) // GROUP) for x in docs])
+        ends = np.cumsum(sizes)
+        terms = np.zeros(ends[-1] * GROUP, np.int64)
+        real = np.zeros(len(terms), bool)
+        for x, a in zip(docs, (ends - sizes) * GROUP):
+            terms[a : a + len(x)], real[a : a + len(x)] = x & (TERMS - 1), True
+        vectors = np.take(self.vectors, terms, axis=0)
+        vectors[~real] = 0
+        groups = vectors.reshape(-1, GROUP, vectors.shape[1]).sum(axis=1)
+        whole = np.add.reduceat(groups, ends - sizes, axis=0)
+        left = np.repeat(ends, sizes) - np.arange(ends[-1])  # groups to the document's end
+        of = np.repeat(np.arange(len(docs)), sizes)
+        known = {1: groups}
+        for (size, step), some in sorted(self.scales.items()):
+            parts = [(np.flatnonzero(sizes < size), None)]
+            if len(groups) >= size:
+                place = np.arange(len(left)) - (ends - sizes)[of]
+                full = np.flatnonzero((left >= size) & ((place % step == 0) | (left == size)))
+                parts.append((of[full], full))
+            for doc, at in parts:
+                if not len(doc):
+                    continue
+                windows = whole[doc] if at is None else _sums(groups, size, known)[at]
+                least = self.cosine * np.sqrt(np.einsum("ij,ij->i", windows, windows)) + 1e-9
+                near, high = self.latent[some].T, max(1, COSINES // len(some))
+                for a in range(0, len(windows), high):
+                    dot = windows[a : a + high] @ near
+                    i, j = np.nonzero(dot >= least[a : a + high, None])
+                    cos = dot[i, j] / least[a + i] * self.cosine
+                    start = np.zeros(len(i), np.int64) if at is None else (at[a + i] - (ends - sizes)[doc[a + i]]) * GROUP
+                    yield from zip(doc[a + i].tolist(), [some[k] for k in j.tolist()], cos.tolist(), (start + size * GROUP // 2).tolist() if at is not None else [len(docs[d]) // 2 for d in doc[a + i].tolist()])
+
+    def word_for_word(self, words: np.ndarray) -> Iterator[tuple[int, int]]:
+        """(item, first word) of the short items."""
+        for n, hashes in self.short.items():
+            rolled = self.rolled(words, n)
+            for at in np.flatnonzero(np.isin(rolled, np.array(list(hashes), np.uint64))).tolist():
+                for k in hashes[int(rolled[at])]:
+                    if (words[at : at + n] == self.items[k].words).all():
+                        yield k, at
+
+
+Found = dict[int, tuple[float, float, float, int]]
+
+
+def _hits(search: Search, docs: list[np.ndarray], sure: float) -> list[Found]:
+    """For each document item: (cosine, LCS share, answer share, start) of its best place."""
+    best: list[Found] = [{} for _ in docs]
+
+    def better(d: int, k: int, row: tuple[float, float, float, int]) -> None:
+        if k not in best[d] or (row[1], row[0], -row[3]) > (best[d][k][1], best[d][k][0], -best[d][k][3]):
+            best[d][k] = row
+
+    texts: dict[int, list[int]] = {}
+    for d, k, cosine, middle in search.candidates(docs) if search.scales else ():
+        if (text := texts.get(d)) is None:
+            text = texts[d] = docs[d].tolist()
+        item, n = search.items[k], len(search.items[k].words)
+        start = max(0, middle - n // 2 - item.slack)
+        region, known = text[start : middle - n // 2 + n + item.slack], item.bits
+        if sum([w in known for w in region]) < item.need or (common := _common(known, n, region)) < item.need:
+            continue
+        answer = len(item.answer & set(region)) / len(item.answer)
+        if common / n >= sure or answer >= 0.5:
+            better(d, k, (min(1.0, float(cosine)), common / n, answer, start))
+    for d, words in enumerate(docs) if search.short else ():
+        for k, at in search.word_for_word(words):
+            better(d, k, (1.0, 1.0, 1.0, at))
+    return best
 
-    A place is an item's words from `slack` before to `slack` after; it is left out only if fewer of the
-    item's rarer words are there than any place that holds the item has.
-    """
-    at = np.flatnonzero(items.known[words & 0xFFFF])
-    k = np.minimum(np.searchsorted(items.vocabulary, words[at]), len(items.vocabulary) - 1)
-    same = items.vocabulary[k] == words[at]
-    at, k = at[same], k[same]
-    n = items.first[k + 1] - items.first[k]
-    if n.sum() > POSTINGS and len(words) > 8 * (reach := int((2 * items.slack + [len(x) for x in items.words]).max())):
-        half = len(words) // 2
-        left, right = places(items, words[: half + 2 * reach]), places(items, words[half - 2 * reach :])
-        return np.unique(np.concatenate([left, right + [0, half - 2 * reach]]), axis=0)
-    posting = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(items.first[k], n)
-    item, at = items.item[posting], np.repeat(at, n)
-    key = item << 40 | at
-    order = np.argsort(key, kind="stable")
-    key, item, start = key[order], item[order], (at - items.place[posting])[order]
-    span = (2 * items.slack + [len(x) for x in items.words])[item]
-    last = np.arange(len(key)) + items.hits[item] - 1
-    inside = last < len(key)
-    enough = np.flatnonzero(inside & (key[np.where(inside, last, 0)] - key < span))
-    change = np.zeros(len(key) + 1, np.int64)
-    change[enough] += 1
-    np.subtract.at(change, np.searchsorted(key, key[enough] + span[enough]), 1)
-    held = np.cumsum(change)[:-1] > 0
-    return np.unique(np.stack([item[held], start[held]], axis=1), axis=0)
-
-
-def _search(items: Items, space: Space, least: float, sure: float):
-    bits = [_bits(x) for x in items.words]
-    lengths = np.array([len(x) for x in items.words], np.int64)
-
-    def hits(docs: list[np.ndarray]) -> list[dict[int, tuple[float, float, float, int]]]:
-        """For each document item: (cosine, LCS share, answer share, start) of its best place."""
-        best: list[dict[int, tuple[float, float, float, int]]] = [{} for _ in docs]
-        if not items.ids:
-            return best
-        gap = int((2 * items.slack + lengths).max())  # so that no place reaches into two documents
-        unknown = next((w for w, v in enumerate(items.vocabulary.tolist()) if w != v), len(items.vocabulary))
-        between = np.full(gap, unknown, np.uint32)
-        begin = np.cumsum([gap + len(d) for d in docs]) - [len(d) for d in docs]
-        found = places(items, np.concatenate([x for d in docs for x in (between, d)]))
-        of = np.searchsorted(begin, found[:, 1] + (lengths + items.slack)[found[:, 0]] - 1, side="right") - 1
-        texts: dict[int, list[int]] = {}
-        for (k, at), d in zip((found - np.stack([0 * of, begin[of]], axis=1)).tolist(), of.tolist()):
-            if (text := texts.get(d)) is None:
-                text = texts[d] = docs[d].tolist()
-            n, slack, known = len(items.words[k]), int(items.slack[k]), bits[k]
-            region = text[max(0, at - slack) : at + n + slack]
-            if sum([w in known for w in region]) < items.least[k] or (common := _common(known, n, region)) < items.least[k]:
-                continue
-            answer = len(items.answers[k] & set(region)) / len(items.answers[k])
-            if common / n >= sure or answer >= 0.5:
-                near = float(_latent(space, docs[d][max(0, at) : max(0, at + n)]) @ items.latent[k])
-                best[d][k] = max(best[d].get(k, (0.0, 0.0, 0.0, 0)), (near, common / n, answer, max(0, at)), key=lambda r: (r[1], r[0], -r[3]))
-        return best
 
+def _search(rows: list[tuple[int, str]], space: Space, least: float, sure: float, cosine: float):
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            rows, doc_ids, docs, size = [], b.column(0).to_pylist(), _read(b.column(1)), 0
-            held: list[int] = []
-            for i, x in enumerate(docs):
-                held += [i] if len(x) else []
-                size += len(x)
-                if held and (size >= CHUNK or i + 1 == len(docs)):
-                    for d, found in zip(held, hits([docs[j] for j in held])):
-                        rows += [(doc_ids[d], items.ids[k], *r) for k, r in found.items()]
-                    held, size = [], 0
-            if rows:
+        search = Search([x for x in (Item(i, text, least) for i, text in rows) if len(x.words)], space, cosine)
+        piece = max(CHUNK, 4 * search.reach)  # long documents in pieces that overlap by a place
+
+        def found(held: list[tuple[int | None, int, np.ndarray]]) -> list[tuple]:
+            hits = _hits(search, [x for _, _, x in held], sure)
+            return [(doc, search.items[k].id, c, share, answer, at + start) for (doc, at, _), some in zip(held, hits) for k, (c, share, answer, start) in some.items()]
+
+        held, size = [], 0
+        for b in batches if search.items else ():
+            out = []
+            for doc, x in zip(b.column(0).to_pylist(), _read(b.column(1))):
+                for a in range(0, max(1, len(x) - search.reach), piece):
+                    part = x[a : a + piece + search.reach]
+                    if len(part):
+                        held.append((doc, a, part))
+                        size += len(part)
+                    if size >= CHUNK:
+                        out += found(held)
+                        held, size = [], 0
+            if held:
+                out += found(held)
+                held, size = [], 0
+            if out:
                 kinds = (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64(), pa.int64())
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], [x.split()[0] for x in HITS.split(", ")])
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], [x.split()[0] for x in HITS.split(", ")])
 
     return each
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, least: float = 0.6, sure: float = 0.8) -> DataFrame:
+def contaminated(docs: DataFrame, benchmark: DataFrame, least: float = 0.6, sure: float = 0.8, cosine: float = 0.5) -> DataFrame:
     """doc_id, item_id, cosine, lcs, answer, start: a row for each item that a document holds.
 
-    An item is held if `sure` of its words, in order, stand in a place, or `least` of them with half of its
-    answer's words. A place is a quarter of the item and four words longer at both ends than the item would
-    be with one of its rarer words as it stands in the document. Items of fewer than seven words are held
-    where all their words stand side by side. Null items and those without a word are not sought; null and
-    empty documents hold none. All items are sought, in blocks of 4096 at a
-    time, in all documents. Repeated rows give one row; documents with a null id are reported as null.
+    Candidates are windows with a latent cosine of `cosine` or more. An item is held if `sure` of its words,
+    in order, stand in the place around such a window, or `least` of them with half of its answer's words. A
+    place is a quarter of the item and four words longer than the item at both ends. Items of fewer than
+    seven words are held where all their words stand side by side. Null items and those without a word are
+    not sought; null and empty documents hold none. All items are sought in all documents, in blocks of at
+    most about 4096 whose rows are written one after another. Repeated rows give one row; documents with a
+    null id are reported as null.
     """
     words = Cut(hashed(docs))
-    space = fit(words.df)
-    items = benchmark.where("text is not null").select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
+    space = words.df.sparkSession.sparkContext.broadcast(fit(words.df))
+    items = benchmark.where("text is not null and item_id is not null").select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
     blocks = -(-items.count() // (ITEMS // 2)) or 1
-    found = None
+    parts = []
     for b in range(blocks):
-        rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b).orderBy("item_id", "text").collect()
-        one = words.df.mapInArrow(_search(prepare([(r.item_id, r.text) for r in rows], space, least), space, least, sure), HITS)
-        found = one if found is None else found.unionByName(one)
+        rows = [(r.item_id, r.text) for r in items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b).orderBy("item_id", "text").collect()]
+        parts.append(Cut(words.df.mapInArrow(lambda x, rows=rows: _search(rows, space.value, least, sure, cosine)(x), HITS)))
     best = F.max_by(F.struct("cosine", "lcs", "answer", "start"), F.struct("lcs", "cosine", -F.col("start"))).alias("best")
-    held = cut(found.groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", "best.*"))
-    words.drop()
+    held = cut(reduce(DataFrame.unionByName, [p.df for p in parts]).groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", "best.*"))
+    for written in (words, *parts):
+        written.drop()
     return held

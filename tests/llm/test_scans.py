@@ -279,22 +279,69 @@ def test_short_items_and_unspaced_scripts(spark):
     assert got == {(k, k) for k in range(1, 7)} | {(12, 1)}
 
 
-def test_places_miss_none_that_hold_an_item(monkeypatch):
-    rnd = random.Random(5)
-    space = decontaminate.Space(np.random.default_rng(1).random(decontaminate.TERMS).astype(np.float32), np.ones((decontaminate.TERMS, 2), np.float32))
-    rows = [(i, " ".join(rnd.choices("abcdefghij", k=rnd.randint(7, 20)))) for i in range(12)]
-    items = decontaminate.prepare(rows, space, 0.6)
-    doc = decontaminate.words_of(" ".join(rnd.choices("abcdefghijklmnopqrst", k=900)))
+def word_lists(rnd, n, start):
+    """Rare words of syllables, none of which another list has."""
+    syllables = ["ka", "lo", "mi", "ne", "ru", "so", "ti", "va", "po", "du"]
+    return ["".join(rnd.choice(syllables) for _ in range(2)) + f"{start + i}" for i in range(n)]
+
+
+CHANGES = {
+    "every 6th word replaced": lambda w, new: [new() if i % 6 == 5 else x for i, x in enumerate(w)],
+    "every 5th word replaced": lambda w, new: [new() if i % 5 == 4 else x for i, x in enumerate(w)],
+    "every 4th word replaced": lambda w, new: [new() if i % 4 == 3 else x for i, x in enumerate(w)],
+    "every 3rd word replaced": lambda w, new: [new() if i % 3 == 2 else x for i, x in enumerate(w)],
+    "a word after every 5th": lambda w, new: [y for i, x in enumerate(w) for y in ([x, new()] if i % 5 == 4 else [x])],
+    "a word after every 3rd": lambda w, new: [y for i, x in enumerate(w) for y in ([x, new()] if i % 3 == 2 else [x])],
+    "every 6th word left out": lambda w, new: [x for i, x in enumerate(w) if i % 6 != 5],
+}
+
+
+def test_recall_against_all_pairs(spark):
+    """Every document against every item at every place by a plain LCS: what the rule accepts is found, and no more."""
+    rnd = random.Random(77)
+    common = [f"{a}{b}" for a in "bdfgklmnprst" for b in ("a", "e", "i", "o", "un", "el")]
+    pool = word_lists(rnd, 1500, 0)
+    text = lambda n: [rnd.choice(common) if rnd.random() < 0.5 else rnd.choice(pool) for _ in range(n)]
+    items = [(i, text(n)) for i, n in enumerate([15, 18, 22, 26, 30, 34, 40, 46, 52, 60] * 2)]
+    rows, planted = [], {}
+    for i, w in items:
+        for name, change in CHANGES.items():
+            planted[len(rows)] = (i, name)
+            rows.append(text(rnd.randrange(20, 90)) + change(w, lambda: rnd.choice(pool)) + text(rnd.randrange(5, 60)))
+    rows += [text(rnd.randrange(20, 200)) for _ in range(60)]
+    bench = spark.createDataFrame([(i, " ".join(w[:-6]) + ". " + " ".join(w[-6:]) + ".") for i, w in items], "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in decontaminate.contaminated(documents(spark, [(d, " ".join(w)) for d, w in enumerate(rows)]), bench).collect()}
     want = set()
-    for k, x in enumerate(items.words):
-        slack = int(items.slack[k])
-        for j, p in ((j, p) for w, k2, j in zip(np.repeat(items.vocabulary, np.diff(items.first)), items.item, items.place) if k2 == k for p in np.flatnonzero(doc == w)):
-            start = int(p - j)
-            if plain_lcs(x.tolist(), doc[max(0, start - slack) : start + len(x) + slack].tolist()) >= items.least[k]:
-                want.add((k, start))
-    assert want and want <= set(map(tuple, decontaminate.places(items, doc).tolist()))
-    monkeypatch.setattr(decontaminate, "POSTINGS", 64)
-    assert want <= set(map(tuple, decontaminate.places(items, doc).tolist()))
+    for i, w in items:
+        item = decontaminate.Item(i, bench.where(f"item_id = {i}").first().text, 0.6)
+        for d, x in enumerate(rows):
+            if sum(min(x.count(y), w.count(y)) for y in set(w)) < item.need:
+                continue
+            words = decontaminate.words_of(" ".join(x))
+            for at in range(len(x)):
+                region = words[max(0, at - item.slack) : at + len(w) + item.slack]
+                share = plain_lcs(w, x[max(0, at - item.slack) : at + len(w) + item.slack]) / len(w)
+                if share >= 0.8 or share >= 0.6 and len(item.answer & set(region.tolist())) >= len(item.answer) / 2:
+                    want.add((d, i))
+                    break
+    assert got <= want
+    found = Counter(planted[d][1] for d, i in got if planted.get(d, (None,))[0] == i)
+    held = Counter(planted[d][1] for d, i in want if planted.get(d, (None,))[0] == i)
+    assert {n: found[n] / held[n] for n in held if found[n] < 0.9 * held[n]} == {}
+    assert len(got & want) >= 0.95 * len(want)
+
+
+def test_long_documents_in_pieces(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "CHUNK", 256)
+    rnd = random.Random(4)
+    pool = word_lists(rnd, 3000, 0)
+    items = [(i, [rnd.choice(pool) for _ in range(n)]) for i, n in enumerate([8, 20, 33, 300, 1200])]
+    doc = [rnd.choice(pool) for _ in range(1000)]
+    for _, w in items:
+        doc += w + [rnd.choice(pool) for _ in range(700)]
+    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in items], "item_id long, text string")
+    got = decontaminate.contaminated(documents(spark, [(1, " ".join(doc)), (2, prose(3, 5000))]), bench).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == {(1, i) for i, _ in items} and all(r.lcs == 1 for r in got)
 
 
 PAGES = [
