@@ -4,10 +4,11 @@ Passages of the corpus are TF-IDF rows. A randomised SVD in one pass (Nystroem's
 random W, from which the leading right singular vectors and values of A follow) gives a latent space in
 which each direction counts alike. A word's vector there is brought to the length of the fourth root of
 its idf, so that no few rare or frequent words decide alone; a window of text is the sum of the vectors of
-its words but for those that no item has, which can't be in common. Windows of an item's length, at every fourth or eighth word of every document, whose
-cosine with the item is high enough are candidates. Each is verified: the longest common subsequence of
-words against the item, and for a share between the two limits the item's answer, its last sentence, must
-be there too.
+its words but for those that no item has, which can't be in common. Windows of about an item's length, each
+a quarter or less from the next, whose cosine with the item is high enough are candidates. A candidate's
+place is verified: it must have enough of the item's words, and the longest common subsequence of words
+must be long enough; for a share between the two limits the item's answer, its last sentence, must be there
+too.
 
 The cosine's limit is low, so that what it lets through is many times what holds an item, and next to
 nothing that the LCS rule accepts is below it; the tests measure this against brute force.
@@ -43,29 +44,17 @@ TASK_WORDS = 1 << 23  # about how many words a task of the sketch sums up, so th
 GROUP = 4  # windows begin and end at every fourth word
 COSINES = 1 << 22  # that a step of the search holds at once
 SHORT = 7  # items of fewer words are sought word for word
-ITEMS = 4096
+ITEMS = 2048
 BLOCKS = 64
 HITS = "doc_id long, item_id long, cosine double, lcs double, answer double, start long"
 
 
-class Hashes(dict):
-    """The hashes of the words in a piece of text without white space; short pieces are remembered."""
-
-    def __missing__(self, piece: str) -> bytes:
-        value = b"".join([zlib.crc32(w.encode("utf-8", "surrogatepass")).to_bytes(4, "little") for w in (SPACED if piece.isascii() else WORD).findall(piece)])
-        if len(piece) <= 48:
-            if len(self) > 500_000:
-                self.clear()
-            self[piece] = value
-        return value
-
-
-HASHES = Hashes()
-
-
 def words_of(text: str | None) -> np.ndarray:
     """CRC-32 of the words of a text in lower case; a character is a word in scripts without spaces."""
-    return np.frombuffer(b"".join(map(HASHES.__getitem__, (text or "").lower().split())), "<u4")
+    text = (text or "").lower()
+    words = (SPACED if text.isascii() else WORD).findall(text)
+    found = map(zlib.crc32, " ".join(words).encode("utf-8", "surrogatepass").split(b" "))
+    return np.fromiter(found, np.uint32, len(words)) if words else np.zeros(0, np.uint32)
 
 
 def hashed(docs: DataFrame) -> DataFrame:
@@ -234,41 +223,44 @@ def lcs(item: np.ndarray, other: np.ndarray) -> int:
     return _common(_bits(item), len(item), other.tolist())
 
 
-def scales(items: list[Item]) -> dict[tuple[int, int], list[int]]:
-    """(groups in a window, groups between windows): the long items sought with it. A window is a sixth longer
-    than the item, up to a twelfth or two words more or less, and windows overlap by three quarters at least."""
-    out: dict[tuple[int, int], list[int]] = {}
+def scales(items: list[Item]) -> dict[int, list[int]]:
+    """The long items by the groups in a window: a power of two or three quarters of one, nearest to a sixth
+    more than the item."""
+    out: dict[int, list[int]] = {}
     for k, x in enumerate(items):
         if (n := len(x.words)) >= SHORT:
-            exact = n * 7 / 6 / GROUP
-            step = max(1, 1 << int(math.log2(max(1, exact / 6))))
-            size = round(exact / step) * step
-            out.setdefault((max(1, size), max(1, min(step, size // 4))), []).append(k)
+            exact = max(1.0, n * 7 / 6 / GROUP)
+            low = 1 << int(math.log2(exact))
+            size = min((low, max(1, low * 3 // 2), 2 * low), key=lambda w: abs(math.log(w / exact)))
+            out.setdefault(size, []).append(k)
     return out
 
 
-def _sums(groups: np.ndarray, size: int, known: dict[int, np.ndarray]) -> np.ndarray:
-    """The sum of `size` rows from each row on, from sums of powers of two."""
-    out, at, n = None, 0, len(groups) - size + 1
-    for b in range(size.bit_length()):
-        if b and 1 << b not in known:
+def _sums(known: dict[int, np.ndarray], size: int, at: np.ndarray) -> np.ndarray:
+    """The sums of `size` rows from each row in `at` on, a power of two or one and a half of one."""
+    low = 1 << size.bit_length() - 1
+    for b in range(1, size.bit_length()):
+        if 1 << b not in known:
             half = known[1 << b - 1]
             known[1 << b] = half[: len(half) - (1 << b - 1)] + half[1 << b - 1 :]
-        if size >> b & 1:
-            part = known[1 << b][at : at + n]
-            out, at = part.copy() if out is None else np.add(out, part, out=out), at + (1 << b)
+    out = np.take(known[low], at, axis=0)
+    if size > low:
+        out += np.take(known[size - low], at + low, axis=0)
     return out
 
 
 class Search:
-    """Candidates in pieces of documents: (document, item, cosine, first word) where windows are near an item."""
+    """Finds items in pieces of documents."""
 
     def __init__(self, items: list[Item], space: Space, cosine: float):
         self.items, self.cosine = items, cosine
-        self.vectors = np.zeros_like(space.vectors)
-        for x in items:
+        self.vectors = np.zeros((TERMS + 1, space.vectors.shape[1]), np.float32)  # the last one stands for no word
+        self.has = np.zeros((len(items), TERMS + 1), bool)  # which terms an item has
+        for k, x in enumerate(items):
             self.vectors[x.words & (TERMS - 1)] = space.of(x.words)
+            self.has[k, x.words & (TERMS - 1)] = True
         self.scales = scales(items)
+        self.need, self.slack, self.lengths = (np.array([f(x) for x in items], np.int64) for f in (lambda x: x.need, lambda x: x.slack, lambda x: len(x.words)))
         latent = np.array([space.of(x.words).sum(axis=0) for x in items], np.float32).reshape(len(items), space.vectors.shape[1])
         self.latent = latent / (np.linalg.norm(latent, axis=1, keepdims=True) + 1e-9)
         self.reach = max([len(x.words) + 2 * x.slack for x in items], default=1)
@@ -285,38 +277,48 @@ class Search:
             out = out * np.uint64(0x9E3779B97F4A7C15) + words[k : k + len(out)].astype(np.uint64)
         return out
 
-    def candidates(self, docs: list[np.ndarray]) -> Iterator[tuple[int, int, float, int]]:
+    def near(self, windows: np.ndarray, some: list[int]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(window, item, cosine) of those that are near."""
+        least = self.cosine * np.sqrt(np.einsum("ij,ij->i", windows, windows)) + 1e-9
+        latent, which, high = self.latent[some].T, np.array(some), max(1, COSINES // len(some))
+        for a in range(0, len(windows), high):
+            dot = windows[a : a + high] @ latent
+            i, j = np.divmod(np.flatnonzero(dot.ravel() >= np.repeat(least[a : a + high], len(some))), len(some))
+            yield a + i, which[j], dot[i, j] / least[a + i] * self.cosine
+
+    def candidates(self, docs: list[np.ndarray]) -> Iterator[tuple[int, int, float, int, int]]:
+        """(document, item, cosine, first and last word of the place) of places near an item, without those
+        that have too few words of the item to hold it, in any order."""
         sizes = np.array([-(-len(x) // GROUP) for x in docs])
         ends = np.cumsum(sizes)
-        terms = np.zeros(ends[-1] * GROUP, np.int64)
-        real = np.zeros(len(terms), bool)
-        for x, a in zip(docs, (ends - sizes) * GROUP):
-            terms[a : a + len(x)], real[a : a + len(x)] = x & (TERMS - 1), True
-        vectors = np.take(self.vectors, terms, axis=0)
-        vectors[~real] = 0
-        groups = vectors.reshape(-1, GROUP, vectors.shape[1]).sum(axis=1)
+        begin, last = (ends - sizes) * GROUP, (ends - sizes) * GROUP + [len(x) for x in docs]
+        terms = np.full(ends[-1] * GROUP, TERMS)
+        for x, a in zip(docs, begin):
+            terms[a : a + len(x)] = x & (TERMS - 1)
+        groups = sum(np.take(self.vectors, terms[k::GROUP], axis=0) for k in range(GROUP))
         whole = np.add.reduceat(groups, ends - sizes, axis=0)
-        left = np.repeat(ends, sizes) - np.arange(ends[-1])  # groups to the document's end
         of = np.repeat(np.arange(len(docs)), sizes)
-        known = {1: groups}
-        for (size, step), some in sorted(self.scales.items()):
-            parts = [(np.flatnonzero(sizes < size), None)]
-            if len(groups) >= size:
-                place = np.arange(len(left)) - (ends - sizes)[of]
-                full = np.flatnonzero((left >= size) & ((place % step == 0) | (left == size)))
-                parts.append((of[full], full))
-            for doc, at in parts:
-                if not len(doc):
-                    continue
-                windows = whole[doc] if at is None else _sums(groups, size, known)[at]
-                least = self.cosine * np.sqrt(np.einsum("ij,ij->i", windows, windows)) + 1e-9
-                near, high = self.latent[some].T, max(1, COSINES // len(some))
-                for a in range(0, len(windows), high):
-                    dot = windows[a : a + high] @ near
-                    i, j = np.nonzero(dot >= least[a : a + high, None])
-                    cos = dot[i, j] / least[a + i] * self.cosine
-                    start = np.zeros(len(i), np.int64) if at is None else (at[a + i] - (ends - sizes)[doc[a + i]]) * GROUP
-                    yield from zip(doc[a + i].tolist(), [some[k] for k in j.tolist()], cos.tolist(), (start + size * GROUP // 2).tolist() if at is not None else [len(docs[d]) // 2 for d in doc[a + i].tolist()])
+        place = np.arange(ends[-1])
+        left = ends[of] - place  # groups to the document's end
+        known, found = {1: groups}, []
+        for size, some in sorted(self.scales.items()):
+            full = np.flatnonzero((left >= size) & (((place - (ends - sizes)[of]) & (max(1, (1 << size.bit_length() - 1) // 8) - 1) == 0) | (left == size)))
+            for i, item, cosine in self.near(_sums(known, size, full), some) if len(full) else ():
+                found.append((of[full[i]], item, cosine, full[i] * GROUP + size * GROUP // 2))
+            less = np.flatnonzero(sizes < size)
+            for i, item, cosine in self.near(whole[less], some) if len(less) else ():
+                found.append((less[i], item, cosine, (begin + last)[less[i]] // 2))
+        if not found:
+            return
+        doc, item, cosine, middle = (np.concatenate(x) for x in zip(*found))
+        start = np.maximum(begin[doc], middle - self.lengths[item] // 2 - self.slack[item])
+        stop = np.minimum(last[doc], middle - self.lengths[item] // 2 + self.lengths[item] + self.slack[item])
+        for some in np.array_split(np.arange(len(doc)), 1 + int((stop - start).sum()) // COSINES):
+            n = stop[some] - start[some]
+            at = np.arange(n.sum()) + np.repeat(start[some] - np.cumsum(n) + n, n)
+            inside = np.add.reduceat(self.has[np.repeat(item[some], n), terms[at]], np.cumsum(n) - n, dtype=np.int64)
+            some = some[inside >= self.need[item[some]]]
+            yield from zip(doc[some].tolist(), item[some].tolist(), cosine[some].tolist(), (start - begin[doc])[some].tolist(), (stop - begin[doc])[some].tolist())
 
     def word_for_word(self, words: np.ndarray) -> Iterator[tuple[int, int]]:
         """(item, first word) of the short items."""
@@ -339,18 +341,13 @@ def _hits(search: Search, docs: list[np.ndarray], sure: float) -> list[Found]:
         if k not in best[d] or (row[1], row[0], -row[3]) > (best[d][k][1], best[d][k][0], -best[d][k][3]):
             best[d][k] = row
 
-    texts: dict[int, list[int]] = {}
-    for d, k, cosine, middle in search.candidates(docs) if search.scales else ():
-        if (text := texts.get(d)) is None:
-            text = texts[d] = docs[d].tolist()
-        item, n = search.items[k], len(search.items[k].words)
-        start = max(0, middle - n // 2 - item.slack)
-        region, known = text[start : middle - n // 2 + n + item.slack], item.bits
-        if sum([w in known for w in region]) < item.need or (common := _common(known, n, region)) < item.need:
+    for d, k, cosine, start, stop in search.candidates(docs) if search.scales else ():
+        item, region = search.items[k], docs[d][start:stop].tolist()
+        if sum([w in item.bits for w in region]) < item.need or (common := _common(item.bits, len(item.words), region)) < item.need:
             continue
         answer = len(item.answer & set(region)) / len(item.answer)
-        if common / n >= sure or answer >= 0.5:
-            better(d, k, (min(1.0, float(cosine)), common / n, answer, start))
+        if common / len(item.words) >= sure or answer >= 0.5:
+            better(d, k, (min(1.0, cosine), common / len(item.words), answer, start))
     for d, words in enumerate(docs) if search.short else ():
         for k, at in search.word_for_word(words):
             better(d, k, (1.0, 1.0, 1.0, at))
@@ -395,14 +392,14 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least: float = 0.6, sure
     in order, stand in the place around such a window, or `least` of them with half of its answer's words. A
     place is a quarter of the item and four words longer than the item at both ends. Items of fewer than
     seven words are held where all their words stand side by side. Null items and those without a word are
-    not sought; null and empty documents hold none. All items are sought in all documents, in blocks of at
-    most about 4096 whose rows are written one after another. Repeated rows give one row; documents with a
+    not sought; null and empty documents hold none. All items are sought in all documents, in blocks of
+    about 2048 whose rows are written one after another. Repeated rows give one row; documents with a
     null id are reported as null.
     """
     words = Cut(hashed(docs))
     space = words.df.sparkSession.sparkContext.broadcast(fit(words.df))
     items = benchmark.where("text is not null and item_id is not null").select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
-    blocks = -(-items.count() // (ITEMS // 2)) or 1
+    blocks = -(-items.count() // ITEMS) or 1
     parts = []
     for b in range(blocks):
         rows = [(r.item_id, r.text) for r in items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b).orderBy("item_id", "text").collect()]
