@@ -19,13 +19,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir; a temporary one only where none is set (tests)."""
+    """The folder of spark.checkpoint.dir; a temporary one only where none is set and Spark runs in one process."""
     sc = spark.sparkContext
     at = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if at:
         return at.rstrip("/")
     at = sc._jsc.sc().getCheckpointDir()
     if not at.isDefined():
+        if not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         sc.setCheckpointDir(f"file://{tempfile.mkdtemp(prefix='spark-')}")
         at = sc._jsc.sc().getCheckpointDir()
     return at.get().rstrip("/")
@@ -55,6 +57,11 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER)
 
 
+def text_hash(text: Column) -> Column:
+    """A number that tells texts apart, with which rows are known that share an id or have none; null counts as empty."""
+    return F.xxhash64(F.coalesce(text.cast("string"), F.lit("")))
+
+
 def runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
     """Tables of the rows that share `keys`; the input is sorted by them. One run is held at a time."""
     held: list[pa.Table] = []

@@ -3,12 +3,14 @@
 Unit vectors with a cosine of c or more lie within a squared distance of 2 - 2c. A rotation keeps that, so
 after cutting the rotated vectors into blocks, a near pair is near in at least one block: within the
 block's share of the budget, in proportion to its size. Each block is a range join in few dimensions on a
-grid: a vector lives in one cell and looks into all cells that a ball of the block's radius touches.
-Pairs that pass a block are verified on the whole vectors in double precision, and counted in the first
-block that they pass, so that each pair counts once without collecting pairs.
-
-Equal vectors are one member with a weight. Cells with many members are compared in tiles which verify on
-the spot and leave counts and a spanning forest, so that rows stay linear in the members.
+grid: a vector lives in one cell and looks into those cells after it that a ball of the block's radius
+touches, so that of two vectors in different cells one looks up the other. Pairs that pass a block are
+verified on the whole vectors in double precision, and counted in the first block that they pass, so that
+each pair counts once without collecting pairs.
+
+Equal vectors are one member with a weight and a number of its own. In cells where many pairs meet, the
+vectors themselves are brought together once, verified on the spot, and leave counts and a spanning forest;
+cells of more than TILE members are dealt into tiles.
 """
 
 from __future__ import annotations
@@ -19,14 +21,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import Cut, by_run, runs
 from .components import components
 from .simhash import spanning
 
 BLOCK_SIZE, GRID = 8, 4
-TILE = 1024
-HOT = 40_000  # pairs of a cell beyond which it is verified in tiles
+TILE = 8192
+HOT = 40_000  # pairs of a cell beyond which it is verified on the spot
 
 
 def rotation(d: int, seed: int = 23) -> np.ndarray:
@@ -41,6 +44,7 @@ def blocks_of(d: int) -> list[tuple[int, int]]:
 
 def _units(flat: np.ndarray, d: int) -> np.ndarray:
     x = flat.reshape(-1, d).astype(np.float64)
+    x = x / np.abs(x).max(axis=1, keepdims=True)  # so that no square is lost or infinite
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
@@ -73,6 +77,10 @@ def _codes(cells: np.ndarray) -> np.ndarray:
     return code
 
 
+#: The radius of a search in single precision is a little wider, never narrower.
+WIDER = 1 + 1e-5, 1e-6
+
+
 def _entries(cosine: float):
     """Home and look-up rows of every vector: dim, block, cell, home, rep and the block's coordinates."""
 
@@ -88,13 +96,14 @@ def _entries(cosine: float):
                     for k, (a, b) in enumerate(blocks_of(int(d))):
                         y = x[:, a:b]
                         g, width = y[:, : min(GRID, b - a)], 2 * np.sqrt(budget[k])
-                        rows, cells = _touched(g, width, budget[k])
-                        at_home = (cells == np.floor(g / width).astype(np.int64)[rows]).all(axis=1)
-                        n = len(rows)
+                        rows, cells = _touched(g, width, budget[k] * WIDER[0] + WIDER[1])
+                        code, own = _codes(cells), _codes(np.floor(g / width).astype(np.int64))[rows]
+                        rows, code, own = (c[code >= own] for c in (rows, code, own))
+                        at_home, n = code == own, len(rows)
                         yield pa.RecordBatch.from_arrays(
                             [
-                                pa.array(labels[mine][rows]), pa.array(np.full(n, d, np.int32)), pa.array(np.full(n, k, np.int32)), pa.array(_codes(cells)), pa.array(at_home), pa.array(reps[mine][rows]),
-                                pa.FixedSizeBinaryArray.from_buffers(pa.binary(8 * (b - a)), n, [None, pa.py_buffer(np.ascontiguousarray(y[rows]))]).cast(pa.binary()),
+                                pa.array(labels[mine][rows]), pa.array(np.full(n, d, np.int32)), pa.array(np.full(n, k, np.int32)), pa.array(code), pa.array(at_home), pa.array(reps[mine][rows]),
+                                pa.FixedSizeBinaryArray.from_buffers(pa.binary(4 * (b - a)), n, [None, pa.py_buffer(np.ascontiguousarray(y[rows], np.float32))]).cast(pa.binary()),
                             ],
                             ["label", "d", "block", "cell", "home", "rep", "y"],
                         )
@@ -107,7 +116,7 @@ KEYS = ["label", "d", "block", "cell", "tile_i", "tile_j"]
 
 
 def _candidates(cosine: float):
-    """Pairs of a cell that are within the block's radius, each found where the larger one's home is."""
+    """Pairs of a cell, one of them at home there, that are within the block's radius."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in runs(batches, KEYS[:4]):
@@ -115,12 +124,12 @@ def _candidates(cosine: float):
             home, rep = rows.column("home").to_numpy(zero_copy_only=False), rows.column("rep").to_numpy()
             if home.all() and len(home) < 2 or not home.any():
                 continue
-            y = np.frombuffer(b"".join(rows.column("y").to_pylist())).reshape(len(rep), -1)
-            here, n2, budget = np.flatnonzero(home), (y * y).sum(axis=1), _budgets(d, cosine)[k] + 1e-9
+            y = np.frombuffer(b"".join(rows.column("y").to_pylist()), np.float32).reshape(len(rep), -1).astype(np.float64)
+            here, n2, budget = np.flatnonzero(home), (y * y).sum(axis=1), _budgets(d, cosine)[k] * WIDER[0] + WIDER[1]
             for a in range(0, len(rep), 1024):
                 x = np.arange(a, min(len(rep), a + 1024))
                 near = n2[x][:, None] + n2[here] - 2 * y[x] @ y[here].T <= budget
-                i, j = np.nonzero(near & (rep[x][:, None] < rep[here]))
+                i, j = np.nonzero(near & (~home[x][:, None] | (rep[x][:, None] < rep[here])))
                 if len(i):
                     yield pa.RecordBatch.from_arrays([pa.array(rep[x[i]]), pa.array(rep[here[j]]), pa.array(np.full(len(i), k, np.int32))], ["u", "v", "block"])
 
@@ -165,13 +174,13 @@ def _tiles(cosine: float):
         for rows in runs(batches, KEYS):
             d, k = rows.column("d")[0].as_py(), rows.column("block")[0].as_py()
             rep, weight = rows.column("rep").to_numpy(), rows.column("weight").to_numpy()
-            home, prober = (rows.column(c).to_numpy(zero_copy_only=False) for c in ("as_home", "as_prober"))
+            home, prober, own = (rows.column(c).to_numpy(zero_copy_only=False) for c in ("as_home", "as_prober", "home"))
             x = _units(rows.column("embedding").combine_chunks().flatten().to_numpy(zero_copy_only=False), d)
             here, links = np.flatnonzero(home), []
             count = np.zeros(len(rep), np.int64)
             for a in range(0, len(rep), 256):
                 some = np.flatnonzero(prober[a : a + 256]) + a
-                i, j = np.nonzero((x[some] @ x[here].T >= cosine - 1e-9) & (rep[some][:, None] < rep[here]))
+                i, j = np.nonzero((x[some] @ x[here].T >= cosine - 1e-9) & (~own[some][:, None] | (rep[some][:, None] < rep[here])))
                 for c in range(0, len(i), 16384):
                     p, q = some[i[c : c + 16384]], here[j[c : c + 16384]]
                     ok = _verified(x[p], x[q], d, k, cosine)
@@ -190,6 +199,19 @@ def _tiles(cosine: float):
     return each
 
 
+def _hot_rows(hot: DataFrame) -> DataFrame:
+    """Where each entry of a hot cell is compared: once, or in cells beyond TILE in all pairs of tiles of
+    entries and members at home."""
+    a, b = F.ceil(F.col("n") / TILE).cast("int"), F.ceil(F.col("homes") / TILE).cast("int")
+    same = ["label", "d", "block", "cell", "rep", "home"]
+    one, none = F.lit(0).alias("tile_i"), F.lit(0).alias("tile_j")
+    whole = hot.where(F.col("n") <= TILE).select(*same, one, none, F.col("home").alias("as_home"), F.lit(True).alias("as_prober"))
+    large = hot.where(F.col("n") > TILE).withColumn("i", F.pmod(F.xxhash64(F.lit(9), "rep"), a).cast("int")).withColumn("j", F.pmod(F.xxhash64(F.lit(9), "rep"), b).cast("int"))
+    probers = large.select(*same, F.col("i").alias("tile_i"), F.explode(F.sequence(F.lit(0), b - 1)).alias("tile_j"), F.lit(False).alias("as_home"), F.lit(True).alias("as_prober"))
+    homes = large.where("home").select(*same, F.explode(F.sequence(F.lit(0), a - 1)).alias("tile_i"), F.col("j").alias("tile_j"), F.lit(True).alias("as_home"), F.lit(False).alias("as_prober"))
+    return whole.unionByName(probers).unionByName(homes)
+
+
 def near_duplicates(vectors: DataFrame, cosine: float = 0.98) -> DataFrame:
     """vec_id, n_links, component_id, kept: one row per row of vectors (vec_id, embedding, label).
 
@@ -198,12 +220,14 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.98) -> DataFrame:
     one. Rows that repeat a vec_id count as vectors of their own with that id; a null vec_id links with
     nothing. Other columns are not read.
     """
-    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("label").cast("int").alias("label"), F.col("embedding").cast("array<double>").alias("embedding"))
+    single = isinstance(vectors.schema["embedding"].dataType.elementType, T.FloatType)
+    kind = "array<float>" if single else "array<double>"
+    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("label").cast("int").alias("label"), F.col("embedding").cast(kind).alias("embedding"))
     finite = F.forall("embedding", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
-    size2 = F.aggregate("embedding", F.lit(0.0), lambda a, v: a + v * v)
-    usable = F.coalesce(F.col("label").isNotNull() & F.col("vec_id").isNotNull() & finite & (size2 > 0) & (size2 < float("inf")), F.lit(False))
+    usable = F.coalesce(F.col("label").isNotNull() & F.col("vec_id").isNotNull() & finite & F.exists("embedding", lambda v: v != 0), F.lit(False))
     good = rows.where(usable)
-    members = Cut(good.groupBy("label", "embedding").agg(F.min("vec_id").alias("rep"), F.count("*").alias("weight")))
+    members = good.groupBy("label", "embedding").agg(F.min("vec_id").alias("least"), F.count("*").alias("weight"))
+    members = Cut(members.withColumn("rep", F.monotonically_increasing_id()))  # fixed by being written
     reps = members.df.withColumn("d", F.size("embedding"))
     entries = Cut(reps.select("rep", "label", "d", "embedding").mapInArrow(_entries(cosine), ENTRY))
     cells = entries.df.groupBy("label", "d", "block", "cell").agg(F.count("*").alias("n"), F.count_if("home").alias("homes")).where("homes > 0 and n > 1")
@@ -213,14 +237,8 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.98) -> DataFrame:
     left = reps.select(F.col("rep").alias("u"), "d", F.col("embedding").alias("x"))
     right = reps.select(F.col("rep").alias("v"), F.col("embedding").alias("y"))
     pairs = found.join(left, "u").join(right, "v").select("u", "v", "block", "d", "x", "y").mapInArrow(_verify(cosine), "u long, v long")
-    hot = entries.df.join(cells.df.where(F.col("n") * F.col("homes") > HOT), KEYS[:4]).drop("y")
-    a, b = F.ceil(F.col("n") / TILE).cast("int"), F.ceil(F.col("homes") / TILE).cast("int")
-    hot = hot.withColumn("i", F.pmod(F.xxhash64(F.lit(9), "rep"), a).cast("int")).withColumn("j", F.pmod(F.xxhash64(F.lit(9), "rep"), b).cast("int"))
-    same = ["label", "d", "block", "cell", "rep"]
-    probers = hot.select(*same, F.col("i").alias("tile_i"), F.explode(F.sequence(F.lit(0), b - 1)).alias("tile_j"), F.lit(False).alias("as_home"), F.lit(True).alias("as_prober"))
-    homes = hot.where("home").select(*same, F.explode(F.sequence(F.lit(0), a - 1)).alias("tile_i"), F.col("j").alias("tile_j"), F.lit(True).alias("as_home"), F.lit(False).alias("as_prober"))
-    both = probers.unionByName(homes).join(reps.select("rep", "weight", "embedding"), "rep")
-    tiles = Cut(by_run(both, KEYS).mapInArrow(_tiles(cosine), "kind int, u long, v long"))
+    hot = _hot_rows(entries.df.drop("y").join(cells.df.where(F.col("n") * F.col("homes") > HOT), KEYS[:4]))
+    tiles = Cut(by_run(hot.join(reps.select("rep", "weight", "embedding"), "rep"), KEYS).mapInArrow(_tiles(cosine), "kind int, u long, v long"))
     links = Cut(pairs)
     entries.drop()
     cells.drop()
@@ -228,10 +246,14 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.98) -> DataFrame:
     ends = links.df.unionByName(links.df.select(F.col("v").alias("u"), F.col("u").alias("v")))
     counts = ends.join(weight, F.col("v") == F.col("other")).select("u", "weight").unionByName(tiles.df.where("kind = 0").select("u", F.col("v").alias("weight")))
     counts = counts.groupBy(F.col("u").alias("rep")).agg(F.sum("weight").alias("links"))
-    classes = components(links.df.unionByName(tiles.df.where("kind = 1").select("u", "v"))).withColumnRenamed("node", "rep")
-    known = members.df.join(counts, "rep", "left").join(classes, "rep", "left")
-    known = known.select("label", "embedding", (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links"), F.coalesce("component", "rep").alias("component_id"))
-    joined = good.join(known, ["label", "embedding"]).select("vec_id", "n_links", "component_id")
+    classes = components(links.df.unionByName(tiles.df.where("kind = 1").select("u", "v")))
+    known = members.df.join(counts, "rep", "left").join(classes.df.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    known = Cut(known.select("label", "embedding", "component", "least", (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links")))
+    for done in (members, tiles, links, classes):
+        done.drop()
+    names = known.df.groupBy("component").agg(F.min("least").alias("component_id"))
+    named = known.df.join(names, "component").select("label", "embedding", "n_links", "component_id")
+    joined = good.join(named, ["label", "embedding"]).select("vec_id", "n_links", "component_id")
     alone = rows.where(~usable).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     return joined.unionByName(alone).withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)))
 

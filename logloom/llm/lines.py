@@ -6,20 +6,25 @@ its length, and probes the parts that a line of its length or up to `edits` less
 offsets that the length difference leaves open (the same substring on both sides of which no more edits
 can lie than there are other parts). Candidates are verified by a banded bit-parallel edit distance.
 
-Only hashes are shuffled to find candidates. A signature of two lines is a pair; few lines are joined as
-pairs; more are compared in tiles that leave a spanning forest, so that rows stay linear in the lines.
+Only hashes are shuffled to find candidates. A signature of two lines is a pair, few lines are joined as
+pairs. More lines share a hot segment: what stands beside it is cut into parts in turn, for the edits that
+are left, so that only lines that share the segment and a part beside it meet. Where that leaves many lines
+too, they are compared in tiles that leave a spanning forest.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
+from operator import or_
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Cut, by_run, cut, runs
+from .common import Cut, by_run, runs, text_hash
 from .components import components
 
 SEGMENT_CHARS = 4  # the edit join takes lines with so many characters a segment; shorter ones are compared whole
@@ -93,12 +98,61 @@ def _signature(line: Column, length: Column, less: int, i: int, shift: int, edit
     return F.xxhash64(other, F.lit(i), F.substring(line, start + shift + 1, part))
 
 
+def _entries(line: Column, edits: int) -> list[tuple[tuple[int, int, int], Column]]:
+    """Every probe with its signature; probes without shift of the line's own length are what others look up."""
+    return [(x, _signature(line, F.length(line), *x, edits)) for x in probes(edits)]
+
+
+def _parts(length: int, n: int) -> list[tuple[int, int]]:
+    """Start and length of n even parts, the last ones longer by one."""
+    size, longer = divmod(length, n)
+    return [(size * i + max(0, i - (n - longer)), size + (i >= n - longer)) for i in range(n)]
+
+
+def finer(line: str, less: int, i: int, shift: int, edits: int) -> list[tuple[bool, tuple]]:
+    """What a line and another one that shares the i-th segment must also share, one of it at least: parts of
+    what stands beside the segment, for the edits that may be there, each with whether others look it up."""
+    start, size = _parts(len(line) - less, edits + 1)[i]
+    at = start + shift
+    side, rest, apart = (line[at + size :], edits - i, less - shift) if i < edits else (line[:at], i, shift)
+    out = []
+    if len(side) >= apart:
+        for p, (start, size) in enumerate(_parts(len(side) - apart, rest + 1)):
+            for s in range(max(-p, apart - (rest - p)), min(p, apart + (rest - p)) + 1):
+                if start + s >= 0:
+                    out.append((less == shift == s == 0, (len(side) - apart, p, side[start + s : start + s + size])))
+    return out
+
+
+def _finer(edits: int):
+    """h, sig, indexed and length: of lines with a hot signature, the probe of which is the k-th."""
+    looks = probes(edits)
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows = []
+            for h, line, k, hot in zip(*(b.column(c).to_pylist() for c in ("h", "line", "k", "hot_sig"))):
+                for indexed, what in finer(line, *looks[k], edits):
+                    sig = xxhash.xxh64_intdigest(repr((hot, what)).encode("utf-8", "surrogatepass"))
+                    rows.append((h, sig - (1 << 64) if sig >> 63 else sig, indexed, len(line)))
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int64(), pa.bool_(), pa.int32()))], ["h", "sig", "indexed", "length"])
+
+    return each
+
+
+#: Where a row stands among all: by id, then by a part of the text's hash; rows without an id come last.
+ROW = "cast(coalesce(cast(doc_id as long), 9223372036854775807) as decimal(19,0)) * 67108864 + pmod(text_hash, 67108864)"
+
+
 def split_lines(docs: DataFrame, least_chars: int) -> DataFrame:
-    """doc_id, line_no, place (their order in one number), line and its hash h, of all lines long enough and not blank."""
-    lines = docs.where("doc_id is not null and text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.posexplode(F.split(F.col("text").cast("string"), "\n")).alias("line_no", "line"))
+    """row and text_hash of the text, line_no, place (their order in one number), line and two hashes of it, h
+    and g, of all lines long enough and not blank."""
+    rows = docs.where("text is not null").select(text_hash(F.col("text")).alias("text_hash"), F.col("doc_id"), F.col("text").cast("string").alias("text"))
+    lines = rows.select(F.expr(ROW).cast("decimal(28,0)").alias("row"), "text_hash", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
     lines = lines.withColumn("line", F.lower(F.trim("line"))).where(F.length("line") >= least_chars).where(F.col("line").rlike(r"(?U)\S"))
-    place = F.col("doc_id").cast("decimal(20,0)") * F.lit(1 << 31).cast("decimal(10,0)") + F.col("line_no")
-    return lines.select("doc_id", "line_no", place.cast("decimal(38,0)").alias("place"), "line", F.xxhash64("line").alias("h"))
+    place = F.col("row") * F.lit(1 << 31).cast("decimal(10,0)") + F.col("line_no")
+    return lines.select("row", "text_hash", "line_no", place.cast("decimal(38,0)").alias("place"), "line", F.xxhash64("line").alias("h"), F.xxhash64(F.lit(1), "line").alias("g"))
 
 
 def _verify(edits: int):
@@ -151,77 +205,104 @@ def _tile_links(edits: int):
 
 
 def _texts(docs: DataFrame, wanted: DataFrame, least_chars: int) -> DataFrame:
-    """h, line: of the hashes in `wanted` (h, first_doc), read in the first document that has them."""
-    lists = wanted.groupBy(F.col("first_doc").alias("doc_id")).agg(F.collect_set("h").alias("hs"))
-    held = docs.where("text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(lists, "doc_id")
+    """h, line: of the hashes in `wanted` (h, first), read in the first row that has them."""
+    lists = wanted.groupBy(F.floor(F.col("first") / (1 << 31)).cast("decimal(28,0)").alias("row")).agg(F.collect_set("h").alias("hs"))
+    rows = docs.where("text is not null").select(text_hash(F.col("text")).alias("text_hash"), F.col("doc_id"), F.col("text").cast("string").alias("text"))
+    held = rows.select(F.expr(ROW).cast("decimal(28,0)").alias("row"), "text").join(lists, "row")
     lines = held.select("hs", F.explode(F.split("text", "\n")).alias("line")).withColumn("line", F.lower(F.trim("line"))).where(F.length("line") >= least_chars)
     lines = lines.withColumn("h", F.xxhash64("line"))
     return lines.where(F.array_contains("hs", F.col("h"))).select("h", "line").dropDuplicates(["h"])
 
 
-def line_classes(docs: DataFrame, edits: int = 2, least_chars: int = 1) -> tuple[Cut, DataFrame]:
-    """All distinct lines (h, n, first, first_doc), to be dropped by the caller, and node, component of
-    those with near ones (as h)."""
+def _pairs(members: DataFrame) -> DataFrame:
+    """u < v: of each sig, one member that is looked up (indexed) with each other one."""
+    pairs = members.where("indexed").select("sig", F.col("h").alias("a")).join(members.select("sig", F.col("h").alias("b")), "sig").where("a <> b")
+    return pairs.select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v"))
+
+
+def _met(entries: DataFrame) -> DataFrame:
+    """sig, size, and the two members if there are but two: of signatures that several lines share and one is looked up by."""
+    return entries.groupBy("sig").agg(F.count("*").alias("size"), F.max("indexed").alias("any"), F.min("h").alias("u"), F.max("h").alias("v"), F.sum("length").alias("chars")).where("size > 1 and any")
+
+
+def _hot_links(hot: DataFrame, texts: DataFrame, edits: int) -> tuple[DataFrame, DataFrame, list[Cut]]:
+    """Of hot signatures' lines (sig, h): candidate pairs u, v by finer signatures, links found in tiles where
+    those are hot again, and the tables to be dropped."""
+    labelled = F.explode(F.array(*[F.struct(F.lit(k).alias("k"), sig.alias("hot_sig")) for k, (_, sig) in enumerate(_entries(F.col("line"), edits))])).alias("e")
+    lines = hot.select("h").distinct().join(texts, "h").select("h", "line", labelled).select("h", "line", "e.*")
+    lines = lines.join(hot.select(F.col("sig").alias("hot_sig")).distinct(), "hot_sig")
+    beside = lines.mapInArrow(_finer(edits), "h long, sig long, indexed boolean, length int")
+    beside = Cut(beside.groupBy("sig", "h").agg(F.max("indexed").alias("indexed"), F.first("length").alias("length")))
+    met = Cut(_met(beside.df))
+    cold = beside.df.join(met.df.where(F.col("size") <= PAIRS_UP_TO).select("sig"), "sig")
+    tiles = F.ceil(F.greatest(F.col("size") / TILE, F.col("chars") / TILE_CHARS)).cast("int")
+    still = beside.df.join(met.df.where(F.col("size") > PAIRS_UP_TO).select("sig", "size", "chars"), "sig")
+    dealt = still.withColumn("own_tile", F.pmod(F.xxhash64(F.lit(3), "h"), tiles).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), tiles - 1)))
+    dealt = dealt.select("sig", F.least("own_tile", "other").alias("tile_i"), F.greatest("own_tile", "other").alias("tile_j"), "own_tile", "h", "indexed").join(texts, "h")
+    return _pairs(cold), by_run(dealt, ["sig", "tile_i", "tile_j"]).mapInArrow(_tile_links(edits), "u long, v long"), [beside, met]
+
+
+def line_classes(docs: DataFrame, edits: int = 2, least_chars: int = 1) -> tuple[Cut, Cut]:
+    """All distinct lines (h, n, first) and node, component of those with near ones (as h); the caller drops
+    both. Different lines of one hash, as the second hash tells, are left out, so that none is taken for another."""
     lines = split_lines(docs, least_chars)
     edit_chars = max(least_chars, SEGMENT_CHARS * (edits + 1))
     length = F.length("line")
-    looks = probes(edits)
-    signs = [F.when(length >= edit_chars, _signature(F.col("line"), length, *x, edits)).alias(f"s{k}") for k, x in enumerate(looks)]
+    looks = _entries(F.col("line"), edits)
+    signs = [F.when(length >= edit_chars, sig).alias(f"s{k}") for k, (_, sig) in enumerate(looks)]
     kept = [F.first(f"s{k}").alias(f"s{k}") for k in range(len(looks))]
-    distinct = lines.select("h", "doc_id", "place", length.alias("length"), *signs).groupBy("h").agg(F.count("*").alias("n"), F.min("place").alias("first"), F.min("doc_id").alias("first_doc"), F.first("length").alias("length"), *kept)
-    table = Cut(distinct)
-    entry = F.explode(F.array(*[F.struct(F.col(f"s{k}").alias("sig"), F.lit(x[0] == 0 and x[2] == 0).alias("indexed")) for k, x in enumerate(looks)])).alias("e")
-    entries = table.df.where(F.col("length") >= edit_chars).select("h", "length", entry).select("h", "length", "e.sig", "e.indexed").repartition("sig")
-    entries = entries.groupBy("sig", "h").agg(F.max("indexed").alias("indexed"), F.first("length").alias("length"))
-    met = entries.groupBy("sig").agg(F.count("*").alias("size"), F.max("indexed").alias("any"), F.min("h").alias("u"), F.max("h").alias("v"), F.sum("length").alias("chars")).where("size > 1 and any")
-    groups = Cut(met)
+    distinct = lines.select("h", "g", "place", length.alias("length"), *signs).groupBy("h").agg(F.count("*").alias("n"), F.min("place").alias("first"), F.min("g").alias("g"), F.max("g").alias("g2"), F.first("length").alias("length"), *kept)
+    table = Cut(distinct.where("g = g2").drop("g", "g2"))
+    looked_up = reduce(or_, [F.col("sig") == F.col(f"s{k}") for k, (x, _) in enumerate(looks) if x[0] == x[2] == 0])
+    signatures = F.explode(F.array_distinct(F.array(*[f"s{k}" for k in range(len(looks))]))).alias("sig")
+    entries = table.df.where(F.col("length") >= edit_chars).select("*", signatures).select("sig", "h", "length", looked_up.alias("indexed"))
+    groups = Cut(_met(entries))
     twos = groups.df.where("size = 2").select("u", "v")
-    more = Cut(entries.join(groups.df.where("size > 2").select("sig", "size", "chars"), "sig"))
-    few = more.df.where(F.col("size") <= PAIRS_UP_TO)
-    pairs = few.where("indexed").select("sig", F.col("h").alias("a")).join(few.select("sig", F.col("h").alias("b")), "sig").where("a <> b")
-    found = Cut(twos.unionByName(pairs.select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v"))).distinct())
-    pairs = found.df
-    hot = more.df.where(F.col("size") > PAIRS_UP_TO)
-    named = pairs.select(F.explode(F.array("u", "v")).alias("h")).unionByName(hot.select("h")).distinct()
-    held = Cut(_texts(docs, named.join(table.df.select("h", "first_doc"), "h"), edit_chars))
-    texts = held.df
-    left, right = texts.select(F.col("h").alias("u"), F.col("line").alias("x")), texts.select(F.col("h").alias("v"), F.col("line").alias("y"))
-    links = pairs.join(left, "u").join(right, "v").select("u", "v", "x", "y").mapInArrow(_verify(edits), "u long, v long")
-    tiles = F.ceil(F.greatest(F.col("size") / TILE, F.col("chars") / TILE_CHARS)).cast("int")
-    dealt = hot.withColumn("own_tile", F.pmod(F.xxhash64(F.lit(3), "h"), tiles).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), tiles - 1)))
-    dealt = dealt.select("sig", F.least("own_tile", "other").alias("tile_i"), F.greatest("own_tile", "other").alias("tile_j"), "own_tile", "h", "indexed").join(texts, "h")
-    joined = by_run(dealt, ["sig", "tile_i", "tile_j"]).mapInArrow(_tile_links(edits), "u long, v long")
-    classes = components(links.unionByName(joined))
-    for written in (groups, more, found, held):
-        written.drop()
+    more = Cut(entries.join(groups.df.where("size > 2").select("sig", "size"), "sig"))
+    few, hot = more.df.where(F.col("size") <= PAIRS_UP_TO), more.df.where(F.col("size") > PAIRS_UP_TO)
+    pairs = Cut(twos.unionByName(_pairs(few)).distinct())
+    named = pairs.df.select(F.explode(F.array("u", "v")).alias("h")).unionByName(hot.select("h")).distinct()
+    texts = Cut(_texts(docs, named.join(table.df.select("h", "first"), "h"), edit_chars))
+    finer, tiled, written = _hot_links(hot, texts.df, edits)
+    left, right = texts.df.select(F.col("h").alias("u"), F.col("line").alias("x")), texts.df.select(F.col("h").alias("v"), F.col("line").alias("y"))
+    links = pairs.df.unionByName(finer).distinct().join(left, "u").join(right, "v").select("u", "v", "x", "y").mapInArrow(_verify(edits), "u long, v long")
+    classes = components(links.unionByName(tiled))
+    for done in (groups, more, pairs, texts, *written):
+        done.drop()
     return table, classes
 
 
-def removals(docs: DataFrame, edits: int = 2, least_chars: int = 1) -> DataFrame:
-    """doc_id, gone: the line numbers (from 0) of lines that repeat an earlier one, exactly or nearly."""
+def removals(docs: DataFrame, edits: int = 2, least_chars: int = 1) -> Cut:
+    """row, text_hash, gone: the line numbers (from 0) of lines that repeat an earlier one, exactly or nearly."""
     table, found = line_classes(docs, edits, least_chars)
-    named = table.df.select("h", "n", "first").join(found.withColumnRenamed("node", "h"), "h", "left")
+    named = table.df.select("h", "n", "first").join(found.df.withColumnRenamed("node", "h"), "h", "left")
     lone = named.where("component is null and n > 1").select("h", "first")
     linked = named.where("component is not null")
     firsts = linked.groupBy("component").agg(F.min("first").alias("first"))
-    again = cut(lone.unionByName(linked.drop("first").join(firsts, "component").select("h", "first")))
+    again = Cut(lone.unionByName(linked.drop("first").join(firsts, "component").select("h", "first")))
     table.drop()
-    places = split_lines(docs, least_chars).select("h", "place", "doc_id", "line_no")
-    repeats = places.join(again, "h").where("place <> first")
-    return repeats.groupBy("doc_id").agg(F.array_sort(F.collect_set("line_no")).alias("gone"))
+    found.drop()
+    repeats = split_lines(docs, least_chars).select("h", "place", "row", "text_hash", "line_no").join(again.df, "h").where("place <> first")
+    gone = Cut(repeats.groupBy("row", "text_hash").agg(F.array_sort(F.collect_set("line_no")).alias("gone")))
+    again.drop()
+    return gone
 
 
 def dedup(docs: DataFrame, edits: int = 2, least_chars: int = 1) -> DataFrame:
     """All rows and columns of docs with repeated lines taken out of text, and n_lines, n_removed, gone.
 
     A line counts from `least_chars` characters on, trimmed and in lower case; shorter and blank ones always
-    stay. Exact repeats go at any length; edits are allowed from SEGMENT_CHARS characters a segment on. Lines within `edits` edits of one another, and what is reached by such steps, form a class; the one
-    in the smallest doc_id, first in it, stays. Null texts stay null with no lines; empty texts, and
-    texts whose lines all go, are empty; rows with a null doc_id are left alone. Rows that repeat a
-    doc_id lose the same lines.
+    stay. Exact repeats go at any length; edits are allowed from SEGMENT_CHARS characters a segment on. Lines
+    within `edits` edits of one another, and what is reached by such steps, form a class; the one in the
+    smallest doc_id, first in it, stays. Null texts stay null with no lines; empty texts, and texts whose
+    lines all go, are empty. Rows that share a doc_id but differ in text are rows of their own, in the order
+    of their texts' hashes; rows without an id come after all others; rows equal in id and text lose the same
+    lines. Columns of docs named as the three new ones are replaced.
     """
-    gone = removals(docs, edits, least_chars).withColumnRenamed("doc_id", "_id")
-    rows = docs.join(gone, docs.doc_id.cast("long") == gone._id, "left").drop("_id")
+    docs = docs.drop("n_lines", "n_removed", "gone")
+    gone = removals(docs, edits, least_chars).df.withColumnsRenamed({"row": "_row", "text_hash": "_hash"})
+    at = F.expr(ROW.replace("text_hash", "xxhash64(coalesce(cast(text as string), ''))")).cast("decimal(28,0)")
+    rows = docs.join(gone, (at == gone._row) & (text_hash(docs.text) == gone._hash), "left").drop("_row", "_hash")
     lines = F.split(F.col("text").cast("string"), "\n")
     kept = F.filter(lines, lambda x, i: ~F.coalesce(F.array_contains(F.col("gone"), i), F.lit(False)))
     text = F.when(F.col("gone").isNull(), F.col("text").cast("string")).otherwise(F.array_join(kept, "\n"))

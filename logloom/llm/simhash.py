@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import by_run, cut, runs, self_tiles
+from .common import Cut, by_run, cut, runs, self_tiles, text_hash
 from .components import components
 
 SEED = 42
@@ -52,14 +52,15 @@ def covering_masks(radius: int, seed: int = 11) -> list[int]:
 
 
 def fingerprints(docs: DataFrame, words: int = 3) -> DataFrame:
-    """doc_id, fp (long): one row per row of docs. Null and empty texts: 0."""
+    """doc_id, text_hash, fp (long): one row per row of docs. Null and empty texts: fp 0."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            fp = np.fromiter((fingerprint(t.as_py(), words) for t in b.column(1)), np.uint64, b.num_rows).view(np.int64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp)], ["doc_id", "fp"])
+            fp = np.fromiter((fingerprint(t.as_py(), words) for t in b.column(2)), np.uint64, b.num_rows).view(np.int64)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(fp)], ["doc_id", "text_hash", "fp"])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(each, "doc_id long, fp long")
+    rows = docs.select(F.col("doc_id").cast("long"), text_hash(F.col("text")), F.col("text").cast("string"))
+    return rows.mapInArrow(each, "doc_id long, text_hash long, fp long")
 
 
 def _tile_links(radius: int):
@@ -122,15 +123,44 @@ def near_links(prints: DataFrame, radius: int = 3) -> DataFrame:
     return pairs.unionByName(hot).distinct()
 
 
+def _with_components(prints: DataFrame, radius: int) -> Cut:
+    """fp, component: each fingerprint with the smallest one that links of at most `radius` bits reach."""
+    distinct = Cut(prints.groupBy("fp").agg(F.count("*").alias("n")).select("fp", F.col("fp").alias("rep")))
+    found = components(near_links(distinct.df, radius))
+    named = Cut(distinct.df.join(found.df, distinct.df.fp == found.df.node, "left").select("fp", F.coalesce("component", "fp").alias("component")))
+    distinct.drop()
+    found.drop()
+    return named
+
+
 def classes(docs: DataFrame, words: int = 3, radius: int = 3) -> DataFrame:
     """doc_id, fp, component_id: the smallest doc_id that links of at most `radius` bits reach.
 
     One row per row of docs, whatever other columns it has. Null and empty texts share the fingerprint 0
     and are linked like any other. A null doc_id is never a component's name; rows with one belong to the
-    component of their fingerprint (null if no document with an id has it). Repeated rows stay repeated.
+    component of their fingerprint (null if no document with an id is in it). Repeated rows stay repeated.
     """
-    prints = cut(fingerprints(docs, words))
-    reps = cut(prints.groupBy("fp").agg(F.min("doc_id").alias("rep")))
-    found = components(near_links(reps.where("rep is not null"), radius))
-    named = reps.join(found, reps.rep == found.node, "left").select("fp", F.coalesce("component", "rep").alias("component_id"))
-    return prints.join(named, "fp").select("doc_id", "fp", "component_id")
+    prints = Cut(fingerprints(docs, words).drop("text_hash"))
+    named = _with_components(prints.df, radius)
+    least = prints.df.groupBy("fp").agg(F.min("doc_id").alias("least")).join(named.df, "fp")
+    names = least.groupBy("component").agg(F.min("least").alias("component_id"))
+    known = Cut(named.df.join(names, "component").select("fp", "component_id"))
+    named.drop()
+    return prints.df.join(known.df, "fp").select("doc_id", "fp", "component_id")
+
+
+def first_of_each(docs: DataFrame, words: int = 3, radius: int = 3) -> DataFrame:
+    """The rows of docs, with all columns, that stay if of each component one does: that of the smallest id, of
+    those that share it that of the smallest text hash, and of rows equal in both any one. Ids that are null
+    come last, so a component of such rows keeps one of them too."""
+    prints = Cut(fingerprints(docs, words))
+    named = _with_components(prints.df, radius)
+    rows = prints.df.groupBy("doc_id", "text_hash", "fp").agg(F.count("*").alias("n")).join(named.df, "fp")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash", "n")).alias("first")
+    kept = Cut(rows.groupBy("component").agg(first).select("first.doc_id", "first.text_hash", "first.n"))
+    prints.drop()
+    named.drop()
+    same = lambda k: docs.doc_id.cast("long").eqNullSafe(k.doc_id) & (text_hash(docs.text) == k.text_hash)
+    lone, repeated = (kept.df.where(c) for c in ("n = 1", "n > 1"))
+    again = docs.join(repeated, same(repeated), "left_semi").withColumn("_hash", text_hash(F.col("text"))).dropDuplicates(["doc_id", "_hash"]).drop("_hash")
+    return docs.join(lone, same(lone), "left_semi").unionByName(again)

@@ -48,6 +48,33 @@ def test_probes_meet_every_near_pair():
             assert any(less == len(long) - len(short) and starts[i] + shift >= 0 and long[starts[i] + shift :][: starts[i + 1] - starts[i]] == short[starts[i] : starts[i + 1]] for less, i, shift in lines.probes(k))
 
 
+def test_finer_signatures_meet_every_near_pair():
+    rnd = random.Random(9)
+    met = 0
+    for k in (1, 2, 3):
+        for _ in range(500):
+            a = "".join(rnd.choice("abc") for _ in range(rnd.randint(12, 30)))
+            b = list(a)
+            for _ in range(rnd.randint(0, k)):
+                at = rnd.randrange(len(b))
+                b[at : at + rnd.randint(0, 1)] = rnd.choice(["", "x"])
+            b = "".join(b)
+            if distance(a, b) > k:
+                continue
+            long, short = (a, b) if len(a) >= len(b) else (b, a)
+
+            def shares(less, i, shift):
+                start, size = lines._parts(len(short), k + 1)[i]
+                if start + shift < 0 or long[start + shift : start + shift + size] != short[start : start + size]:
+                    return False
+                looked_up = {w for of, w in lines.finer(short, 0, i, 0, k) if of}
+                return bool(looked_up & {w for _, w in lines.finer(long, less, i, shift, k)})
+
+            assert any(shares(*x) for x in lines.probes(k) if x[0] == len(long) - len(short))
+            met += 1
+    assert met > 1000
+
+
 @pytest.mark.parametrize("pairs_up_to", [48, 2])
 def test_lines_against_brute_force(spark, monkeypatch, pairs_up_to):
     monkeypatch.setattr(lines, "PAIRS_UP_TO", pairs_up_to)
@@ -64,7 +91,7 @@ def test_lines_against_brute_force(spark, monkeypatch, pairs_up_to):
     rows = [(i, "\n".join(edited(rnd.choice(base), rnd.choice([0, 1, 2, 3])) if rnd.random() < 0.7 else prose(100 + i * 10 + k, 10) for k in range(4)) + "\nshort\nshort") for i in range(40)]
     rows += [rows[3], *AWKWARD]
     got = {(r.doc_id, r.text): r for r in lines.dedup(documents(spark, rows), edits=2, least_chars=40).collect()}
-    kept_lines = [(i, k, x.strip(" ").lower()) for i, t in sorted({r for r in rows if r[0] is not None and r[1] is not None}) for k, x in enumerate(t.split("\n")) if len(x.strip(" ")) >= 40]
+    kept_lines = [(i, k, x.strip(" ").lower()) for i, t in sorted({r for r in rows if r[1] is not None}, key=lambda r: (r[0] is None, r[0])) for k, x in enumerate(t.split("\n")) if len(x.strip(" ")) >= 40]
     texts = sorted({x for _, _, x in kept_lines})
     classes = groups(range(len(texts)), lambda a, b: abs(len(texts[a]) - len(texts[b])) <= 2 and len(texts[a]) < 1000 and distance(texts[a], texts[b]) <= 2)
     of, seen, gone = {t: classes[i] for i, t in enumerate(texts)}, set(), {}
@@ -139,11 +166,11 @@ def test_masks_cover_every_pair_in_the_radius():
 def test_components(spark):
     rnd = random.Random(5)
     pairs = [(i, i + 1) for i in range(100, 140)] + [(rnd.randrange(60), rnd.randrange(60)) for _ in range(45)] + [(200, i) for i in range(201, 260)] + [(7, None), (8, 8)]
-    got = {r.node: r.component for r in components(spark.createDataFrame(pairs, "u long, v long")).collect()}
+    got = {r.node: r.component for r in components(spark.createDataFrame(pairs, "u long, v long")).df.collect()}
     real = {frozenset(p) for p in pairs if None not in p and p[0] != p[1]}
     want = groups(sorted({x for p in real for x in p}), lambda a, b: frozenset((a, b)) in real)
     assert got == want
-    assert components(spark.createDataFrame([], "u long, v long")).count() == 0
+    assert components(spark.createDataFrame([], "u long, v long")).df.count() == 0
 
 
 @pytest.mark.parametrize("hot", [200_000, 1])
@@ -173,3 +200,38 @@ def test_vectors_against_brute_force(spark, monkeypatch, hot):
         assert got[i].component_id == want.get(i, i)
     assert sum(r.n_links for r in got.values()) > 100 and got[908].n_links == 1
     assert embeddings.near_duplicates(df.limit(0)).count() == 0
+
+
+def test_vectors_with_repeated_ids_and_extreme_lengths(spark):
+    rows = [(1, [1.0, 0.0, 0.0], 7), (1, [0.0, 1.0, 0.0], 7), (2, [1.0, 0.01, 0.0], 7), (3, [1e200, 1e198, 0.0], 8), (4, [1e-200, 1e-202, 0.0], 8), (5, [0.0, 1e300, 0.0], 8), (6, [-1e-300, 0.0, 0.0], 8)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = sorted((r.vec_id, r.n_links, r.component_id) for r in embeddings.near_duplicates(df, cosine=0.98).collect())
+    assert got == [(1, 0, 1), (1, 1, 1), (2, 1, 1), (3, 1, 3), (4, 1, 3), (5, 0, 5), (6, 0, 6)]
+
+
+def test_lines_of_rows_that_share_an_id_or_have_none(spark):
+    same = "this line is in several rows of the corpus"
+    rows = [(0, same), (5, same), (5, "a different line that no other row has at all"), (None, same), (None, "one more line that is found nowhere else, so it stays"), (None, None)]
+    got = sorted(((r.doc_id, r.text, r.n_removed) for r in lines.dedup(documents(spark, rows), edits=2).collect()), key=str)
+    assert got == sorted([(0, same, 0), (5, "", 1), (5, rows[2][1], 0), (None, "", 1), (None, rows[4][1], 0), (None, None, 0)], key=str)
+    wide = documents(spark, rows).withColumnsRenamed({"h": "gone", "rep": "n_lines"})
+    assert sum(r.n_lines for r in lines.dedup(wide, edits=2).collect()) == 5
+
+
+def test_lines_with_a_hot_segment(spark, monkeypatch):
+    """Many lines share their beginning and end: near ones are still found, and only those."""
+    monkeypatch.setattr(lines, "PAIRS_UP_TO", 3)
+    rnd = random.Random(6)
+    some = ["the same beginning of a line " + "".join(rnd.choice("abcd") for _ in range(rnd.choice([14, 15]))) + " and the end of all lines" for _ in range(60)]
+    some += [x[: (at := rnd.randrange(20, 50))] + rnd.choice(["", "z"]) + x[at + rnd.randint(0, 1) :] for x in some[:40]]
+    rows = list(enumerate(dict.fromkeys(some)))
+    got = {r.doc_id: r.n_removed for r in lines.dedup(documents(spark, rows), edits=2).collect()}
+    want = groups(range(len(rows)), lambda a, b: distance(rows[a][1], rows[b][1]) <= 2)
+    assert got == {i: int(want[i] != i) for i, _ in rows} and sum(got.values()) > 20
+
+
+def test_one_row_of_each_component_stays(spark):
+    long = prose(3, 80)
+    rows = [(7, long), (7, prose(8, 80)), (9, long), (None, long), (None, prose(12, 60)), (None, prose(12, 60)), (4, prose(20, 50)), (4, prose(20, 50)), (11, None), (12, "")]
+    got = sorted(((r.doc_id, r.text) for r in simhash.first_of_each(documents(spark, rows)).collect()), key=str)
+    assert got == sorted([(7, long), (7, rows[1][1]), (None, rows[4][1]), (4, rows[6][1]), (11, None)], key=str)
