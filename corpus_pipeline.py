@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logloom.llm import decontaminate, lines, packing, simhash, toxicity
-from logloom.llm.common import Cut, table
+from logloom.llm.common import Cut, table, text_hash
 
 #: The tokenizer's file; it must be at this place on every executor.
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -30,17 +30,17 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group linked by SimHashes within 3 bits the document with the smallest id; rows without an id
-    are left alone. README has the recall by similarity: most near copies below 0.95 are not linked."""
-    kept = simhash.classes(docs, words=3, radius=3).where("doc_id = component_id").select("doc_id").distinct()
-    one = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return one.unionByName(docs.where("doc_id is null")).select(*docs.columns)
+    """Of each group linked by SimHashes within 3 bits the document with the smallest id; rows without an id come
+    last, and rows that share an id are told apart by their text. README has the recall by similarity: most
+    near copies below 0.95 are not linked."""
+    return simhash.first_of_each(docs, words=3, radius=3).select(*docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
-    held = decontaminate.contaminated(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
-    return docs.join(held, "doc_id", "left_anti").select(*docs.columns)
+    """Documents whose text holds no benchmark item, whatever their ids."""
+    texts = docs.select(text_hash(F.col("text")).alias("doc_id"), "text")
+    held = decontaminate.contaminated(texts, table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias("_held")).distinct()
+    return docs.join(held, text_hash(docs.text) == F.col("_held"), "left_anti").select(*docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
