@@ -1,13 +1,19 @@
 """Personal data by patterns and a skip-chain conditional random field.
 
-Four patterns give the base spans. Other number groups and address-like tokens are candidates: with the
-base spans they are the nodes of a random field over each document. Neighbouring nodes are joined, and so
-are distant ones that repeat the same digits or address, or begin alike; these skip edges let a sure
-place lend its label to unsure ones. Base spans are observed. Loopy belief propagation gives each
-candidate a distribution over the kinds and "none"; sure ones are added.
+Four patterns give the base spans. Other places that could be personal data are candidates: number groups,
+addresses written to escape patterns, and long keys. With the base spans they are the nodes of a random
+field over each document. Neighbouring nodes are joined. Nodes that repeat the same digits, address or key,
+and nodes that begin alike or share a domain, are each joined with a node that stands for their group, so
+that all of a group, however distant, share potentials, with as many edges as nodes. Base spans are
+observed. Loopy belief propagation gives each candidate a distribution over the kinds and "none"; sure ones
+are added.
 
 Node weights are a softmax regression on signs of form and context, edge potentials the log odds of label
-pairs; both are learned from counts over all documents, with the base spans as labels.
+pairs. Both are learned from counts over all documents, under labels that the patterns alone don't give:
+base spans teach once as they stand and once in each form that people use to hide or shorten them (the
+field never sees a pattern's own check), and a key is a secret where the words before it say so. All other
+candidates teach "none", among them those that really are personal data; the field is right as long as
+these are fewer than what the hidden forms teach.
 """
 
 from __future__ import annotations
@@ -22,24 +28,27 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-KINDS = ("email", "ip", "card", "phone")
-NONE = len(KINDS)
-LOCAL = re.compile(r"[A-Za-z0-9._%+-]*\Z")
+KINDS = ("email", "ip", "card", "phone", "secret")
+BASE, SECRET, NONE = 4, 4, len(KINDS)
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
-ANY = re.compile(r"[0-9@]|[\[(]at[\])]")
-NUMBER = re.compile(r"(?<![\w.+-])[+(]{0,2}[0-9](?:[ ().-]{0,2}[0-9]){6,}(?!\w)")
-MARK = re.compile(r"@|[\[(]at[\])]")
+ANY = re.compile(r"[0-9@]|[\[(]at[\])]", re.I)
+NUMBER = re.compile(r"(?<![\w.+-])[+(]{0,2}[0-9](?:[ ().\[\]-]{0,3}[0-9]){6,}(?!\w)")
+DOTTED = re.compile(r"(?<![\w.])[0-9]{1,3}(?: ?[\[(]?\.[\])]? ?[0-9]{1,3}){3}(?![\w.])")
+MARK = re.compile(r"@|[\[(]at[\])]", re.I)
+HIDDEN = re.compile(r"[A-Za-z0-9._%+-]{1,64} ?[\[(]at[\])] ?[A-Za-z0-9-]{1,63}(?:(?:\.| ?[\[(]dot[\])] ?)[A-Za-z0-9-]{1,63})+", re.I)
+KEY = re.compile(r"(?<![\w+/=.@-])(?=[^\s\"']{0,64}[0-9])(?=[^\s\"']{0,64}[A-Za-z])[A-Za-z0-9_+/=-]{20,}(?![\w@.])")
 # Words that announce a kind.
 CUES = {
     "email": frozenset("email e-mail mail mailto contact write correo courriel".split()),
     "ip": frozenset("ip address host server ping addr client".split()),
     "card": frozenset("card credit visa mastercard amex payment debit karte carte tarjeta".split()),
     "phone": frozenset("phone tel telephone call mobile fax cell telefon teléfono téléphone".split()),
+    "secret": frozenset("token key secret password passwd apikey api_key access_key credential bearer auth".split()),
 }
-SIGNS = 20
+SIGNS = 24
 NEIGHBOUR, REPEAT, ALIKE = range(3)
 
 
@@ -68,7 +77,7 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     if not ANY.search(text):
         return []
     out = [(s, 0, e) for s, e in emails(text)]
-    out += [(m.start(), 1, m.end()) for m in IP.finditer(text) if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m[0].split("."))]
+    out += [(m.start(), 1, m.end()) for m in IP.finditer(text) if all(len(n := p.lstrip("0")) <= 3 and int(n or 0) <= 255 for p in m[0].split("."))]
     for m in CARD.finditer(text):
         if 14 <= len(m[0]) and 14 <= len(d := m[0].replace(" ", "").replace("-", "")) <= 19 and luhn(d):
             out.append((m.start(), 2, m.end()))
@@ -77,10 +86,11 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
-    """Other places worth a node: groups of seven digits or more, and address-like tokens, clear of base spans."""
+    """Other places worth a node, clear of base spans: groups of seven digits or more, dotted groups, keys, and
+    address-like tokens."""
     if not ANY.search(text):
         return []
-    found = [m.span() for m in NUMBER.finditer(text)]
+    found = [m.span() for kind in (NUMBER, DOTTED, KEY) for m in kind.finditer(text)]
     for m in MARK.finditer(text):
         start, end = m.span()
         while start > 0 and m.start() - start < 64 and not text[start - 1].isspace():
@@ -91,9 +101,11 @@ def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, i
             end -= 1
         if start < m.start() and end > m.end():
             found.append((start, end))
+        elif m[0] != "@" and (h := HIDDEN.search(text, max(0, m.start() - 65), min(len(text), m.end() + 255))) and h.start() < m.start() < h.end():
+            found.append(h.span())
     out, taken, i = [], 0, 0
     ends = 0
-    for start, end in sorted(set(found)):
+    for start, end in sorted(set(found), key=lambda x: (x[0], -x[1])):
         while i < len(base) and base[i][0] < end:
             ends = max(ends, base[i][2])
             i += 1
@@ -103,47 +115,82 @@ def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, i
     return out
 
 
-def signs(text: str, start: int, end: int) -> int:
-    """The node's features, as bits: its form and the words before it, not what the patterns check."""
-    s = text[start:end]
-    digits = sum(c in "0123456789" for c in s)
-    before = text[max(0, start - 40) : start].lower().split()[-3:]
-    words = {w.strip(".,:;()[]\"'=#") for w in before}
+def signs(form: str, before: str) -> int:
+    """A node's features, as bits: its form and the words before it, not what the patterns check."""
+    digits = sum(c in "0123456789" for c in form)
+    words = {w.strip(".,:;()[]\"'=#") for w in before.lower().split()[-3:]}
+    parts = re.split(r" ?[\[(]?\.[\])]? ?", form)
+    at = before.rstrip(" \"'")
     bits = [
-        True, "@" in s, bool(MARK.search(s)) and "@" not in s, digits == 0, 1 <= digits <= 9, 10 <= digits <= 13, 14 <= digits <= 19, digits > 19,
-        s[:1] == "+", "(" in s, s.count(".") == 3 and digits <= 12, " " in s, "-" in s, "." in s, s.isdigit(),
-        *(bool(words & CUES[k]) for k in KINDS), bool(re.search(r"[^\W\d_]", s)),
+        True, "@" in form, bool(MARK.search(form)) and "@" not in form, digits == 0, 1 <= digits <= 9, 10 <= digits <= 13, 14 <= digits <= 19, digits > 19,
+        form[:1] == "+", "(" in form, len(parts) == 4 and all(x.isdigit() and len(x) < 4 for x in parts), " " in form, "-" in form, "." in form, form.isdigit(),
+        *(bool(words & CUES[k]) for k in KINDS), bool(re.search(r"[^\W\d_]", form)), bool(KEY.fullmatch(form)), bool(re.fullmatch("[0-9A-Fa-f]+", form)), at[-1:] in ("=", ":"),
     ]
     return sum(1 << i for i, b in enumerate(bits) if b)
 
 
+def hidden_forms(form: str, kind: int) -> list[str]:
+    """How else a base span of the kind is written: addresses with words for signs, phones without the country,
+    dotted groups with room or brackets. Cards have no other form but their digits."""
+    if kind == 0:
+        name, _, domain = form.rpartition("@")
+        return [f"{name}[at]{domain}", f"{name} (at) {domain.replace('.', ' (dot) ')}"]
+    if kind == 1:
+        return [form.replace(".", " . "), form.replace(".", "[.]")]
+    if kind == 3:
+        short = re.sub(r"^\+[0-9]{1,3}[ .-]*", "", form)
+        return [short, re.sub(r"[^0-9]+", "-", short).strip("-"), re.sub(r"[^0-9]", "", short)]
+    return []
+
+
 @dataclass
 class Graph:
-    """Nodes and edges of one document."""
+    """Nodes and edges of one document. The last nodes stand for groups of others."""
 
-    nodes: list[tuple[int, int, int, int]]  # start, end, features, base kind or -1
-    edges: list[tuple[int, int, int]]  # node, earlier node, type
+    nodes: list[tuple[int, int, int, int]]  # start, end, features, base kind or -1; of a group -1, -1, 0, -1
+    edges: list[tuple[int, int, int]]  # node, neighbour or group, type
 
 
 def graph(text: str, base: list[tuple[int, int, int]]) -> Graph:
     places = sorted([(s, e, k) for s, k, e in base] + [(s, e, -1) for s, e in candidates(text, base)])
-    nodes = [(s, e, signs(text, s, e), k) for s, e, k in places]
-    edges: list[tuple[int, int, int]] = []
-    last: dict[tuple, int] = {}
+    nodes = [(s, e, signs(text[s:e], text[max(0, s - 40) : s]), k) for s, e, k in places]
+    edges = [(i, i - 1, NEIGHBOUR) for i in range(1, len(nodes))]
+    same: dict[str, list[int]] = {}
     for i, (s, e, _, _) in enumerate(nodes):
-        if i:
-            edges.append((i, i - 1, NEIGHBOUR))
-        form = text[s:e].lower()
-        digits = "".join(c for c in form if c in "0123456789")
-        same = (REPEAT, form if "@" in form else digits or form)
-        alike = (ALIKE, form.rpartition("@")[2] if "@" in form else digits[:6], "@" in form)
-        for key in (same, alike):
-            if key in last and (key is same or last[key] != last.get(same, -1)):
-                edges.append((i, last[key], key[0]))
-        last[same] = last[alike] = i
+        form = re.sub(r" ?[\[(](at|dot)[\])] ?", lambda m: "@" if m[1] == "at" else ".", text[s:e].lower())
+        same.setdefault(form if re.search("[@a-z]", form) else "".join(c for c in form if c in "0123456789")[-10:], []).append(i)
+    alike: dict[str, list[int]] = {}
+    for form, some in same.items():
+        first = some[0]
+        if len(some) > 1:
+            first = len(nodes)
+            edges += [(i, first, REPEAT) for i in some]
+            nodes.append((-1, -1, 0, -1))
+        alike.setdefault(form.rpartition("@")[2] if "@" in form else form[:6], []).append(first)
+    for some in alike.values():  # each form takes part once, so that few loops arise
+        if len(some) > 1:
+            edges += [(i, len(nodes), ALIKE) for i in some]
+            nodes.append((-1, -1, 0, -1))
     return Graph(nodes, edges)
 
 
+def taught(g: Graph) -> list[int]:
+    """The labels that nodes teach: base kinds, keys that are announced as secrets, what repeats one of these,
+    else none; a group's is the most frequent kind of its nodes, if any has one."""
+    secret = 1 << 15 + SECRET | 1 << 21
+    of = [k if k >= 0 else SECRET if bits & secret == secret else NONE for _, _, bits, k in g.nodes]
+    kinds: dict[int, list[int]] = {}
+    for i, hub, kind in g.edges:  # of a node before its group
+        if kind != NEIGHBOUR:
+            some = kinds.setdefault(hub, [])
+            some += [of[i]] if of[i] != NONE else []
+            of[hub] = max(sorted(set(some)), key=some.count) if some else NONE
+    for i, hub, kind in g.edges:
+        if kind == REPEAT and of[i] == NONE:
+            of[i] = of[hub]
+    return of
+
+
 @dataclass
 class Field:
     """node: signs x labels weights; edge: type x label x label potentials."""
@@ -192,8 +239,11 @@ def _counts(docs: DataFrame) -> DataFrame:
                 if not ANY.search(text):
                     continue
                 g = graph(text, base_spans(text))
-                of = [n[3] if n[3] >= 0 else NONE for n in g.nodes]
-                for key in [(-1, n[2], y) for n, y in zip(g.nodes, of)] + [(t, of[i], of[j]) for i, j, t in g.edges]:
+                of = taught(g)
+                keys = [(-1, bits, y) for (s, _, bits, _), y in zip(g.nodes, of) if s >= 0] + [(t, of[i], of[j]) for i, j, t in g.edges]
+                for s, e, _, k in g.nodes:
+                    keys += [(-1, signs(x, text[max(0, s - 40) : s]), k) for x in hidden_forms(text[s:e], k)]
+                for key in keys:
                     counts[key] = counts.get(key, 0) + 1
         if counts:
             yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in zip(*counts)), pa.array(list(counts.values()), pa.int64())], ["what", "a", "b", "n"])
@@ -203,7 +253,7 @@ def _counts(docs: DataFrame) -> DataFrame:
 
 
 def fit(docs: DataFrame, steps: int = 400, ridge: float = 1e-3, most: float = 3.0) -> Field:
-    """Learns from all documents. What reaches the driver are counts by feature bits and by label pairs."""
+    """Learns from all documents, as `taught` and `hidden_forms` label them. What reaches the driver are counts by feature bits and by label pairs."""
     rows = _counts(docs).toPandas()
     nodes = rows[rows.what == -1]
     x = (nodes.a.to_numpy(np.int64)[:, None] >> np.arange(SIGNS) & 1).astype(float)
@@ -221,7 +271,7 @@ def fit(docs: DataFrame, steps: int = 400, ridge: float = 1e-3, most: float = 3.
         weights += 0.5 * slope / np.sqrt(scale)
     edge = np.zeros((3, NONE + 1, NONE + 1))
     for t in range(3):
-        c = np.full((NONE + 1, NONE + 1), 0.5)
+        c = np.full((NONE + 1, NONE + 1), 0.5) + (2 * np.eye(NONE + 1) if t != NEIGHBOUR else 0)  # groups agree until more is known
         for r in rows[rows.what == t].itertuples():
             c[r.a, r.b] += r.n / 2
             c[r.b, r.a] += r.n / 2
@@ -245,7 +295,7 @@ def find(docs: DataFrame, field: Field, sure: float = 0.8) -> DataFrame:
             found = []
             for (start, end, _, base), q in zip(g.nodes, p):
                 best = base if base >= 0 else int(q[:NONE].argmax())
-                if base >= 0 or q[best] >= sure:
+                if start >= 0 and (base >= 0 or q[best] >= sure):
                     found.append((start, best, {"kind": KINDS[best], "start": start, "end": end, "base": base >= 0, "p": float(q[best])}))
             out.append([x[2] for x in sorted(found, key=lambda x: x[:2])])
         return out
@@ -261,9 +311,9 @@ def find(docs: DataFrame, field: Field, sure: float = 0.8) -> DataFrame:
 
 
 def digest(found: DataFrame) -> DataFrame:
-    """Counts of the base spans by kind, a hash of them, and all spans as kind:start:end."""
+    """Counts of the base spans by kind, a hash of them, all spans as kind:start:end, and how many those are."""
     listed = lambda s: F.array_join(F.transform(s, lambda x: F.concat_ws(":", x.kind, x.start.cast("string"), x.end.cast("string"))), ",")
     base = F.filter("spans", lambda x: x.base)
     of = lambda kind: F.size(F.filter(base, lambda x: x.kind == kind)).cast("long")
-    counts = [of(k).alias(f"n_{k}") for k in KINDS]
-    return found.select("doc_id", *counts, F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
+    counts = [of(k).alias(f"n_{k}") for k in KINDS[:BASE]]
+    return found.select("doc_id", *counts, F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"), F.size("spans").cast("long").alias("n_spans"))
