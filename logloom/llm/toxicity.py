@@ -1,10 +1,10 @@
 """Toxicity: a weighted lexicon matched by Aho-Corasick on folded text, normalised by length.
 
 Folding lower-cases, maps look-alike letters of other scripts to Latin ones and undoes digits and signs
-used as letters inside words. The lexicon is learned from labelled rows: beginnings of words (and whole
+used as letters inside words and at their edges. The lexicon is learned from labelled rows: beginnings of words (and whole
 words) that are far more frequent in toxic texts, each weighted by its log odds. A word counts with its
-longest known beginning, so a whole word that clean texts use is an exception to a shorter beginning;
-phrases can be exceptions too. The sum of weights, as such and per word, goes through a logistic curve
+longest known beginning, so a whole word that clean texts use is an exception to a shorter beginning. Pairs
+of words, one of the lexicon, that clean texts rather than toxic ones hold are exceptions too. The sum of weights, as such and per word, goes through a logistic curve
 fitted on a bounded sample of labelled rows, shifted so that the best cut falls at the threshold.
 """
 
@@ -30,12 +30,13 @@ HOMOGLYPHS = str.maketrans({
 })
 # Digits and signs that stand for letters inside words.
 SUBSTITUTES = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "@": "a", "$": "s", "!": "i"}
-# Harmless phrases that hold a word of the lexicon.
+# Harmless phrases, besides those that are learned.
 EXCEPTIONS = ("trash can", "trash bin", "trash bag", "trash collection", "clown fish", "pond scum", "class clown", "sore loser", "loser of the match", "loser bracket")
 
 WORD = re.compile(r"[^\W\d_]+")
 LOOK_ALIKE = re.compile("[\u0370-\u03ff\u0400-\u052f\uff01-\uff5e\u200b-\u200d\u00ad]")
-INSIDE = re.compile(r"(?<=[^\W\d_])[0134578@$!]+(?=[^\W\d_])")
+#: Inside a word any of these is a letter; at its edges a mark of exclamation is not.
+INSIDE = re.compile(r"(?<=[^\W\d_])[0134578@$!]+(?=[^\W\d_])|(?<![\w@$])[0134578@$]+(?=[^\W\d_])|(?<=[^\W\d_])[0134578@$]+(?![\w@$.])")
 WIDE = {c: c - 0xFEE0 for c in range(0xFF01, 0xFF5F)} | dict.fromkeys((0x200B, 0x200C, 0x200D, 0xAD))
 LONGEST = 16
 
@@ -44,7 +45,7 @@ def fold(text: str | None) -> str:
     text = (text or "").lower()
     if LOOK_ALIKE.search(text):
         text = text.translate(WIDE).lower().translate(HOMOGLYPHS)
-    return INSIDE.sub(lambda m: "".join(SUBSTITUTES[c] for c in m[0]), text)
+    return INSIDE.sub(lambda m: "".join(SUBSTITUTES[c] for c in m[0]), " ".join(text.split()))
 
 
 def beginnings(word: str, shortest: int) -> list[str]:
@@ -98,7 +99,8 @@ class Lexicon:
                 if at and folded[at - 1].isalpha():
                     continue
                 if phrase:
-                    spared.update(range(at, end + 1))
+                    if not folded[end + 1 : end + 2].isalpha():
+                        spared.update(range(at, end + 1))
                 else:
                     starts.add(at)
         hits = [w for at in starts - spared if (w := self.weight(WORD.match(folded, at)[0]))]
@@ -124,6 +126,26 @@ def _word_counts(rows: DataFrame) -> DataFrame:
     return rows.select("text", "label").mapInArrow(each, "word string, bad long, good long").groupBy("word").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
 
 
+def _pairs(rows: DataFrame, lexicon: Lexicon) -> DataFrame:
+    """phrase, bad, good: how often words of the lexicon stand beside each other word, by label."""
+
+    def phrases(text: str | None) -> Iterator[str]:
+        words = fold(text).split(" ")
+        for left, right in zip(words, words[1:]):
+            if left.isalpha() and (m := WORD.match(right)) and (lexicon.weight(left) or lexicon.weight(m[0])):
+                yield f"{left} {m[0]}"
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            counts: dict[int, Counter] = defaultdict(Counter)
+            for text, label in zip(b.column(0), b.column(1).to_pylist()):
+                counts[label].update(phrases(text.as_py()))
+            some = list(counts[0] | counts[1])
+            yield pa.RecordBatch.from_arrays([pa.array(some, pa.string()), *(pa.array([counts[k][w] for w in some], pa.int64()) for k in (1, 0))], ["phrase", "bad", "good"])
+
+    return rows.select("text", "label").mapInArrow(each, "phrase string, bad long, good long").groupBy("phrase").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
+
+
 def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
     """Newton's method for a logistic regression with a small ridge."""
     x = np.column_stack([np.ones(len(x)), x])
@@ -159,8 +181,9 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = 40_000, entries: int =
     A bounded sample of `sample` labelled rows is used, so the ids are broadcast and texts not shuffled.
     It gives the lexicon: at most `entries` beginnings, those with the highest likelihood
     ratio among those seen `least` times in toxic texts, with log odds of `odds` and a ratio of
-    `strength` or more; whole words of lower odds under them come along as exceptions. The
-    same sample fits the curve. Labels that are null or other, and rows without text, teach nothing; an id
+    `strength` or more; whole words of lower odds under them come along as exceptions, and at most `entries`
+    pairs of a word of the lexicon and its neighbour that `least` places in clean texts hold, and clean texts
+    rather than toxic ones. The same sample fits the curve. Labels that are null or other, and rows without text, teach nothing; an id
     with both labels counts as 1. With no rows: an empty lexicon, under which all texts score alike.
     """
     chosen = F.broadcast(sample_labels(labels, sample))
@@ -189,6 +212,9 @@ def _fit(rows: DataFrame, entries: int, least: int, odds: float, strength: float
     under = clean.withColumn("head", F.explode(F.transform(F.sequence(F.lit(shortest), F.greatest(F.lit(shortest), F.least(F.length("part") - 1, F.lit(LONGEST)))), lambda n: F.substring("part", F.lit(1), n))))
     found |= {r.part: r.w for r in under.join(F.broadcast(heads), "head").select("part", "w").distinct().orderBy("w", "part").limit(entries).collect()}
     lexicon = Lexicon(found, exceptions, shortest)
+    pairs = _pairs(rows, lexicon).where(F.col("good") >= least).where((F.col("good") + 0.5) / good_all > (F.col("bad") + 0.5) / bad_all)
+    learned = [r.phrase for r in pairs.orderBy(F.desc("good"), "phrase").limit(entries).collect()]
+    lexicon = Lexicon(found, tuple(dict.fromkeys([*exceptions, *learned])), shortest)
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

@@ -174,6 +174,42 @@ def test_toxicity(spark):
     assert nothing.weights == {} and toxicity.score(documents(spark, []), nothing).count() == 0
 
 
+def plain_features(lexicon, text):
+    """Word by word, without an automaton."""
+    folded = toxicity.fold(text)
+    spared = {i for p in lexicon.exceptions for m in re.finditer(rf"(?<![^\W\d_]){re.escape(p)}(?![^\W\d_])", folded) for i in range(*m.span())}
+    total = hits = 0
+    for m in re.finditer(r"[^\W\d_]+", folded):
+        best = max((e for e in lexicon.weights if (m[0] == e[:-1] if e.endswith("|") else m[0].startswith(e))), key=lambda e: (len(e.rstrip("|")), e.endswith("|")), default=None)
+        if best and m.start() not in spared and lexicon.weights[best] > 0:
+            total, hits = total + lexicon.weights[best], hits + 1
+    return math.log1p(total), math.log1p(100 * total / max(1, len(folded.split()))), math.log1p(hits)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from(["trash", "trashy", "can", "cannot", "you", "$tupid", "stupid!", "stup1d", "стuрid", "loser", "losers", "lose", "0ld", "as$", "x.", ","]), max_size=12), st.sampled_from([" ", "  ", "\n"]))
+def test_scores_against_plain_matching(words, between):
+    lexicon = toxicity.Lexicon({"tras": 3.0, "trash|": 2.0, "stup": 4.0, "lose": 1.5, "lose|": -1.0, "losers|": 0.5}, ("trash can", "you loser"))
+    text = between.join(words)
+    assert np.allclose(lexicon.features(text), plain_features(lexicon, text))
+
+
+def test_edges_of_words():
+    lexicon = toxicity.Lexicon({"trash": 5.0, "stupid": 5.0}, toxicity.EXCEPTIONS)
+    assert lexicon.features("you are trash cannot you see")[2] > 0 and lexicon.features("the trash can.")[2] == lexicon.features("the trash\ncan")[2] == 0
+    assert lexicon.features("$tupid")[2] == lexicon.features("5tupid!")[2] == lexicon.features("stupid")[2] > 0
+    assert toxicity.fold("Wow! At 10$ it is 50% off: 3.5") == "wow! at 10$ it is 50% off: 3.5"
+
+
+def test_exceptions_are_learned(spark):
+    rows = [(i, f"{prose(i, 30)} {'vilewort you vilewort' if i % 5 == 0 else 'a vilewort garden' if i % 5 < 3 else ''} {prose(900 + i, 20)}") for i in range(400)]
+    labels = spark.createDataFrame([(i, int(i % 5 == 0)) for i, _ in rows], "doc_id long, label int")
+    lexicon = toxicity.fit(documents(spark, rows), labels, odds=0.5, strength=5.0)
+    assert "vilewort garden" in lexicon.exceptions and "you vilewort" not in lexicon.exceptions
+    got = {r.doc_id: r.predicted for r in toxicity.score(documents(spark, rows), lexicon).collect()}
+    assert got == {i: int(i % 5 == 0) for i, _ in rows}
+
+
 def code_length(counts: dict, text: bytes) -> float:
     """PPM without any tables: counts by context and byte."""
     bits, padded = 0.0, b"\n\n\n" + text
