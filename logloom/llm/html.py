@@ -5,13 +5,18 @@ paragraphs, list items, cells and options, ignores end tags that open nothing, a
 and other raw elements as data. The renderer walks the tree and emits all visible text: blocks on lines
 of their own with a blank line around paragraphs and headings, list items with their mark and depth,
 cells of a table in aligned columns, preformatted text as it stands. What is hidden by its tag, the
-hidden or aria-hidden attribute or an inline style is left out.
+hidden or aria-hidden attribute, an inline style or a rule of a style element is left out; what is made
+visible again within it is shown.
+
+Time and memory grow with the page alone: open elements are found by their depth, list numbers and nesting
+are counted on the way.
 """
 
 from __future__ import annotations
 
 import html as entities
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -23,7 +28,7 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 RAW = frozenset("script style textarea title noscript iframe noembed noframes xmp template".split())
 #: All else, and text that is not blank, ends an open head.
 IN_HEAD = frozenset("html head base basefont bgsound link meta noframes noscript script style template title".split())
-UNSEEN = frozenset("head script style noscript template title meta link iframe noembed noframes object canvas audio video datalist map defs desc metadata symbol annotation annotation-xml".split())
+UNSEEN = frozenset("head script style noscript template title meta link iframe noembed noframes canvas audio video datalist map defs desc metadata symbol annotation annotation-xml".split())
 SPACED = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl table pre xmp blockquote figure".split())
 BLOCK = SPACED | frozenset("html body div section article aside header footer nav main form fieldset address li dt dd tr caption hr details summary figcaption legend menu center dir hgroup search dialog thead tbody tfoot".split())
 #: An opening tag closes these, up to the nearest of the bounds.
@@ -42,57 +47,64 @@ CLOSES = {
 }
 MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)", re.S)
 ATTRIBUTE = re.compile(r"([^\s=/\"'<>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
-HIDING = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
 SPACE = re.compile(r"[ \t\n\r\f]+")
-WIDEST = 60  # a table whose cells are wider, or hold blocks, is shown cell by cell
+LISTS = frozenset(("ul", "ol", "menu", "dir"))
+#: End tags of other elements end nothing outside of the nearest of these.
+SCOPES = ("td", "th", "caption", "table")
+IN_TABLE = frozenset("table caption colgroup thead tbody tfoot tr td th html body".split())
+WIDEST = 60  # a column is padded to so many characters; longer cells push the next ones on
+DEEPEST = 80  # lines are indented so far at most
+# The largest spans that browsers take.
+COLUMNS, ROWS = 1000, 65534
 
 
 class Node:
-    __slots__ = ("tag", "attrs", "children", "parent")
+    """An element; `nested` says of a table that it holds another one."""
+
+    __slots__ = ("tag", "attrs", "children", "nested", "known")
 
-    def __init__(self, tag: str, attrs: str = "", parent: Node | None = None):
-        self.tag, self.attrs, self.parent = tag, attrs, parent
+    def __init__(self, tag: str, attrs: str = ""):
+        self.tag, self.attrs = tag, attrs
         self.children: list[Node | str] = []
+        self.nested = False
+        self.known: dict[str, str] | None = None
 
     def get(self, name: str) -> str | None:
-        for m in ATTRIBUTE.finditer(self.attrs):
-            if m[1].lower() == name:
-                return entities.unescape(m[2] or m[3] or m[4] or "")
-        return None
-
-    def hidden(self) -> bool:
-        if self.tag in UNSEEN or self.tag == "input":
-            return True
-        if self.tag == "dialog" and self.get("open") is None:
-            return True
-        if not self.attrs.strip(" /"):
-            return False
-        return self.get("hidden") is not None or (self.get("aria-hidden") or "").lower() == "true" or bool(HIDING.search(self.get("style") or ""))
-
-
-def parse(markup: str) -> Node:
-    """The tree of a page; every text node is a str with entities resolved."""
-    root = at = Node("#root")
-    open_tags: dict[str, int] = {}
+        if self.known is None:
+            self.known = {}
+            for m in ATTRIBUTE.finditer(self.attrs):
+                self.known.setdefault(m[1].lower(), m[2] or m[3] or m[4] or "")
+        value = self.known.get(name)
+        return value if value is None else entities.unescape(value)
+
+    def number(self, name: str, most: int) -> int | None:
+        value = (self.get(name) or "").strip()
+        return min(int(value[:9]), most) if re.fullmatch("[0-9]+", value) else None
+
+
+def parse(markup: str) -> tuple[Node, list[str]]:
+    """The tree of a page and its style sheets; every text node is a str with entities resolved."""
+    root, sheets = Node("#root"), []
+    path = [root]
+    depths: dict[str, list[int]] = {}  # where the open elements of each name stand in the path
     pos, end = 0, len(markup)
 
-    def close(closed: set[str]) -> None:
-        """Ends what is open up to the nearest element of these names."""
-        nonlocal at
-        while True:
-            open_tags[at.tag] -= 1
-            done, at = at.tag in closed, at.parent
-            if done:
-                break
+    def close(depth: int) -> None:
+        """Ends what is open from this depth on."""
+        while len(path) > depth:
+            depths[path.pop().tag].pop()
+
+    def nearest(tags) -> int:
+        return max([depths[t][-1] for t in tags if depths.get(t)], default=0)
 
     while pos < end:
         m = MARKUP.search(markup, pos)
         stop = m.start() if m else end
         if stop > pos:
             text = markup[pos:stop]
-            if open_tags.get("head") and not text.isspace():
-                close({"head"})
-            at.children.append(entities.unescape(text))
+            if depths.get("head") and not text.isspace():
+                close(depths["head"][-1])
+            path[-1].children.append(entities.unescape(text))
         if m is None:
             break
         pos = m.end()
@@ -100,32 +112,26 @@ def parse(markup: str) -> Node:
             continue
         tag = m[2].lower()
         if m[1]:
-            if open_tags.get("head") and tag in ("p", "br"):
-                close({"head"})
-            if tag == "p" and not open_tags.get("p"):
-                at.children.append(Node("p", "", at))  # a lone end of a paragraph is an empty one
-            elif open_tags.get(tag):
-                close({tag})
-            elif tag == "br":
-                at.children.append(Node("br", "", at))
+            if depths.get("head") and tag in ("p", "br"):
+                close(depths["head"][-1])
+            if depths.get(tag) and (tag in IN_TABLE or depths[tag][-1] > nearest(SCOPES)):
+                close(depths[tag][-1])
+            elif tag in ("p", "br"):
+                path[-1].children.append(Node(tag))  # a lone end of a paragraph is an empty one
             continue
-        if open_tags.get("head") and tag not in IN_HEAD:
-            close({"head"})
+        if depths.get("head") and tag not in IN_HEAD:
+            close(depths["head"][-1])
         if tag in CLOSES:
             closed, bounds = CLOSES[tag]
-            if any(map(open_tags.get, closed)):
-                up, last = at, None
-                while up is not root and up.tag not in bounds:
-                    if up.tag in closed:
-                        last = up
-                    up = up.parent
-                while last is not None:
-                    open_tags[at.tag] -= 1
-                    done, at = at is last, at.parent
-                    if done:
-                        break
-        node = Node(tag, m[3], at)
-        at.children.append(node)
+            if some := [depths[t] for t in closed if depths.get(t)]:
+                within = nearest(bounds)
+                first = [d[k] for d in some if (k := bisect_right(d, within)) < len(d)]
+                if first:
+                    close(min(first))
+        node = Node(tag, m[3])
+        path[-1].children.append(node)
+        if tag == "table" and depths.get("table"):
+            path[depths["table"][-1]].nested = True
         if tag in RAW:
             ending = re.compile(rf"</{re.escape(tag)}[\s/>]", re.I).search(markup, pos)
             stop = ending.start() if ending else end
@@ -133,23 +139,78 @@ def parse(markup: str) -> Node:
                 node.children.append(entities.unescape(markup[pos:stop]))
             elif tag == "xmp":
                 node.children.append(markup[pos:stop])
+            elif tag == "style":
+                sheets.append(markup[pos:stop])
             past = markup.find(">", ending.end() - 1) if ending else -1
             pos = past + 1 if past >= 0 else end
         elif tag not in VOID and not m[3].endswith("/"):
-            open_tags[tag] = open_tags.get(tag, 0) + 1
-            at = node
-    return root
+            depths.setdefault(tag, []).append(len(path))
+            path.append(node)
+    return root, sheets
+
+
+COMMENT = re.compile(r"/\*.*?(?:\*/|\Z)", re.S)
+AT_RULE = re.compile(r"@[^{};]*+(?:;|\{(?:[^{}]++|\{[^{}]*+\})*+\}|\Z)")
+RULE = re.compile(r"([^{}]+)\{([^{}]*)\}")
+COMPOUND = re.compile(r"(\*|[a-z][\w-]*)?((?:[.#][\w-]+)*)", re.I)
+SHOWN = re.compile(r"(?:^|;)\s*(display|visibility)\s*:\s*([a-z-]+)", re.I)
+
+
+class Styles:
+    """Which elements are shown. Of style sheets the rules for a tag, classes and an id count, by weight and
+    order; other selectors and what stands under a condition are not evaluated."""
+
+    def __init__(self, sheets: list[str]):
+        self.rules: dict[str, list[tuple]] = {}  # by a class, id or tag that the element must have
+        order = 0
+        for sheet in sheets:
+            for m in RULE.finditer(AT_RULE.sub("", COMMENT.sub("", sheet))):
+                says = {k.lower(): v.lower() for k, v in SHOWN.findall(m[2])}
+                for selector in m[1].split(",") if says else ():
+                    if (c := COMPOUND.fullmatch(selector.strip())) and c[0]:
+                        names = re.findall(r"[.#][\w-]+", c[2])
+                        tag = (c[1] or "*").lower()
+                        order += 1
+                        weight = (sum(n[0] == "#" for n in names), len(names), tag != "*", order)
+                        self.rules.setdefault(names[0] if names else tag, []).append((weight, tag, frozenset(names), says))
+
+    def of(self, node: Node) -> tuple[bool, bool | None]:
+        """Whether an element is left out with all that it holds, and its own visibility, if it has one."""
+        tag = node.tag
+        if tag in UNSEEN or tag == "dialog" and node.get("open") is None:
+            return True, None
+        plain = not node.attrs.strip(" /")
+        if plain and not self.rules:
+            return False, None
+        says: dict[str, str] = {}
+        if not plain and node.get("hidden") is not None:
+            says["display"] = "none"
+        if self.rules:
+            names = {"." + c for c in (node.get("class") or "").split()} | ({"#" + i} if (i := node.get("id")) else set())
+            met = [r for key in (*names, tag, "*") for r in self.rules.get(key, ()) if r[1] in ("*", tag) and r[2] <= names]
+            for rule in sorted(met, key=lambda r: r[0]):
+                says |= rule[3]
+        if not plain:
+            if (node.get("aria-hidden") or "").lower() == "true":
+                return True, None
+            says |= {k.lower(): v.lower() for k, v in SHOWN.findall(node.get("style") or "")}
+        visibility = says.get("visibility")
+        return says.get("display") == "none", None if visibility in (None, "inherit") else visibility not in ("hidden", "collapse")
 
 
 class Renderer:
-    """Collects lines; `gap` is how many blank lines must stand before the next text."""
+    """Collects lines; `gap` is how many blank lines must stand before the next text. In a cell line breaks are
+    spaces."""
 
-    def __init__(self):
+    def __init__(self, styles: Styles, visible: bool = True, cell: bool = False):
+        self.styles, self.visible, self.cell = styles, visible, cell
         self.lines: list[str] = []
         self.line: list[str] = []
         self.gap = 0
         self.indent = ""
         self.mark = ""
+        self.lists: list[int | None] = []  # the next number of each open list, if it is an ordered one
+        self.items = 0
 
     def end_line(self, gap: int = 0) -> None:
         text = SPACE.sub(" ", "".join(self.line)).strip(" ")
@@ -165,13 +226,17 @@ class Renderer:
         self.lines.append(self.indent + self.mark + text)
         self.mark = " " * len(self.mark)
 
+    def say(self, text: str) -> None:
+        if self.visible:
+            self.line.append(text)
+
     def text(self) -> str:
         self.end_line()
         return "\n".join(x.rstrip() for x in self.lines)
 
-    def walk(self, top: Node) -> None:
+    def walk(self, nodes: list[Node | str]) -> None:
         """Depth first without recursion: pages may be nested deeply."""
-        todo: list[tuple] = [(self.enter, top)]
+        todo: list[tuple] = [(self.enter, x) for x in reversed(nodes)]
         while todo:
             step, *what = todo.pop()
             more = step(*what)
@@ -180,30 +245,44 @@ class Renderer:
 
     def enter(self, node: Node | str) -> list[tuple] | None:
         if isinstance(node, str):
-            self.line.append(node)
+            self.say(node)
             return None
-        if node.hidden():
+        gone, visible = self.styles.of(node)
+        if gone:
             return None
+        if visible is None or visible == self.visible:
+            return self.show(node)
+        before, self.visible = self.visible, visible
+        return [*(self.show(node) or ()), (self.see, before)]
+
+    def see(self, visible: bool) -> None:
+        self.visible = visible
+
+    def show(self, node: Node) -> list[tuple] | None:
         tag = node.tag
         if tag == "br":
-            self.end_line()
+            if self.cell:
+                self.line.append(" ")
+            else:
+                self.end_line()
         elif tag == "hr":
             self.end_line(1)
         elif tag == "img":
-            self.line.append(node.get("alt") or "")
+            self.say(node.get("alt") or "")
+        elif tag == "input":
+            kind = (node.get("type") or "text").lower()
+            if kind not in ("hidden", "checkbox", "radio", "password", "file", "color", "range"):
+                self.say(f" {node.get('alt' if kind == 'image' else 'value') or node.get('placeholder') or ''} ")
         elif tag in ("pre", "xmp"):
             self.end_line(1)
-            for i, line in enumerate(plain(node).strip("\r\n").splitlines()):
+            for i, line in enumerate(plain(node, self.styles, self.visible).strip("\r\n").splitlines()):
                 self.gap = 0 if i else self.gap
                 self.put(line.rstrip())
             self.end_line(1)
-        elif tag == "table" and (rows := grid(node)):
+        elif tag == "table" and not node.nested and (lines := aligned(node, self.styles, self.visible)) is not None:
             self.end_line(1)
-            if caption := next((c for c in node.children if isinstance(c, Node) and c.tag == "caption" and not c.hidden()), None):
-                self.put(SPACE.sub(" ", plain(caption)).strip())
-            wide = [max(len(r[k]) if k < len(r) else 0 for r in rows) for k in range(max(map(len, rows)))]
-            for r in rows:
-                self.put("  ".join(c.ljust(w) for c, w in zip(r, wide)).rstrip())
+            for line in lines:
+                self.put(line)
             self.end_line(1)
         elif tag in BLOCK:
             return self.block(node, 1 if tag in SPACED else 0)
@@ -217,125 +296,165 @@ class Renderer:
         self.line.append(" ")
 
     def block(self, node: Node, gap: int) -> list[tuple]:
-        indent, mark = self.indent, self.mark
+        indent, mark, tag = self.indent, self.mark, node.tag
         inner, begin = indent, ""
-        if node.tag in ("ul", "ol", "menu", "dir"):
-            gap = 0 if any_above(node, "li") else 1
+        if tag in LISTS:
+            gap = 0 if self.items else 1
             inner = indent + " " * len(mark)
-        elif node.tag == "li":
-            begin = item_mark(node)
-        elif node.tag == "dd":
+        elif tag == "li":
+            begin = self.item_mark(node)
+        elif tag == "dd":
             inner = indent + "    "
-        elif node.tag == "blockquote":
+        elif tag == "blockquote":
             inner = indent + "> "
 
         def start() -> None:
             self.end_line(gap)
-            self.indent = inner
-            if node.tag in ("ul", "ol", "menu", "dir"):
+            self.indent = inner[:DEEPEST]
+            if tag in LISTS:
                 self.mark = ""
+                self.lists.append((int(first) if re.fullmatch("-?[0-9]{1,9}", first := node.get("start") or "") else 1) if tag == "ol" else None)
             elif begin:
                 self.mark = begin
+            self.items += tag == "li"
 
         def stop() -> None:
             self.end_line(gap)
+            if tag in LISTS:
+                self.lists.pop()
+            self.items -= tag == "li"
             self.indent, self.mark = indent, (self.mark if not begin and inner == indent else mark)
 
         return [(start,), *((self.enter, c) for c in node.children), (stop,)]
 
-
-def any_above(node: Node, tag: str) -> bool:
-    while node.parent is not None:
-        node = node.parent
-        if node.tag == tag:
-            return True
-    return False
+    def item_mark(self, node: Node) -> str:
+        """'- ', or the item's number in an ordered list."""
+        if not self.lists or self.lists[-1] is None:
+            return "- "
+        at = int(value) if re.fullmatch("-?[0-9]{1,9}", value := node.get("value") or "") else self.lists[-1]
+        self.lists[-1] = at + 1
+        return f"{at}. "
 
 
-def item_mark(node: Node) -> str:
-    """'- ', or the item's number in an ordered list."""
-    if node.parent is None or node.parent.tag != "ol":
-        return "- "
-    first = node.parent.get("start") or ""
-    before = 0
-    for c in node.parent.children:
-        if c is node:
-            break
-        before += isinstance(c, Node) and c.tag == "li"
-    return f"{(int(first) if re.fullmatch('-?[0-9]{1,9}', first) else 1) + before}. "
-
-
-def plain(node: Node) -> str:
-    """All visible text below a node and what its images are called, with line breaks of <br> alone."""
-    out, todo = [], [node]
+def plain(node: Node, styles: Styles, visible: bool) -> str:
+    """All visible text below a node and what its images are called, with line breaks of <br> and blocks alone."""
+    out, todo = [], [(x, visible) for x in reversed(node.children)]
     while todo:
-        x = todo.pop()
+        x, seen = todo.pop()
         if isinstance(x, str):
-            out.append(x)
-        elif x.tag == "br":
+            out.append(x if seen else "")
+            continue
+        gone, own = styles.of(x)
+        seen = seen if own is None else own
+        if gone:
+            continue
+        if x.tag == "br":
             out.append("\n")
-        elif x.tag == "img" and not x.hidden():
-            out.append(x.get("alt") or "")
-        elif x is node or not x.hidden():
-            todo.extend(reversed(x.children))
+        elif x.tag == "img":
+            out.append((x.get("alt") or "") if seen else "")
+        elif x.tag in BLOCK:
+            out.append("" if not out or out[-1].endswith("\n") else "\n")
+            todo += [("\n", True), *((c, seen) for c in reversed(x.children))]
+        else:
+            todo += [(c, seen) for c in reversed(x.children)]
     return "".join(out)
 
 
-def grid(table: Node) -> list[list[str]]:
-    """Cell texts by row; empty if cells hold blocks or long texts, or the table is nested in a cell."""
-    rows: list[list[str]] = []
-    todo: list[Node | str] = list(reversed(table.children))
+def cells_of(table: Node, styles: Styles, visible: bool) -> tuple[list[str], list[list[tuple[int, int, str]]]] | None:
+    """Captions and, by row, the cells (column, columns, text); None if one holds more than a line of blocks, or
+    text stands outside of cells."""
+    captions: list[str] = []
+    rows: list[list[tuple[int, int, str]]] = []
+    open_cells: list[tuple[int, int, int]] = []  # those that reach into later rows: column, columns, rows left
+    todo = [(x, visible) for x in reversed(table.children)]
     while todo:
-        x = todo.pop()
+        x, seen = todo.pop()
         if isinstance(x, str):
-            if x.strip():
-                return []
-        elif x.hidden() or x.tag == "caption":
+            if x.strip() and seen:
+                return None
             continue
+        gone, own = styles.of(x)
+        seen = seen if own is None else own
+        if gone:
+            continue
+        if x.tag == "caption":
+            captions.append(SPACE.sub(" ", plain(x, styles, seen)).strip())
+        elif x.tag in ("thead", "tbody", "tfoot"):
+            open_cells = []
+            todo += [(c, seen) for c in reversed(x.children)]
         elif x.tag == "tr":
-            cells: list[str] = []
+            row: list[tuple[int, int, str]] = []
+            below, taken, column = [], sorted(open_cells), 0
             for c in x.children:
-                if isinstance(c, Node) and c.tag in ("td", "th"):
-                    if c.hidden():
-                        continue
-                    if any(isinstance(d, Node) and (d.tag in BLOCK or d.tag == "table") for d in below(c)):
-                        return []
-                    text = SPACE.sub(" ", plain(c)).strip()
-                    if len(text) > WIDEST:
-                        return []
-                    span = c.get("colspan") or ""
-                    cells += [text] + [""] * (min(int(span), 100) - 1 if span.isdecimal() and span.isascii() and len(span) < 4 and int(span) else 0)
-                elif isinstance(c, Node) and not c.hidden() or isinstance(c, str) and c.strip():
-                    return []
-            if cells:
-                rows.append(cells)
-        elif x.tag in ("thead", "tbody", "tfoot"):
-            todo.extend(reversed(x.children))
+                if isinstance(c, str):
+                    if c.strip() and seen:
+                        return None
+                    continue
+                gone, own = styles.of(c)
+                if gone:
+                    continue
+                if c.tag not in ("td", "th"):
+                    return None
+                while taken and taken[0][0] <= column:
+                    column = max(column, taken[0][0] + taken[0][1])
+                    taken.pop(0)
+                cell = Renderer(styles, seen if own is None else own, cell=True)
+                cell.walk(c.children)
+                text = cell.text()
+                if "\n" in text:
+                    return None
+                wide, high = c.number("colspan", COLUMNS) or 1, c.number("rowspan", ROWS)
+                row.append((column, wide, text))
+                if high != 1 and high is not None:
+                    below.append((column, wide, (high or ROWS + 1) - 1))
+                column += wide
+            open_cells = [(a, w, n - 1) for a, w, n in open_cells if n > 1] + below
+            if row:
+                rows.append(row)
         elif x.tag not in ("colgroup", "col"):
-            return []
-    return rows
+            return None
+    return captions, rows
 
 
-def below(node: Node) -> Iterator[Node | str]:
-    todo = list(node.children)
-    while todo:
-        x = todo.pop()
-        yield x
-        if isinstance(x, Node):
-            todo.extend(x.children)
+def aligned(table: Node, styles: Styles, visible: bool) -> list[str] | None:
+    """The table's lines, each cell at its column's place; columns without text take no room."""
+    if (found := cells_of(table, styles, visible)) is None:
+        return None
+    captions, rows = found
+    widths: dict[int, list[int]] = {}
+    for row in rows:
+        for column, wide, text in row:
+            if text:
+                width = widths.setdefault(column, [0, 0])
+                width[wide > 1] = max(width[wide > 1], min(len(text), WIDEST))
+    at, place = 0, {}
+    for column in sorted(widths):
+        place[column] = at
+        at += (widths[column][0] or widths[column][1]) + 2
+    out = [c for c in captions if c]
+    for row in rows:
+        line = ""
+        for column, _, text in row:
+            if text:
+                line = line.ljust(place[column]) if len(line) + 2 <= place[column] or not line else line + "  "
+                line += text
+        if line:
+            out.append(line)
+    return out
 
 
 def render(markup: str | None) -> str:
-    renderer = Renderer()
-    renderer.walk(parse(markup or ""))
+    root, sheets = parse(markup or "")
+    renderer = Renderer(Styles(sheets))
+    renderer.walk(root.children)
     return renderer.text()
 
 
 def extract(pages: DataFrame) -> DataFrame:
     """page_id, text: one row per row of pages. Null and empty pages give an empty text.
 
-    A page's text has all its visible characters but for runs of white space; nothing is cut. Repeated
-    rows and null ids are kept; other columns are not read.
+    A page's text has all its visible characters but for runs of white space; nothing is cut, of pages of any
+    length. Repeated rows and null ids are kept; other columns are not read.
     """
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

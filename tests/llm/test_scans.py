@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -432,6 +433,19 @@ PAGES = [
     ("<table><tr><td>A<td><img alt='pic'></table>", "A  pic"),
     ("<pre>x <img alt=pic> y</pre>", "x pic y"),
     ("<head><br>seen", "seen"),
+    ("<table><tr><td rowspan=2>a<td>b<tr><td>c<tr><td>d<td>e</table>", "a  b\n   c\nd  e"),
+    ("<table><tr><td>a<td>" + "x" * 70 + "<td>b<tr><td>aaa<td>y<td>c</table>", "a    " + "x" * 70 + "  b\naaa  y" + " " * 61 + "c"),
+    ("<table><tr><td colspan=2>wide<td>z<tr><td>one<td>two<td>3</table>", "wide      z\none  two  3"),
+    ("<table><tr><td><p>one</p><td><div>two</div></table>", "one  two"),
+    ("<table><tr><td>a<table><tr><td>b<td>c</table><td>d</table>", "a\n\nb  c\n\nd"),
+    ("<div style='visibility:hidden'>no <b style='visibility: visible'>yes</b> no</div>", "yes"),
+    ("<style>.x, #y { display: none } p.z{visibility:hidden} @media print { .w { display: none } }</style><p class='a x'>no<p id=y>no<p class=z>no<div class=z>yes</div><i class=w>also</i>", "yes\nalso"),
+    ("<style>.x{display:none} div.x{display:block}</style><div class=x>yes</div><p class=x>no<p class=x style='display:inline'>too", "yes\n\ntoo"),
+    ("<form><input value=name><input type=hidden value=no><input type=submit value=Send><input placeholder=hint></form>", "name Send hint"),
+    ("<object data=x>instead</object>", "instead"),
+    ("<ol><li>a<li value=7>b<li hidden>no<li>c</ol>", "1. a\n7. b\n8. c"),
+    ("<div><table><tr><td>a</div>b<td>c</table>", "ab  c"),
+    ("<pre>a<div>b</div>c</pre>", "a\nb\nc"),
 ]
 
 
@@ -455,6 +469,43 @@ def test_visible_words_are_all_there():
         assert html.render(page).split() and [w for w in re.findall(r"word[0-9]+", html.render(page))] == words
 
 
+def test_all_that_is_visible_is_shown_in_order():
+    """Random trees, whose visible words are known from how they are made."""
+    rnd = random.Random(31)
+
+    def tree(depth: int, seen: bool, out: list) -> str:
+        parts = []
+        for _ in range(rnd.randint(1, 4)):
+            kind = rnd.random()
+            if kind < 0.4 or depth > 6:
+                out.append((f"w{len(out)}x", seen))
+                parts.append(f" w{len(out) - 1}x ")
+            elif kind < 0.5:
+                inner = tree(depth + 1, False, out)
+                parts.append(rnd.choice(["<div hidden>{}</div>", "<span style='display:none'>{}</span>", "<div class='q gone'>{}</div>", "<span aria-hidden=true>{}</span>"]).format(inner.replace("visibility:visible", "")))
+            elif kind < 0.55 and seen:
+                parts.append(f"<div style='visibility:hidden'>{tree(9, False, out)}<b style='visibility:visible'>{tree(depth + 1, True, out)}</b></div>")
+            else:
+                around = rnd.choice(["<div>{}</div>", "<b>{}</b>", "<ul><li>{}</li></ul>", "<blockquote>{}</blockquote>", "<h2>{}</h2>", "<dl><dd>{}</dd></dl>", "<label>{}</label>", "<svg>{}</svg>", "<object>{}</object>", "<table><tr><td>{}</td><td></td></tr></table>"])
+                parts.append(around.format(tree(depth + 1, seen, out)))
+        return "".join(parts)
+
+    for _ in range(150):
+        words: list = []
+        page = "<style>.gone { display: none }</style>" + tree(0, True, words)
+        assert re.findall(r"w[0-9]+x", html.render(page)) == [w for w, seen in words if seen]
+
+
+@pytest.mark.parametrize("page", [
+    "<ol>" + "<li>x" * 100_000 + "</ol>", "<p><button>" + "<div>" * 50_000 + "x", "<ul><li>" * 20_000 + "x", "<table><tr><td>" * 20_000 + "x", "<table>" + "<tr><td rowspan=3>a<td colspan=900>b" * 20_000,
+    "<div class=x>" * 50_000, "<b>" * 50_000 + "</i>" * 50_000, "<style>" + "@{" * 50_000 + "</style>x", "<blockquote>" * 20_000 + "x", "<select>" + "<option>y" * 50_000, "<" * 100_000, "<a b='" * 20_000,
+])
+def test_long_pages_take_linear_time(page):
+    began = time.process_time()
+    html.render(page)
+    assert time.process_time() - began < 8
+
+
 def test_extract(spark):
     rows = [(1, "<p>a</p>", "u"), (1, "<p>a</p>", "u"), (2, None, None), (3, "", ""), (None, "<b>x</b>", "u")]
     got = html.extract(spark.createDataFrame([(*r, "t") for r in rows], "page_id long, html string, url string, text string"))
