@@ -2,9 +2,10 @@
 
 All rolling word k-gram hashes of a text are joined to the positions of the same k-grams in known
 notices. A place in a text minus the place in the notice is a diagonal; k-grams of one occurrence vote
-for one diagonal, or for neighbouring ones where words were added or left out. Diagonals that lie within
-a few words are merged, and a merged group is a notice if it covers enough of the notice's k-grams
-within a span not much longer than the notice. Exact phrases are found by the same votes: on one
+for one diagonal, or for neighbouring ones where words were added or left out. A diagonal that covers
+enough of a notice's k-grams is a place of it. Of the others those that lie within a few words of one
+another are merged, and a merged group is a place if it covers enough within a span not much longer than
+the notice. Exact phrases are found by the same votes: on one
 diagonal, all k-grams of the phrase.
 """
 
@@ -42,6 +43,20 @@ NOTICES = (
     ("cc-by-sa", "licensed under a creative commons attribution sharealike 4 0 international license"),
     ("cc-by", "licensed under cc by 4 0"),
     ("cc-by", "licensed under a creative commons attribution 4 0 international license"),
+    ("cc0", "to the extent possible under law the author has waived all copyright and related or neighboring rights to this work"),
+    ("cc0", "the person who associated a work with this deed has dedicated the work to the public domain by waiving all of his or her rights to the work worldwide under copyright law"),
+    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so subject to the following conditions the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software"),
+    ("apache-2", "licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license you may obtain a copy of the license at http www apache org licenses license 2 0 unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis without warranties or conditions of any kind either express or implied see the license for the specific language governing permissions and limitations under the license"),
+    ("gpl-3", "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 3 of the license or at your option any later version this program is distributed in the hope that it will be useful but without any warranty without even the implied warranty of merchantability or fitness for a particular purpose see the gnu general public license for more details"),
+    ("gpl-2", "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 2 of the license or at your option any later version"),
+    ("lgpl-3", "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 3 of the license or at your option any later version"),
+    ("agpl-3", "you can redistribute it and or modify it under the terms of the gnu affero general public license as published by the free software foundation either version 3 of the license or at your option any later version"),
+    ("bsd", "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution"),
+    ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies"),
+    ("zlib", "this software is provided as is without any express or implied warranty in no event will the authors be held liable for any damages arising from the use of this software permission is granted to anyone to use this software for any purpose including commercial applications and to alter it and redistribute it freely"),
+    ("unlicense", "anyone is free to copy modify publish use compile sell or distribute this software either in source code form or as a compiled binary for any purpose commercial or non commercial and by any means"),
+    ("epl-2", "this program and the accompanying materials are made available under the terms of the eclipse public license 2 0"),
+    ("boost", "permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation covered by this license"),
 )
 COVER, STRETCH, NEAR = 0.7, 1.5, 3
 
@@ -59,8 +74,8 @@ def scan(docs: DataFrame, cover: float = COVER, stretch: float = STRETCH, near:
     """doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score, spans: a row per row of docs.
 
     spans: label, start and end in words and cover of every place, exact ones with cover 1. Null and
-    empty texts have no words and no places; labels are then empty and the score is 0. Other columns are
-    not read. Only k-grams that a template has are kept beyond the scan, so shuffles hold hits and one
+    empty texts have no words and no places; labels are then empty and the score is 0. Repeated rows and null
+    ids are rows of their own; other columns are not read. Only k-grams that a template has are kept beyond the scan, so shuffles hold hits and one
     row per document. The template table is a fixed list.
     """
     spark = docs.sparkSession
@@ -75,7 +90,8 @@ def scan(docs: DataFrame, cover: float = COVER, stretch: float = STRETCH, near:
     same = ["row", "doc_id", "n_words", "template", "label", "exact", "t_words", "t_grams"]
     diagonals = met.withColumn("diagonal", F.col("at") - F.col("place")).groupBy(*same, "diagonal").agg(F.count("at").alias("votes"), F.min("at").alias("start"), (F.max("at") + K).alias("end"))
     in_order = Window.partitionBy("row", "template").orderBy("diagonal")
-    apart = F.col("exact") | (F.col("diagonal") - F.lag("diagonal").over(in_order) > near)
+    diagonals = diagonals.withColumn("alone", F.col("exact") | (F.col("votes") / F.col("t_grams") >= cover))
+    apart = F.col("alone") | F.lag("alone").over(in_order) | (F.col("diagonal") - F.lag("diagonal").over(in_order) > near)
     merged = diagonals.withColumn("g", F.sum(F.coalesce(apart.cast("int"), F.lit(1))).over(in_order))
     merged = merged.groupBy(*same, "g").agg(F.sum("votes").alias("votes"), F.min("start").alias("start"), F.max("end").alias("end"))
     covered = F.least(F.lit(1.0), F.col("votes") / F.col("t_grams"))
@@ -102,8 +118,9 @@ grams as (select doc_id, w, unnest(range(greatest(len(w) - {K} + 1, 0))) as pos
 met as (select doc_id, template, label, exact, t_words, t_grams, pos, pos - place as diagonal
         from grams join known on w[pos + 1] = w0 and w[pos + 2] = w1 and w[pos + 3] = w2),
 diagonals as (select doc_id, template, label, exact, t_words, t_grams, diagonal, count(*) as votes, min(pos) as s, max(pos) + {K} as e from met group by all),
-marked as (select *, case when exact or lag(diagonal) over o is null or diagonal - lag(diagonal) over o > {near} then 1 else 0 end as apart
-           from diagonals window o as (partition by doc_id, template order by diagonal)),
+known_alone as (select *, exact or votes::double / t_grams >= {cover} as alone from diagonals),
+marked as (select *, case when alone or lag(diagonal) over o is null or lag(alone) over o or diagonal - lag(diagonal) over o > {near} then 1 else 0 end as apart
+           from known_alone window o as (partition by doc_id, template order by diagonal)),
 grouped as (select *, sum(apart) over (partition by doc_id, template order by diagonal) as g from marked),
 merged as (select doc_id, template, label, exact, t_words, t_grams, g, sum(votes) as votes, min(s) as s, max(e) as e from grouped group by all),
 good as (select *, least(1.0::double, votes::double / t_grams) as cover from merged

@@ -44,6 +44,18 @@ def test_licenses(spark):
     assert not re.search("Python|Arrow|Pandas", plan)
 
 
+def test_licenses_of_whole_texts_and_repeats(spark):
+    """A verbatim notice is found whatever stands beside it; of whole license texts, changed ones too."""
+    whole = max((t for label, t in licenses.NOTICES if label == "mit"), key=len)
+    changed = whole.replace("the software is furnished", "said work is given").replace("substantial portions", "large parts")
+    rows = [(1, "licensed under cc by 4 0 by 4 0 by 4 0 x"), (2, f"{prose(1, 9)} {whole} {prose(2, 30)}"), (3, f"{prose(3, 40)} {changed} {prose(4, 9)}"), (4, " ".join(whole.split()[::-1])), (None, rows_of := "under the mit license"), (None, rows_of)]
+    found = licenses.scan(documents(spark, rows)).collect()
+    got = {r.doc_id: r for r in found}
+    assert len(found) == 6 and [got[i].labels for i in (1, 2, 3, 4)] == ["cc-by", "mit", "mit", ""] and got[None].n_base == 1
+    longest = lambda r: max(s.end - s.start for s in r.spans)
+    assert longest(got[2]) == len(whole.split()) and 0.9 * len(whole.split()) < longest(got[3]) <= len(whole.split()) + 3
+
+
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
