@@ -20,8 +20,8 @@ from .common import Cut
 
 ORDER = 3
 UNDETERMINED = "und"
-SLOT_BITS = 22
 BLOCK = 1 << 20
+REMEMBERED = 1 << 24  # costs that a worker remembers; changes speed, never results
 
 
 def grams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -44,59 +44,74 @@ def _merged(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarra
 
 
 class Model:
-    """Frozen statistics of all languages, and the code lengths that follow from them."""
+    """Frozen statistics of all languages, and the code lengths that follow from them.
+
+    Each language has its own tables of what followed each context of each length, so the model is as large
+    as what was counted, whatever the number of languages.
+    """
 
     def __init__(self, languages: list[str], keys: np.ndarray, counts: np.ndarray):
         """counts: a row for each four-byte key (sorted), a column for each language."""
-        self.languages, self.keys, self.counts = languages, keys, counts
-        self._bits = None
+        self.languages = languages
+        self.levels = [self._tables(keys[c > 0], c[c > 0]) for c in counts.T]
+        self._slots = None
+
+    @classmethod
+    def of(cls, counted: dict[str, tuple[np.ndarray, np.ndarray]]) -> Model:
+        """From the four-byte keys of each language and how often each occurred."""
+        model = cls(sorted(counted), np.zeros(0, np.uint32), np.zeros((0, 0)))
+        model.levels = [cls._tables(*counted[x]) for x in model.languages]
+        return model
 
     def __getstate__(self):
-        return self.__dict__ | {"_bits": None}
+        return self.__dict__ | {"_slots": None, "_known": None}
 
-    def _build(self) -> None:
-        self._levels = []
+    @staticmethod
+    def _tables(keys: np.ndarray, counts: np.ndarray) -> list[tuple]:
+        """By length of context: what followed and its bits, the contexts and the bits of an escape."""
+        levels = []
         for k in range(ORDER + 1):
-            part = self.keys & np.uint32((1 << 8 * (k + 1)) - 1) if k < ORDER else self.keys
+            part = keys & np.uint32((1 << 8 * (k + 1)) - 1) if k < ORDER else keys
             follow, at = np.unique(part, return_inverse=True)
-            seen = np.stack([np.bincount(at, c, len(follow)) for c in self.counts.T], axis=1)
+            seen = np.bincount(at, counts, len(follow))
             context, at = np.unique(follow >> 8, return_inverse=True)
-            total = np.stack([np.bincount(at, c, len(context)) for c in seen.T], axis=1)
-            kinds = np.stack([np.bincount(at, c > 0, len(context)) for c in seen.T], axis=1)
-            with np.errstate(divide="ignore", invalid="ignore"):
-                hit = np.where(seen > 0, -np.log2(seen / (total + kinds)[at]), np.nan)
-                escape = np.where(total > 0, -np.log2(kinds / (total + kinds)), 0.0)
-            self._levels.append((follow, hit, context, escape))
-        self._bits = self.bits_by_level(self.keys).astype(np.float32)
-        self._slots = np.zeros(1 << SLOT_BITS, np.int32)
-        self._slots[self._slot(self.keys)] = np.arange(len(self.keys), dtype=np.int32)
-
-    @staticmethod
-    def _slot(keys: np.ndarray) -> np.ndarray:
-        return (keys * np.uint32(0x9E3779B1)) >> np.uint32(32 - SLOT_BITS)
-
-    def bits_by_level(self, keys: np.ndarray) -> np.ndarray:
-        """Bits of the last byte of each key under each language, from the shortest context up."""
-        bits = np.full((len(keys), len(self.languages)), 8.0)
-        for k, (follow, hit, context, escape) in enumerate(self._levels):
-            part = keys & np.uint32((1 << 8 * (k + 1)) - 1) if k < ORDER else keys
-            at = np.minimum(np.searchsorted(context, part >> 8), len(context) - 1)
-            bits += np.where((context[at] == part >> 8)[:, None], escape[at], 0.0)
-            at = np.minimum(np.searchsorted(follow, part), len(follow) - 1)
-            found = np.where((follow[at] == part)[:, None], hit[at], np.nan)
-            bits = np.where(np.isnan(found), bits, found)
-        return bits
+            total, kinds = np.bincount(at, seen, len(context)), np.bincount(at, minlength=len(context))
+            levels.append((follow, -np.log2(seen / (total + kinds)[at]), context, -np.log2(kinds / (total + kinds))))
+        return levels
+
+    def costs(self, keys: np.ndarray) -> np.ndarray:
+        """Bits of the last byte of each key under each language."""
+        out = np.full((len(keys), len(self.languages)), 8.0)
+        for language, levels in enumerate(self.levels):
+            left, escaped = np.arange(len(keys)), np.zeros(len(keys))
+            for k in range(ORDER, -1, -1):
+                follow, hit, context, escape = levels[k]
+                if not len(follow):
+                    continue
+                part = keys[left] & np.uint32((1 << 8 * (k + 1)) - 1) if k < ORDER else keys[left]
+                at = np.minimum(np.searchsorted(follow, part), len(follow) - 1)
+                found = follow[at] == part
+                out[left[found], language] = escaped[left[found]] + hit[at[found]]
+                left, part = left[~found], part[~found]
+                at = np.minimum(np.searchsorted(context, part >> 8), len(context) - 1)
+                escaped[left] += np.where(context[at] == part >> 8, escape[at], 0.0)
+            out[left, language] += escaped[left]
+        return out
 
     def bits(self, keys: np.ndarray) -> np.ndarray:
-        """The same by looking up what all known keys cost; unknown ones go through the levels."""
-        if self._bits is None:
-            self._build()
-        at = self._slots[self._slot(keys)]
-        out = self._bits[at]
-        missed = np.flatnonzero(self.keys[at] != keys)
+        """The same, with keys seen before looked up."""
+        if self._slots is None:
+            self._shift = np.uint32(32 - min(22, int(np.log2(REMEMBERED // len(self.languages)))))
+            size = 1 << 32 - int(self._shift)
+            self._slots, self._known = np.full(size, -1, np.int64), np.zeros((size, len(self.languages)), np.float32)
+        at = (keys * np.uint32(0x9E3779B1)) >> self._shift
+        out = self._known[at]
+        missed = np.flatnonzero(self._slots[at] != keys)
         if len(missed):
-            some, back = np.unique(keys[missed], return_inverse=True)
-            out[missed] = self.bits_by_level(some).astype(np.float32)[back]
+            some, first, back = np.unique(keys[missed], return_index=True, return_inverse=True)
+            new = self.costs(some).astype(np.float32)
+            out[missed] = new[back]
+            self._slots[at[missed[first]]], self._known[at[missed[first]]] = some, new
         return out
 
     def code_lengths(self, texts: list[bytes]) -> np.ndarray:
@@ -150,33 +165,35 @@ def count_grams(rows: DataFrame) -> DataFrame:
     return counted.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
-def fit(rows: DataFrame, per_language: int = 1 << 18, cells: int = 1 << 24) -> Model:
-    """Learns from all rows (text, lang) whose lang is not null; an empty or null text adds nothing.
+def sampled(rows: DataFrame, most: int) -> DataFrame:
+    """About `most` rows of each language that has more, by the hash of their text; all rows of the others."""
+    counts = rows.groupBy("lang").agg(F.count("*").alias("n"))
+    place = F.pmod(F.xxhash64(F.lit(5), "text"), F.lit(1 << 40)) / F.lit(float(1 << 40))
+    return rows.join(counts, "lang").where(place * F.col("n") < most).select("text", "lang")
+
+
+def fit(rows: DataFrame, most: int = 20_000) -> Model:
+    """Learns from rows (text, lang) whose lang is not null; an empty or null text adds nothing.
 
-    Counts cover all rows. The model is bounded: of each language the four-byte sequences seen at least t
-    times are kept, with the smallest power of two t that leaves `per_language` at most, and so many that
-    languages squared times them stay within `cells`.
+    Of a language with more than `most` rows about so many are used, which bounds the model; of these all
+    counts are kept. Rows that repeat count as often; other columns are not read.
     """
-    counted = Cut(count_grams(rows.where("lang is not null")))
-    names = sorted(r.lang for r in rows.where("lang is not null").select("lang").distinct().collect())
-    if not names:
-        return Model([], np.array([], np.uint32), np.zeros((0, 0)))
-    most = max(1, min(per_language, cells // len(names) ** 2))
-    left = counted.df.groupBy("lang").agg(*[F.count_if(F.col("n") >= 1 << k).alias(str(k)) for k in range(63)]).collect()
-    least = [(r.lang, 1 << next((k for k in range(63) if r[str(k)] <= most), 62)) for r in left]
-    limits = counted.df.sparkSession.createDataFrame(least or [("", 1)], "lang string, least long")
-    kept = counted.df.join(F.broadcast(limits), "lang").where("n >= least").toPandas()
+    labelled = rows.where("lang is not null").select(F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
+    counted = Cut(count_grams(sampled(labelled, most)))
+    found = counted.df.toPandas()
     counted.drop()
-    keys, at = np.unique(kept.gram.to_numpy(np.int64).astype(np.uint32), return_inverse=True)
-    counts = np.zeros((len(keys), len(names)))
-    counts[at, [names.index(x) for x in kept.lang]] = kept.n
-    return Model(names if len(keys) else [], keys, counts)
+    empty = labelled.select("lang").distinct().collect()  # a language may have empty texts alone
+    grams = {lang: part for lang, part in found.groupby("lang")}
+    none = np.zeros(0, np.uint32), np.zeros(0)
+    of = {r.lang: none if (g := grams.get(r.lang)) is None else (g.gram.to_numpy(np.int64).astype(np.uint32), g.n.to_numpy(float)) for r in empty}
+    return Model.of(of if len(found) else {})
 
 
 def identify(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, lang_pred, score: one row per row of docs, in `und` and 0 where text is null or has no letter.
 
-    Ties go to the language whose name sorts first. Only text is read besides the id.
+    Ties go to the language whose name sorts first. Repeated rows and null ids are rows of their own, texts of
+    any length are read whole. Only text is read besides the id.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
