@@ -1,11 +1,12 @@
 """Cost-balanced packing of tokenised documents into training sequences.
 
-Documents are cut and packed within the partition that reads them, a window of tokens at a time, so
-nothing is shuffled and memory is bounded by a window and one document. In a window the capacities of
-the sequences add up to exactly its tokens: as many full sequences as fit, and the powers of two of the
-rest, which need no padding. Each document costs linear * n + quadratic * n^2 (attention within the
-document); in descending order each goes to the sequence of the lowest cost that has room for all of
-it. One that fits nowhere is cut to fill the sequence with the most room.
+Documents are packed within the partition that reads them, a window of tokens at a time, so nothing is
+shuffled and memory is bounded by a window and one document. A window fills as many full sequences as it
+has tokens for. Each document costs linear * n + quadratic * n^2 (attention within the document); in
+descending order each goes to the sequence of the lowest cost that has room for all of it. What fits nowhere
+waits; once smaller documents have filled what they can, it is cut to fill the rest, and what is left, less
+than a sequence, goes to the next window. Only the last window of a partition has sequences that are not
+full: powers of two, which need no padding.
 """
 
 from __future__ import annotations
@@ -95,11 +96,15 @@ def capacities(total: int, length: int = LENGTH) -> list[int]:
     return [length] * (total // length) + [1 << b for b in range(rest.bit_length() - 1, -1, -1) if rest >> b & 1]
 
 
-def pack(sizes: list[int], length: int = LENGTH, linear: float = 1.0, quadratic: float = 1 / 1024) -> list[tuple[int, int, int, int, int]]:
-    """(document, start, length, sequence, offset) of every piece; sequences are filled without gaps."""
-    room = np.array(capacities(sum(sizes), length), np.int64)
+Piece = tuple[int, int, int, int, int]
+
+
+def fill(todo: list[tuple[int, int, int]], capacity: list[int], linear: float, quadratic: float) -> tuple[list[Piece], list[tuple[int, int, int]]]:
+    """Puts (length, document, start) into sequences of these capacities: pieces (document, start, length,
+    sequence, offset), and what has no room any more."""
+    room = np.array(capacity, np.int64)
     cost, used = np.zeros(len(room)), np.zeros(len(room), np.int64)
-    pieces: list[tuple[int, int, int, int, int]] = []
+    pieces: list[Piece] = []
 
     def put(doc: int, start: int, n: int, at: int) -> None:
         pieces.append((doc, start, n, at, int(used[at])))
@@ -107,25 +112,40 @@ def pack(sizes: list[int], length: int = LENGTH, linear: float = 1.0, quadratic:
         room[at] -= n
         cost[at] += linear * n + quadratic * n * n
 
-    left, full = [], 0
-    for doc, n in enumerate(sizes):
-        start = 0
-        while n - start >= length:
-            put(doc, start, length, full)
-            start, full = start + length, full + 1
-        if n > start:
-            left.append((n - start, doc, start))
-    left.sort(key=lambda x: (-x[0], x[1]))
-    for n, doc, start in left:
-        while n:
-            fits = np.where(room >= n, cost, np.inf)
-            at = int(fits.argmin())
-            if room[at] < n:
-                at = int(room.argmax())
+    waiting, left = [], []
+    for n, doc, start in sorted(todo, key=lambda x: (-x[0], x[1])):
+        at = int(np.where(room >= n, cost, np.inf).argmin()) if len(room) else 0
+        if len(room) and room[at] >= n:
+            put(doc, start, n, at)
+        else:
+            waiting.append((n, doc, start))
+    for n, doc, start in waiting:
+        while n and room.any():
+            at = int(room.argmax())
             part = min(n, int(room[at]))
             put(doc, start, part, at)
             n, start = n - part, start + part
-    return pieces
+        if n:
+            left.append((n, doc, start))
+    return pieces, left
+
+
+def pack(sizes: list[int], length: int = LENGTH, linear: float = 1.0, quadratic: float = 1 / 1024, starts: list[int] | None = None, last: bool = True) -> tuple[list[Piece], list[tuple[int, int, int]]]:
+    """Pieces of documents of these sizes, from `starts` on, and what is left. Full sequences, and if these are
+    the last documents the powers of two of the rest, so that nothing is left."""
+    starts = starts or [0] * len(sizes)
+    total = sum(sizes) - sum(starts)
+    pieces, rest = [], []
+    for doc, (n, start) in enumerate(zip(sizes, starts)):
+        while n - start >= length:
+            pieces.append((doc, start, length, len(pieces), 0))
+            start += length
+        if n > start:
+            rest.append((n - start, doc, start))
+    whole = len(pieces)
+    capacity = capacities(total - whole * length, length) if last else [length] * (total // length - whole)
+    more, left = fill(rest, capacity, linear, quadratic)
+    return pieces + [(doc, start, n, at + whole, offset) for doc, start, n, at, offset in more], left
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, length: int = LENGTH, window: int = WINDOW, linear: float = 1.0, quadratic: float = 1 / 1024) -> DataFrame:
@@ -137,16 +157,17 @@ def pack_documents(docs: DataFrame, tokenizer: str, length: int = LENGTH, window
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         base, made = TaskContext.get().partitionId() << 32, 0
-        ids, held, tokens = [], [], 0
+        ids, held, starts, tokens = [], [], [], 0
 
-        def packed() -> pa.RecordBatch:
-            nonlocal made
-            pieces = pack([len(x) for x in held], length, linear, quadratic)
-            doc, start, n, at, offset = (np.array(x, np.int64) for x in zip(*pieces))
-            crc = [zlib.crc32(held[d][s : s + k].astype("<u4").tobytes()) for d, s, k in zip(doc, start, n)]
+        def packed(last: bool) -> pa.RecordBatch:
+            nonlocal ids, held, starts, tokens, made
             of = [len(x) for x in held]
+            pieces, left = pack(of, length, linear, quadratic, starts, last)
+            doc, start, n, at, offset = np.array(pieces, np.int64).reshape(-1, 5).T
+            crc = [zlib.crc32(held[d][s : s + k].astype("<u4").tobytes()) for d, s, k in zip(doc, start, n)]
             rows = [pa.array([ids[d] for d in doc], pa.int64()), start, n, pa.array(crc, pa.int64()), np.array(of, np.int64)[doc], at + base + made, offset]
-            made += int(at.max()) + 1
+            made += int(at.max(initial=-1)) + 1
+            ids, held, starts, tokens = [ids[d] for _, d, _ in left], [held[d] for _, d, _ in left], [s for _, _, s in left], sum(k for k, _, _ in left)
             return pa.RecordBatch.from_arrays([x if isinstance(x, pa.Array) else pa.array(x) for x in rows], SCHEMA.replace(" long", "").split(", "))
 
         for b in batches:
@@ -154,11 +175,11 @@ def pack_documents(docs: DataFrame, tokenizer: str, length: int = LENGTH, window
                 x = encoder(tokenizer).text(text.as_py())
                 ids.append(doc_id.as_py())
                 held.append(np.append(x, x.dtype.type(END)))
+                starts.append(0)
                 tokens += len(held[-1])
                 if tokens >= window:
-                    yield packed()
-                    ids, held, tokens = [], [], 0
+                    yield packed(False)
         if held:
-            yield packed()
+            yield packed(True)
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(each, SCHEMA)

@@ -17,7 +17,8 @@ PATH = public_tokenizers.path("word_bpe_49k.json")
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.integers(1, 300), min_size=1, max_size=40))
 def test_pieces_tile_documents_and_sequences(sizes):
-    pieces = packing.pack(sizes, length=64)
+    pieces, left = packing.pack(sizes, length=64)
+    assert not left
     for key, start, limit in ((0, 1, dict(enumerate(sizes))), (3, 4, None)):
         by = {}
         for p in pieces:
@@ -31,10 +32,30 @@ def test_pieces_tile_documents_and_sequences(sizes):
     assert sum(p[2] for p in pieces) == sum(sizes)
 
 
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.integers(1, 300), min_size=1, max_size=40))
+def test_windows_that_are_not_the_last_are_full(sizes):
+    pieces, left = packing.pack(sizes, length=64, last=False)
+    by = {}
+    for _, _, n, sequence, _ in pieces:
+        by[sequence] = by.get(sequence, 0) + n
+    assert all(n == 64 for n in by.values()) and sum(n for n, _, _ in left) == sum(sizes) % 64
+    assert all(start + n == sizes[doc] for n, doc, start in left)
+
+
+def test_few_documents_are_cut_and_few_sequences_are_short(spark):
+    rows = [(i, prose(i, 20 + (i * 7919) % 900)) for i in range(400)]
+    pieces = packing.pack_documents(documents(spark, rows).coalesce(1), PATH, length=2048, window=40_000).toPandas()
+    size = pieces.groupby("sequence_id").length.sum()
+    assert (size < 2048).sum() <= 11  # of the partition's end alone, not of each window
+    cut = pieces.groupby("doc_id").agg(n=("length", "count"), tokens=("doc_tokens", "first"))
+    assert (cut[cut.tokens <= 2048].n > 1).mean() < 0.12
+
+
 def test_costs_are_balanced():
     sizes = [60] * 4 + [4] * 68
     cost = {}
-    for _, _, n, sequence, _ in packing.pack(sizes, length=128, quadratic=1 / 64):
+    for _, _, n, sequence, _ in packing.pack(sizes, length=128, quadratic=1 / 64)[0]:
         cost[sequence] = cost.get(sequence, 0) + n + n * n / 64
     assert max(cost.values()) < 1.3 * min(cost.values())
 
