@@ -221,8 +221,8 @@ def _pairs(members: DataFrame) -> DataFrame:
 
 
 def _met(entries: DataFrame) -> DataFrame:
-    """sig, size, and the two members if there are but two: of signatures that several lines share and one is looked up by."""
-    return entries.groupBy("sig").agg(F.count("*").alias("size"), F.max("indexed").alias("any"), F.min("h").alias("u"), F.max("h").alias("v"), F.sum("length").alias("chars")).where("size > 1 and any")
+    """sig, size: of signatures that several lines share and one is looked up by."""
+    return entries.groupBy("sig").agg(F.count("*").cast("int").alias("size"), F.max("indexed").alias("any")).where("size > 1 and any").select("sig", "size")
 
 
 def _hot_links(hot: DataFrame, texts: DataFrame, edits: int) -> tuple[DataFrame, DataFrame, list[Cut]]:
@@ -236,7 +236,8 @@ def _hot_links(hot: DataFrame, texts: DataFrame, edits: int) -> tuple[DataFrame,
     met = Cut(_met(beside.df))
     cold = beside.df.join(met.df.where(F.col("size") <= PAIRS_UP_TO).select("sig"), "sig")
     tiles = F.ceil(F.greatest(F.col("size") / TILE, F.col("chars") / TILE_CHARS)).cast("int")
-    still = beside.df.join(met.df.where(F.col("size") > PAIRS_UP_TO).select("sig", "size", "chars"), "sig")
+    hotter = beside.df.groupBy("sig").agg(F.count("*").alias("size"), F.sum("length").alias("chars"), F.max("indexed").alias("any")).where((F.col("size") > PAIRS_UP_TO) & F.col("any"))
+    still = beside.df.join(hotter.drop("any"), "sig")
     dealt = still.withColumn("own_tile", F.pmod(F.xxhash64(F.lit(3), "h"), tiles).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), tiles - 1)))
     dealt = dealt.select("sig", F.least("own_tile", "other").alias("tile_i"), F.greatest("own_tile", "other").alias("tile_j"), "own_tile", "h", "indexed").join(texts, "h")
     return _pairs(cold), by_run(dealt, ["sig", "tile_i", "tile_j"]).mapInArrow(_tile_links(edits), "u long, v long"), [beside, met]
@@ -257,10 +258,9 @@ def line_classes(docs: DataFrame, edits: int = 2, least_chars: int = 1) -> tuple
     signatures = F.explode(F.array_distinct(F.array(*[f"s{k}" for k in range(len(looks))]))).alias("sig")
     entries = table.df.where(F.col("length") >= edit_chars).select("*", signatures).select("sig", "h", "length", looked_up.alias("indexed"))
     groups = Cut(_met(entries))
-    twos = groups.df.where("size = 2").select("u", "v")
-    more = Cut(entries.join(groups.df.where("size > 2").select("sig", "size"), "sig"))
+    more = Cut(entries.join(groups.df, "sig").select("sig", "h", "indexed", "size"))
     few, hot = more.df.where(F.col("size") <= PAIRS_UP_TO), more.df.where(F.col("size") > PAIRS_UP_TO)
-    pairs = Cut(twos.unionByName(_pairs(few)).distinct())
+    pairs = Cut(_pairs(few).distinct())
     named = pairs.df.select(F.explode(F.array("u", "v")).alias("h")).unionByName(hot.select("h")).distinct()
     texts = Cut(_texts(docs, named.join(table.df.select("h", "first"), "h"), edit_chars))
     finer, tiled, written = _hot_links(hot, texts.df, edits)
