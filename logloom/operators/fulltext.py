@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from functools import reduce
-from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import token_list, tokens
 from ..model import Field, Model, nanoseconds
+from .predicates import literal, quoted_name
 
 
 def day_of(ns: Column) -> Column:
@@ -23,8 +23,9 @@ def build_postings(df: DataFrame, model: Model) -> DataFrame:
     if not model.full_text or model.timestamp is None:
         raise ValueError("the model has no full-text column or no timestamp")
     ts = nanoseconds(model.timestamp)
-    texts = F.explode(F.array(*[F.struct(F.lit(f.name).alias("column"), tokens(F.col(f.name).cast("string")).alias("words")) for f in model.full_text]))
-    rows = df.select(ts.alias("ts"), texts.alias("t")).select("ts", "t.column", F.explode("t.words").alias("word")).where("ts is not null").distinct()
+    # a part for each column, so that a search reads and splits only the columns that it names
+    parts = [df.select(ts.alias("ts"), F.lit(f.name).alias("column"), F.explode(tokens(F.col(f.name).cast("string"))).alias("word")) for f in model.full_text]
+    rows = reduce(DataFrame.unionByName, parts).where("ts is not null").distinct()
     return rows.select(day_of(F.col("ts")).alias("day"), "ts", "column", "word", F.xxhash64("word").alias("word_hash"))
 
 
@@ -39,15 +40,20 @@ class Text:
     def of(cls, field: Field, text: str) -> Text:
         return cls(field, tuple(token_list(text)))
 
-    def recheck(self) -> Column:
-        """Every word as part of the text, any case."""
-        low = F.lower(F.col(self.field.name))
-        return reduce(and_, [F.coalesce(low.contains(w), F.lit(False)) for w in self.words]) if self.words else F.lit(False)
+    def recheck(self) -> str:
+        """Every word as part of the text, any case, in SQL."""
+        low = f"lower(cast({quoted_name(self.field)} as string))"
+        return " and ".join(f"coalesce(contains({low}, {literal(w)}), false)" for w in self.words) or "false"
 
 
 def matching_times(postings: DataFrame, text: Text, low: int | None = None, high: int | None = None) -> DataFrame:
     """ts: the timestamps whose rows together hold every word in the column, within the inclusive bounds."""
-    found = postings.where((F.col("column") == text.field.name) & F.col("word").isin(*text.words)) if text.words else postings.where(F.lit(False))
+    if not text.words:
+        return postings.where(F.lit(False)).select("ts")
+    # the files are sorted by the words' hashes; the words themselves decide
+    found = postings.where((F.col("column") == text.field.name) & F.col("word").isin(*text.words))
+    if "word_hash" in postings.columns:
+        found = found.where(F.col("word_hash").isin(*[F.xxhash64(F.lit(w)) for w in text.words]))
     for bound, compare in ((low, ">="), (high, "<=")):
         if bound is not None:
             found = found.where(f"ts {compare} {bound} and day {compare} date_add(date'1970-01-01', {bound // 86_400_000_000_000})")

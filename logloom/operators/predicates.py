@@ -103,10 +103,33 @@ def between(f: Field, gt: object = None, gte: object = None, lt: object = None,
     return all_of(clauses)
 
 
-def like(f: Field, pattern: str) -> Column:
-    """Holds the pattern: * is any text, ? any character, all else itself."""
+def like_pattern(pattern: str) -> str:
+    """For like: * is any text, ? any character, all else itself, anywhere in the value."""
     safe = pattern.replace("\\", "\\\\").replace("%", "\\%").replace("_", "\\_")
-    return F.col(f.name).cast("string").like("%" + safe.replace("*", "%").replace("?", "_") + "%")
+    return "%" + safe.replace("*", "%").replace("?", "_") + "%"
+
+
+def literal(text: str) -> str:
+    """A text as SQL has it."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def quoted_name(f: Field) -> str:
+    return "`" + f.name.replace("`", "``") + "`"
+
+
+def match_sql(f: Field, value: str) -> str:
+    """`match` on a number as a condition in SQL, two-valued."""
+    try:
+        number = point_ns(value, None) if f.timestamp else f.value(value)
+    except (ValueError, TypeError, OverflowError):
+        return "false"
+    return f"coalesce({quoted_name(f)} = cast('{number}' as {f.base.simpleString()}), false)"
+
+
+def like(f: Field, pattern: str) -> Column:
+    """Holds the pattern."""
+    return F.col(f.name).cast("string").like(like_pattern(pattern))
 
 
 def holds(f: Field, text: str) -> Column:

@@ -1,10 +1,16 @@
-"""The search line: field:value terms with and, or, xor, not and parentheses, or free text."""
+"""The search line: field:value terms with and, or, xor, not and parentheses, or free text.
+
+Terms become SQL conditions and everything else stays as it is, so that Spark parses the line: which words
+belong together, what is missing, and the order of binding. Spark has no xor, so each operator also closes
+and opens the parentheses that keep or, xor and and apart: `a or b xor c` is `((a)) or ((b)) <> ((c))`.
+"""
 
 from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column
+from pyspark.errors import AnalysisException, ParseException
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import field_name
@@ -12,8 +18,8 @@ from ..model import NUMERIC
 from ..operators import predicates as P
 
 PIECE = re.compile(r'\s+|([():])|((?:"[^"]*"|[^\s():"])+)')
-WORDS = {"and", "or", "xor", "not"}
-COMBINE = {"or": lambda a, b: a | b, "xor": lambda a, b: P.true(a) != P.true(b), "and": lambda a, b: a & b}
+OPEN, CLOSE = "(((", ")))"
+BETWEEN = {"or": "))) or (((", "xor": ")) <> ((", "and": ") and ("}
 
 
 class QuerySyntaxError(ValueError):
@@ -39,86 +45,83 @@ def parts(text: str) -> list[str]:
 
 
 class Line:
-    """Compiles one line; `search` is how the request compiles text on an indexed field."""
+    """One line's condition; `search` gives the SQL of a text on an indexed field."""
 
     def __init__(self, text: str, model, search, wildcard: bool = False):
         self.model, self.search, self.wildcard = model, search, wildcard
-        self.parts, self.at = parts(text), 0
+        self.parts = parts(text)
 
     def column(self) -> Column | None:
         if not self.parts or self.parts == ["*"]:
             return None
-        if len(self.parts) == 1:
-            return self.everywhere(self.parts[0])
-        found = self.level(0, None)
-        if self.at < len(self.parts):
-            raise QuerySyntaxError(f"unexpected {self.parts[self.at]!r}")
-        return found
-
-    def everywhere(self, text: str) -> Column:
-        some = P.any_of(self.search(f, text.strip('"')) for f in self.model.full_text)
-        return F.lit(False) if some is None else some
-
-    def next(self) -> str | None:
-        return self.parts[self.at] if self.at < len(self.parts) else None
-
-    def level(self, depth: int, field) -> Column:
-        """or, xor, and (also between terms that stand side by side), not, in the order of their binding."""
-        if depth == 3:
-            return self.negation(field)
-        word = ("or", "xor", "and")[depth]
-        found = self.level(depth + 1, field)
-        while (p := self.next()) is not None and p != ")":
-            if p.lower() == word:
-                self.at += 1
-            elif depth != 2 or p.lower() in ("or", "xor"):
-                break
-            other = self.level(depth + 1, field)
-            found = COMBINE[word](found, other)
-        return found
-
-    def negation(self, field) -> Column:
-        if (self.next() or "").lower() == "not":
-            self.at += 1
-            return ~P.true(self.negation(field))
-        return self.primary(field)
-
-    def primary(self, field) -> Column:
-        p = self.next()
-        if p is None or p in (")", ":") or p.lower() in WORDS:
-            raise QuerySyntaxError(f"a term is missing before {p!r}")
-        self.at += 1
-        if p == "(":
-            found = self.level(0, field)
-            if self.next() != ")":
-                raise QuerySyntaxError("a closing parenthesis is missing")
-            self.at += 1
-            return found
-        if self.next() == ":":
-            self.at += 1
-            f = self.model.fields.get(field_name(p))
-            if f is None:
-                raise UnknownField(p)
-            if self.next() == "(":
-                return self.primary(f)
-            value = self.next()
-            if value is None or value in (")", ":"):
-                raise QuerySyntaxError(f"{p} has no value")
-            self.at += 1
-            return self.value(f, value)
-        return self.value(field, p) if field is not None else self.everywhere(p)
-
-    def value(self, f, text: str) -> Column:
+        text = self.everywhere(self.parts[0]) if len(self.parts) == 1 else self.sql()
+        try:  # now, not when the rows are read; that the columns are not there does not matter
+            SparkSession.active().range(0).where(F.expr(text))
+        except ParseException as e:
+            raise QuerySyntaxError(f"not a search line: {' '.join(self.parts)}") from e
+        except AnalysisException:
+            pass
+        return F.expr(text)
+
+    def everywhere(self, text: str) -> str:
+        return "(" + (" or ".join(self.search(f, text.strip('"')) for f in self.model.full_text) or "false") + ")"
+
+    def sql(self) -> str:
+        """Terms beside one another are joined by and; a group after a field's colon is of that field."""
+        out, fields, todo, beside = [OPEN], [None], self.parts[::-1], False
+        while todo:
+            here = todo.pop()
+            word, field = here.lower(), fields[-1]
+            if word in BETWEEN:
+                out.append(BETWEEN[word])
+                beside = False
+                continue
+            if here == ")":
+                if len(fields) == 1:
+                    raise QuerySyntaxError("a parenthesis is closed that is not open")
+                fields.pop()
+                out.append(CLOSE)
+                beside = True
+                continue
+            if beside:
+                out.append(BETWEEN["and"])
+            beside = word != "not" and here != "("
+            if todo[-1:] == [":"] and here not in ("(", ":"):
+                todo.pop()
+                field = self.model.fields.get(field_name(here))
+                if field is None:
+                    raise UnknownField(here)
+                here = todo.pop() if todo else ")"
+                word = ""
+                if here in (")", ":"):
+                    raise QuerySyntaxError(f"{field.name} has no value")
+                beside = here != "("
+            if here == "(":
+                fields.append(field)
+                out.append(OPEN)
+            elif word == "not":
+                out.append("not")
+            elif here == ":":
+                raise QuerySyntaxError("a colon without a field")
+            else:
+                out.append(self.value(field, here) if field is not None else self.everywhere(here))
+        if len(fields) > 1:
+            raise QuerySyntaxError("a closing parenthesis is missing")
+        return " ".join([*out, CLOSE])
+
+    def value(self, f, text: str) -> str:
+        """Two-valued, as `not` needs it."""
         quoted = text[:1] == '"'
         text = text.strip('"')
         if f.full_text:
             return self.search(f, text)
+        name = f"cast({P.quoted_name(f)} as string)"
         if isinstance(f.type, NUMERIC):
             try:
                 float(text)
-                return P.match(f, text)
+                return P.match_sql(f, text)
             except ValueError:
                 pass
         if self.wildcard and not quoted and re.search(r"[*?]", text):
-            return P.like(f, text)
-        return P.holds(f, text)
+            return f"coalesce({name} like {P.literal(P.like_pattern(text))}, false)"
+        return f"coalesce(contains({name}, {P.literal(text)}), false)"

@@ -106,13 +106,14 @@ class Plan:
         self.low: int | None = None
         self.high: int | None = None
 
-    def search(self, f, text: str) -> Column:
+    def search(self, f, text: str) -> str:
+        """The condition, in SQL, of a text on an indexed field."""
         clause = fulltext.Text.of(f, text)
         if not clause.words or self.model.timestamp is None:
-            return F.lit(False)
+            return "false"
         if clause not in self.texts:
             self.texts.append(clause)
-        return F.col(f"_text{self.texts.index(clause)}") & clause.recheck()
+        return f"(_text{self.texts.index(clause)} and {clause.recheck()})"
 
     def clause(self, body: object, top: bool = False) -> Column | None:
         """A clause's condition; None adds none. Of the top level, a range of times also bounds the index."""
