@@ -34,6 +34,18 @@ def _plain(value: object) -> object:
     return float(value) if isinstance(value, Decimal) else value
 
 
+def sort_values(values: list) -> list:
+    """The values that a hit was sorted by, all of the first one's kind, as far as they can be."""
+    first = next((v for v in values if v is not None), None)
+    kind = str if isinstance(first, str) else float if isinstance(first, float) else int if isinstance(first, int) and not isinstance(first, bool) else None
+    if kind is None:
+        return values
+    try:
+        return [v if v is None else kind(v) for v in values]
+    except ValueError:
+        return values
+
+
 class Engine:
     """Answers request bodies. Only the page of hits and the buckets come to the driver."""
 
@@ -63,7 +75,7 @@ class Engine:
         return self.plan(index).histogram(request, name)
 
     def hits(self, index: str, body: dict, buckets: list[tuple[int, int]] | None = None) -> DataFrame:
-        """The page of rows, with _table. buckets: (ms, count) of the same query, to read only the newest."""
+        """The page of rows, with _table. buckets: (ms, count) of the same query's timestamps, to read only the newest."""
         plan = self.plan(index)
         request = Request.of(body, plan.model)
         rows, _ = plan.rows(request.query)
@@ -83,7 +95,8 @@ class Engine:
         aggregations, first, total = {}, None, 0
         for name, spec in request.histograms.items():
             rows = sorted((r.asDict() for r in self.histogram(index, body, name).collect()), key=lambda r: r["key"])
-            first = first or [(r["key"], r["doc_count"]) for r in rows]
+            if model.timestamp and spec.field == model.timestamp.name:  # others say nothing about where the page is
+                first = first or [(r["key"], r["doc_count"]) for r in rows]
             total = sum(r["doc_count"] for r in rows)
             aggregations[name] = {"buckets": [self._bucket(r, spec.filters) for r in rows]}
         for name, some in request.filters.items():
@@ -116,7 +129,7 @@ class Engine:
         source = {k: _plain(v) for k, v in row.items() if not k.startswith("_field_") and k != "_table"}
         out = {"_index": index, "_version": 1, "_id": str(row[model.id.name]) if model.id else "", "_type": row.get("_table", index), "_score": 1, "found": True, "_source": source}
         if request.sort:
-            out["sort"] = [source.get(n) for n, _ in request.sort]
+            out["sort"] = sort_values([source.get(n) for n, _ in request.sort])
         if request.docvalue_fields:
             out["fields"] = {n: [_plain(row[f"_field_{n}"])] for n in request.docvalue_fields}
         return out

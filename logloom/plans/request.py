@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+from pyspark.errors import ParseException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -196,7 +197,10 @@ class Plan:
         else:
             for i, text in enumerate(self.texts):
                 out = fulltext.flag(out, ts, fulltext.matching_times(self.postings(), text, self.low, self.high), f"_text{i}")
-        return (out if where is None else out.where(where)), named
+        try:
+            return (out if where is None else out.where(where)), named
+        except ParseException as e:
+            raise querystring.QuerySyntaxError("not a search line") from e
 
     def histogram(self, request: Request, name: str) -> DataFrame:
         """key, doc_count and a column for each filter, named 'sub.filter'."""

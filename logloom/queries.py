@@ -5,16 +5,18 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .engine import Engine, docvalue
-from .functions.text import tokens
+from .functions.text import STOP_WORDS, tokens
 from .model import Model, nanoseconds
 from .operators import collapse, fulltext, histograms, hits
 from .plans.request import Plan, Request
-from .sources.catalog import Catalog
+from .sources.catalog import Catalog, Store
+from .sources.settings import Settings
 from .streaming import ingest
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -22,7 +24,7 @@ SQL: dict[str, str] = {}
 
 LOW_MS, HIGH_MS = 1704153600000, 1705363200000
 NS = "epoch_us(ts) * 1000"
-STOP = "('', ' ', 'data', 'php', 'src', 'logs', 'pmx', 'Eco', 'eco', 'vendor')"
+STOP = "(" + ", ".join(f"'{w}'" for w in STOP_WORDS) + ")"
 WORDS = f"list_distinct([w for w in regexp_split_to_array(lower({{}}), '[^a-z0-9_]+') if w not in {STOP}])"
 
 
@@ -171,7 +173,7 @@ DISCOVER = {
     "size": 50,
     "sort": [{"ts": {"order": "desc"}}],
     "query": {"bool": {"must": [RANGE, {"terms": {"event_type": ["error", "click", "view"]}}]}},
-    "aggs": {"2": {"date_histogram": {"field": "ts", "interval": "1h"}, "aggs": {"3": {"filters": {"filters": {
+    "aggs": {"by_hour": {"date_histogram": {"field": "ts", "interval": "1h"}, "aggs": {"kinds": {"filters": {"filters": {
         "errors": {"match_phrase": {"event_type": "error"}},
         "big_clicks": {"bool": {"must": [{"match_phrase": {"event_type": "click"}}, {"range": {"value": {"gte": 10}}}]}},
     }}}}}},
@@ -180,8 +182,8 @@ DISCOVER = {
 
 @query("hist_filters", f"select {NS} // 3600000000000 * 3600000 as key, count(*) filter (event_type = 'error') as errors, count(*) filter (event_type = 'click' and value >= 10) as big_clicks, count(*) as doc_count from events where {IN_RANGE} and event_type in ('error', 'click', 'view') group by 1")
 def hist_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = engine(spark, sf_dir).histogram("logs_events", DISCOVER, "2")
-    return found.withColumnsRenamed({"3.errors": "errors", "3.big_clicks": "big_clicks"})
+    found = engine(spark, sf_dir).histogram("logs_events", DISCOVER, "by_hour")
+    return found.withColumnsRenamed({"kinds.errors": "errors", "kinds.big_clicks": "big_clicks"})
 
 
 @query("hist_text_filter", f"select ts // 10000000000 * 10000 as key, count(*) filter ({_text_sql('text', 'licensed')}) as licensed, count(*) as doc_count from {DOC} group by 1")
@@ -260,7 +262,7 @@ def topk_desc(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("topk_narrowed", f"select event_id, event_type, user_id, value from events where {IN_RANGE} and event_type in ('error', 'click', 'view') order by ts desc, event_id limit 50")
 def topk_narrowed(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = engine(spark, sf_dir)
-    buckets = [(r.key, r.doc_count) for r in found.histogram("logs_events", DISCOVER, "2").collect()]
+    buckets = [(r.key, r.doc_count) for r in found.histogram("logs_events", DISCOVER, "by_hour").collect()]
     return found.hits("logs_events", DISCOVER, buckets).select("event_id", "event_type", "user_id", "value")
 
 
@@ -294,13 +296,24 @@ def ingest_transform(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(ingest.transform(df, model).select("event_id", "event_type", nanoseconds(model.timestamp).alias("ns"), "day"))
 
 
-def _streamed(spark: SparkSession, df: DataFrame, model: Model, table: str) -> DataFrame:
-    """The table that streaming ingest makes of df, from files of it, in several batches."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.mkdtemp(prefix='spark-')}"
-    at = f"{shared.rstrip('/')}/stream-{uuid.uuid4().hex}"
-    df.repartition(5).write.parquet(f"{at}/in")
-    stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 2).parquet(f"{at}/in")
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder that all executors share; a temporary one only where Spark runs in one process."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if shared is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        shared = f"file://{tempfile.mkdtemp(prefix='spark-')}"
+    return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def _streamed(spark: SparkSession, df: DataFrame, model: Model, table: str, compact: bool = False) -> DataFrame:
+    """The table that streaming ingest makes of df, read as files, each batch of at most a gigabyte."""
+    at = scratch(spark, "stream")
+    df.write.parquet(f"{at}/in")
+    stream = spark.readStream.schema(df.schema).option("maxBytesPerTrigger", 1 << 30).parquet(f"{at}/in")
     ingest.ingest(stream, model, f"{at}/out", f"{at}/checkpoint").awaitTermination()
+    if compact:
+        ingest.compact(spark, f"{at}/out", table)
     return ingest.read(spark, f"{at}/out", table)
 
 
@@ -319,6 +332,137 @@ def stream_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _streamed(spark, *events(spark, sf_dir), "rows").select("event_id", "event_type", F.col("day").cast("string").alias("day"))
 
 
+@query("stream_compacted", f"select epoch_us(ts) * 1000 as ts, 'props' as \"column\", unnest({WORDS.format('props')}) as word, strftime(ts, '%Y-%m-%d') as day from events")
+def stream_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shown(_streamed(spark, *events(spark, sf_dir), "postings", compact=True).select("ts", "column", "word", "day"))
+
+
+def stored(spark: SparkSession, sf_dir: str) -> Engine:
+    """An engine over documents kept with their postings and rollup."""
+    store = Store(spark, scratch(spark, "store"))
+    store.create("logs_documents", *documents(spark, sf_dir))
+    return Engine(store.catalog())
+
+
+STORED = {"query_string": {"query": 'text:"The licensed" or source:web'}}
+
+
+@query("fulltext_stored", f"select doc_id, lang, source, n_chars from {DOC} where {_text_sql('text', 'the', 'licensed')} or {_text_sql('source', 'web')}")
+def fulltext_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = stored(spark, sf_dir)
+    return found.plan("logs_documents").rows(STORED)[0].select("doc_id", "lang", "source", "n_chars")
+
+
+@query("stored_tables", f"select 'logs_documents' as name, count(*) as n, (select count(distinct ts // 300000000000) from {DOC}) as n_buckets from documents")
+def stored_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tables that are created, listed, appended to and dropped."""
+    store = Store(spark, scratch(spark, "store"))
+    df, model = documents(spark, sf_dir)
+    store.create("logs_documents", df.where("doc_id % 2 = 0"), model)
+    store.append("logs_documents", df.where("doc_id % 2 <> 0"), model)
+    store.create("logs_gone", df.limit(3), model)
+    store.drop("logs_gone")
+    catalog = store.catalog()
+    counted = [catalog.read(n).agg(F.lit(n).alias("name"), F.count("*").alias("n")).crossJoin(catalog.rollup(n).agg(F.count("*").alias("n_buckets"))) for n in store.names()]
+    return reduce(DataFrame.unionByName, counted)
+
+
+@query("postings_by_hash", f"select \"column\", count(*) as n, count(distinct word) as words from ({_postings_sql()}) where word in ('the', 'de', 'licensed', 'web') group by 1")
+def postings_by_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words are looked up by their hashes, which tell them apart as they themselves do."""
+    found = fulltext.build_postings(*documents(spark, sf_dir))
+    hashes = [F.xxhash64(F.lit(w)) for w in ("the", "de", "licensed", "web")]
+    return found.where(F.col("word_hash").isin(*hashes)).groupBy("column").agg(F.count("*").alias("n"), F.count_distinct("word_hash").alias("words"))
+
+
+@query("ingest_id_hash", "select event_type, count(distinct event_id) as ids from events group by 1")
+def ingest_id_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text ids are stored as hashes, as many as there are ids."""
+    df, model = events(spark, sf_dir)
+    rows = ingest.transform(df.withColumn("uuid", F.concat(F.lit("id-"), F.col("event_id"))), model, hash_id="uuid")
+    return rows.groupBy("event_type").agg(F.count_distinct("uuid").alias("ids"))
+
+
+PAGE = {"size": 40, "sort": [{"ts": {"order": "desc"}}, {"value": {"order": "asc"}}], "docvalue_fields": ["ts"], "query": DISCOVER["query"], "aggs": DISCOVER["aggs"]}
+IN_PAGE = f"{IN_RANGE} and event_type in ('error', 'click', 'view')"
+TS_TEXT = "strftime(ts, '%Y-%m-%d %H:%M:%S') || '.' || lpad((epoch_us(ts) % 1000000 * 1000)::varchar, 9, '0')"
+
+
+@query("search_hits", f"select event_id::varchar as _id, 'logs_events' as _type, event_type, value as sorted_by, {TS_TEXT} as ts_text from events where {IN_PAGE} order by ts desc, value, event_id limit 40")
+def search_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The page of a whole response, hit by hit."""
+    page = engine(spark, sf_dir).search("logs_events", PAGE)["hits"]["hits"]
+    rows = [(h["_id"], h["_type"], h["_source"]["event_type"], float(h["_source"]["value"]), h["fields"]["ts"][0]) for h in page]
+    return spark.createDataFrame(rows, "_id string, _type string, event_type string, sorted_by double, ts_text string")
+
+
+@query("search_buckets", f"select {NS} // 3600000000000 * 3600000 as key, count(*) as doc_count, count(*) filter (event_type = 'error') as errors from events where {IN_PAGE} group by 1")
+def search_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The buckets of a whole response, with their filters."""
+    found = engine(spark, sf_dir).aggregations("logs_events", PAGE)["aggregations"]["by_hour"]["buckets"]
+    return spark.createDataFrame([(b["key"], b["doc_count"], b["kinds"]["buckets"]["errors"]["doc_count"]) for b in found], "key long, doc_count long, errors long")
+
+
+@query("search_other_time", f"select event_id::varchar as _id from events where {IN_RANGE} order by ts desc, event_id limit 25")
+def search_other_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page sorted by the timestamp beside a histogram of another time, which runs the other way."""
+    df = events(spark, sf_dir)[0].withColumn("due", F.expr("timestamp_ntz '2026-01-01 00:00:00' - (ts - timestamp_ntz '2024-01-01 00:00:00')"))
+    catalog = Catalog()
+    catalog.add("logs_due", df, Model.of(df, id="event_id", timestamp="ts"))
+    body = {"size": 25, "sort": [{"ts": {"order": "desc"}}], "query": RANGE, "aggs": {"h": {"date_histogram": {"field": "due", "interval": "1h"}}}}
+    return spark.createDataFrame([(h["_id"],) for h in Engine(catalog).search("logs_due", body)["hits"]["hits"]], "_id string")
+
+
+@query("msearch", f"select 0 as n, count(*) as matched from events where event_type = 'error' union all select 1, count(*) from events where {IN_RANGE}")
+def msearch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two requests at once, each with a histogram whose buckets add up to what matches."""
+    whole = {"h": {"date_histogram": {"field": "ts", "interval": "1d"}}}
+    found = engine(spark, sf_dir).msearch([("logs_events", {"query": {"match_phrase": {"event_type": "error"}}, "aggs": whole}), ("logs_events", {"query": RANGE, "aggs": whole})])
+    return spark.createDataFrame([(i, r["hits"]["total"]) for i, r in enumerate(found["responses"])], "n int, matched long")
+
+
+@query("aggs_siblings", "select count(*) filter (value > 20) as large, count(*) filter (event_type = 'view') as views, count(*) as in_buckets from events")
+def aggs_siblings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Aggregations side by side are all answered."""
+    body = {"aggs": {
+        "a": {"filters": {"filters": {"large": {"range": {"value": {"gt": 20}}}}}}, "b": {"filters": {"filters": {"views": {"match_phrase": {"event_type": "view"}}}}},
+        "h": {"date_histogram": {"field": "ts", "interval": "1w"}},
+    }}
+    found = engine(spark, sf_dir).aggregations("logs_events", body)["aggregations"]
+    row = found["a"]["buckets"]["large"]["doc_count"], found["b"]["buckets"]["views"]["doc_count"], sum(b["doc_count"] for b in found["h"]["buckets"])
+    return spark.createDataFrame([row], "large long, views long, in_buckets long")
+
+
+def _settings(spark: SparkSession, sf_dir: str) -> Settings:
+    """A saved search for each region; the first two are replaced, and those of one title deleted."""
+    store = Settings(spark, scratch(spark, "settings"))
+    regions = spark.read.parquet(f"{sf_dir}/region.parquet").orderBy("r_regionkey").select("r_regionkey", "r_name").collect()
+    for at, r in enumerate(regions):
+        store.put("search", f"r{r.r_regionkey}", {"title": r.r_name, "hits": 1, "columns": ["a", "b"]}, now_ns=1_000_000 * (at + 1))
+    for at, r in enumerate(regions[:2]):
+        store.put("search", f"r{r.r_regionkey}", {"doc": {"title": f"{r.r_name} again", "version": 2}}, now_ns=1_000_000 * (100 + at))
+    store.delete_by_query({"query": {"match_phrase": {"title": "ASIA"}}})
+    return store
+
+
+SAVED = """select 'r' || r_regionkey as _id, case when n <= 2 then r_name || ' again' else r_name end as title, case when n > 2 then 1 end as hits,
+    case when n <= 2 then 2 end as version, case when n <= 2 then 0 else 2 end as n_columns
+    from (select *, row_number() over (order by r_regionkey) as n from region) where n <= 2 or r_name <> 'ASIA'"""
+
+
+@query("settings_saved", SAVED)
+def settings_saved(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The store's documents after they were put, replaced and deleted."""
+    return _settings(spark, sf_dir).read().select("_id", "title", "hits", "version", F.size("columns").alias("n_columns"))
+
+
+@query("settings_mget", f"select _id, title, n_columns from ({SAVED}) where _id in ('r0', 'r3')")
+def settings_mget(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents by id, as they nest."""
+    docs = _settings(spark, sf_dir).mget(["r0", "r3", "none"])["docs"]
+    return spark.createDataFrame([(d["_id"], d["_source"]["title"], len(d["_source"]["columns"])) for d in docs], "_id string, title string, n_columns int")
+
+
 @query("orders_by_week", "select epoch_us(o_orderdate) * 1000 // 604800000000000 * 604800000 as key, count(*) as doc_count, count(*) filter (o_orderstatus = 'F') as done from orders group by 1")
 def orders_by_week(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = spark.read.parquet(f"{sf_dir}/orders.parquet")

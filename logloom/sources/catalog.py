@@ -1,15 +1,23 @@
-"""A catalog of models and their tables, found by name or by prefix."""
+"""A catalog of models and their tables, found by name or by prefix; and tables kept under a folder."""
 
 from __future__ import annotations
 
+import warnings
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..model import Model
-from ..operators.fulltext import build_postings
-from ..operators.histograms import build_rollup
+from ..model import Model, nanoseconds
+from ..operators.fulltext import build_postings, day_of
+from ..operators.histograms import build_rollup, merge_rollup
+
+INDEX_PREFIX = "index_"
+
+
+def index_name(table: str) -> str:
+    """The name of a table's postings."""
+    return INDEX_PREFIX + table
 
 
 class UnknownTable(LookupError):
@@ -46,6 +54,8 @@ class Catalog:
             found = sorted(t for t in self.tables if t.startswith(self.prefix) and t.startswith(name.rstrip("*")))
             if not found:
                 raise UnknownTable(index)
+            if left := [t for t in found if not t.startswith(found[0])]:
+                warnings.warn(f"{index} begins at {found[0]}; it doesn't read {', '.join(left)}", stacklevel=2)
             name = found[0]
         found = sorted(t for t in self.tables if t.startswith(name))
         if not found:
@@ -70,10 +80,6 @@ class Catalog:
         parts = [self.stored.get((n, "rollup")) for n in self.names(index)]
         return None if any(p is None for p in parts) else reduce(DataFrame.unionByName, parts)
 
-    def built_rollup(self, index: str) -> DataFrame:
-        df, model = self.read(index), self.model(index)
-        return build_rollup(df, model.timestamp)
-
 
 def write_rows(df: DataFrame, path: str, model: Model, day: str = "day") -> None:
     """Rows in folders by day, sorted by time within files, so that days and row groups can be skipped."""
@@ -84,3 +90,58 @@ def write_rows(df: DataFrame, path: str, model: Model, day: str = "day") -> None
 def write_postings(postings: DataFrame, path: str) -> None:
     """Postings by day, words of a column side by side in files."""
     postings.repartition("day", F.pmod("word_hash", F.lit(16))).sortWithinPartitions("day", "column", "word_hash", "ts").write.mode("append").partitionBy("day").parquet(path)
+
+
+class Store:
+    """Tables of logs under a folder: rows, postings and rollup by day, and what their columns mean.
+
+    Each append adds files to the three; counts of the same five minutes are added up when read.
+    """
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path.rstrip("/")
+
+    def _at(self, name: str):
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(name)
+        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), path
+
+    def names(self) -> list[str]:
+        files, path = self._at(self.path)
+        if not files.exists(path):
+            return []
+        found = [s.getPath().getName() for s in files.listStatus(path) if s.isDirectory()]
+        return sorted(n for n in found if not n.startswith(INDEX_PREFIX))
+
+    def exists(self, name: str) -> bool:
+        return name in self.names()
+
+    def drop(self, name: str) -> None:
+        for folder in (name, index_name(name)):
+            files, path = self._at(f"{self.path}/{folder}")
+            files.delete(path, True)
+
+    def create(self, name: str, df: DataFrame, model: Model) -> None:
+        """A new table with these rows; the model's timestamp decides their day."""
+        if self.exists(name):
+            raise ValueError(f"there is a table {name}")
+        roles = [(model.id.name if model.id else None, model.timestamp.name, [f.name for f in model.full_text])]
+        self.spark.createDataFrame(roles, "id string, timestamp string, full_text array<string>").write.parquet(f"{self.path}/{name}/model")
+        self.append(name, df, model)
+
+    def append(self, name: str, df: DataFrame, model: Model) -> None:
+        write_rows(df.withColumn("_day", day_of(nanoseconds(model.timestamp))), f"{self.path}/{name}/rows", model, "_day")
+        build_rollup(df, model.timestamp).write.mode("append").partitionBy("day").parquet(f"{self.path}/{name}/rollup")
+        if model.full_text:
+            write_postings(build_postings(df, model), f"{self.path}/{index_name(name)}")
+
+    def catalog(self, prefix: str = "logs_") -> Catalog:
+        """All tables as they are now."""
+        found = Catalog(prefix)
+        read = self.spark.read.parquet
+        for name in self.names():
+            rows = read(f"{self.path}/{name}/rows").drop("_day")
+            roles = read(f"{self.path}/{name}/model").first()
+            model = Model.of(rows, id=roles.id, timestamp=roles.timestamp, full_text=tuple(roles.full_text))
+            postings = read(f"{self.path}/{index_name(name)}") if model.full_text else None
+            found.add(name, rows, model, postings=postings, rollup=merge_rollup(read(f"{self.path}/{name}/rollup")))
+        return found

@@ -102,7 +102,8 @@ class Settings:
         """Stores a document in place of the one with its id. An update's {"doc": ...} replaces as well."""
         seq = now_ns or time.time_ns()
         id = id or f"{kind}_{seq}"
-        row = {"_id": id, "type": kind, "seq": seq, "sign": 1, **flatten(kind, doc.get("doc", doc) if set(doc) == {"doc"} else doc)}
+        empty = {c: [] for c in FIELDS.get(kind, {}).values() if c in LISTS}
+        row = {"_id": id, "type": kind, "seq": seq, "sign": 1, **empty, **flatten(kind, doc.get("doc", doc) if set(doc) == {"doc"} else doc)}
         new = self.spark.createDataFrame([tuple(row.get(c) for c in SCHEMA.names)], SCHEMA).withColumn("updated_at", F.timestamp_micros(F.lit(seq // 1000)))
         old = self.read().where(F.col("_id") == id).withColumn("sign", F.lit(-1))
         self._append(old.select(*SCHEMA.names).unionByName(new))

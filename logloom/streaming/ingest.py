@@ -6,6 +6,8 @@ run again after a failure leaves the same rows. Counts are partial and are added
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,11 +20,13 @@ from ..operators.histograms import build_rollup, merge_rollup
 TABLES = ("rows", "rollup", "postings", "rejected")
 
 
-def parse(lines: DataFrame, schema: T.StructType, value: str = "value") -> DataFrame:
-    """JSON lines as columns; a line that isn't valid is kept in _rejected with all columns null."""
-    wide = T.StructType([*schema.fields, T.StructField("_rejected", T.StringType())])
+def parse(lines: DataFrame, schema: T.StructType, value: str = "value", wire: dict[str, T.DataType] | None = None) -> DataFrame:
+    """JSON lines as columns; a line that isn't valid is kept in _rejected with all columns null. wire: the types
+    of fields that come otherwise than they are stored; they are cast, but for text ids, which `transform` hashes."""
+    wire = wire or {}
+    wide = T.StructType([*(T.StructField(f.name, wire.get(f.name, f.dataType)) for f in schema.fields), T.StructField("_rejected", T.StringType())])
     made = F.from_json(F.col(value).cast("string"), wide, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_rejected"})
-    return lines.select(made.alias("_row"), F.col(value).cast("string").alias("_line")).select("_row.*", "_line").withColumn("_rejected", F.when(F.col("_rejected").isNotNull() | F.coalesce(F.trim("_line") == "", F.lit(True)), F.col("_line"))).drop("_line")
+    return lines.select(made.alias("_row"), F.col(value).cast("string").alias("_line")).select("_row.*", "_line").withColumn("_rejected", F.when(F.col("_rejected").isNotNull() | F.coalesce(F.trim("_line") == "", F.lit(True)), F.col("_line"))).drop("_line").withColumns({n: F.col(n).cast(schema[n].dataType) for n, t in wire.items() if not isinstance(t, T.StringType)})
 
 
 def transform(rows: DataFrame, model: Model, hash_id: str | None = None) -> DataFrame:
@@ -54,12 +58,69 @@ def ingest(stream: DataFrame, model: Model, out: str, checkpoint: str, hash_id:
     return writer.trigger(availableNow=True).start() if available_now else writer.start()
 
 
+def _folders(spark: SparkSession, path: str, key: str) -> list[int]:
+    """The numbers of the folders key=number under a path whose writing has ended."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(at):
+        return []
+    names = [s.getPath().getName() for s in files.listStatus(at)]
+    done = lambda n: files.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{n}/_SUCCESS"))
+    return sorted(int(n.split("=")[1]) for n in names if n.startswith(f"{key}=") and done(n))
+
+
+def _parts(spark: SparkSession, out: str, table: str) -> tuple[int, list[int], DataFrame | None]:
+    """Up to which batch a table is compacted, the batches after it, and all rows."""
+    upto = max(_folders(spark, f"{out}/{table}-compact", "upto"), default=-1)
+    later = [n for n in _folders(spark, f"{out}/{table}", "batch") if n > upto]
+    parts = [spark.read.parquet(*[f"{out}/{table}/batch={n}" for n in later])] if later else []
+    if upto >= 0:
+        parts.append(spark.read.parquet(f"{out}/{table}-compact/upto={upto}"))
+    return upto, later, reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts) if parts else None
+
+
 def read(spark: SparkSession, out: str, table: str) -> DataFrame:
     """A table that the ingest has written; partial counts added up, a time's postings once."""
-    df = spark.read.parquet(f"{out}/{table}").drop("batch")
+    df = _parts(spark, out, table)[2]
+    if df is None:
+        raise ValueError(f"nothing is written yet: {table}")
     return merge_rollup(df) if table == "rollup" else df.distinct() if table == "postings" else df
 
 
-def kafka(spark: SparkSession, servers: str, topic: str) -> DataFrame:
+def compact(spark: SparkSession, out: str, table: str) -> None:
+    """Rewrites what batches have left as one table by day, postings sorted by their words' hashes. Batches may
+    go on meanwhile: readers take the newest compacted folder that is complete, and the batches after it."""
+    upto, later, _ = _parts(spark, out, table)
+    if not later:
+        return
+    rows = read(spark, out, table)
+    keys = ["column", "word_hash", "ts"] if table == "postings" else []
+    rows.repartition("day", F.pmod("word_hash" if keys else F.xxhash64(*rows.columns), F.lit(16))).sortWithinPartitions("day", *keys).write.partitionBy("day").parquet(f"{out}/{table}-compact/upto={later[-1]}")
+    done = [f"{out}/{table}/batch={n}" for n in later] + ([f"{out}/{table}-compact/upto={upto}"] if upto >= 0 else [])
+    for folder in done:
+        at = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def kafka_options(servers: str, topic: str, group: str | None = None, starting: str = "earliest", per_batch: int | None = None) -> dict[str, str]:
+    """Options of Spark's Kafka source. group: the consumer group that brokers see; per_batch: most records of one batch."""
+    options = {"kafka.bootstrap.servers": servers, "subscribe": topic, "startingOffsets": starting}
+    if group:
+        options["kafka.group.id"] = group
+    if per_batch:
+        options["maxOffsetsPerTrigger"] = str(per_batch)
+    return options
+
+
+def lines_of(records: DataFrame, delimiter: str | None = None) -> DataFrame:
+    """value: a record's text, or each of its lines where records hold several; empty ones at its end count not."""
+    text = F.col("value").cast("string")
+    if delimiter is None:
+        return records.select(text.alias("value"))
+    ended = F.when(text.endswith(delimiter), F.substring(text, F.lit(1), F.length(text) - len(delimiter))).otherwise(text)
+    return records.select(F.explode(F.split(ended, r"\Q" + delimiter + r"\E")).alias("value"))
+
+
+def kafka(spark: SparkSession, servers: str, topic: str, delimiter: str | None = None, **options) -> DataFrame:
     """Lines of a Kafka topic as `value`; needs Spark's Kafka connector on the class path."""
-    return spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers).option("subscribe", topic).option("startingOffsets", "earliest").load().select(F.col("value").cast("string").alias("value"))
+    return lines_of(spark.readStream.format("kafka").options(**kafka_options(servers, topic, **options)).load(), delimiter)

@@ -4,11 +4,12 @@ import datetime
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from logloom.engine import Engine
+from logloom.engine import Engine, sort_values
 from logloom.model import Model, nanoseconds
 from logloom.operators import fulltext, histograms, hits
-from logloom.sources.catalog import Catalog, UnknownTable, write_postings, write_rows
+from logloom.sources.catalog import Catalog, Store, UnknownTable, write_postings, write_rows
 from logloom.sources.settings import Settings
 from logloom.streaming import ingest
 
@@ -99,6 +100,94 @@ def test_time_bounds_reach_the_files(spark, events, tmp_path):
     assert sorted(r.event_id for r in found.collect()) == want
 
 
+def test_a_page_beside_another_time(events):
+    df, model = events
+    late = df.withColumn("due", F.expr("timestamp_ntz '2025-01-01 00:00:00' - (ts - timestamp_ntz '2024-01-01 00:00:00')"))
+    catalog = Catalog()
+    catalog.add("logs_late", late, Model.of(late, id="event_id", timestamp="ts"))
+    body = {"size": 5, "sort": [{"ts": {"order": "desc"}}], "aggs": {"h": {"date_histogram": {"field": "due", "interval": "1h"}}}}
+    assert [h["_id"] for h in Engine(catalog).search("logs_late", body)["hits"]["hits"]] == ["499", "498", "497", "496", "495"]
+
+
+def test_sort_values_are_of_one_kind():
+    assert sort_values([3, 2.0, "7"]) == [3, 2, 7] and sort_values(["a", 5, None]) == ["a", "5", None] and sort_values([1, "x"]) == [1, "x"] and sort_values([]) == []
+
+
+def test_stored_tables(spark, events, tmp_path):
+    """Tables outlive the catalog; a search on stored postings reads the days and words that it needs."""
+    df, model = events
+    store = Store(spark, str(tmp_path / "store"))
+    assert store.names() == []
+    store.create("logs_e", df.where("event_id < 400"), model)
+    store.append("logs_e", df.where("event_id >= 400"), model)
+    store.create("logs_x", df.limit(2), model)
+    store.drop("logs_x")
+    with pytest.raises(ValueError):
+        store.create("logs_e", df, model)
+    again = Store(spark, str(tmp_path / "store"))
+    assert again.names() == ["logs_e"] and again.exists("logs_e") and not again.exists("logs_x")
+    found = Engine(again.catalog())
+    body = {"size": 600, "query": {"bool": {"must": [{"query_string": {"query": 'props:"item 3"'}}, {"range": {"ts": {"lt": "2024-01-01T09:00:00"}}}]}}}
+    hits_ = found.hits("logs_e", body)
+    assert sorted(r.event_id for r in hits_.collect()) == [r.event_id for r in df.collect() if r.event_id % 5 == 3 and r.ts < START + datetime.timedelta(hours=9)]
+    plan = hits_._jdf.queryExecution().executedPlan().toString()
+    postings = next(line for line in plan.splitlines() if "word_hash" in line and "FileScan" in line)
+    assert "In(word_hash" in postings and "PartitionFilters: [isnotnull(day" in postings
+    assert {(r.key, r.doc_count) for r in found.histogram("logs_e", {"aggs": {"h": {"date_histogram": {"field": "ts", "interval": "1h"}}}}, "h").collect()} == {(r.key, r.doc_count) for r in histograms.date_histogram(df, model.timestamp, "1h").collect()}
+
+
+def test_searches_read_the_named_columns(spark, tmp_path):
+    rows = [(i, i * 10**9, f"a{i % 3} b", f"c{i % 5}") for i in range(60)]
+    spark.createDataFrame(rows, "id long, ts long, one string, two string").write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    model = Model.of(df, id="id", timestamp="ts", full_text=("one", "two"))
+    times = fulltext.matching_times(fulltext.build_postings(df, model), fulltext.Text.of(model.fields["one"], "a2 b"))
+    plan = times._jdf.queryExecution().executedPlan().toString()
+    assert times.count() == 20 and plan.count("FileScan") == 1 and "two" not in plan
+
+
+def test_patterns_say_what_they_leave_out(events):
+    catalog = Catalog()
+    catalog.add("logs_a", *events)
+    catalog.add("logs_b", *events)
+    with pytest.warns(UserWarning, match="logs_b"):
+        assert catalog.names("logs_*") == ["logs_a"]
+
+
+def test_kafka_options_and_lines(spark):
+    options = ingest.kafka_options("a:1,b:2", "logs", group="g", per_batch=10)
+    assert options == {"kafka.bootstrap.servers": "a:1,b:2", "subscribe": "logs", "startingOffsets": "earliest", "kafka.group.id": "g", "maxOffsetsPerTrigger": "10"}
+    records = spark.createDataFrame([("one|two|",), ("three",), (None,)], "value string").select(F.col("value").cast("binary").alias("value"))
+    assert [r.value for r in ingest.lines_of(records, "|").collect()] == ["one", "two", "three"]
+    assert [r.value for r in ingest.lines_of(records).collect()] == ["one|two|", "three", None]
+
+
+def test_fields_that_come_in_other_types(spark):
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("ts", T.LongType()), T.StructField("pid", T.IntegerType())])
+    lines = spark.createDataFrame([('{"id": "a-1", "ts": 5, "pid": "17"}',), ('{"id": "a-2", "ts": 6, "pid": "x"}',)], "value string")
+    rows = ingest.parse(lines, schema, wire={"id": T.StringType(), "pid": T.StringType()})
+    assert dict(rows.dtypes)["id"] == "string" and rows.where("_rejected is not null").count() == 0
+    stored = ingest.transform(rows, Model.of(rows, id="id", timestamp="ts"), hash_id="id")
+    assert dict(stored.dtypes)["id"] == "bigint" and stored.select("id").distinct().count() == 2
+
+
+def test_compaction_changes_no_rows(spark, events, tmp_path):
+    df, model = events
+    out = str(tmp_path / "out")
+    for n in range(4):
+        ingest.write_batch(df.where(f"event_id % 5 = {n}"), n, model, out)
+    before = {t: sorted(map(tuple, ingest.read(spark, out, t).select(*sorted(ingest.read(spark, out, t).columns)).collect())) for t in ("rows", "rollup", "postings")}
+    for t in before:
+        ingest.compact(spark, out, t)
+        ingest.compact(spark, out, t)
+    after = lambda t: sorted(map(tuple, (d := ingest.read(spark, out, t)).select(*sorted(d.columns)).collect()))
+    assert {t: after(t) for t in before} == before
+    ingest.write_batch(df.where("event_id % 5 = 4"), 4, model, out)
+    assert ingest.read(spark, out, "rows").count() == 500 and ingest.read(spark, out, "rollup").agg(F.sum("count")).first()[0] == 500
+    ingest.compact(spark, out, "rollup")
+    assert ingest.read(spark, out, "rollup").agg(F.sum("count")).first()[0] == 500
+
+
 def test_settings(spark, tmp_path):
     store = Settings(spark, str(tmp_path / "settings"))
     store.put("config", "5.6", {"buildNum": 1, "defaultIndex": "a", "title": "not a config's"})
