@@ -5,13 +5,19 @@ masks is built by giving each bit position a vector of radius+1 bits; mask t kee
 vector has an odd product with t. Two fingerprints that differ in at most `radius` positions agree on
 all kept positions of at least one mask, because fewer than radius+1 vectors always leave a non-zero t
 that is orthogonal to all of them.
+
+Near copies by the words that they share need more than one fingerprint, as one of them says little about
+similarity: documents are sought by several, each under a covering family, and checked by a longer sketch.
 """
 
 from __future__ import annotations
 
+import math
 import random
 from collections.abc import Iterator
+from functools import reduce
 from itertools import repeat
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -19,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Cut, by_run, cut, runs, self_tiles, text_hash
+from .common import Cut, by_run, runs, self_tiles, text_hash
 from .components import components
 
 SEED = 42
@@ -28,18 +34,56 @@ PAIRS_UP_TO = 64  # buckets of at most so many fingerprints are joined as pairs,
 TILE = 2048
 
 
+def majority(h: np.ndarray) -> np.ndarray:
+    """For each column of hashes: bit i is set if it is set in over half of the rows."""
+    ones = np.zeros(BITS * h.shape[1], np.int64)
+    for i in range(0, len(h), 8192):
+        part = np.ascontiguousarray(h[i : i + 8192]).view(np.uint8).reshape(-1, 8 * h.shape[1])
+        ones += np.unpackbits(part, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return np.packbits(ones * 2 > len(h), bitorder="little").view(np.uint64)
+
+
+def shingle_hashes(w: list[bytes], words: int) -> np.ndarray:
+    """XXH64 of the word shingles, repeats included; of all words if there are fewer."""
+    shingles = map(b" ".join, zip(*(w[i:] for i in range(words)))) if len(w) >= words else [b" ".join(w)]
+    return np.fromiter(map(xxhash.xxh64_intdigest, shingles, repeat(SEED)), np.uint64)
+
+
+def words_of(text: str | None) -> list[bytes]:
+    return (text or "").encode("utf-8", "surrogatepass").lower().split()
+
+
 def fingerprint(text: str | None, words: int = 3) -> int:
     """Unsigned: bit i is set if it is set in over half of the XXH64 hashes of the word shingles."""
-    w = (text or "").encode("utf-8", "surrogatepass").lower().split()
+    w = words_of(text)
+    return int(majority(shingle_hashes(w, words)[:, None])[0]) if w else 0
+
+
+def derived(h: np.ndarray, n: int) -> np.ndarray:
+    """n further hashes of each hash, by multiplying and folding."""
+    x = h[:, None] ^ (np.arange(1, n + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    x = (x ^ x >> np.uint64(30)) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ x >> np.uint64(27)) * np.uint64(0x94D049BB133111EB)
+    return x ^ x >> np.uint64(31)
+
+
+#: Fingerprints of word pairs that near copies are sought by, and words of the sketch that they are checked by.
+SOUGHT, CHECKED = [f"f{k}" for k in range(4)], [f"s{k}" for k in range(8)]
+
+
+def sketches(text: str | None, words: int = 5) -> np.ndarray:
+    """SOUGHT, each a SimHash of word pairs under hashes of its own, and CHECKED, a SimHash of 512 bits of the set
+    of word shingles: of two texts as many bits differ as the angle between their sets is of a half turn."""
+    w = words_of(text)
     if not w:
-        return 0
-    shingles = map(b" ".join, zip(*(w[i:] for i in range(words)))) if len(w) >= words else [b" ".join(w)]
-    h = np.fromiter(map(xxhash.xxh64_intdigest, shingles, repeat(SEED)), np.uint64)
-    ones = np.zeros(BITS, np.int64)
-    for i in range(0, len(h), 8192):
-        part = np.ascontiguousarray(h[i : i + 8192]).view(np.uint8).reshape(-1, 8)
-        ones += np.unpackbits(part, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return int(np.packbits(ones * 2 > len(h), bitorder="little").view(np.uint64)[0])
+        return np.zeros(len(SOUGHT) + len(CHECKED), np.uint64)
+    pairs, shingles = shingle_hashes(w, 2), np.unique(shingle_hashes(w, words))
+    return np.concatenate([majority(derived(pairs, len(SOUGHT))), majority(derived(shingles, len(CHECKED)))])
+
+
+def differing(similarity: float) -> int:
+    """How many bits of the sketch differ at most, as expected, between sets of this Jaccard similarity."""
+    return round(BITS * len(CHECKED) * math.acos(2 * similarity / (1 + similarity)) / math.pi)
 
 
 def covering_masks(radius: int, seed: int = 11) -> list[int]:
@@ -51,37 +95,44 @@ def covering_masks(radius: int, seed: int = 11) -> list[int]:
     return [m - (1 << BITS) if m >> (BITS - 1) else m for m in masks]
 
 
-def fingerprints(docs: DataFrame, words: int = 3) -> DataFrame:
-    """doc_id, text_hash, fp (long): one row per row of docs. Null and empty texts: fp 0."""
+def _hashed(docs: DataFrame, columns: list[str], of) -> DataFrame:
+    """doc_id, text_hash and `of` a text's numbers in these columns: one row per row of docs."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            fp = np.fromiter((fingerprint(t.as_py(), words) for t in b.column(2)), np.uint64, b.num_rows).view(np.int64)
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(fp)], ["doc_id", "text_hash", "fp"])
+            found = np.array([of(t.as_py()) for t in b.column(2)], np.uint64).reshape(b.num_rows, len(columns)).view(np.int64)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *(pa.array(np.ascontiguousarray(c)) for c in found.T)], ["doc_id", "text_hash", *columns])
 
     rows = docs.select(F.col("doc_id").cast("long"), text_hash(F.col("text")), F.col("text").cast("string"))
-    return rows.mapInArrow(each, "doc_id long, text_hash long, fp long")
+    return rows.mapInArrow(each, "doc_id long, text_hash long" + "".join(f", {c} long" for c in columns))
 
 
-def _tile_links(radius: int):
-    """Links in a tile pair: each member that has a near one, with the smallest such."""
+def fingerprints(docs: DataFrame, words: int = 3) -> DataFrame:
+    """doc_id, text_hash, fp (long): one row per row of docs. Null and empty texts: fp 0."""
+    return _hashed(docs, ["fp"], lambda t: fingerprint(t, words))
 
-    def near(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        return np.bitwise_count(a[:, None] ^ b[None, :]) <= radius
+
+def _tile_links(check: list[str], most: int):
+    """Links in a tile pair that join what the near pairs join."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in runs(batches, ["t", "m", "tile_i", "tile_j"]):
-            fp, rep, own = (rows.column(k).to_numpy() for k in ("fp", "rep", "own_tile"))
+            rep, own = (rows.column(k).to_numpy() for k in ("rep", "own_tile"))
+            bits = [rows.column(k).to_numpy() for k in check]
             i, j = rows.column("tile_i")[0].as_py(), rows.column("tile_j")[0].as_py()
             left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
+            links = []
             for k in range(0, len(left), 512):
                 x = left[k : k + 512]
-                hit = near(fp[x], fp[right])
+                hit = sum(np.bitwise_count(c[x][:, None] ^ c[right][None, :]).astype(np.int16) for c in bits) <= most
                 if i == j:
                     hit &= rep[x][:, None] < rep[right][None, :]
                 r, c = np.nonzero(hit)
                 if len(r):
-                    yield pa.RecordBatch.from_arrays(spanning(rep[x[r]], rep[right[c]]), ["u", "v"])
+                    links.append(spanning(rep[x[r]], rep[right[c]]))
+            if links:
+                u, v = spanning(*(np.concatenate([z[c].to_numpy() for z in links]) for c in (0, 1)))
+                yield pa.RecordBatch.from_arrays([u, v], ["u", "v"])
 
     return each
 
@@ -103,33 +154,36 @@ def spanning(u: np.ndarray, v: np.ndarray) -> list[pa.Array]:
     return [pa.array(nodes[out]), pa.array(nodes[label[out]])]
 
 
-def near_links(prints: DataFrame, radius: int = 3) -> DataFrame:
-    """u, v: links between representatives that give the same components as all pairs within `radius`.
+def near_links(prints: DataFrame, hashes: list[str], radius: int, check: list[str], most: int) -> tuple[DataFrame, Cut]:
+    """u, v: links between representatives that give the same components as all pairs that are within `radius`
+    in one of the hashes and differ in `most` bits of `check` at most; and a table to be dropped.
 
-    prints: rep (a long that names the fingerprint), fp; every fp once. Buckets of the covering tables
-    with few members are joined as pairs; larger ones are compared in tiles and leave a spanning forest,
-    so rows stay linear in the members however large a bucket is.
+    prints: rep (a long, once each), and these columns. Buckets of the covering tables with few members are
+    joined as pairs; larger ones are compared in tiles and leave a spanning forest, so rows stay linear in
+    the members however large a bucket is.
     """
-    masks = covering_masks(radius)
-    kept = F.array(*[F.col("fp").bitwiseAND(F.lit(m)) for m in masks])
-    entries = prints.select("rep", "fp", F.posexplode(kept).alias("t", "m"))
-    sizes = cut(entries.groupBy("t", "m").agg(F.count("*").alias("n")).where("n > 1"))
-    few = entries.join(sizes.where(F.col("n") <= PAIRS_UP_TO).drop("n"), ["t", "m"])
-    other = few.select("t", "m", F.col("rep").alias("rep2"), F.col("fp").alias("fp2"))
-    pairs = few.join(other, ["t", "m"]).where(F.col("rep") < F.col("rep2"))
-    pairs = pairs.where(F.bit_count(F.col("fp").bitwiseXOR(F.col("fp2"))) <= radius).select(F.col("rep").alias("u"), F.col("rep2").alias("v"))
-    tiles = self_tiles(entries, sizes.where(F.col("n") > PAIRS_UP_TO), ["t", "m"], "fp", TILE)
-    hot = by_run(tiles, ["t", "m", "tile_i", "tile_j"]).mapInArrow(_tile_links(radius), "u long, v long")
-    return pairs.unionByName(hot).distinct()
-
-
-def _with_components(prints: DataFrame, radius: int) -> Cut:
-    """fp, component: each fingerprint with the smallest one that links of at most `radius` bits reach."""
-    distinct = Cut(prints.groupBy("fp").agg(F.count("*").alias("n")).select("fp", F.col("fp").alias("rep")))
-    found = components(near_links(distinct.df, radius))
-    named = Cut(distinct.df.join(found.df, distinct.df.fp == found.df.node, "left").select("fp", F.coalesce("component", "fp").alias("component")))
-    distinct.drop()
-    found.drop()
+    kept = F.array(*[F.col(h).bitwiseAND(F.lit(m)) for h in hashes for m in covering_masks(radius)])
+    entries = prints.select("rep", F.posexplode(kept).alias("t", "m"))
+    sizes = Cut(entries.groupBy("t", "m").agg(F.count("*").cast("int").alias("n")).where("n > 1"))
+    few = entries.join(sizes.df.where(F.col("n") <= PAIRS_UP_TO).drop("n"), ["t", "m"])
+    pairs = few.join(few.select("t", "m", F.col("rep").alias("rep2")), ["t", "m"]).where("rep < rep2").select(F.col("rep").alias("u"), F.col("rep2").alias("v")).distinct()
+    left, right = (prints.select(F.col("rep").alias(end), *[F.col(c).alias(end + c) for c in check]) for end in "uv")
+    apart = reduce(add, [F.bit_count(F.col("u" + c).bitwiseXOR(F.col("v" + c))) for c in check])
+    pairs = pairs.join(left, "u").join(right, "v").where(apart <= most).select("u", "v")
+    large = self_tiles(entries, sizes.df.where(F.col("n") > PAIRS_UP_TO), ["t", "m"], "rep", TILE).join(prints.select("rep", *check), "rep")
+    hot = by_run(large, ["t", "m", "tile_i", "tile_j"]).mapInArrow(_tile_links(check, most), "u long, v long")
+    return pairs.unionByName(hot).distinct(), sizes
+
+
+def _with_components(prints: DataFrame, hashes: list[str], radius: int, check: list[str], most: int) -> Cut:
+    """The hashes and check of each different print, with a number for each component."""
+    keys = list(dict.fromkeys([*hashes, *check]))
+    distinct = Cut(prints.select(*keys).distinct().withColumn("rep", F.monotonically_increasing_id()))  # fixed by being written
+    links, sizes = near_links(distinct.df, hashes, radius, check, most)
+    found = components(links)
+    named = Cut(distinct.df.join(found.df.withColumnRenamed("node", "rep"), "rep", "left").select(*keys, F.coalesce("component", "rep").alias("component")))
+    for done in (distinct, found, sizes):
+        done.drop()
     return named
 
 
@@ -141,7 +195,7 @@ def classes(docs: DataFrame, words: int = 3, radius: int = 3) -> DataFrame:
     component of their fingerprint (null if no document with an id is in it). Repeated rows stay repeated.
     """
     prints = Cut(fingerprints(docs, words).drop("text_hash"))
-    named = _with_components(prints.df, radius)
+    named = _with_components(prints.df, ["fp"], radius, ["fp"], radius)
     least = prints.df.groupBy("fp").agg(F.min("doc_id").alias("least")).join(named.df, "fp")
     names = least.groupBy("component").agg(F.min("least").alias("component_id"))
     known = Cut(named.df.join(names, "component").select("fp", "component_id"))
@@ -149,13 +203,18 @@ def classes(docs: DataFrame, words: int = 3, radius: int = 3) -> DataFrame:
     return prints.df.join(known.df, "fp").select("doc_id", "fp", "component_id")
 
 
-def first_of_each(docs: DataFrame, words: int = 3, radius: int = 3) -> DataFrame:
+def first_of_each(docs: DataFrame, words: int = 5, similarity: float = 0.8, radius: int = 5) -> DataFrame:
     """The rows of docs, with all columns, that stay if of each component one does: that of the smallest id, of
     those that share it that of the smallest text hash, and of rows equal in both any one. Ids that are null
-    come last, so a component of such rows keeps one of them too."""
-    prints = Cut(fingerprints(docs, words))
-    named = _with_components(prints.df, radius)
-    rows = prints.df.groupBy("doc_id", "text_hash", "fp").agg(F.count("*").alias("n")).join(named.df, "fp")
+    come last, so a component of such rows keeps one of them too. Null and empty texts are alike.
+
+    Two documents are linked if one of four fingerprints of their word pairs differs in `radius` bits at most,
+    and the sketch of their sets of word shingles says that these are as similar. The sketch has 512 bits; at a
+    similarity of 0.8 its standard error is about 0.035.
+    """
+    prints = Cut(_hashed(docs, SOUGHT + CHECKED, lambda t: sketches(t, words)))
+    named = _with_components(prints.df, SOUGHT, radius, CHECKED, differing(similarity))
+    rows = prints.df.groupBy("doc_id", "text_hash", *SOUGHT, *CHECKED).agg(F.count("*").alias("n")).join(named.df, SOUGHT + CHECKED)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash", "n")).alias("first")
     kept = Cut(rows.groupBy("component").agg(first).select("first.doc_id", "first.text_hash", "first.n"))
     prints.drop()

@@ -230,6 +230,34 @@ def test_lines_with_a_hot_segment(spark, monkeypatch):
     assert got == {i: int(want[i] != i) for i, _ in rows} and sum(got.values()) > 20
 
 
+@pytest.mark.parametrize("pairs_up_to", [64, 2])
+def test_near_copies_by_shared_shingles(spark, monkeypatch, pairs_up_to):
+    """Changed copies go from a similarity of five-word shingles that is clearly above 0.8, and none clearly below."""
+    monkeypatch.setattr(simhash, "PAIRS_UP_TO", pairs_up_to)
+    monkeypatch.setattr(simhash, "TILE", 3)
+    rnd = random.Random(21)
+    pool = [f"w{i}" for i in range(4000)]
+    base = {i: [rnd.choice(pool) for _ in range(rnd.randint(120, 400))] for i in range(40)}
+
+    def shingles(w):
+        return {tuple(w[i : i + 5]) for i in range(len(w) - 4)}
+
+    rows, similar = [(i, " ".join(w)) for i, w in base.items()], {}
+    for i, w in base.items():
+        for k, share in enumerate((0.005, 0.01, 0.015, 0.02, 0.06, 0.1)):
+            new = list(w)
+            for at in rnd.sample(range(len(w)), max(1, round(share * len(w)))):
+                new[at] = rnd.choice(pool)
+            a, b = shingles(w), shingles(new)
+            similar[1000 + 10 * i + k] = len(a & b) / len(a | b)
+            rows.append((1000 + 10 * i + k, " ".join(new)))
+    kept = {r.doc_id for r in simhash.first_of_each(documents(spark, rows)).collect()}
+    assert set(base) <= kept
+    near = [d for d, x in similar.items() if x >= 0.85]
+    assert len(near) > 80 and sum(d not in kept for d in near) >= 0.9 * len(near)
+    assert {d for d, x in similar.items() if x < 0.65} <= kept
+
+
 def test_one_row_of_each_component_stays(spark):
     long = prose(3, 80)
     rows = [(7, long), (7, prose(8, 80)), (9, long), (None, long), (None, prose(12, 60)), (None, prose(12, 60)), (4, prose(20, 50)), (4, prose(20, 50)), (11, None), (12, "")]
