@@ -30,10 +30,10 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group linked by SimHashes within 3 bits the document with the smallest id; rows without an id come
-    last, and rows that share an id are told apart by their text. README has the recall by similarity: most
-    near copies below 0.95 are not linked."""
-    return simhash.first_of_each(docs, words=3, radius=3).select(*docs.columns)
+    """Of each group of documents that share five-word shingles at a similarity of 0.8, as their SimHash sketches
+    tell, the one with the smallest id; rows without an id come last, and rows that share an id are told apart
+    by their text. README has the recall by similarity."""
+    return simhash.first_of_each(docs, words=5, similarity=0.8).select(*docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
