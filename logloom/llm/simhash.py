@@ -203,17 +203,18 @@ def classes(docs: DataFrame, words: int = 3, radius: int = 3) -> DataFrame:
     return prints.df.join(known.df, "fp").select("doc_id", "fp", "component_id")
 
 
-def first_of_each(docs: DataFrame, words: int = 5, similarity: float = 0.8, radius: int = 5) -> DataFrame:
+def first_of_each(docs: DataFrame, words: int = 5, similarity: float = 0.8, margin: float = 0.05, radius: int = 5) -> DataFrame:
     """The rows of docs, with all columns, that stay if of each component one does: that of the smallest id, of
     those that share it that of the smallest text hash, and of rows equal in both any one. Ids that are null
     come last, so a component of such rows keeps one of them too. Null and empty texts are alike.
 
     Two documents are linked if one of four fingerprints of their word pairs differs in `radius` bits at most,
-    and the sketch of their sets of word shingles says that these are as similar. The sketch has 512 bits; at a
-    similarity of 0.8 its standard error is about 0.035.
+    and the sketch of their sets of word shingles says that these are as similar, less a margin. The sketch has
+    512 bits, which tell a similarity of 0.8 with a standard error of 0.035; the margin is for pairs that it
+    takes to be less similar than they are.
     """
     prints = Cut(_hashed(docs, SOUGHT + CHECKED, lambda t: sketches(t, words)))
-    named = _with_components(prints.df, SOUGHT, radius, CHECKED, differing(similarity))
+    named = _with_components(prints.df, SOUGHT, radius, CHECKED, differing(similarity - margin))
     rows = prints.df.groupBy("doc_id", "text_hash", *SOUGHT, *CHECKED).agg(F.count("*").alias("n")).join(named.df, SOUGHT + CHECKED)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash", "n")).alias("first")
     kept = Cut(rows.groupBy("component").agg(first).select("first.doc_id", "first.text_hash", "first.n"))
