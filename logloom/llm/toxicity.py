@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Cut
+from .common import Cut, text_hash
 
 # Look-alike letters and the Latin ones that they stand for.
 HOMOGLYPHS = str.maketrans({
@@ -184,10 +184,12 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = 40_000, entries: int =
     `strength` or more; whole words of lower odds under them come along as exceptions, and at most `entries`
     pairs of a word of the lexicon and its neighbour that `least` places in clean texts hold, and clean texts
     rather than toxic ones. The same sample fits the curve. Labels that are null or other, and rows without text, teach nothing; an id
-    with both labels counts as 1. With no rows: an empty lexicon, under which all texts score alike.
+    with both labels counts as 1, and an id with several texts teaches one of them, by its hash. With no rows: an empty lexicon, under which all texts score alike.
     """
     chosen = F.broadcast(sample_labels(labels, sample))
-    taken = Cut(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(chosen, "doc_id"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(chosen, "doc_id")
+    one = F.min(F.struct(text_hash(F.col("text")).alias("h"), "text")).alias("one")  # an id may repeat, the sample must not grow
+    taken = Cut(rows.groupBy("doc_id", "label").agg(one).select("doc_id", "label", "one.text"))
     lexicon = _fit(taken.df, entries, least, odds, strength, shortest, threshold, exceptions)
     taken.drop()
     return lexicon

@@ -187,6 +187,19 @@ def test_toxicity(spark):
     assert nothing.weights == {} and toxicity.score(documents(spark, []), nothing).count() == 0
 
 
+def test_repeated_ids_teach_once(spark):
+    rows = [(i % 40, f"{prose(i, 20)} {'vilewort' if i % 40 % 4 == 0 else ''}") for i in range(400)]
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(40)], "doc_id long, label int")
+    seen = []
+    fit = toxicity._fit
+    try:
+        toxicity._fit = lambda taken, *rest: seen.append(taken.count()) or fit(taken, *rest)
+        toxicity.fit(documents(spark, rows), labels)
+    finally:
+        toxicity._fit = fit
+    assert seen == [40]
+
+
 def plain_features(lexicon, text):
     """Word by word, without an automaton."""
     folded = toxicity.fold(text)
