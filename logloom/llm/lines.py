@@ -302,7 +302,7 @@ def dedup(docs: DataFrame, edits: int = 2, least_chars: int = 1) -> DataFrame:
     docs = docs.drop("n_lines", "n_removed", "gone")
     gone = removals(docs, edits, least_chars).df.withColumnsRenamed({"row": "_row", "text_hash": "_hash"})
     at = F.expr(ROW.replace("text_hash", "xxhash64(coalesce(cast(text as string), ''))")).cast("decimal(28,0)")
-    rows = docs.join(gone, (at == gone._row) & (text_hash(docs.text) == gone._hash), "left").drop("_row", "_hash")
+    rows = docs.join(gone, (at == gone._row) & (text_hash(docs.text) == gone._hash), "left").drop(gone._row, gone._hash)
     lines = F.split(F.col("text").cast("string"), "\n")
     kept = F.filter(lines, lambda x, i: ~F.coalesce(F.array_contains(F.col("gone"), i), F.lit(False)))
     text = F.when(F.col("gone").isNull(), F.col("text").cast("string")).otherwise(F.array_join(kept, "\n"))

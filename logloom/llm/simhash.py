@@ -222,5 +222,5 @@ def first_of_each(docs: DataFrame, words: int = 5, similarity: float = 0.8, marg
     named.drop()
     same = lambda k: docs.doc_id.cast("long").eqNullSafe(k.doc_id) & (text_hash(docs.text) == k.text_hash)
     lone, repeated = (kept.df.where(c) for c in ("n = 1", "n > 1"))
-    again = docs.join(repeated, same(repeated), "left_semi").withColumn("_hash", text_hash(F.col("text"))).dropDuplicates(["doc_id", "_hash"]).drop("_hash")
+    again = docs.join(repeated, same(repeated), "left_semi").dropDuplicates(["doc_id", "text"])
     return docs.join(lone, same(lone), "left_semi").unionByName(again)

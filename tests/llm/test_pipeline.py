@@ -45,3 +45,45 @@ def test_stages(spark, tmp_path):
     again = {r.doc_id for r in corpus_pipeline.run(spark, str(tmp_path)).select("doc_id").distinct().collect()}
     assert again == set(packed)
     assert now.agg(F.sum("length")).first()[0] > 0
+
+
+def words(seed, n):
+    r = random.Random(seed)
+    return " ".join("".join(r.choice(["ka", "lo", "mi", "ne", "ru", "so", "ti", "va"]) for _ in range(r.randint(2, 4))) for _ in range(n))
+
+
+COLUMNS = "doc_id long, text string, lang string, source string, n_chars long, gone string, h string, _held string, fp string, _hash string"
+
+
+def tables(spark, path, docs):
+    made = spark.createDataFrame([(i, t, None, None, None, "x", "y", "z", "w", "v") for i, t in docs], COLUMNS)
+    spark.createDataFrame([(i, 0, int(i % 2)) for i in range(8)] + [(None, 1, 1), (3, None, None)], "doc_id long, quality int, toxic int").write.parquet(f"{path}/labels.parquet")
+    spark.createDataFrame([(0, words(1, 30)), (1, None), (None, words(2, 20)), (2, "")], "item_id long, text string").write.parquet(f"{path}/benchmark.parquet")
+    return made
+
+
+def test_stages_tell_rows_by_id_and_text(spark, tmp_path):
+    """Rows that share an id or have none, nulls, other columns with names of the operators' own."""
+    item, line = words(1, 30), words(50, 12)
+    docs = [(1, words(10, 60)), (1, words(11, 60)), (None, words(12, 60)), (None, f"{words(13, 20)} {item}"), (2, f"{words(14, 20)} {item}"), (2, words(15, 60)), (None, None), (3, None), (4, ""), (5, f"{line}\n{words(16, 40)}"), (5, f"{line}\n{words(17, 40)}"), (6, words(10, 60)), (None, words(12, 60))]
+    rows = tables(spark, tmp_path, docs)
+    got = {}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, rows, str(tmp_path))
+        assert out.columns == rows.columns, name
+        got[name] = sorted(((r.doc_id, r.text) for r in out.collect()), key=str)
+        assert all(r.h == "y" and r.fp == "w" for r in out.collect())
+    key = lambda some: sorted(some, key=str)
+    assert got["toxicity"] == key(docs)  # its labels name no toxic words
+    lines = got["line dedup"]
+    assert len(lines) == len(docs) and sum(line in (t or "") for _, t in lines) == 1 and (None, None) in lines and (2, words(15, 60)) in lines
+    assert (6, "") in lines and (1, words(10, 60)) in lines and sum(t == words(12, 60) for _, t in lines) == 2  # rows equal in id and text
+    near = got["near copies"]
+    assert (1, words(10, 60)) in near and (6, words(10, 60)) not in near and (1, words(11, 60)) in near and near.count((None, words(12, 60))) == 1 and (3, None) in near and (4, "") not in near
+    assert got["decontamination"] == key([d for d in docs if item not in (d[1] or "")])
+
+
+def test_stages_of_no_documents(spark, tmp_path):
+    rows = tables(spark, tmp_path, [])
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, rows, str(tmp_path)).count() == 0, name
