@@ -40,7 +40,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """Documents whose text holds no benchmark item, whatever their ids."""
     texts = docs.select(text_hash(F.col("text")).alias("doc_id"), "text")
     held = decontaminate.contaminated(texts, table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias("_held")).distinct()
-    return docs.join(held, text_hash(docs.text) == F.col("_held"), "left_anti").select(*docs.columns)
+    return docs.join(held, text_hash(docs.text) == held._held, "left_anti").select(*docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
