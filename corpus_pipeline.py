@@ -1,5 +1,10 @@
 """Corpus pipeline: toxicity, line dedup, near-dedup, decontamination and packing, each stage on all that
-the stage before it kept."""
+the stage before it kept.
+
+In every stage a null text counts as empty, rows without an id and rows that share one are rows of their own,
+told apart by their text, other columns are handed on as they are, and an empty table stays empty. A text
+that is empty scores as one without a toxic word; of all empty ones the first stays as a near copy.
+"""
 
 from __future__ import annotations
 
