@@ -88,8 +88,8 @@ def write_rows(df: DataFrame, path: str, model: Model, day: str = "day") -> None
 
 
 def write_postings(postings: DataFrame, path: str) -> None:
-    """Postings by day, words of a column side by side in files."""
-    postings.repartition("day", F.pmod("word_hash", F.lit(16))).sortWithinPartitions("day", "column", "word_hash", "ts").write.mode("append").partitionBy("day").parquet(path)
+    """Postings by day, words of a column side by side in files, which Spark sizes however many a day has."""
+    postings.hint("rebalance", "day").sortWithinPartitions("day", "column", "word_hash", "ts").write.mode("append").partitionBy("day").parquet(path)
 
 
 class Store:

@@ -95,7 +95,7 @@ def compact(spark: SparkSession, out: str, table: str) -> None:
         return
     rows = read(spark, out, table)
     keys = ["column", "word_hash", "ts"] if table == "postings" else []
-    rows.repartition("day", F.pmod("word_hash" if keys else F.xxhash64(*rows.columns), F.lit(16))).sortWithinPartitions("day", *keys).write.partitionBy("day").parquet(f"{out}/{table}-compact/upto={later[-1]}")
+    rows.hint("rebalance", "day").sortWithinPartitions("day", *keys).write.partitionBy("day").parquet(f"{out}/{table}-compact/upto={later[-1]}")
     done = [f"{out}/{table}/batch={n}" for n in later] + ([f"{out}/{table}-compact/upto={upto}"] if upto >= 0 else [])
     for folder in done:
         at = spark._jvm.org.apache.hadoop.fs.Path(folder)
