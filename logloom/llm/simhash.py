@@ -118,7 +118,7 @@ def _tile_links(check: list[str], most: int):
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in runs(batches, ["t", "m", "tile_i", "tile_j"]):
             rep, own = (rows.column(k).to_numpy() for k in ("rep", "own_tile"))
-            bits = [rows.column(k).to_numpy() for k in check]
+            bits = [rows.column(k).to_numpy().view(np.uint64) for k in check]  # of signed numbers the magnitude would be counted
             i, j = rows.column("tile_i")[0].as_py(), rows.column("tile_j")[0].as_py()
             left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
             links = []
@@ -154,32 +154,34 @@ def spanning(u: np.ndarray, v: np.ndarray) -> list[pa.Array]:
     return [pa.array(nodes[out]), pa.array(nodes[label[out]])]
 
 
-def near_links(prints: DataFrame, hashes: list[str], radius: int, check: list[str], most: int) -> tuple[DataFrame, Cut]:
+def near_links(prints: DataFrame, hashes: list[str], radius: int, check: list[str], most: int, pairs_up_to: int) -> tuple[DataFrame, Cut]:
     """u, v: links between representatives that give the same components as all pairs that are within `radius`
     in one of the hashes and differ in `most` bits of `check` at most; and a table to be dropped.
 
-    prints: rep (a long, once each), and these columns. Buckets of the covering tables with few members are
-    joined as pairs; larger ones are compared in tiles and leave a spanning forest, so rows stay linear in
-    the members however large a bucket is.
+    prints: rep (a long, once each), and these columns. Buckets of the covering tables with `pairs_up_to`
+    members at most are joined as pairs; larger ones are compared in tiles and leave a spanning forest, so
+    rows stay linear in the members however large a bucket is. With many tables a large group lies in many
+    small buckets, whose pairs would together be all pairs of the group; then no bucket is to be joined so.
     """
     kept = F.array(*[F.col(h).bitwiseAND(F.lit(m)) for h in hashes for m in covering_masks(radius)])
     entries = prints.select("rep", F.posexplode(kept).alias("t", "m"))
     sizes = Cut(entries.groupBy("t", "m").agg(F.count("*").cast("int").alias("n")).where("n > 1"))
-    few = entries.join(sizes.df.where(F.col("n") <= PAIRS_UP_TO).drop("n"), ["t", "m"])
-    pairs = few.join(few.select("t", "m", F.col("rep").alias("rep2")), ["t", "m"]).where("rep < rep2").select(F.col("rep").alias("u"), F.col("rep2").alias("v")).distinct()
-    left, right = (prints.select(F.col("rep").alias(end), *[F.col(c).alias(end + c) for c in check]) for end in "uv")
-    apart = reduce(add, [F.bit_count(F.col("u" + c).bitwiseXOR(F.col("v" + c))) for c in check])
-    pairs = pairs.join(left, "u").join(right, "v").where(apart <= most).select("u", "v")
-    large = self_tiles(entries, sizes.df.where(F.col("n") > PAIRS_UP_TO), ["t", "m"], "rep", TILE).join(prints.select("rep", *check), "rep")
-    hot = by_run(large, ["t", "m", "tile_i", "tile_j"]).mapInArrow(_tile_links(check, most), "u long, v long")
-    return pairs.unionByName(hot).distinct(), sizes
-
-
-def _with_components(prints: DataFrame, hashes: list[str], radius: int, check: list[str], most: int) -> Cut:
+    large = self_tiles(entries, sizes.df.where(F.col("n") > pairs_up_to), ["t", "m"], "rep", TILE).join(prints.select("rep", *check), "rep")
+    links = by_run(large, ["t", "m", "tile_i", "tile_j"]).mapInArrow(_tile_links(check, most), "u long, v long")
+    if pairs_up_to:
+        few = entries.join(sizes.df.where(F.col("n") <= pairs_up_to).drop("n"), ["t", "m"])
+        pairs = few.join(few.select("t", "m", F.col("rep").alias("rep2")), ["t", "m"]).where("rep < rep2").select(F.col("rep").alias("u"), F.col("rep2").alias("v")).distinct()
+        left, right = (prints.select(F.col("rep").alias(end), *[F.col(c).alias(end + c) for c in check]) for end in "uv")
+        apart = reduce(add, [F.bit_count(F.col("u" + c).bitwiseXOR(F.col("v" + c))) for c in check])
+        links = pairs.join(left, "u").join(right, "v").where(apart <= most).select("u", "v").unionByName(links)
+    return links.distinct(), sizes
+
+
+def _with_components(prints: DataFrame, hashes: list[str], radius: int, check: list[str], most: int, pairs_up_to: int) -> Cut:
     """The hashes and check of each different print, with a number for each component."""
     keys = list(dict.fromkeys([*hashes, *check]))
     distinct = Cut(prints.select(*keys).distinct().withColumn("rep", F.monotonically_increasing_id()))  # fixed by being written
-    links, sizes = near_links(distinct.df, hashes, radius, check, most)
+    links, sizes = near_links(distinct.df, hashes, radius, check, most, pairs_up_to)
     found = components(links)
     named = Cut(distinct.df.join(found.df.withColumnRenamed("node", "rep"), "rep", "left").select(*keys, F.coalesce("component", "rep").alias("component")))
     for done in (distinct, found, sizes):
@@ -195,7 +197,7 @@ def classes(docs: DataFrame, words: int = 3, radius: int = 3) -> DataFrame:
     component of their fingerprint (null if no document with an id is in it). Repeated rows stay repeated.
     """
     prints = Cut(fingerprints(docs, words).drop("text_hash"))
-    named = _with_components(prints.df, ["fp"], radius, ["fp"], radius)
+    named = _with_components(prints.df, ["fp"], radius, ["fp"], radius, PAIRS_UP_TO)
     least = prints.df.groupBy("fp").agg(F.min("doc_id").alias("least")).join(named.df, "fp")
     names = least.groupBy("component").agg(F.min("least").alias("component_id"))
     known = Cut(named.df.join(names, "component").select("fp", "component_id"))
@@ -214,7 +216,7 @@ def first_of_each(docs: DataFrame, words: int = 5, similarity: float = 0.8, marg
     takes to be less similar than they are.
     """
     prints = Cut(_hashed(docs, SOUGHT + CHECKED, lambda t: sketches(t, words)))
-    named = _with_components(prints.df, SOUGHT, radius, CHECKED, differing(similarity - margin))
+    named = _with_components(prints.df, SOUGHT, radius, CHECKED, differing(similarity - margin), 0)
     rows = prints.df.groupBy("doc_id", "text_hash", *SOUGHT, *CHECKED).agg(F.count("*").alias("n")).join(named.df, SOUGHT + CHECKED)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash", "n")).alias("first")
     kept = Cut(rows.groupBy("component").agg(first).select("first.doc_id", "first.text_hash", "first.n"))

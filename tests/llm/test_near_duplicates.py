@@ -153,6 +153,19 @@ def test_fingerprints_are_of_xxh64_shingles(spark):
     assert simhash.fingerprint("Äb") != simhash.fingerprint("äb")  # only A-Z are lower-cased
 
 
+def test_links_in_tiles_count_all_bits(spark, monkeypatch):
+    """Fingerprints that differ in their highest bit among others, in buckets of every size."""
+    rnd = random.Random(13)
+    base = [rnd.getrandbits(64) for _ in range(5)]
+    prints = list(dict.fromkeys(b ^ sum(1 << k for k in {63, *rnd.sample(range(63), rnd.randint(0, 3))} if k < 63 or rnd.random() < 0.7) for b in base for _ in range(30)))
+    rows = [(i, p - (1 << 64) if p >> 63 else p) for i, p in enumerate(prints)]
+    want = groups(range(len(prints)), lambda a, b: (prints[a] ^ prints[b]).bit_count() <= 3)
+    for pairs_up_to in (0, 2, 64):
+        links, _ = simhash.near_links(spark.createDataFrame(rows, "rep long, fp long"), ["fp"], 3, ["fp"], 3, pairs_up_to)
+        found = {r.node: r.component for r in components(links).df.collect()}
+        assert {i: found.get(i, i) for i in range(len(prints))} == want
+
+
 def test_masks_cover_every_pair_in_the_radius():
     rnd = random.Random(3)
     for radius in (1, 2, 3):
