@@ -30,6 +30,7 @@ from .components import components
 SEGMENT_CHARS = 4  # the edit join takes lines with so many characters a segment; shorter ones are compared whole
 PAIRS_UP_TO = 48
 TILE, TILE_CHARS = 512, 4_000_000
+BROADCAST = 64 << 20  # bytes of line numbers up to which they are sent to the texts rather than shuffled with them
 
 
 def within(a: str, b: str, k: int) -> bool:
@@ -301,6 +302,9 @@ def dedup(docs: DataFrame, edits: int = 2, least_chars: int = 1) -> DataFrame:
     """
     docs = docs.drop("n_lines", "n_removed", "gone")
     gone = removals(docs, edits, least_chars).df.withColumnsRenamed({"row": "_row", "text_hash": "_hash"})
+    n, numbers = gone.agg(F.count("*"), F.coalesce(F.sum(F.size("gone")), F.lit(0))).first()
+    if 64 * n + 8 * numbers <= BROADCAST:
+        gone = F.broadcast(gone)
     at = F.expr(ROW.replace("text_hash", "xxhash64(coalesce(cast(text as string), ''))")).cast("decimal(28,0)")
     rows = docs.join(gone, (at == gone._row) & (text_hash(docs.text) == gone._hash), "left").drop(gone._row, gone._hash)
     lines = F.split(F.col("text").cast("string"), "\n")
