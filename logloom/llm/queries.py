@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, embeddings, html, language, licenses, lines, packing, pii, simhash, toxicity
+from . import audit, decontaminate, embeddings, html, language, licenses, lines, packing, phrases, pii, simhash, toxicity
 from .common import table
 
 
@@ -64,9 +64,17 @@ def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract(table(spark, sf_dir, "pages"))
 
 
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.mine(table(spark, sf_dir, "documents"))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_line_dedup": op1_line_dedup, "op2_embedding_near_dedup": op2_embedding_near_dedup, "op3_licenses": op3_licenses, "op4_packing": op4_packing, "op5_language": op5_language, "op6_simhash": op6_simhash, "op7_pii": op7_pii, "op8_toxicity": op8_toxicity, "op9_decontaminate": op9_decontaminate, "op10_html": op10_html}
+    return {"op1_line_dedup": op1_line_dedup, "op2_embedding_near_dedup": op2_embedding_near_dedup, "op3_licenses": op3_licenses, "op4_packing": op4_packing, "op5_language": op5_language, "op6_simhash": op6_simhash, "op7_pii": op7_pii, "op8_toxicity": op8_toxicity, "op9_decontaminate": op9_decontaminate, "op10_html": op10_html, "op11_phrases": op11_phrases, "op12_filter_audit": op12_filter_audit}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_embedding_near_dedup": embeddings.sql(cosine=0.98), "op3_licenses": licenses.sql()}
+    return {"op2_embedding_near_dedup": embeddings.sql(cosine=0.98), "op3_licenses": licenses.sql(), "op11_phrases": phrases.sql(), "op12_filter_audit": audit.sql()}
