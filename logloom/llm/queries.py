@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import audit, decontaminate, embeddings, html, language, licenses, lines, packing, phrases, pii, simhash, toxicity
+from . import audit, decontaminate, embeddings, html, language, licenses, lines, packing, phrases, pii, simhash, suffix_tree, toxicity
 from .common import table
 
 
@@ -72,8 +72,15 @@ def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op13_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    remainder = F.crc32(F.col("doc_id").cast("string")) % 7
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = suffix_tree.score(docs, suffix_tree.fit(docs.where(F.coalesce(remainder != 2, F.lit(True)))))
+    return found.withColumn("held_out", F.coalesce(remainder == 2, F.lit(False)))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_line_dedup": op1_line_dedup, "op2_embedding_near_dedup": op2_embedding_near_dedup, "op3_licenses": op3_licenses, "op4_packing": op4_packing, "op5_language": op5_language, "op6_simhash": op6_simhash, "op7_pii": op7_pii, "op8_toxicity": op8_toxicity, "op9_decontaminate": op9_decontaminate, "op10_html": op10_html, "op11_phrases": op11_phrases, "op12_filter_audit": op12_filter_audit}
+    return {"op1_line_dedup": op1_line_dedup, "op2_embedding_near_dedup": op2_embedding_near_dedup, "op3_licenses": op3_licenses, "op4_packing": op4_packing, "op5_language": op5_language, "op6_simhash": op6_simhash, "op7_pii": op7_pii, "op8_toxicity": op8_toxicity, "op9_decontaminate": op9_decontaminate, "op10_html": op10_html, "op11_phrases": op11_phrases, "op12_filter_audit": op12_filter_audit, "op13_lm_score": op13_lm_score}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -1,5 +1,6 @@
-"""Phrases and the audit of filters, against brute force."""
+"""Phrases, the audit of filters and language-model scores, against brute force."""
 
+import math
 import random
 import re
 from collections import Counter
@@ -9,7 +10,7 @@ import numpy as np
 import pytest
 from helpers import AWKWARD, DOCS, documents, prose
 
-from logloom.llm import audit, ngrams, phrases
+from logloom.llm import audit, ngrams, phrases, suffix_tree
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -135,3 +136,92 @@ def test_audit_of_nothing(spark):
     assert audit.audit(documents(spark, []), labels).collect() == []
     one = audit.audit(documents(spark, [(1, None)]), labels).collect()
     assert len(one) == 600 and {(r.removed, r.shapley) for r in one if r.filter_order[r.step - 1] == "A"} == {(1, 120)}
+
+
+class PlainTree:
+    """A suffix tree in dictionaries, which predicts one token after another."""
+
+    def __init__(self, texts, depth, least, least_context, discount):
+        self.counts, self.depth = Counter(), depth
+        for t in texts:
+            w = self.tokens(t)
+            self.counts.update(tuple(w[i : i + k]) for k in range(1, depth + 2) for i in range(len(w) - k + 1))
+        self.words = {g[0]: c for g, c in self.counts.items() if len(g) == 1}
+        self.n, self.total = sum(self.words.values()), sum(self.words.values()) + len(self.words) + 1
+        self.least, self.discount = least, discount
+        self.followed = {}
+        for g, c in self.counts.items():
+            if len(g) > 1 and c >= least:
+                self.followed.setdefault(g[:-1], {})[g[-1]] = c
+        self.states = {s for s in self.followed if self.counts[s] >= least_context and self.differs(s)}
+        self.states |= {s[k:] for s in self.states for k in range(1, len(s))}
+
+    @staticmethod
+    def tokens(text):
+        return [*re.findall("[^\x20\x09-\x0d]+", (text or "").translate(LOWER)), None]
+
+    def p(self, s, w, states=None):
+        """The probability of w after s; where states are given, of the longest suffix that is one."""
+        while s and (s not in self.followed if states is None else s not in states):
+            s = s[1:]
+        if not s:
+            return (self.words.get(w, 0) + 1) / self.total
+        next_, c = self.followed[s], self.counts[s]
+        escape = 1 - sum(x - self.discount for x in next_.values()) / c
+        return max(0, next_.get(w, 0) - self.discount) / c + escape * self.p(s[1:], w, states)
+
+    def differs(self, s):
+        next_, c = self.followed[s], self.counts[s]
+        q = {w: self.p(s[1:], w) for w in next_}
+        kept = sum(next_.values())
+        kl = sum(x / c * math.log(x / c / q[w]) for w, x in next_.items())
+        if kept < c:
+            kl += (c - kept) / c * math.log((c - kept) / c / (1 - sum(q.values())))
+        return 2 * c * kl > len(next_) + 3 * math.sqrt(2 * len(next_))
+
+    def score(self, text):
+        w = self.tokens(text)
+        known = [x for x in w if x in self.words]
+        base = sum(math.log10((self.words.get(x, 0) + 1) / self.total) for x in w)
+        return len(w), len(known), self.n, base, sum(math.log10(self.p(tuple(w[max(0, i - self.depth) : i]), x, self.states)) for i, x in enumerate(w))
+
+
+def language(seed, n):
+    """Words of which some determine what follows."""
+    rnd, out = random.Random(seed), []
+    for _ in range(n):
+        last, before = (out[-1] if out else ""), (out[-2] if len(out) > 1 else "")
+        likely = {"new": "york", "york": "city" if before == "new" else "minster", "of": "the"}.get(last)
+        out.append(likely if likely and rnd.random() < 0.8 else rnd.choice(["new", "york", "of", "the", "Éa", "x\xa0y", "city", "fox", f"w{rnd.randint(0, 300)}"]))
+    return " ".join(out)
+
+
+@pytest.mark.parametrize(("depth", "share"), [(1, 1 << 20), (2, 1 << 20), (2, 40), (3, 1)])
+def test_scores_against_a_plain_tree(spark, monkeypatch, depth, share):
+    """Wherever weights are: all with the tasks, some, none."""
+    monkeypatch.setattr(suffix_tree, "SHARE", share)
+    monkeypatch.setattr(suffix_tree, "KNOWN_BITS", 16)
+    train = [(k, language(k, 80)) for k in range(60)] + [(70, None), (71, ""), (72, "NEW York")]
+    asked = [(100, language(100, 90)), (101, "york minster new york minster unseen words"), (101, "new"), *AWKWARD]
+    tree = suffix_tree.fit(documents(spark, train).repartition(4), depth=depth, least=4, least_context=20, bits=16)
+    plain = PlainTree([t for _, t in train], depth, 4, 20, 0.5)
+    assert {tuple(r.context.split(" ")) for s in tree.states for r in s.df.collect()} == plain.states and max(map(len, plain.states)) == depth
+    rows = train + asked
+    found = suffix_tree.score(documents(spark, rows).repartition(3), tree).collect()
+    got = sorted((str(r.doc_id), r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6), round(r.score, 6)) for r in found)
+    assert got == sorted((str(i), *(s := plain.score(t))[:3], round(s[3], 6), round(s[4], 6)) for i, t in rows)
+    better = [r.score > r.base_score for r in found if r.doc_id == 100]
+    assert better == [True]
+
+
+def test_predictions_add_up_to_one():
+    plain = PlainTree([language(k, 80) for k in range(40)], 2, 4, 20, 0.5)
+    for s in [(), ("new",), ("new", "york"), ("zzz", "of")]:
+        assert abs(sum(plain.p(s, w, plain.states) for w in [*plain.words, "unseen"]) - 1) < 1e-9
+
+
+def test_a_tree_of_nothing(spark):
+    tree = suffix_tree.fit(documents(spark, []), bits=16)
+    (row,) = suffix_tree.score(documents(spark, [(1, "a b")]), tree).collect()
+    assert (row.n_tokens, row.n_known, row.train_tokens, row.base_score, row.score) == (3, 0, 0, 0, 0)
+    assert suffix_tree.score(documents(spark, []), suffix_tree.fit(documents(spark, [(1, "a b")]), bits=16)).collect() == []
