@@ -9,7 +9,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+#: The column of stored tables that has the UTC day of the timestamp; files lie in folders by it.
+DAY = "_day"
 EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
+DAY_NS = 86_400 * 10**9
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
 
@@ -22,6 +25,7 @@ class Field:
     id: bool = False
     timestamp: bool = False
     full_text: bool = False
+    by_day: bool = False  # the table has the timestamp's day in DAY
 
     @property
     def base(self) -> T.DataType:
@@ -78,7 +82,9 @@ class Model:
         roles = {"id": (id,), "timestamp": (timestamp,), "full_text": full_text}
         if missing := [c for cs in roles.values() for c in cs if c and c not in df.columns]:
             raise ValueError(f"no such columns: {missing}")
-        return cls({f.name: Field(f.name, f.dataType, **{r: f.name in cs for r, cs in roles.items()}) for f in df.schema.fields})
+        fields = {f.name: Field(f.name, f.dataType, **{r: f.name in cs for r, cs in roles.items()}, by_day=f.name == timestamp and DAY in df.columns) for f in df.schema.fields}
+        fields.pop(DAY, None)  # not a field that requests can name
+        return cls(fields)
 
     @property
     def id(self) -> Field | None:
@@ -102,6 +108,27 @@ def nanoseconds(f: Field) -> Column:
     return F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ '1970-01-01 00:00:00', cast(`{f.name}` as timestamp_ntz))") * 1000
 
 
+def day_of(ns: Column) -> Column:
+    """The day, in UTC, of nanoseconds since 1970."""
+    return F.date_add(F.lit("1970-01-01").cast("date"), F.call_function("div", ns - F.pmod(ns, F.lit(DAY_NS)), F.lit(DAY_NS)).cast("int"))
+
+
+def day_at(ns: int) -> date:
+    return date(1970, 1, 1) + timedelta(days=ns // DAY_NS)
+
+
+def in_time(f: Field, compare: str, ns: int) -> Column:
+    """The timestamp compared (>, >=, <, <=) with nanoseconds, by its own type where that is exact, so that it
+    reaches the files' statistics; and the same of its day, so that folders are left out."""
+    op = {">": Column.__gt__, ">=": Column.__ge__, "<": Column.__lt__, "<=": Column.__le__}[compare]
+    exact = isinstance(f.type, NUMERIC) or ns % 1000 == 0
+    point = op(F.col(f.name), native(f, ns)) if exact else op(nanoseconds(f), F.lit(ns))
+    if not f.by_day:
+        return point
+    day = F.lit(day_at(ns + (compare == ">") - (compare == "<")))
+    return point & (F.col(DAY) >= day if compare[0] == ">" else F.col(DAY) <= day)
+
+
 def native(f: Field, ns: int) -> Column:
     """A point in time as the field's own type has it, so that comparisons reach the files' statistics."""
     if isinstance(f.type, NUMERIC):

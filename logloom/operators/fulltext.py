@@ -1,21 +1,28 @@
-"""Tokenised full-text search over an inverted index whose entries point to timestamps."""
+"""Tokenised full-text search over an inverted index whose entries point to timestamps.
+
+The index is kept as lists: of each column's word, the times of one minute at which it stands. A search reads
+the lists of all its texts' words at once and intersects them minute by minute.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import token_list, tokens
-from ..model import Field, Model, nanoseconds
+from ..model import Field, Model, day_at, day_of, in_time, nanoseconds
 from .predicates import literal, quoted_name
 
+SPAN_NS = 60 * 10**9  # a list holds the times of so long, at most as many as the timestamp can tell apart in it
+
 
-def day_of(ns: Column) -> Column:
-    """The day, in UTC, of nanoseconds since 1970."""
-    return F.date_add(F.lit("1970-01-01").cast("date"), F.call_function("div", ns, F.lit(86_400_000_000_000)).cast("int"))
+def span_of(ns: Column) -> Column:
+    return F.call_function("div", ns - F.pmod(ns, F.lit(SPAN_NS)), F.lit(SPAN_NS))
 
 
 def build_postings(df: DataFrame, model: Model) -> DataFrame:
@@ -29,6 +36,22 @@ def build_postings(df: DataFrame, model: Model) -> DataFrame:
     return rows.select(day_of(F.col("ts")).alias("day"), "ts", "column", "word", F.xxhash64("word").alias("word_hash"))
 
 
+def build_lists(postings: DataFrame) -> DataFrame:
+    """day, span, column, word, word_hash, times: postings with the times of a span in one sorted list."""
+    rows = postings.groupBy("day", span_of(F.col("ts")).alias("span"), "column", "word", "word_hash")
+    return rows.agg(F.array_sort(F.collect_set("ts")).alias("times"))
+
+
+def merge_lists(lists: DataFrame) -> DataFrame:
+    """The lists that several batches have of a word and a span as one."""
+    return lists.groupBy("day", "span", "column", "word", "word_hash").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("times")))).alias("times"))
+
+
+def postings_of(lists: DataFrame) -> DataFrame:
+    """The postings that lists stand for, once each."""
+    return lists.select("day", F.explode("times").alias("ts"), "column", "word", "word_hash").distinct()
+
+
 @dataclass(frozen=True)
 class Text:
     """A search text on one column: what the index must have, and what the row itself must hold."""
@@ -46,28 +69,85 @@ class Text:
         return " and ".join(f"coalesce(contains({low}, {literal(w)}), false)" for w in self.words) or "false"
 
 
-def matching_times(postings: DataFrame, text: Text, low: int | None = None, high: int | None = None) -> DataFrame:
-    """ts: the timestamps whose rows together hold every word in the column, within the inclusive bounds."""
-    if not text.words:
-        return postings.where(F.lit(False)).select("ts")
-    # the files are sorted by the words' hashes; the words themselves decide
-    found = postings.where((F.col("column") == text.field.name) & F.col("word").isin(*text.words))
-    if "word_hash" in postings.columns:
-        found = found.where(F.col("word_hash").isin(*[F.xxhash64(F.lit(w)) for w in text.words]))
-    for bound, compare in ((low, ">="), (high, "<=")):
-        if bound is not None:
-            found = found.where(f"ts {compare} {bound} and day {compare} date_add(date'1970-01-01', {bound // 86_400_000_000_000})")
-    if len(text.words) == 1:
-        return found.select("ts").distinct()
-    return found.groupBy("ts").agg(F.count_distinct("word").alias("n")).where(F.col("n") == len(text.words)).select("ts")
+def _listed(texts: Sequence[Text]) -> dict[str, list[str]]:
+    """The words that are sought in each column."""
+    out: dict[str, list[str]] = {}
+    for t in texts:
+        some = out.setdefault(t.field.name, [])
+        some += [w for w in t.words if w not in some]
+    return out
+
+
+def _beside(name: str, value: Column, of: str, array: Column) -> Column:
+    """Each of an array's values beside a fixed one."""
+    return F.transform(array, lambda x: F.struct(value.alias(name), x.alias(of)))
+
+
+class Lists:
+    """An index that is stored."""
+
+    def __init__(self, lists: DataFrame):
+        self.lists = lists
+
+    def of(self, texts: Sequence[Text], low: int | None, high: int | None) -> DataFrame:
+        """span, column, word, times of the texts' words; one scan for all of them."""
+        wanted = _listed(texts)
+        rows = self.lists
+        for bound, compare in ((low, ">="), (high, "<=")):
+            if bound is not None:
+                rows = rows.where(f"day {compare} date'{day_at(bound)}' and span {compare} {bound // SPAN_NS}")
+        # the files are sorted by the words' hashes; the words themselves decide
+        rows = rows.where(F.col("word_hash").isin(*[F.xxhash64(F.lit(w)) for w in dict.fromkeys(w for ws in wanted.values() for w in ws)]))
+        rows = rows.where(reduce(or_, [(F.col("column") == c) & F.col("word").isin(*ws) for c, ws in wanted.items()]))
+        return rows.select("span", "column", "word", "times")
+
+
+class Rows:
+    """An index that is made of the rows as it is asked."""
+
+    def __init__(self, df: DataFrame, model: Model):
+        self.df, self.model = df, model
+
+    def of(self, texts: Sequence[Text], low: int | None, high: int | None) -> DataFrame:
+        """The same as of stored lists: only the columns and times that are asked for are read, and only the words
+        that are sought leave a row."""
+        at, rows = self.model.timestamp, self.df
+        for bound, compare in ((low, ">="), (high, "<=")):
+            if bound is not None:
+                rows = rows.where(in_time(at, compare, bound))
+        names = self.model.fields
+        held = [_beside("column", F.lit(c), "word", F.array_intersect(tokens(F.col(c).cast("string")), F.array(*map(F.lit, ws)))) for c, ws in _listed(texts).items() if c in names and c in rows.columns]
+        found = rows.select(nanoseconds(at).alias("ts"), F.inline(F.concat(*held))).where("ts is not null").distinct()
+        return found.select(span_of(F.col("ts")).alias("span"), "column", "word", F.array("ts").alias("times"))
+
+
+Index = Lists | Rows
+
+
+def matching(indexes: Sequence[Index], texts: Sequence[Text], names: Sequence[str], low: int | None = None, high: int | None = None) -> DataFrame:
+    """ts and a truth value for each text: whether the rows of that time together hold every word of it in its
+    column. Only times at which one of them does, within the inclusive bounds."""
+    texts = list(texts)
+    entries = reduce(DataFrame.unionByName, [i.of(texts, low, high) for i in indexes])
+    words = list(dict.fromkeys((t.field.name, w) for t in texts for w in t.words))
+    of = {k: F.flatten(F.collect_list(F.when((F.col("column") == k[0]) & (F.col("word") == k[1]), F.col("times")))).alias(f"_{i}") for i, k in enumerate(words)}
+    spans = entries.groupBy("span").agg(*of.values())
+    times = [reduce(F.array_intersect, [F.col(f"_{words.index((t.field.name, w))}") for w in t.words]) if t.words else F.array().cast("array<bigint>") for t in texts]
+    found = F.concat(*[_beside("text", F.lit(i), "ts", ts) for i, ts in enumerate(times)])
+    rows = spans.select(F.inline(found))
+    if low is not None:
+        rows = rows.where(F.col("ts") >= low)
+    if high is not None:
+        rows = rows.where(F.col("ts") <= high)
+    return rows.groupBy("ts").agg(*[F.max(F.col("text") == i).alias(n) for i, n in enumerate(names)])
 
 
 def semi(df: DataFrame, ts: Column, times: DataFrame) -> DataFrame:
     """Rows at one of the times."""
-    return df.join(times.withColumnRenamed("ts", "_at"), ts == F.col("_at"), "left_semi")
+    return df.join(times.select(F.col("ts").alias("_at")), ts == F.col("_at"), "left_semi")
 
 
-def flag(df: DataFrame, ts: Column, times: DataFrame, name: str) -> DataFrame:
-    """All rows, with a column that says whether they are at one of the times."""
-    marked = times.select(F.col("ts").alias("_at"), F.lit(True).alias(name))
-    return df.join(marked, ts == F.col("_at"), "left").drop("_at").withColumn(name, F.coalesce(name, F.lit(False)))
+def flagged(df: DataFrame, ts: Column, times: DataFrame, names: Sequence[str]) -> DataFrame:
+    """All rows, with the truth values of their times; false at times that have none."""
+    out = df.join(times.withColumnRenamed("ts", "_at"), ts == F.col("_at"), "left").drop("_at")
+    return out.withColumns({n: F.coalesce(n, F.lit(False)) for n in names})

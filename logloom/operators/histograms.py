@@ -2,14 +2,11 @@
 
 from __future__ import annotations
 
-import datetime
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import interval_ns
-from ..model import Field, nanoseconds, native
-from .fulltext import day_of
+from ..model import Field, day_at, day_of, in_time, nanoseconds
 
 ROLLUP_NS = 300 * 10**9
 MS = 10**6
@@ -68,21 +65,17 @@ def histogram_from_rollup(rollup: DataFrame, raw: DataFrame, f: Field, interval:
     last = None if high is None else high // ROLLUP_NS
     whole, edges = rollup, []
     if first is not None:
-        whole = whole.where((F.col("key") >= first) & (F.col("day") >= _day(first * ROLLUP_NS)))
+        whole = whole.where((F.col("key") >= first) & (F.col("day") >= F.lit(day_at(first * ROLLUP_NS))))
         if low < first * ROLLUP_NS:
             edges.append((low, first * ROLLUP_NS if high is None else min(high, first * ROLLUP_NS)))
     if last is not None:
-        whole = whole.where((F.col("key") < last) & (F.col("day") <= _day(last * ROLLUP_NS)))
+        whole = whole.where((F.col("key") < last) & (F.col("day") <= F.lit(day_at(last * ROLLUP_NS))))
         if last * ROLLUP_NS < high and (first is None or last >= first):
             edges.append((last * ROLLUP_NS, high))
     parts = whole.select(F.call_function("div", F.col("key"), F.lit(width // ROLLUP_NS)).alias("b"), "count")
     for a, b in edges:
-        rows = raw.where((F.col(f.name) >= native(f, a - a % 1000)) & (F.col(f.name) < native(f, -(-b // 1000) * 1000)))
+        rows = raw.where(in_time(f, ">=", a - a % 1000) & in_time(f, "<", -(-b // 1000) * 1000))
         rows = rows.withColumn("_ns", nanoseconds(f)).where((F.col("_ns") >= a) & (F.col("_ns") < b))
         parts = parts.unionByName(rows.groupBy(bucket(F.col("_ns"), width).alias("b")).agg(F.count("*").alias("count")))
     found = parts.groupBy("b").agg(F.sum("count").alias("doc_count"))
     return found.select(F.call_function("div", F.col("b") * width, F.lit(MS)).alias("key"), "doc_count")
-
-
-def _day(ns: int) -> Column:
-    return F.lit(datetime.date(1970, 1, 1) + datetime.timedelta(days=ns // (86400 * 10**9)))

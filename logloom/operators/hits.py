@@ -1,11 +1,14 @@
-"""The page of hits: sorting, top rows, and narrowing by the histogram's buckets."""
+"""The page of hits: sorting, top rows, and the newest rows that a rollup says hold them."""
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..model import Field, Model, native
+from ..model import Model, day_at
+from .histograms import ROLLUP_NS
 
 
 def top(df: DataFrame, model: Model, sort: list[tuple[str, bool]], size: int) -> DataFrame:
@@ -16,16 +19,24 @@ def top(df: DataFrame, model: Model, sort: list[tuple[str, bool]], size: int) ->
     return (df.orderBy(*keys) if keys else df).limit(size)
 
 
-def newest_bound(buckets: list[tuple[int, int]], size: int) -> int | None:
-    """The start, in milliseconds, of the newest buckets (key, count) that hold more than `size` rows."""
+def _until(rollup: DataFrame, high: int | None) -> DataFrame:
+    return rollup if high is None else rollup.where((F.col("key") <= high // ROLLUP_NS) & (F.col("day") <= F.lit(day_at(high))))
+
+
+def newest_days(rollup: DataFrame, high: int | None) -> list[tuple[datetime.date, int]]:
+    """The days up to a time and their rows, newest first."""
+    found = _until(rollup, high).groupBy("day").agg(F.sum("count").alias("n")).collect()
+    return sorted(((r.day, r.n) for r in found), reverse=True)
+
+
+def newest_bound(rollup: DataFrame, days: list[tuple[datetime.date, int]], high: int | None, want: int) -> int | None:
+    """The start, in nanoseconds, of the newest five-minute buckets that hold so many rows; None if all are fewer."""
     seen = 0
-    for key, n in sorted(buckets, reverse=True):
+    for day, n in days:
+        if seen + n >= want:
+            for r in sorted(_until(rollup, high).where(F.col("day") == F.lit(day)).collect(), key=lambda r: r.key, reverse=True):
+                seen += r["count"]
+                if seen >= want:
+                    return r.key * ROLLUP_NS
         seen += n
-        if seen > size:
-            return key
     return None
-
-
-def narrowed(df: DataFrame, f: Field, from_ms: int | None) -> DataFrame:
-    """Rows from a bucket's start on, that start included."""
-    return df if from_ms is None else df.where(F.col(f.name) >= native(f, from_ms * 10**6))

@@ -11,7 +11,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..model import EPOCH, Field, nanoseconds, native
+from ..model import EPOCH, Field, in_time
 
 
 
@@ -49,7 +49,8 @@ def match(f: Field, value: object) -> Column:
     """Equal to the value; of an array column, holding it. A value that the type can't have never matches."""
     try:
         if f.timestamp:
-            return nanoseconds(f) == point_ns(value, None)
+            at = point_ns(value, None)
+            return in_time(f, ">=", at) & in_time(f, "<=", at)
         literal = F.lit(f.value(value))
     except (ValueError, TypeError, OverflowError):
         return F.lit(False)
@@ -90,13 +91,11 @@ def between(f: Field, gt: object = None, gte: object = None, lt: object = None,
     if isinstance(f.type, T.ArrayType):
         return None
     clauses = []
-    for value, compare in ((gt, Column.__gt__), (gte, Column.__ge__), (lt, Column.__lt__), (lte, Column.__le__)):
+    for value, sign, compare in ((gt, ">", Column.__gt__), (gte, ">=", Column.__ge__), (lt, "<", Column.__lt__), (lte, "<=", Column.__le__)):
         if value is None:
             continue
         if f.timestamp:
-            ns = point_ns(value, format)
-            exact = isinstance(f.type, T.LongType) or ns % 1000 == 0
-            clauses.append(compare(F.col(f.name), native(f, ns)) if exact else compare(nanoseconds(f), F.lit(ns)))
+            clauses.append(in_time(f, sign, point_ns(value, format)))
         else:
             literal = F.lit(float(value)) if isinstance(f.base, (T.FloatType, T.DoubleType, T.DecimalType, T.ByteType, T.ShortType, T.IntegerType, T.LongType)) and float(str(value)) != int(float(str(value))) else F.lit(f.value(value))
             clauses.append(compare(F.col(f.name), literal))
@@ -125,13 +124,3 @@ def match_sql(f: Field, value: str) -> str:
     except (ValueError, TypeError, OverflowError):
         return "false"
     return f"coalesce({quoted_name(f)} = cast('{number}' as {f.base.simpleString()}), false)"
-
-
-def like(f: Field, pattern: str) -> Column:
-    """Holds the pattern."""
-    return F.col(f.name).cast("string").like(like_pattern(pattern))
-
-
-def holds(f: Field, text: str) -> Column:
-    """Holds the text, case mattering."""
-    return F.col(f.name).cast("string").contains(text)

@@ -2,7 +2,7 @@
 
 Terms become SQL conditions and everything else stays as it is, so that Spark parses the line: which words
 belong together, what is missing, and the order of binding. Spark has no xor, so each operator also closes
-and opens the parentheses that keep or, xor and and apart: `a or b xor c` is `((a)) or ((b)) <> ((c))`.
+and opens the parentheses that keep or, xor and and apart: `a or b xor c` is `((((a))) or (((b)) <> ((c))))`.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from ..model import NUMERIC
 from ..operators import predicates as P
 
 PIECE = re.compile(r'\s+|([():])|((?:"[^"]*"|[^\s():"])+)')
-OPEN, CLOSE = "(((", ")))"
+OPEN, CLOSE = "((((", "))))"  # one more than operators close, so that `not` holds for all of a group
 BETWEEN = {"or": "))) or (((", "xor": ")) <> ((", "and": ") and ("}
 
 

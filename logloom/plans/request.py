@@ -30,6 +30,9 @@ class Histogram:
     interval: str
     filters: dict[str, dict[str, dict]] = field(default_factory=dict)  # sub-aggregation: name: clause
 
+    def clauses(self) -> dict[str, dict]:
+        return {f"{sub}.{k}": c for sub, some in self.filters.items() for k, c in some.items()}
+
 
 @dataclass
 class Request:
@@ -92,16 +95,18 @@ class Request:
 
 
 class Plan:
-    """The rows that a request's query selects from a table, with its text clauses as joins.
+    """The rows that requests' queries select from a table, with their text clauses as one join.
 
-    Each text clause becomes a flag: whether the row's time is one at which the index has all words. Any
-    place in the condition, or in a filter's count, can use it. A query that is one text clause, or has one
-    among its must or filter clauses, is a left-semi join instead, unless the flag is used elsewhere too.
+    Each text clause becomes a flag: whether the row's time is one at which the index has all words. Any place in
+    a condition, or in a filter's count, can use it; the index is read once for all of them. A query that is one
+    text clause, or has one among its must or filter clauses, is a left-semi join instead, unless the flag is used
+    elsewhere too.
     """
 
-    def __init__(self, df: DataFrame, model: Model, postings):
-        """postings: called only if a text clause needs them."""
-        self.df, self.model, self.postings = df, model, postings
+    def __init__(self, df: DataFrame, model: Model, indexes: list[fulltext.Index] | None = None):
+        """indexes: what text clauses are looked up in; if none are given, the rows themselves."""
+        self.df, self.model = df, model
+        self.indexes = indexes or [fulltext.Rows(df, model)]
         self.texts: list[fulltext.Text] = []
         self.warnings: list[str] = []
         self.low: int | None = None
@@ -185,19 +190,30 @@ class Plan:
         least = spec.get("minimum_should_match") or 0
         return P.boolean(**parts, minimum_should_match=least if isinstance(least, int) and any(parts[k] for k in ("must", "must_not", "filter")) else 0)
 
+    def conditions(self, query: dict | None, columns: dict[str, dict] | None = None) -> tuple[Column | None, dict[str, Column], tuple[int | None, int | None]]:
+        """A query's condition, those of named clauses, and the bounds that the query sets to the timestamp."""
+        self.low = self.high = None
+        where = self.clause(query, top=True) if query else None
+        bounds = self.low, self.high
+        return where, {name: P.true(c) if (c := self.clause(body)) is not None else F.lit(True) for name, body in (columns or {}).items()}, bounds
+
+    def frame(self, bounds: list[tuple[int | None, int | None]], alone: bool = False) -> DataFrame:
+        """The table with the flags of all text clauses that conditions have been made of, looked up within the
+        widest bounds. alone: rows without the only text may be left out."""
+        if not self.texts:
+            return self.df
+        low, high = (None if any(b[k] is None for b in bounds) else pick(b[k] for b in bounds) for k, pick in ((0, min), (1, max)))
+        names = [f"_text{i}" for i in range(len(self.texts))]
+        times, ts = fulltext.matching(self.indexes, self.texts, names, low, high), nanoseconds(self.model.timestamp)
+        if alone and len(names) == 1:
+            return fulltext.semi(self.df.withColumn(names[0], F.lit(True)), ts, times)
+        return fulltext.flagged(self.df, ts, times, names)
+
     def rows(self, query: dict | None, columns: dict[str, dict] | None = None) -> tuple[DataFrame, dict[str, Column]]:
         """The selected rows, and the conditions of the named clauses on them."""
-        where = self.clause(query, top=True) if query else None
-        named = {name: P.true(c) if (c := self.clause(body)) is not None else F.lit(True) for name, body in (columns or {}).items()}
-        out = self.df
-        ts = nanoseconds(self.model.timestamp) if self.texts else None
-        if len(self.texts) == 1 and not columns and only_conjunct(query):
-            times = fulltext.matching_times(self.postings(), self.texts[0], self.low, self.high)
-            out = fulltext.semi(out.withColumn("_text0", F.lit(True)), ts, times)
-        else:
-            for i, text in enumerate(self.texts):
-                out = fulltext.flag(out, ts, fulltext.matching_times(self.postings(), text, self.low, self.high), f"_text{i}")
         try:
+            where, named, bounds = self.conditions(query, columns)
+            out = self.frame([bounds], alone=not columns and only_conjunct(query))
             return (out if where is None else out.where(where)), named
         except ParseException as e:
             raise querystring.QuerySyntaxError("not a search line") from e
@@ -205,14 +221,33 @@ class Plan:
     def histogram(self, request: Request, name: str) -> DataFrame:
         """key, doc_count and a column for each filter, named 'sub.filter'."""
         spec = request.histograms[name]
-        clauses = {f"{sub}.{k}": c for sub, some in spec.filters.items() for k, c in some.items()}
-        rows, named = self.rows(request.query, clauses)
+        rows, named = self.rows(request.query, spec.clauses())
         return histograms.date_histogram(rows, self.model.fields[spec.field], spec.interval, named)
 
     def filter_counts(self, request: Request, name: str) -> DataFrame:
         rows, named = self.rows(request.query, request.filters[name])
         return histograms.filters(rows, named)
 
+    def counted(self, asked: list[tuple[dict | None, Histogram | None, dict[str, dict]]]) -> DataFrame:
+        """asked, bucket, doc_count, f0, f1...: the aggregations of several requests over one scan. Each is a query,
+        a histogram or none (one bucket of all), and the clauses that are counted beside."""
+        try:
+            found = [(*self.conditions(query, clauses), spec) for query, spec, clauses in asked]
+            df = self.frame([bounds for _, _, bounds, _ in found])
+            wide = max(len(named) for _, named, _, _ in found)
+            if all(where is not None for where, *_ in found):
+                df = df.where(P.any_of(where for where, *_ in found))
+        except ParseException as e:
+            raise querystring.QuerySyntaxError("not a search line") from e
+        entries = []
+        for k, (where, named, _, spec) in enumerate(found):
+            at = F.lit(0).cast("long") if spec is None else histograms.bucket(nanoseconds(self.model.fields[spec.field]), interval_ns(spec.interval))
+            flags = [*named.values(), *[F.lit(False)] * (wide - len(named))]
+            entry = F.struct(F.lit(k).alias("asked"), at.alias("bucket"), *[c.alias(f"f{i}") for i, c in enumerate(flags)])
+            entries.append(F.when((F.lit(True) if where is None else P.true(where)) & at.isNotNull(), entry))
+        rows = df.select(F.inline(F.array_compact(F.array(*entries))))
+        return rows.groupBy("asked", "bucket").agg(F.count("*").alias("doc_count"), *[F.count_if(f"f{i}").alias(f"f{i}") for i in range(wide)])
+
 
 def only_conjunct(query: dict | None) -> bool:
     """Whether a text clause of the query can only be a conjunct of the whole condition: it is the query, or

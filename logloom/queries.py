@@ -66,8 +66,7 @@ def selected(table: Callable, body: dict) -> Callable[[SparkSession, str], DataF
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         df, model = table(spark, sf_dir)
-        plan = Plan(df, model, lambda: fulltext.build_postings(df, model))
-        rows, _ = plan.rows(body)
+        rows, _ = Plan(df, model).rows(body)
         return rows.select("event_id", "event_type", "user_id", "value") if "event_id" in df.columns else rows.select("doc_id", "lang", "source", "n_chars")
 
     return run
@@ -113,7 +112,7 @@ for _name, (_body, _where) in FILTERS.items():
 @query("match_array", f"select doc_id, lang from (select *, {WORDS.format('text')} as words from documents) where list_contains(words, 'the')")
 def match_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = documents(spark, sf_dir)[0].withColumn("words", tokens(F.col("text")))
-    rows, _ = Plan(df, Model.of(df), None).rows({"match_phrase": {"words": "the"}})
+    rows, _ = Plan(df, Model.of(df)).rows({"match_phrase": {"words": "the"}})
     return rows.select("doc_id", "lang")
 
 
@@ -261,9 +260,9 @@ def topk_desc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("topk_narrowed", f"select event_id, event_type, user_id, value from events where {IN_RANGE} and event_type in ('error', 'click', 'view') order by ts desc, event_id limit 50")
 def topk_narrowed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = engine(spark, sf_dir)
-    buckets = [(r.key, r.doc_count) for r in found.histogram("logs_events", DISCOVER, "by_hour").collect()]
-    return found.hits("logs_events", DISCOVER, buckets).select("event_id", "event_type", "user_id", "value")
+    """The same page of stored events, of which the rollup tells how new the rows are that hold it."""
+    page = stored(spark, sf_dir, "logs_events", events).page("logs_events", DISCOVER)
+    return spark.createDataFrame([(r.event_id, r.event_type, r.user_id, r.value) for r in page], "event_id long, event_type string, user_id long, value double")
 
 
 @query("sort_multi", "select event_id, event_type, user_id, value from events order by event_type, value desc, event_id limit 100")
@@ -313,7 +312,7 @@ def _streamed(spark: SparkSession, df: DataFrame, model: Model, table: str, comp
     stream = spark.readStream.schema(df.schema).option("maxBytesPerTrigger", 1 << 30).parquet(f"{at}/in")
     ingest.ingest(stream, model, f"{at}/out", f"{at}/checkpoint").awaitTermination()
     if compact:
-        ingest.compact(spark, f"{at}/out", table)
+        ingest.compact(spark, f"{at}/out", model)
     return ingest.read(spark, f"{at}/out", table)
 
 
@@ -337,11 +336,17 @@ def stream_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(_streamed(spark, *events(spark, sf_dir), "postings", compact=True).select("ts", "column", "word", "day"))
 
 
-def stored(spark: SparkSession, sf_dir: str) -> Engine:
-    """An engine over documents kept with their postings and rollup."""
-    store = Store(spark, scratch(spark, "store"))
-    store.create("logs_documents", *documents(spark, sf_dir))
-    return Engine(store.catalog())
+STORES: dict[tuple, Engine] = {}
+
+
+def stored(spark: SparkSession, sf_dir: str, name: str = "logs_documents", table: Callable = documents) -> Engine:
+    """An engine over a table kept with its word lists and rollup; it is written once a session."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in STORES:
+        store = Store(spark, scratch(spark, "store"))
+        store.create(name, *table(spark, sf_dir))
+        STORES[key] = Engine(store.catalog())
+    return STORES[key]
 
 
 STORED = {"query_string": {"query": 'text:"The licensed" or source:web'}}
@@ -359,7 +364,8 @@ def stored_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = Store(spark, scratch(spark, "store"))
     df, model = documents(spark, sf_dir)
     store.create("logs_documents", df.where("doc_id % 2 = 0"), model)
-    store.append("logs_documents", df.where("doc_id % 2 <> 0"), model)
+    for _ in range(2):  # the second time nothing is added
+        store.append("logs_documents", df.where("doc_id % 2 <> 0"), model, batch="odd")
     store.create("logs_gone", df.limit(3), model)
     store.drop("logs_gone")
     catalog = store.catalog()
@@ -474,7 +480,7 @@ def orders_by_week(spark: SparkSession, sf_dir: str) -> DataFrame:
 def lineitem_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
     model = Model.of(df, timestamp="l_shipdate")
-    rows, named = Plan(df, model, None).rows({"range": {"l_quantity": {"gte": 10}}}, {"returned": {"match_phrase": {"l_returnflag": "R"}}})
+    rows, named = Plan(df, model).rows({"range": {"l_quantity": {"gte": 10}}}, {"returned": {"match_phrase": {"l_returnflag": "R"}}})
     return histograms.date_histogram(rows, model.timestamp, "1d", named)
 
 

@@ -1,8 +1,10 @@
-"""The store of saved settings: an append-only change log of flat rows, read by collapsing it."""
+"""The store of saved settings: a change log of flat rows with snapshots, read by collapsing it."""
 
 from __future__ import annotations
 
 import time
+import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +13,7 @@ from pyspark.sql import types as T
 from ..model import Model
 from ..operators.collapse import current
 from ..plans.request import Plan
+from .batches import Commits, files_of
 
 # Of each type of document, its fields as documents nest them, and the columns that hold them.
 SEARCH_SOURCE = {"kibanaSavedObjectMeta.searchSourceJSON": "searchSourceJSON"}
@@ -82,42 +85,95 @@ def nest(row: dict) -> dict:
 
 
 class Settings:
-    """Documents under a folder. Every change is one append, so that a reader sees all of it or nothing."""
-
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path
-        spark.createDataFrame([], SCHEMA).write.mode("append").parquet(path)
-
-    def log(self) -> DataFrame:
-        return self.spark.read.schema(SCHEMA).parquet(self.path)
+    """Documents under a folder, as a log of numbered changes and, every so often, a snapshot of what is current.
+
+    A change is made of what a version of the log holds, and is the next version or nothing: if another writer has
+    been first it is made anew. Readers take the last snapshot and what follows it, so a read and a change cost at
+    most `every` small files and one snapshot, however long the store has been in use. What the snapshot before the
+    last one replaced is deleted.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, every: int = 20):
+        self.spark, self.path, self.every = spark, path.rstrip("/"), every
+        self.commits = Commits(spark, f"{self.path}/_commits")
+
+    def versions(self) -> list[int]:
+        return [int(n) for n in self.commits.names()]
+
+    def _kept(self, upto: int) -> tuple[list[str], int]:
+        """The folders that hold a version of the log, and the number of the snapshot that they begin with."""
+        folders: list[str] = []
+        while upto > 0:
+            here = self.commits.read(f"{upto:012d}")
+            folders.append(f"{self.path}/{here['folder']}")
+            if here["snapshot"]:
+                break
+            upto -= 1
+        return folders, upto
+
+    def log(self, version: int | None = None) -> DataFrame:
+        """The rows of the log as they were at a version, or are now."""
+        folders, _ = self._kept(max(self.versions(), default=0) if version is None else version)
+        return self.spark.read.schema(SCHEMA).parquet(*folders) if folders else self.spark.createDataFrame([], SCHEMA)
 
     def read(self) -> DataFrame:
         """The current documents, one row each."""
         return current(self.log(), "_id")
 
-    def _append(self, rows: DataFrame) -> None:
-        rows.select(*SCHEMA.names).coalesce(1).write.mode("append").parquet(self.path)
+    def _change(self, made: Callable[[DataFrame, int], DataFrame]) -> int:
+        """Adds a change; made: its rows, of the current documents and the version that the change will be."""
+        while True:
+            version = max(self.versions(), default=0) + 1
+            rows = made(current(self.log(version - 1), "_id"), version)
+            if self._add(rows, version, False):
+                if version % self.every == 0:
+                    self._snapshot()
+                return version
+
+    def _add(self, rows: DataFrame, version: int, snapshot: bool) -> bool:
+        folder = f"{'snapshot' if snapshot else 'change'}-{version:012d}-{uuid.uuid4().hex}"
+        rows = rows.select(*SCHEMA.names)
+        (rows if snapshot else rows.coalesce(1)).write.parquet(f"{self.path}/{folder}")
+        if self.commits.add(f"{version:012d}", {"folder": folder, "snapshot": snapshot}):
+            return True
+        self._delete(folder)
+        return False
+
+    def _snapshot(self) -> None:
+        """The current documents as the next version; left to a later change if another writer is first."""
+        version = max(self.versions()) + 1
+        _, last = self._kept(version - 1)
+        if self._add(current(self.log(version - 1), "_id").withColumn("sign", F.lit(1)), version, True) and last:
+            for n in self.versions():
+                if n < last:  # before the snapshot that was the last one until now, which readers may still be at
+                    self._delete(self.commits.read(f"{n:012d}")["folder"])
+                    self._delete(f"_commits/{n:012d}")
+
+    def _delete(self, name: str) -> None:
+        files, path = files_of(self.spark, f"{self.path}/{name}")
+        files.delete(path, True)
 
     def put(self, kind: str, id: str | None, doc: dict, now_ns: int | None = None) -> dict:
         """Stores a document in place of the one with its id. An update's {"doc": ...} replaces as well."""
-        seq = now_ns or time.time_ns()
-        id = id or f"{kind}_{seq}"
+        now = now_ns or time.time_ns()
+        id = id or f"{kind}_{now}"
         empty = {c: [] for c in FIELDS.get(kind, {}).values() if c in LISTS}
-        row = {"_id": id, "type": kind, "seq": seq, "sign": 1, **empty, **flatten(kind, doc.get("doc", doc) if set(doc) == {"doc"} else doc)}
-        new = self.spark.createDataFrame([tuple(row.get(c) for c in SCHEMA.names)], SCHEMA).withColumn("updated_at", F.timestamp_micros(F.lit(seq // 1000)))
-        old = self.read().where(F.col("_id") == id).withColumn("sign", F.lit(-1))
-        self._append(old.select(*SCHEMA.names).unionByName(new))
-        return {"_index": ".kibana", "_type": kind, "_id": id, "_version": 6, "result": "updated", "_shards": {"total": 1, "successful": 1, "failed": 0}, "_seq_no": 361, "_primary_term": 38}
+        row = {"_id": id, "type": kind, "sign": 1, **empty, **flatten(kind, doc.get("doc", doc) if set(doc) == {"doc"} else doc)}
+        new = self.spark.createDataFrame([tuple(row.get(c) for c in SCHEMA.names)], SCHEMA).withColumn("updated_at", F.timestamp_micros(F.lit(now // 1000)))
+
+        def made(docs: DataFrame, version: int) -> DataFrame:
+            old = docs.where(F.col("_id") == id).withColumn("sign", F.lit(-1)).select(*SCHEMA.names)
+            return old.unionByName(new.withColumn("seq", F.lit(version).cast("long")))
+
+        return {"_index": ".kibana", "_type": kind, "_id": id, "_version": self._change(made), "result": "updated"}
 
     def delete_by_query(self, body: dict) -> None:
         """Cancels the documents that the body's query selects."""
         if not body.get("query"):
             raise ValueError("a query is needed")
-        rows, _ = Plan(self.read(), Model.of(self.read(), id="_id"), None).rows(body["query"])
-        self._append(rows.withColumn("sign", F.lit(-1)))
+        self._change(lambda docs, _: Plan(docs, Model.of(docs, id="_id")).rows(body["query"])[0].withColumn("sign", F.lit(-1)))
 
     def mget(self, ids: list[str]) -> dict:
-        """The documents with the ids, as a list of hits."""
-        rows = self.read().where(F.col("_id").isin(list(ids))).limit(max(1, len(ids))).collect()
-        hits = [{"_index": ".kibana", "_version": 1, "_id": r["_id"], "_type": r["type"], "_score": 1, "found": True, "_source": nest(r.asDict())} for r in rows]
-        return {"docs": hits}
+        """The documents with the ids, as a list of hits in the order in which they were asked."""
+        rows = {r["_id"]: r.asDict() for r in self.read().where(F.col("_id").isin(list(ids))).collect()}  # one for each id
+        return {"docs": [{"_index": ".kibana", "_version": 1, "_id": i, "_type": rows[i]["type"], "_score": 1, "found": True, "_source": nest(rows[i])} for i in dict.fromkeys(ids) if i in rows]}

@@ -1,23 +1,21 @@
 """One stream of log rows, three tables: the rows, their five-minute counts and their postings.
 
-Each micro-batch writes each table's part under its own batch number, replacing it, so a batch that is
-run again after a failure leaves the same rows. Counts are partial and are added up when read.
+Each micro-batch is one batch of all tables under its own number, so a batch that is run again after a failure
+leaves the same rows. Counts are partial and are added up when read.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from ..model import Model, nanoseconds
-from ..operators.fulltext import build_postings, day_of
+from ..model import Model, day_of, nanoseconds
+from ..operators.fulltext import build_lists, build_postings, merge_lists, postings_of
 from ..operators.histograms import build_rollup, merge_rollup
-
-TABLES = ("rows", "rollup", "postings", "rejected")
+from ..sources.batches import Batches
+from ..sources.catalog import stored_lists, stored_rollup, stored_rows
 
 
 def parse(lines: DataFrame, schema: T.StructType, value: str = "value", wire: dict[str, T.DataType] | None = None) -> DataFrame:
@@ -35,71 +33,50 @@ def transform(rows: DataFrame, model: Model, hash_id: str | None = None) -> Data
     return out.withColumn(hash_id, F.xxhash64(hash_id)) if hash_id else out
 
 
-def write_batch(batch: DataFrame, number: int, model: Model, out: str, hash_id: str | None = None) -> None:
-    """The three tables' parts of one batch, and the lines that could not be read."""
+def write_batch(batch: DataFrame, number: int, model: Model, out: str, hash_id: str | None = None, stream: str = "") -> bool:
+    """The three tables' parts of one batch, and the lines that could not be read: all of them or none. A batch
+    that is there already is left alone (False); numbers count within a stream."""
     batch.persist()
     try:
-        good = batch
+        good, tables = batch, {}
         if "_rejected" in batch.columns:
-            batch.where("_rejected is not null").select("_rejected").write.mode("overwrite").parquet(f"{out}/rejected/batch={number}")
+            tables["rejected"] = (batch.where("_rejected is not null").select("_rejected"), None, {})
             good = batch.where("_rejected is null").drop("_rejected")
         good = good.where(F.col(model.timestamp.name).isNotNull())
-        transform(good, model, hash_id).write.mode("overwrite").parquet(f"{out}/rows/batch={number}")
-        build_rollup(good, model.timestamp).write.mode("overwrite").parquet(f"{out}/rollup/batch={number}")
+        tables |= {"rows": stored_rows(transform(good, model, hash_id), model, "day"), "rollup": stored_rollup(build_rollup(good, model.timestamp))}
         if model.full_text:
-            build_postings(good, model).sortWithinPartitions("column", "word_hash").write.mode("overwrite").parquet(f"{out}/postings/batch={number}")
+            tables["lists"] = stored_lists(build_lists(build_postings(good, model)))
+        return Batches(batch.sparkSession, out).write(f"{stream}{number:012d}", tables)
     finally:
         batch.unpersist()
 
 
 def ingest(stream: DataFrame, model: Model, out: str, checkpoint: str, hash_id: str | None = None, available_now: bool = True) -> StreamingQuery:
     """Starts the ingest; with available_now it ends when what is there has been read."""
-    writer = stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(lambda df, n: write_batch(df, n, model, out, hash_id))
-    return writer.trigger(availableNow=True).start() if available_now else writer.start()
-
 
-def _folders(spark: SparkSession, path: str, key: str) -> list[int]:
-    """The numbers of the folders key=number under a path whose writing has ended."""
-    at = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = at.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not files.exists(at):
-        return []
-    names = [s.getPath().getName() for s in files.listStatus(at)]
-    done = lambda n: files.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{n}/_SUCCESS"))
-    return sorted(int(n.split("=")[1]) for n in names if n.startswith(f"{key}=") and done(n))
+    def write(df: DataFrame, n: int) -> None:
+        of = df.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")  # the checkpoint's, the same after a restart
+        write_batch(df, n, model, out, hash_id, f"{of}-" if of else "")
 
-
-def _parts(spark: SparkSession, out: str, table: str) -> tuple[int, list[int], DataFrame | None]:
-    """Up to which batch a table is compacted, the batches after it, and all rows."""
-    upto = max(_folders(spark, f"{out}/{table}-compact", "upto"), default=-1)
-    later = [n for n in _folders(spark, f"{out}/{table}", "batch") if n > upto]
-    parts = [spark.read.parquet(*[f"{out}/{table}/batch={n}" for n in later])] if later else []
-    if upto >= 0:
-        parts.append(spark.read.parquet(f"{out}/{table}-compact/upto={upto}"))
-    return upto, later, reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts) if parts else None
+    writer = stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write)
+    return writer.trigger(availableNow=True).start() if available_now else writer.start()
 
 
 def read(spark: SparkSession, out: str, table: str) -> DataFrame:
-    """A table that the ingest has written; partial counts added up, a time's postings once."""
-    df = _parts(spark, out, table)[2]
+    """A table that the ingest has written (rows, rollup, postings, lists, rejected); partial counts added up, a
+    time's postings once."""
+    df = Batches(spark, out).read("lists" if table == "postings" else table)
     if df is None:
         raise ValueError(f"nothing is written yet: {table}")
-    return merge_rollup(df) if table == "rollup" else df.distinct() if table == "postings" else df
-
-
-def compact(spark: SparkSession, out: str, table: str) -> None:
-    """Rewrites what batches have left as one table by day, postings sorted by their words' hashes. Batches may
-    go on meanwhile: readers take the newest compacted folder that is complete, and the batches after it."""
-    upto, later, _ = _parts(spark, out, table)
-    if not later:
-        return
-    rows = read(spark, out, table)
-    keys = ["column", "word_hash", "ts"] if table == "postings" else []
-    rows.hint("rebalance", "day").sortWithinPartitions("day", *keys).write.partitionBy("day").parquet(f"{out}/{table}-compact/upto={later[-1]}")
-    done = [f"{out}/{table}/batch={n}" for n in later] + ([f"{out}/{table}-compact/upto={upto}"] if upto >= 0 else [])
-    for folder in done:
-        at = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+    return merge_rollup(df) if table == "rollup" else postings_of(df) if table == "postings" else df
+
+
+def compact(spark: SparkSession, out: str, model: Model) -> bool:
+    """Merges what batches have left into one by day. Batches may go on meanwhile, and so may readers."""
+    return Batches(spark, out).merge({
+        "rows": lambda d: stored_rows(d.hint("rebalance", "day"), model, "day"), "rollup": lambda d: stored_rollup(merge_rollup(d)),
+        "lists": lambda d: stored_lists(merge_lists(d)), "rejected": lambda d: (d, None, {}),
+    })
 
 
 def kafka_options(servers: str, topic: str, group: str | None = None, starting: str = "earliest", per_batch: int | None = None) -> dict[str, str]:

@@ -6,11 +6,11 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from logloom.engine import Engine, sort_values
+from logloom.engine import Engine, TooManyBuckets, sort_values
 from logloom.model import Model, nanoseconds
-from logloom.operators import fulltext, histograms, hits
-from logloom.sources.catalog import Catalog, Store, UnknownTable, write_postings, write_rows
-from logloom.sources.settings import Settings
+from logloom.operators import histograms
+from logloom.plans.request import Plan
+from logloom.sources.catalog import Catalog, UnknownTable
 from logloom.streaming import ingest
 
 START = datetime.datetime(2024, 1, 1)
@@ -40,6 +40,43 @@ def test_patterns(engine):
             engine.catalog.names(index)
 
 
+def test_responses_tell_what_was_done(engine):
+    """One table or two are read, and time passes."""
+    found = engine.search("logs_events", {"size": 1})
+    assert found["_shards"] == {"total": 2, "successful": 2, "failed": 0} and found["took"] >= 0
+    assert engine.search("other", {})["_shards"]["total"] == 1
+
+
+def test_buckets_have_a_limit(events):
+    catalog = Catalog()
+    catalog.add("logs_events", *events)
+    body = {"aggs": {"h": {"date_histogram": {"field": "ts", "interval": "1s"}}}}
+    assert len(Engine(catalog, most_buckets=500).search("logs_events", body)["aggregations"]["h"]["buckets"]) == 500
+    with pytest.raises(TooManyBuckets):
+        Engine(catalog, most_buckets=499).search("logs_events", body)
+
+
+def test_siblings_and_bodies_share_a_scan(engine, monkeypatch):
+    """Several aggregations of several bodies are counted by one job over one scan of the table."""
+    errors, late = {"match_phrase": {"event_type": "error"}}, {"range": {"ts": {"gte": "2024-01-01T06:00:00"}}}
+    filters = {"filters": {"filters": {"e": errors, "l": late}}}
+    bodies = [
+        {"aggs": {"h": {"date_histogram": {"field": "ts", "interval": "7m"}, "aggs": {"f": filters}}, "g": filters}},
+        {"query": {"query_string": {"query": "props:item"}}, "aggs": {"g": {"filters": {"filters": {"e": errors}}}}},
+        {"query": late, "aggs": {"d": {"date_histogram": {"field": "ts", "interval": "1d"}}}},
+        {"query": {"match_phrase": {"event_type": "none"}}, "aggs": {"g": filters, "h": {"date_histogram": {"field": "ts", "interval": "1h"}}}},
+    ]
+    plans, counted = [], Plan.counted
+    monkeypatch.setattr(Plan, "counted", lambda self, asked: plans.append(counted(self, asked)) or plans[-1])
+    together = [{k: v for k, v in r.items() if k != "took"} for r in engine.msearch([("other", b) for b in bodies])["responses"]]
+    assert len(plans) == 1
+    alone = [{k: v for k, v in engine.search("other", b).items() if k != "took"} for b in bodies]
+    assert together == alone and len(plans) == 5
+    one = together[0]["aggregations"]
+    assert one["g"]["buckets"] == {"e": {"doc_count": 167}, "l": {"doc_count": 277}} and sum(b["f"]["buckets"]["e"]["doc_count"] for b in one["h"]["buckets"]) == 167
+    assert together[3]["aggregations"] == {"g": {"buckets": {"e": {"doc_count": 0}, "l": {"doc_count": 0}}}, "h": {"buckets": []}}
+
+
 def test_search(engine):
     body = {
         "size": 3, "sort": [{"ts": {"order": "desc"}}], "docvalue_fields": ["ts"], "query": {"terms": {"event_type": ["error", "view"]}},
@@ -61,6 +98,15 @@ def test_msearch_answers_each_alone(engine):
     assert len(one["hits"]["hits"]) == 2 and two["hits"]["hits"] == [] and "no field" in two["_debug"]["warnings"]
 
 
+def test_mget_gives_each_id_once_and_in_order(spark, events):
+    df, model = events
+    later = df.where("event_id in (1, 4)").withColumn("ts", F.expr("ts + interval 1 day")).withColumn("value", F.lit(77.0))
+    catalog = Catalog()
+    catalog.add("logs_twice", df.unionByName(later).unionByName(df.where("event_id = 1")).repartition(3), model)
+    docs = Engine(catalog).mget("logs_twice", ["2", 1, "x", 999, "4", 1])["docs"]
+    assert [(d["_id"], d["_source"]["value"]) for d in docs] == [("2", 2.0), ("1", 77.0), ("4", 77.0)]
+
+
 def test_mget_and_caps(engine):
     assert {d["_id"] for d in engine.mget("logs_events", ["7", 9, "x"])["docs"]} == {"7", "9"}
     caps = engine.field_caps("logs_events")["fields"]
@@ -79,27 +125,6 @@ def test_rollup_gives_the_raw_histogram(engine, events, bounds, interval):
     assert rows(engine) == rows(Engine(raw))
 
 
-def test_narrowing_keeps_the_page(engine):
-    body = {"size": 40, "sort": [{"ts": {"order": "desc"}}], "aggs": {"h": {"date_histogram": {"field": "ts", "interval": "30m"}}}}
-    buckets = [(r.key, r.doc_count) for r in engine.histogram("logs_events", body, "h").collect()]
-    assert hits.newest_bound(buckets, 40) is not None and hits.newest_bound(buckets, 10_000) is None
-    assert engine.hits("logs_events", body, buckets).collect() == engine.hits("logs_events", body).collect()
-
-
-def test_time_bounds_reach_the_files(spark, events, tmp_path):
-    df, model = events
-    write_rows(df.withColumn("day", F.to_date("ts")), str(tmp_path / "rows"), model)
-    write_postings(fulltext.build_postings(df, model), str(tmp_path / "postings"))
-    catalog = Catalog()
-    catalog.add("logs_e", spark.read.parquet(str(tmp_path / "rows")).drop("day"), model, postings=spark.read.parquet(str(tmp_path / "postings")))
-    body = {"size": 600, "query": {"bool": {"must": [{"query_string": {"query": 'props:"item 3"'}}, {"range": {"ts": {"gte": "2024-01-01T01:00:00", "lt": "2024-01-01T09:00:00"}}}]}}}
-    found = Engine(catalog).hits("logs_e", body)
-    plan = found._jdf.queryExecution().executedPlan().toString()
-    assert "GreaterThanOrEqual(ts" in plan and "LeftSemi" in plan
-    want = [r.event_id for r in df.collect() if r.event_id % 5 == 3 and START + datetime.timedelta(hours=1) <= r.ts < START + datetime.timedelta(hours=9)]
-    assert sorted(r.event_id for r in found.collect()) == want
-
-
 def test_a_page_beside_another_time(events):
     df, model = events
     late = df.withColumn("due", F.expr("timestamp_ntz '2025-01-01 00:00:00' - (ts - timestamp_ntz '2024-01-01 00:00:00')"))
@@ -113,39 +138,6 @@ def test_sort_values_are_of_one_kind():
     assert sort_values([3, 2.0, "7"]) == [3, 2, 7] and sort_values(["a", 5, None]) == ["a", "5", None] and sort_values([1, "x"]) == [1, "x"] and sort_values([]) == []
 
 
-def test_stored_tables(spark, events, tmp_path):
-    """Tables outlive the catalog; a search on stored postings reads the days and words that it needs."""
-    df, model = events
-    store = Store(spark, str(tmp_path / "store"))
-    assert store.names() == []
-    store.create("logs_e", df.where("event_id < 400"), model)
-    store.append("logs_e", df.where("event_id >= 400"), model)
-    store.create("logs_x", df.limit(2), model)
-    store.drop("logs_x")
-    with pytest.raises(ValueError):
-        store.create("logs_e", df, model)
-    again = Store(spark, str(tmp_path / "store"))
-    assert again.names() == ["logs_e"] and again.exists("logs_e") and not again.exists("logs_x")
-    found = Engine(again.catalog())
-    body = {"size": 600, "query": {"bool": {"must": [{"query_string": {"query": 'props:"item 3"'}}, {"range": {"ts": {"lt": "2024-01-01T09:00:00"}}}]}}}
-    hits_ = found.hits("logs_e", body)
-    assert sorted(r.event_id for r in hits_.collect()) == [r.event_id for r in df.collect() if r.event_id % 5 == 3 and r.ts < START + datetime.timedelta(hours=9)]
-    plan = hits_._jdf.queryExecution().executedPlan().toString()
-    postings = next(line for line in plan.splitlines() if "word_hash" in line and "FileScan" in line)
-    assert "In(word_hash" in postings and "PartitionFilters: [isnotnull(day" in postings
-    assert {(r.key, r.doc_count) for r in found.histogram("logs_e", {"aggs": {"h": {"date_histogram": {"field": "ts", "interval": "1h"}}}}, "h").collect()} == {(r.key, r.doc_count) for r in histograms.date_histogram(df, model.timestamp, "1h").collect()}
-
-
-def test_searches_read_the_named_columns(spark, tmp_path):
-    rows = [(i, i * 10**9, f"a{i % 3} b", f"c{i % 5}") for i in range(60)]
-    spark.createDataFrame(rows, "id long, ts long, one string, two string").write.parquet(str(tmp_path / "t"))
-    df = spark.read.parquet(str(tmp_path / "t"))
-    model = Model.of(df, id="id", timestamp="ts", full_text=("one", "two"))
-    times = fulltext.matching_times(fulltext.build_postings(df, model), fulltext.Text.of(model.fields["one"], "a2 b"))
-    plan = times._jdf.queryExecution().executedPlan().toString()
-    assert times.count() == 20 and plan.count("FileScan") == 1 and "two" not in plan
-
-
 def test_patterns_say_what_they_leave_out(events):
     catalog = Catalog()
     catalog.add("logs_a", *events)
@@ -171,63 +163,14 @@ def test_fields_that_come_in_other_types(spark):
     assert dict(stored.dtypes)["id"] == "bigint" and stored.select("id").distinct().count() == 2
 
 
-def test_compaction_changes_no_rows(spark, events, tmp_path):
-    df, model = events
-    out = str(tmp_path / "out")
-    for n in range(4):
-        ingest.write_batch(df.where(f"event_id % 5 = {n}"), n, model, out)
-    before = {t: sorted(map(tuple, ingest.read(spark, out, t).select(*sorted(ingest.read(spark, out, t).columns)).collect())) for t in ("rows", "rollup", "postings")}
-    for t in before:
-        ingest.compact(spark, out, t)
-        ingest.compact(spark, out, t)
-    after = lambda t: sorted(map(tuple, (d := ingest.read(spark, out, t)).select(*sorted(d.columns)).collect()))
-    assert {t: after(t) for t in before} == before
-    ingest.write_batch(df.where("event_id % 5 = 4"), 4, model, out)
-    assert ingest.read(spark, out, "rows").count() == 500 and ingest.read(spark, out, "rollup").agg(F.sum("count")).first()[0] == 500
-    ingest.compact(spark, out, "rollup")
-    assert ingest.read(spark, out, "rollup").agg(F.sum("count")).first()[0] == 500
-
-
-def test_settings(spark, tmp_path):
-    store = Settings(spark, str(tmp_path / "settings"))
-    store.put("config", "5.6", {"buildNum": 1, "defaultIndex": "a", "title": "not a config's"})
-    store.put("config", "5.6", {"doc": {"defaultIndex": "b"}})
-    store.put("dashboard", "d", {"title": "T", "refreshInterval": {"pause": False, "value": 5}, "kibanaSavedObjectMeta": {"searchSourceJSON": "{}"}})
-    store.put("search", None, {"title": "S", "columns": ["x", "y"]})
-    docs = {d["_id"]: d for d in store.mget(["5.6", "d", "none"])["docs"]}
-    assert docs["5.6"]["_source"] == {"defaultIndex": "b"}
-    assert docs["d"]["_source"] == {"title": "T", "refreshInterval": {"pause": False, "value": 5}, "kibanaSavedObjectMeta": {"searchSourceJSON": "{}"}}
-    assert store.read().count() == 3
-    store.delete_by_query({"query": {"match_phrase": {"type": "config"}}})
-    assert {r.type for r in store.read().collect()} == {"dashboard", "search"}
-    with pytest.raises(ValueError):
-        store.delete_by_query({})
-    with pytest.raises(ValueError):
-        store.put("nope", "x", {})
-
-
-def test_streams_match_batches_and_survive_a_repeated_batch(spark, events, tmp_path):
-    df, model = events
-    df.repartition(4).write.parquet(str(tmp_path / "in"))
-    stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
-    ingest.ingest(stream, model, str(tmp_path / "out"), str(tmp_path / "checkpoint")).awaitTermination()
-    first = spark.createDataFrame(spark.read.parquet(str(tmp_path / "out/rows/batch=0")).select(*df.columns).collect(), df.schema)
-    ingest.write_batch(first, 0, model, str(tmp_path / "out"))
-    same = lambda a, b: sorted(map(tuple, a.collect())) == sorted(map(tuple, b.select(*a.columns).collect()))
-    read = lambda t: ingest.read(spark, str(tmp_path / "out"), t)
-    assert same(read("rollup"), histograms.build_rollup(df, model.timestamp))
-    assert same(read("postings"), fulltext.build_postings(df, model))
-    assert same(read("rows"), df.withColumn("day", F.to_date("ts")))
-
-
 def test_bad_lines_are_set_aside(spark, tmp_path):
     lines = spark.createDataFrame([('{"id": 1, "ts": 5, "m": "a b"}',), ("not json",), ("",), ('{"id": 2, "ts": 400000000000}',)], "value string")
     schema = spark.createDataFrame([], "id long, ts long, m string").schema
     rows = ingest.parse(lines, schema)
     model = Model.of(rows, id="id", timestamp="ts", full_text=("m",))
     ingest.write_batch(rows, 0, model, str(tmp_path))
-    assert spark.read.parquet(str(tmp_path / "rows/batch=0")).count() == 2
-    assert spark.read.parquet(str(tmp_path / "rejected/batch=0")).count() == 2
+    assert ingest.read(spark, str(tmp_path), "rows").count() == 2
+    assert sorted(r._rejected for r in ingest.read(spark, str(tmp_path), "rejected").collect()) == ["", "not json"]
     assert {(r.key, r["count"]) for r in ingest.read(spark, str(tmp_path), "rollup").collect()} == {(0, 1), (1, 1)}
 
 
