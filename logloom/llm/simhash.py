@@ -27,11 +27,13 @@ from pyspark.sql import functions as F
 
 from .common import Cut, by_run, runs, self_tiles, text_hash
 from .components import components
+from .ngrams import bitmap_of
 
 SEED = 42
 BITS = 64
 PAIRS_UP_TO = 64  # buckets of at most so many fingerprints are joined as pairs, larger ones in tiles
 TILE = 2048
+WANTED_BITS = 27  # of the bitmap that says which texts' shingles are needed: 16 MB
 
 
 def majority(h: np.ndarray) -> np.ndarray:
@@ -112,8 +114,8 @@ def fingerprints(docs: DataFrame, words: int = 3) -> DataFrame:
     return _hashed(docs, ["fp"], lambda t: fingerprint(t, words))
 
 
-def _tile_links(check: list[str], most: int):
-    """Links in a tile pair that join what the near pairs join."""
+def _tile_links(check: list[str], most: int, apart: bool = False):
+    """Links in a tile pair that join what the near pairs join; apart: the nearest ones that do."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in runs(batches, ["t", "m", "tile_i", "tile_j"]):
@@ -124,15 +126,16 @@ def _tile_links(check: list[str], most: int):
             links = []
             for k in range(0, len(left), 512):
                 x = left[k : k + 512]
-                hit = sum(np.bitwise_count(c[x][:, None] ^ c[right][None, :]).astype(np.int16) for c in bits) <= most
+                far = sum(np.bitwise_count(c[x][:, None] ^ c[right][None, :]).astype(np.int16) for c in bits)
+                hit = far <= most
                 if i == j:
                     hit &= rep[x][:, None] < rep[right][None, :]
                 r, c = np.nonzero(hit)
                 if len(r):
-                    links.append(spanning(rep[x[r]], rep[right[c]]))
+                    links.append(nearest(rep[x[r]], rep[right[c]], far[r, c]) if apart else [z.to_numpy() for z in spanning(rep[x[r]], rep[right[c]])])
             if links:
-                u, v = spanning(*(np.concatenate([z[c].to_numpy() for z in links]) for c in (0, 1)))
-                yield pa.RecordBatch.from_arrays([u, v], ["u", "v"])
+                joined = [np.concatenate(z) for z in zip(*links)]
+                yield pa.RecordBatch.from_arrays([pa.array(z) for z in nearest(*joined)[:2]] if apart else spanning(*joined), ["u", "v"])
 
     return each
 
@@ -154,7 +157,36 @@ def spanning(u: np.ndarray, v: np.ndarray) -> list[pa.Array]:
     return [pa.array(nodes[out]), pa.array(nodes[label[out]])]
 
 
-def near_links(prints: DataFrame, hashes: list[str], radius: int, check: list[str], most: int, pairs_up_to: int) -> tuple[DataFrame, Cut]:
+def nearest(u: np.ndarray, v: np.ndarray, d: np.ndarray) -> list[np.ndarray]:
+    """A spanning forest of the links (u, v) that takes those of small d first: whatever bound is set to d, the links
+    of the forest within it join what all links within it join."""
+    order = np.lexsort((v, u, d))
+    nodes, ends = np.unique(np.concatenate([u, v]), return_inverse=True)
+    a, b = ends[: len(u)][order], ends[len(u) :][order]
+    root = np.arange(len(nodes))
+    kept: list[int] = []
+    for at in range(0, len(order), 4096):
+        some = at + np.flatnonzero(root[a[at : at + 4096]] != root[b[at : at + 4096]])
+        if not len(some):
+            continue
+        tree = root.tolist()
+        for k in some.tolist():
+            x, y = int(a[k]), int(b[k])
+            while tree[x] != x:
+                tree[x] = x = tree[tree[x]]
+            while tree[y] != y:
+                tree[y] = y = tree[tree[y]]
+            if x != y:
+                tree[y] = x
+                kept.append(k)
+        root = np.array(tree)
+        while (root[root] != root).any():
+            root = root[root]
+    taken = order[kept]
+    return [u[taken], v[taken], d[taken].astype(np.int16)]
+
+
+def near_links(prints: DataFrame, hashes: list[str], radius: int, check: list[str], most: int, pairs_up_to: int, apart: bool = False) -> tuple[DataFrame, Cut]:
     """u, v: links between representatives that give the same components as all pairs that are within `radius`
     in one of the hashes and differ in `most` bits of `check` at most; and a table to be dropped.
 
@@ -162,30 +194,32 @@ def near_links(prints: DataFrame, hashes: list[str], radius: int, check: list[st
     members at most are joined as pairs; larger ones are compared in tiles and leave a spanning forest, so
     rows stay linear in the members however large a bucket is. With many tables a large group lies in many
     small buckets, whose pairs would together be all pairs of the group; then no bucket is to be joined so.
+    apart: the links of a bucket are the nearest ones that join its near pairs.
     """
     kept = F.array(*[F.col(h).bitwiseAND(F.lit(m)) for h in hashes for m in covering_masks(radius)])
     entries = prints.select("rep", F.posexplode(kept).alias("t", "m"))
     sizes = Cut(entries.groupBy("t", "m").agg(F.count("*").cast("int").alias("n")).where("n > 1"))
     large = self_tiles(entries, sizes.df.where(F.col("n") > pairs_up_to), ["t", "m"], "rep", TILE).join(prints.select("rep", *check), "rep")
-    links = by_run(large, ["t", "m", "tile_i", "tile_j"]).mapInArrow(_tile_links(check, most), "u long, v long")
+    links = by_run(large, ["t", "m", "tile_i", "tile_j"]).mapInArrow(_tile_links(check, most, apart), "u long, v long")
     if pairs_up_to:
         few = entries.join(sizes.df.where(F.col("n") <= pairs_up_to).drop("n"), ["t", "m"])
         pairs = few.join(few.select("t", "m", F.col("rep").alias("rep2")), ["t", "m"]).where("rep < rep2").select(F.col("rep").alias("u"), F.col("rep2").alias("v")).distinct()
         left, right = (prints.select(F.col("rep").alias(end), *[F.col(c).alias(end + c) for c in check]) for end in "uv")
-        apart = reduce(add, [F.bit_count(F.col("u" + c).bitwiseXOR(F.col("v" + c))) for c in check])
-        links = pairs.join(left, "u").join(right, "v").where(apart <= most).select("u", "v").unionByName(links)
+        far = reduce(add, [F.bit_count(F.col("u" + c).bitwiseXOR(F.col("v" + c))) for c in check])
+        links = pairs.join(left, "u").join(right, "v").where(far <= most).select("u", "v").unionByName(links)
     return links.distinct(), sizes
 
 
-def _with_components(prints: DataFrame, hashes: list[str], radius: int, check: list[str], most: int, pairs_up_to: int) -> Cut:
-    """The hashes and check of each different print, with a number for each component."""
-    keys = list(dict.fromkeys([*hashes, *check]))
-    distinct = Cut(prints.select(*keys).distinct().withColumn("rep", F.monotonically_increasing_id()))  # fixed by being written
-    links, sizes = near_links(distinct.df, hashes, radius, check, most, pairs_up_to)
+def _numbered(prints: DataFrame, keys: list[str]) -> Cut:
+    """Each different print with the hash of one of its texts and a number, rep, that is fixed by being written."""
+    return Cut(prints.groupBy(*keys).agg(F.min("text_hash").alias("text_hash")).withColumn("rep", F.monotonically_increasing_id()))
+
+
+def _named(distinct: Cut, links: DataFrame, keys: list[str]) -> Cut:
+    """The different prints, with a number for each component."""
     found = components(links)
     named = Cut(distinct.df.join(found.df.withColumnRenamed("node", "rep"), "rep", "left").select(*keys, F.coalesce("component", "rep").alias("component")))
-    for done in (distinct, found, sizes):
-        done.drop()
+    found.drop()
     return named
 
 
@@ -196,8 +230,12 @@ def classes(docs: DataFrame, words: int = 3, radius: int = 3) -> DataFrame:
     and are linked like any other. A null doc_id is never a component's name; rows with one belong to the
     component of their fingerprint (null if no document with an id is in it). Repeated rows stay repeated.
     """
-    prints = Cut(fingerprints(docs, words).drop("text_hash"))
-    named = _with_components(prints.df, ["fp"], radius, ["fp"], radius, PAIRS_UP_TO)
+    prints = Cut(fingerprints(docs, words))
+    distinct = _numbered(prints.df, ["fp"])
+    links, sizes = near_links(distinct.df, ["fp"], radius, ["fp"], radius, PAIRS_UP_TO)
+    named = _named(distinct, links, ["fp"])
+    distinct.drop()
+    sizes.drop()
     least = prints.df.groupBy("fp").agg(F.min("doc_id").alias("least")).join(named.df, "fp")
     names = least.groupBy("component").agg(F.min("least").alias("component_id"))
     known = Cut(named.df.join(names, "component").select("fp", "component_id"))
@@ -205,24 +243,77 @@ def classes(docs: DataFrame, words: int = 3, radius: int = 3) -> DataFrame:
     return prints.df.join(known.df, "fp").select("doc_id", "fp", "component_id")
 
 
-def first_of_each(docs: DataFrame, words: int = 5, similarity: float = 0.8, margin: float = 0.05, radius: int = 5) -> DataFrame:
-    """The rows of docs, with all columns, that stay if of each component one does: that of the smallest id, of
-    those that share it that of the smallest text hash, and of rows equal in both any one. Ids that are null
-    come last, so a component of such rows keeps one of them too. Null and empty texts are alike.
+def _sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
+    """text_hash, shingles: the different shingle hashes of the texts in `wanted` (text_hash), each once. A bitmap of
+    a fixed size leaves out most others as the texts are read."""
+    may = bitmap_of(wanted.select(F.col("text_hash").alias("h")), WANTED_BITS)
+    shared = docs.sparkSession.sparkContext.broadcast(may)
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            hashes = b.column(0).to_numpy()
+            some = np.flatnonzero(shared.value.holds(hashes.view(np.uint64)))
+            for at in range(0, len(some), 64):
+                part = some[at : at + 64]
+                of = [words_of(b.column(1)[i].as_py()) for i in part.tolist()]
+                sets = [np.unique(shingle_hashes(w, words)).tobytes() if w else b"" for w in of]
+                yield pa.RecordBatch.from_arrays([pa.array(hashes[part]), pa.array(sets, pa.binary())], ["text_hash", "shingles"])
+
+    rows = docs.select(text_hash(F.col("text")).alias("text_hash"), F.col("text").cast("string").alias("text"))
+    found = rows.mapInArrow(each, "text_hash long, shingles binary")
+    return found.join(wanted, "text_hash", "left_semi").groupBy("text_hash").agg(F.first("shingles").alias("shingles"))
+
 
-    Two documents are linked if one of four fingerprints of their word pairs differs in `radius` bits at most,
-    and the sketch of their sets of word shingles says that these are as similar, less a margin. The sketch has
-    512 bits, which tell a similarity of 0.8 with a standard error of 0.035; the margin is for pairs that it
-    takes to be less similar than they are.
+def jaccard(x: bytes, y: bytes) -> float:
+    """Of two sorted sets of hashes."""
+    a, b = (np.frombuffer(z, np.uint64) for z in (x, y))
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return both / max(1, len(a) + len(b) - both)
+
+
+def _verified(docs: DataFrame, links: DataFrame, distinct: DataFrame, words: int, similarity: float) -> tuple[DataFrame, list[Cut]]:
+    """The links (u, v) between texts whose shingle sets are as similar, and the tables to be dropped."""
+    texts = distinct.select("rep", "text_hash")
+    ends = Cut(links.join(texts.withColumnsRenamed({"rep": "u", "text_hash": "hu"}), "u").join(texts.withColumnsRenamed({"rep": "v", "text_hash": "hv"}), "v"))
+    sets = Cut(_sets(docs, ends.df.select(F.explode(F.array("hu", "hv")).alias("text_hash")).distinct(), words))
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            near = [jaccard(x.as_py(), y.as_py()) >= similarity for x, y in zip(b.column(2), b.column(3))]
+            yield b.select([0, 1]).filter(pa.array(near, pa.bool_()))
+
+    of = lambda end: sets.df.select(F.col("text_hash").alias("h" + end), F.col("shingles").alias("s" + end))
+    return ends.df.join(of("u"), "hu").join(of("v"), "hv").select("u", "v", "su", "sv").mapInArrow(each, "u long, v long"), [ends, sets]
+
+
+def first_of_each(docs: DataFrame, words: int = 5, similarity: float = 0.8, margin: float = 0.1, radius: int = 5) -> DataFrame:
+    """The rows of docs, with all columns, that stay if of each component one does: that of the smallest id, of
+    those that share it that of the smallest text hash, and of rows equal in both that of the smallest hash of all
+    columns. Ids that are null come last, so a component of such rows keeps one of them too. Null and empty texts
+    are alike.
+
+    Two documents are linked if their sets of word shingles have this Jaccard similarity, so none goes without a
+    partner that is as similar. Candidates differ in `radius` bits at most in one of four fingerprints of their word
+    pairs, and by a sketch of 512 bits of their shingles they are as similar, less a margin of twice its standard
+    error or more. In each bucket the nearest candidates that join all of them are verified by the shingles.
     """
-    prints = Cut(_hashed(docs, SOUGHT + CHECKED, lambda t: sketches(t, words)))
-    named = _with_components(prints.df, SOUGHT, radius, CHECKED, differing(similarity - margin), 0)
-    rows = prints.df.groupBy("doc_id", "text_hash", *SOUGHT, *CHECKED).agg(F.count("*").alias("n")).join(named.df, SOUGHT + CHECKED)
+    keys = SOUGHT + CHECKED
+    prints = Cut(_hashed(docs, keys, lambda t: sketches(t, words)))
+    distinct = _numbered(prints.df, keys)
+    links, sizes = near_links(distinct.df, SOUGHT, radius, CHECKED, differing(similarity - margin), 0, apart=True)
+    candidates = Cut(links)
+    verified, done = _verified(docs, candidates.df, distinct.df, words, similarity)
+    named = _named(distinct, verified, keys)
+    for t in (distinct, sizes, candidates, *done):
+        t.drop()
+    rows = prints.df.groupBy("doc_id", "text_hash", *keys).agg(F.count("*").alias("n")).join(named.df, keys)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash", "n")).alias("first")
     kept = Cut(rows.groupBy("component").agg(first).select("first.doc_id", "first.text_hash", "first.n"))
     prints.drop()
     named.drop()
     same = lambda k: docs.doc_id.cast("long").eqNullSafe(k.doc_id) & (text_hash(docs.text) == k.text_hash)
     lone, repeated = (kept.df.where(c) for c in ("n = 1", "n > 1"))
-    again = docs.join(repeated, same(repeated), "left_semi").dropDuplicates(["doc_id", "text"])
+    again = docs.join(repeated, same(repeated), "left_semi")
+    one = F.min_by(F.struct(*docs.columns), F.xxhash64(*docs.columns)).alias("row")
+    again = again.groupBy(F.col("doc_id").alias("_id"), text_hash(F.col("text")).alias("_hash")).agg(one).select("row.*")
     return docs.join(lone, same(lone), "left_semi").unionByName(again)

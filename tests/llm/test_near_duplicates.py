@@ -245,7 +245,7 @@ def test_lines_with_a_hot_segment(spark, monkeypatch):
 
 @pytest.mark.parametrize("pairs_up_to", [64, 2])
 def test_near_copies_by_shared_shingles(spark, monkeypatch, pairs_up_to):
-    """Changed copies go from a similarity of five-word shingles that is clearly above 0.8, and none clearly below."""
+    """Changed copies go from a similarity of five-word shingles of 0.8 on, and none that has no partner of that."""
     monkeypatch.setattr(simhash, "PAIRS_UP_TO", pairs_up_to)
     monkeypatch.setattr(simhash, "TILE", 3)
     rnd = random.Random(21)
@@ -266,9 +266,43 @@ def test_near_copies_by_shared_shingles(spark, monkeypatch, pairs_up_to):
             rows.append((1000 + 10 * i + k, " ".join(new)))
     kept = {r.doc_id for r in simhash.first_of_each(documents(spark, rows)).collect()}
     assert set(base) <= kept
-    near = [d for d, x in similar.items() if x >= 0.85]
-    assert len(near) > 80 and sum(d not in kept for d in near) >= 0.9 * len(near)
-    assert {d for d, x in similar.items() if x < 0.65} <= kept
+    near = [d for d, x in similar.items() if x >= 0.8]
+    assert len(near) > 80 and sum(d not in kept for d in near) >= 0.95 * len(near)
+    sets = {d: shingles(t.split()) for d, t in rows}
+    alike = lambda a, b: len(sets[a] & sets[b]) / len(sets[a] | sets[b]) >= 0.8
+    assert all(any(alike(d, e) for e in sets if e != d) for d in set(sets) - kept)
+
+
+def test_nearest_links_join_at_every_bound():
+    rng = np.random.default_rng(3)
+    for n, m in ((2, 1), (40, 300), (300, 9000)):
+        u, v, d = rng.integers(0, n, m), rng.integers(n, 2 * n, m), rng.integers(0, 12, m)
+        kept = simhash.nearest(u, v, d)
+        assert len(kept[0]) < 2 * n
+        for bound in range(12):
+            parts = []
+            for a, b, c in ((u, v, d), kept):
+                x, y = simhash.spanning(a[c <= bound], b[c <= bound]) if (c <= bound).any() else ([], [])
+                parts.append(groups(range(2 * n), lambda i, j, e=set(zip(map(int, map(lambda z: z.as_py(), x)), map(lambda z: z.as_py(), y))): (i, j) in e or (j, i) in e) if n < 50 else len(x))
+            assert parts[0] == parts[1]
+
+
+def test_copies_whose_sketch_is_between_go_by_their_shingles(spark, monkeypatch):
+    """The sketch takes texts for candidates, their shingles decide: wherever the bound is, as brute force does."""
+    rnd = random.Random(8)
+    words = [f"w{i}" for i in range(500)]
+    base = [rnd.choice(words) for _ in range(150)]
+    rows = [(0, " ".join(base))]
+    for i in range(1, 25):
+        new = list(base)
+        for at in range(0, 150, 150 // (i // 3 + 1)):
+            new[at] = rnd.choice(words)
+        rows.append((i, " ".join(new)))
+    sets = {i: {tuple(t.split()[k : k + 5]) for k in range(146)} for i, t in rows}
+    for similarity in (0.8, 0.9):
+        root = groups(sets, lambda a, b: len(sets[a] & sets[b]) / len(sets[a] | sets[b]) >= similarity)  # noqa: B023
+        kept = {r.doc_id for r in simhash.first_of_each(documents(spark, rows), similarity=similarity, margin=0.2, radius=6).collect()}
+        assert kept >= set(root.values()) and len(kept) <= len(set(root.values())) + 1
 
 
 def test_one_row_of_each_component_stays(spark):
