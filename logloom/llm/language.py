@@ -165,21 +165,27 @@ def count_grams(rows: DataFrame) -> DataFrame:
     return counted.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
-def sampled(rows: DataFrame, most: int) -> DataFrame:
-    """About `most` rows of each language that has more, by the hash of their text; all rows of the others."""
-    counts = rows.groupBy("lang").agg(F.count("*").alias("n"))
+def sampled(rows: DataFrame, most: int, in_all: int) -> DataFrame:
+    """About `most` rows of each language that has more, by the hash of their text, and about `in_all` of all
+    languages; all rows of the others. Rows are chosen as they are read: only the languages' sizes are collected."""
+    sizes = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    share = min(most, max(1, in_all // max(1, len(sizes))))
+    large = {lang: share / n for lang, n in sizes.items() if n > share}
+    if not large:
+        return rows
+    chances = F.create_map(*[F.lit(x) for pair in large.items() for x in pair])
     place = F.pmod(F.xxhash64(F.lit(5), "text"), F.lit(1 << 40)) / F.lit(float(1 << 40))
-    return rows.join(counts, "lang").where(place * F.col("n") < most).select("text", "lang")
+    return rows.where(place < F.coalesce(F.try_element_at(chances, F.col("lang")), F.lit(1.0)))
 
 
-def fit(rows: DataFrame, most: int = 20_000) -> Model:
+def fit(rows: DataFrame, most: int = 20_000, in_all: int = 400_000) -> Model:
     """Learns from rows (text, lang) whose lang is not null; an empty or null text adds nothing.
 
-    Of a language with more than `most` rows about so many are used, which bounds the model; of these all
-    counts are kept. Rows that repeat count as often; other columns are not read.
+    Of a language with more than `most` rows about so many are used, and of all together about `in_all`, in equal
+    shares, which bounds the model; of these all counts are kept. Rows that repeat count as often; other columns are not read.
     """
     labelled = rows.where("lang is not null").select(F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
-    counted = Cut(count_grams(sampled(labelled, most)))
+    counted = Cut(count_grams(sampled(labelled, most, in_all)))
     found = counted.df.toPandas()
     counted.drop()
     empty = labelled.select("lang").distinct().collect()  # a language may have empty texts alone

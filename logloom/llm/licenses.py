@@ -1,16 +1,18 @@
 """License notices by diagonal voting, in DataFrame functions alone.
 
 All rolling word k-gram hashes of a text are joined to the positions of the same k-grams in known
-notices. A place in a text minus the place in the notice is a diagonal; k-grams of one occurrence vote
-for one diagonal, or for neighbouring ones where words were added or left out. A diagonal that covers
-enough of a notice's k-grams is a place of it. Of the others those that lie within a few words of one
-another are merged, and a merged group is a place if it covers enough within a span not much longer than
-the notice. Exact phrases are found by the same votes: on one
-diagonal, all k-grams of the phrase.
+notices, and are counted only if their words are the notice's. A place in a text minus the place in the
+notice is a diagonal; k-grams of one occurrence vote for one diagonal, or for neighbouring ones where words
+were added or left out. A diagonal that covers enough of a notice's k-grams is a place of it. Of the others
+those that lie within a few words of one another are merged, and a merged group is a place if it covers
+enough of the notice, each of whose places counts once however often the text repeats it, within a span not
+much longer than the notice. Exact phrases are found by the same votes: on one diagonal, all k-grams of the
+phrase.
 """
 
 from __future__ import annotations
 
+import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -70,6 +72,14 @@ def positions() -> list[tuple]:
     return rows
 
 
+def gram_hash(words: tuple[str, ...]) -> int:
+    """Spark's xxhash64 of these words: each one's hash is the next one's seed."""
+    h = 42
+    for w in words:
+        h = xxhash.xxh64_intdigest(w.encode(), h)
+    return h - (1 << 64) if h >> 63 else h
+
+
 def scan(docs: DataFrame, cover: float = COVER, stretch: float = STRETCH, near: int = NEAR) -> DataFrame:
     """doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score, spans: a row per row of docs.
 
@@ -79,22 +89,24 @@ def scan(docs: DataFrame, cover: float = COVER, stretch: float = STRETCH, near:
     row per document. The template table is a fixed list.
     """
     spark = docs.sparkSession
-    known = spark.createDataFrame(positions(), "template int, label string, exact boolean, t_words int, t_grams int, place int, w0 string, w1 string, w2 string")
-    known = known.withColumn("h", F.xxhash64("w0", "w1", "w2")).drop("w0", "w1", "w2")
-    hashes = [r.h for r in known.select("h").distinct().collect()]
+    rows = [(*r, gram_hash(r[-K:])) for r in positions()]
+    known = spark.createDataFrame(rows, "template int, label string, exact boolean, t_words int, t_grams int, place int, k0 string, k1 string, k2 string, h long")
+    hashes = sorted({r[-1] for r in rows})
     words = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.regexp_extract_all(ascii_lower(F.col("text").cast("string")), F.lit(WORD), F.lit(0)).alias("w"))
     n = F.size("w")
     rolling = F.transform(F.sequence(F.lit(0), F.greatest(n - K, F.lit(0))), lambda i: F.struct(i.alias("at"), F.xxhash64(F.get("w", i), F.get("w", i + 1), F.get("w", i + 2)).alias("h")))
-    met = words.select("row", "doc_id", n.cast("long").alias("n_words"), F.explode_outer(F.filter(rolling, lambda g: g.h.isin(hashes))).alias("g"))
-    met = met.select("row", "doc_id", "n_words", F.col("g.at").alias("at"), F.col("g.h").alias("h")).join(F.broadcast(known), "h", "left")
+    voting = F.transform(F.filter(rolling, lambda g: g.h.isin(hashes)), lambda g: F.struct(g.at.alias("at"), g.h.alias("h"), *[F.get("w", g.at + i).alias(f"w{i}") for i in range(K)]))
+    met = words.select("row", "doc_id", n.cast("long").alias("n_words"), F.explode_outer(voting).alias("g")).select("row", "doc_id", "n_words", "g.*")
+    same_words = (F.col("w0") == F.col("k0")) & (F.col("w1") == F.col("k1")) & (F.col("w2") == F.col("k2"))
+    met = met.join(F.broadcast(known.withColumnRenamed("h", "known")), (F.col("h") == F.col("known")) & same_words, "left")
     same = ["row", "doc_id", "n_words", "template", "label", "exact", "t_words", "t_grams"]
-    diagonals = met.withColumn("diagonal", F.col("at") - F.col("place")).groupBy(*same, "diagonal").agg(F.count("at").alias("votes"), F.min("at").alias("start"), (F.max("at") + K).alias("end"))
+    diagonals = met.withColumn("diagonal", F.col("at") - F.col("place")).groupBy(*same, "diagonal").agg(F.collect_list("place").alias("places"), F.min("at").alias("start"), (F.max("at") + K).alias("end"))
     in_order = Window.partitionBy("row", "template").orderBy("diagonal")
-    diagonals = diagonals.withColumn("alone", F.col("exact") | (F.col("votes") / F.col("t_grams") >= cover))
+    diagonals = diagonals.withColumn("alone", F.col("exact") | (F.size("places") / F.col("t_grams") >= cover))
     apart = F.col("alone") | F.lag("alone").over(in_order) | (F.col("diagonal") - F.lag("diagonal").over(in_order) > near)
     merged = diagonals.withColumn("g", F.sum(F.coalesce(apart.cast("int"), F.lit(1))).over(in_order))
-    merged = merged.groupBy(*same, "g").agg(F.sum("votes").alias("votes"), F.min("start").alias("start"), F.max("end").alias("end"))
-    covered = F.least(F.lit(1.0), F.col("votes") / F.col("t_grams"))
+    merged = merged.groupBy(*same, "g").agg(F.size(F.array_distinct(F.flatten(F.collect_list("places")))).alias("votes"), F.min("start").alias("start"), F.max("end").alias("end"))
+    covered = F.col("votes") / F.col("t_grams")
     good = F.when(F.col("exact"), F.col("votes") == F.col("t_grams")).otherwise((covered >= cover) & (F.col("end") - F.col("start") <= F.ceil(F.col("t_words") * stretch)))
     span = F.when(good, F.struct("label", "start", "end", covered.alias("cover"), "exact"))
     found = merged.groupBy("row", "doc_id", "n_words").agg(F.collect_list(span).alias("s"))
@@ -115,16 +127,17 @@ def sql(cover: float = COVER, stretch: float = STRETCH, near: int = NEAR) -> str
 with known(template, label, exact, t_words, t_grams, place, w0, w1, w2) as (values {values}),
 words as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{WORD}') as w from documents),
 grams as (select doc_id, w, unnest(range(greatest(len(w) - {K} + 1, 0))) as pos from words),
-met as (select doc_id, template, label, exact, t_words, t_grams, pos, pos - place as diagonal
+met as (select doc_id, template, label, exact, t_words, t_grams, pos, place, pos - place as diagonal
         from grams join known on w[pos + 1] = w0 and w[pos + 2] = w1 and w[pos + 3] = w2),
 diagonals as (select doc_id, template, label, exact, t_words, t_grams, diagonal, count(*) as votes, min(pos) as s, max(pos) + {K} as e from met group by all),
 known_alone as (select *, exact or votes::double / t_grams >= {cover} as alone from diagonals),
 marked as (select *, case when alone or lag(diagonal) over o is null or lag(alone) over o or diagonal - lag(diagonal) over o > {near} then 1 else 0 end as apart
            from known_alone window o as (partition by doc_id, template order by diagonal)),
 grouped as (select *, sum(apart) over (partition by doc_id, template order by diagonal) as g from marked),
-merged as (select doc_id, template, label, exact, t_words, t_grams, g, sum(votes) as votes, min(s) as s, max(e) as e from grouped group by all),
-good as (select *, least(1.0::double, votes::double / t_grams) as cover from merged
-         where case when exact then votes = t_grams else least(1.0::double, votes::double / t_grams) >= {cover} and e - s <= ceil(t_words * {stretch}) end)
+merged as (select doc_id, template, label, exact, t_words, t_grams, g, count(distinct place) as votes, min(pos) as s, max(pos) + {K} as e
+           from met join grouped using (doc_id, template, label, exact, t_words, t_grams, diagonal) group by all),
+good as (select *, votes::double / t_grams as cover from merged
+         where case when exact then votes = t_grams else votes::double / t_grams >= {cover} and e - s <= ceil(t_words * {stretch}) end)
 select w.doc_id, len(w.w)::bigint as n_words, count(*) filter (exact)::bigint as n_base,
        (min(s) filter (exact))::bigint as first_word, (max(s) filter (exact))::bigint as last_word,
        coalesce(string_agg(distinct label, ',' order by label) filter (exact), '') as base_labels,

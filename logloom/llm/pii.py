@@ -8,8 +8,8 @@ that all of a group, however distant, share potentials, with as many edges as no
 observed. Loopy belief propagation gives each candidate a distribution over the kinds and "none"; sure ones
 are added.
 
-Node weights are a softmax regression on signs of form and context, edge potentials the log odds of label
-pairs. Both are learned from counts over all documents, under labels that the patterns alone don't give:
+Node weights are a softmax regression on signs of form and context, edge potentials logarithms of how often
+label pairs occur. A place whose digits fail the card's check can't be a card. Both are learned from counts over all documents, under labels that the patterns alone don't give:
 base spans teach once as they stand and once in each form that people use to hide or shorten them (the
 field never sees a pattern's own check), and a key is a secret where the words before it say so. All other
 candidates teach "none", among them those that really are personal data; the field is right as long as
@@ -50,6 +50,7 @@ CUES = {
 }
 SIGNS = 24
 NEIGHBOUR, REPEAT, ALIKE = range(3)
+NO_CARD = -2
 
 
 def luhn(digits: str) -> bool:
@@ -143,17 +144,23 @@ def hidden_forms(form: str, kind: int) -> list[str]:
     return []
 
 
+def never_card(form: str) -> bool:
+    """Whether a place can't be a card's number, as its check says."""
+    digits = "".join(c for c in form if c in "0123456789")
+    return not 14 <= len(digits) <= 19 or not luhn(digits)
+
+
 @dataclass
 class Graph:
     """Nodes and edges of one document. The last nodes stand for groups of others."""
 
-    nodes: list[tuple[int, int, int, int]]  # start, end, features, base kind or -1; of a group -1, -1, 0, -1
+    nodes: list[tuple[int, int, int, int]]  # start, end, features, base kind or -1 (NO_CARD: any but a card); of a group -1, -1, 0, -1
     edges: list[tuple[int, int, int]]  # node, neighbour or group, type
 
 
 def graph(text: str, base: list[tuple[int, int, int]]) -> Graph:
     places = sorted([(s, e, k) for s, k, e in base] + [(s, e, -1) for s, e in candidates(text, base)])
-    nodes = [(s, e, signs(text[s:e], text[max(0, s - 40) : s]), k) for s, e, k in places]
+    nodes = [(s, e, signs(text[s:e], text[max(0, s - 40) : s]), NO_CARD if k < 0 and never_card(text[s:e]) else k) for s, e, k in places]
     edges = [(i, i - 1, NEIGHBOUR) for i in range(1, len(nodes))]
     same: dict[str, list[int]] = {}
     for i, (s, e, _, _) in enumerate(nodes):
@@ -207,6 +214,7 @@ class Field:
         bits = np.array([n[2] for g in graphs for n in g.nodes], np.int64)
         known = np.array([n[3] for g in graphs for n in g.nodes], np.int64)
         potential = (bits[:, None] >> np.arange(SIGNS) & 1) @ self.node
+        potential[known == NO_CARD, KINDS.index("card")] = -50.0
         potential[known >= 0] = -50.0
         potential[known >= 0, known[known >= 0]] = 0.0
         edges = np.array([(a + f, b + f, t) for g, f in zip(graphs, first) for a, b, t in g.edges], np.int64).reshape(-1, 3)
@@ -275,7 +283,10 @@ def fit(docs: DataFrame, steps: int = 400, ridge: float = 1e-3, most: float = 3.
         for r in rows[rows.what == t].itertuples():
             c[r.a, r.b] += r.n / 2
             c[r.b, r.a] += r.n / 2
-        edge[t] = np.clip(np.log(c * c.sum() / np.outer(c.sum(axis=1), c.sum(axis=0))), -most, most) * (0.5 if t == NEIGHBOUR else 1.0)
+        r = c.sum(axis=1)
+        # of neighbours, how much likelier a pair is than its labels apart; of a group, which has no signs of its own and
+        # is known by its members alone, how far its label and a member's are of one kind, however frequent the kind is
+        edge[t] = np.clip(0.5 * np.log(c * c.sum() / np.outer(r, r)) if t == NEIGHBOUR else np.log(c / np.sqrt(np.outer(r, r))), -most, most)
     return Field(weights, edge)
 
 

@@ -12,6 +12,7 @@ import pytest
 from helpers import AWKWARD, documents, prose
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from logloom.llm import decontaminate, html, language, licenses, pii, toxicity
 
@@ -56,6 +57,43 @@ def test_licenses_of_whole_texts_and_repeats(spark):
     assert longest(got[2]) == len(whole.split()) and 0.9 * len(whole.split()) < longest(got[3]) <= len(whole.split()) + 3
 
 
+def test_repeated_fragments_are_no_notice(spark):
+    """A notice's place counts once however often the text has it; votes are of the notice's own words."""
+    rng = random.Random(6)
+    short = [(label, t.split()) for label, t in licenses.NOTICES if len(t.split()) < 20]
+    rows = [(1, "under cc by under cc by under cc by"), (2, "the gnu general the gnu general the gnu general public public license version"), (3, "licensed under cc by 4 0")]
+    for i in range(10, 120):
+        label, w = rng.choice(short)
+        a = rng.randrange(len(w) - 2)
+        rows.append((i, " ".join((w[a : a + rng.randint(3, 5)] + ["x"] * rng.randrange(3)) * rng.randint(2, 5) + w[: rng.randrange(len(w) + 1)])))
+    found = {r.doc_id: r for r in licenses.scan(documents(spark, rows)).collect()}
+    assert [found[i].labels for i in (1, 2, 3)] == ["", "", "cc-by"]
+    for i, text in rows:
+        words = text.split()
+        for at in found[i].spans:
+            span = words[at.start : at.end]
+            held = {tuple(span[k : k + 3]) for k in range(len(span) - 2)}
+            covers = [len({p for p in range(len(w) - 2) if tuple(w[p : p + 3]) in held}) / (len(w) - 2) for label, w in [(x, t.split()) for x, t in licenses.NOTICES + licenses.PHRASES] if label == at.label]
+            assert max(covers) >= at.cover >= 0.7 and at.cover <= 1, (text, at)
+
+
+def test_hashes_are_spark_s(spark):
+    rows = [("a", "bé", "c"), ("", "x" * 50, "zz zz")]
+    got = spark.createDataFrame(rows, "a string, b string, c string").select(F.xxhash64("a", "b", "c").alias("h")).collect()
+    assert [r.h for r in got] == [licenses.gram_hash(r) for r in rows]
+
+
+def test_languages_are_sampled_as_they_are_read(spark):
+    """Of large languages a share, by the texts; of small ones all; and no join or shuffle of the texts."""
+    rows = spark.createDataFrame([(f"text {i} {prose(i, 3)}", "large" if i % 10 else "small") for i in range(4000)] + [(f"rest {i}", "large") for i in range(2000)], "text string, lang string")
+    plan = language.sampled(rows, 800, 10_000)
+    counts = {r.lang: r.n for r in plan.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    assert counts["small"] == 400 and 650 < counts["large"] < 950
+    assert "Join" not in (text := plan._jdf.queryExecution().executedPlan().toString()) and "Exchange" not in text
+    few = {r.lang: r.n for r in language.sampled(rows, 800, 400).groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    assert 130 < few["small"] < 270 and 130 < few["large"] < 270
+
+
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
@@ -105,7 +143,7 @@ def test_pii(spark):
         assert [by[i][f"n_{k}"] for k in pii.KINDS[: pii.BASE]] == [sum(b[1] == n for b in base) for n in range(4)]
         assert set(filter(None, text.split(","))) <= set(by[i].spans.split(","))
     start = rows[80][1].index(broken)
-    assert f"card:{start}:{start + 16}" in by[200].spans  # not valid, but of the form and in the place of valid ones
+    assert f":{start}:{start + 16}" not in by[200].spans  # of the form and in the place of valid ones, but it can't be one
     assert by[201].spans == ""
     empty = documents(spark, [])
     assert pii.find(empty, pii.fit(empty)).count() == 0
@@ -138,6 +176,32 @@ def test_hidden_personal_data(spark):
     assert len(shown[3000]) == 2 and {x.split(":")[0] for x in shown[3000]} == {"secret"}
 
 
+def test_repeats_decide(spark):
+    """A bare number that repeats a phone announced elsewhere is found, by the edges alone; the same form that
+    repeats nothing, and long numbers that fail the card's check, are left alone."""
+    rnd = random.Random(31)
+    pick = lambda n: "".join(rnd.choice("0123456789") for _ in range(n))
+    rows, repeats = [], {}
+    for i in range(120):
+        number = f"2{pick(2)}555{pick(4)}"
+        text = f"{prose(i, 9)} phone +1 ({number[:3]}) {number[3:6]}-{number[6:]} {prose(i, 200)} "
+        rows.append((i, text + f"{number} {prose(i, 7)} {pick(10)} {prose(i, 5)} {pick(10)} {prose(i + 1, 6)} {pick(10)} {prose(i, 9)} {pick(16)} {prose(i, 3)}"))
+        repeats[i] = (len(text), len(text) + 10)
+    docs = documents(spark, rows)
+    field = pii.fit(docs)
+    alone = pii.Field(field.node, np.zeros_like(field.edge))
+    hits = {}
+    for name, f in (("edges", field), ("alone", alone)):
+        added = {(r.doc_id, x.start, x.end) for r in pii.find(docs, f).collect() for x in r.spans if not x.base}
+        right = {(i, *at) for i, at in repeats.items()}
+        hits[name] = (len(added & right), len(added - right))
+    assert hits["edges"][0] >= 0.95 * len(repeats) and hits["edges"][1] <= 2 and hits["alone"][0] <= 0.1 * len(repeats), hits
+    card = next(n for n in iter(lambda: pick(16), "") if not pii.luhn(n))
+    g = pii.graph(f"card {card} and {card}", [])
+    kinds = field.label([g])[0]
+    assert all(p[pii.KINDS.index("card")] < 1e-6 for p, n in zip(kinds, g.nodes) if n[0] >= 0)
+
+
 def exact_marginals(field, g):
     """By enumeration; right for graphs without loops, which message passing must equal."""
     n, k = len(g.nodes), pii.NONE + 1
