@@ -297,7 +297,8 @@ def ingest_transform(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def scratch(spark: SparkSession, name: str) -> str:
     """A new folder that all executors share; a temporary one only where Spark runs in one process."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
+    set_by = spark.sparkContext._jsc.sc().getCheckpointDir()
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir") or (set_by.get() if set_by.isDefined() else None)
     if shared is None:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
@@ -469,6 +470,53 @@ def settings_mget(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame([(d["_id"], d["_source"]["title"], len(d["_source"]["columns"])) for d in docs], "_id string, title string, n_columns int")
 
 
+#: A document that has fields of every type, made of a customer; each type keeps its own.
+CUSTOMER = """to_json(named_struct('title', c_name, 'description', c_mktsegment, 'hits', c_custkey % 7, 'version', 1, 'uuid', c_name, 'url', concat('/c/', c_custkey), 'accessCount', c_custkey % 11,
+    'buildNum', c_nationkey, 'defaultIndex', c_name, 'visState', c_mktsegment, 'timeFieldName', c_name, 'timeRestore', c_custkey % 2 = 0, 'timelion_rows', c_nationkey, 'columns', array(c_name, c_mktsegment),
+    'kibanaSavedObjectMeta', named_struct('searchSourceJSON', c_mktsegment), 'refreshInterval', named_struct('value', c_custkey % 5, 'pause', c_custkey % 3 = 0)))"""
+KINDS = ("config", "dashboard", "index-pattern", "search", "server", "timelion-sheet", "url", "visualization")
+
+
+@query("settings_types", """select type, count(*) as n, count(*) filter (type in ('dashboard', 'index-pattern', 'search', 'timelion-sheet', 'visualization')) as titles, count(*) filter (type in ('dashboard', 'search', 'timelion-sheet', 'visualization')) as sources,
+    sum(case when type in ('dashboard', 'search', 'timelion-sheet') then c_custkey % 7 end)::bigint as hits, sum(case when type = 'url' then c_custkey % 11 end)::bigint as accesses, sum(case when type = 'config' then c_nationkey end)::bigint as builds,
+    sum(case when type = 'dashboard' then c_custkey % 5 end)::bigint as refreshes, count(*) filter (type = 'dashboard' and c_custkey % 2 = 0) as restored, sum(case when type = 'timelion-sheet' then c_nationkey end)::bigint as sheet_rows,
+    count(*) filter (type = 'server') as uuids, count(*) filter (type = 'visualization') as states, count(*) filter (type = 'index-pattern') as time_fields, sum(case when type = 'search' then 2 end)::bigint as n_columns
+    from (select *, (['""" + "', '".join(KINDS) + """'])[c_custkey % 8 + 1] as type from customer) group by 1""")
+def settings_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A document of one of all types for each customer, stored at once; fields of other types are left out."""
+    store = Settings(spark, scratch(spark, "settings"))
+    kind = F.element_at(F.array(*map(F.lit, KINDS)), (F.col("c_custkey") % 8 + 1).cast("int"))
+    store.load(spark.read.parquet(f"{sf_dir}/customer.parquet").select(F.concat(F.lit("c"), F.col("c_custkey")).alias("_id"), kind.alias("type"), F.expr(CUSTOMER).alias("doc")))
+    count, total = (lambda c, n: F.count(c).alias(n)), (lambda c, n: F.sum(c).alias(n))
+    return store.read().groupBy("type").agg(
+        F.count("*").alias("n"), count("title", "titles"), count("searchSourceJSON", "sources"), total("hits", "hits"), total("accessCount", "accesses"), total("buildNum", "builds"), total("refreshInterval_value", "refreshes"),
+        F.count_if("timeRestore").alias("restored"), total("timelion_rows", "sheet_rows"), count("uuid", "uuids"), count("visState", "states"), count("timeFieldName", "time_fields"), F.sum(F.size("columns")).cast("long").alias("n_columns"),
+    )
+
+
+@query("hits_sort_values", "select event_id::varchar as _id, value as first, user_id::double as second from events where event_type = 'error' order by value desc, user_id, event_id limit 60")
+def hits_sort_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The values that a page's hits were sorted by, all of the first one's kind."""
+    body = {"size": 60, "sort": [{"value": {"order": "desc"}}, {"user_id": {"order": "asc"}}], "query": {"match_phrase": {"event_type": "error"}}}
+    page = engine(spark, sf_dir).search("logs_events", body)["hits"]["hits"]
+    return spark.createDataFrame([(h["_id"], *h["sort"]) for h in page], "_id string, first double, second double")
+
+
+@query("stream_rejected", "select event_type, count(*) filter (event_id % 5 <> 0) as stored, count(*) filter (event_id % 5 = 0) as rejected from events group by 1")
+def stream_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as JSON lines, a fifth of which end too early: these are set aside, the others stored."""
+    at = scratch(spark, "stream")
+    df, _ = events(spark, sf_dir)
+    line = F.to_json(F.struct("event_type", "event_id", "ts"))
+    df.select(F.when(F.col("event_id") % 5 == 0, F.regexp_replace(line, "..$", "")).otherwise(line).alias("value")).write.text(f"{at}/in")
+    lines = ingest.parse(spark.readStream.schema("value string").text(f"{at}/in"), df.select("event_type", "event_id", "ts").schema)
+    ingest.ingest(lines, Model.of(lines, id="event_id", timestamp="ts"), f"{at}/out", f"{at}/checkpoint").awaitTermination()
+    stored_ = ingest.read(spark, f"{at}/out", "rows").select("event_type", F.lit(1).alias("stored"), F.lit(0).alias("rejected"))
+    kind = F.regexp_extract("_rejected", '"event_type":"([^"]*)"', 1)
+    rejected = ingest.read(spark, f"{at}/out", "rejected").select(kind.alias("event_type"), F.lit(0).alias("stored"), F.lit(1).alias("rejected"))
+    return stored_.unionByName(rejected).groupBy("event_type").agg(F.sum("stored").alias("stored"), F.sum("rejected").alias("rejected"))
+
+
 @query("orders_by_week", "select epoch_us(o_orderdate) * 1000 // 604800000000000 * 604800000 as key, count(*) as doc_count, count(*) filter (o_orderstatus = 'F') as done from orders group by 1")
 def orders_by_week(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = spark.read.parquet(f"{sf_dir}/orders.parquet")

@@ -120,20 +120,21 @@ class Settings:
         """The current documents, one row each."""
         return current(self.log(), "_id")
 
-    def _change(self, made: Callable[[DataFrame, int], DataFrame]) -> int:
-        """Adds a change; made: its rows, of the current documents and the version that the change will be."""
+    def _change(self, made: Callable[[DataFrame, int], DataFrame], large: bool = False) -> int:
+        """Adds a change; made: its rows, of the current documents and the version that the change will be; large:
+        they are written by several tasks."""
         while True:
             version = max(self.versions(), default=0) + 1
             rows = made(current(self.log(version - 1), "_id"), version)
-            if self._add(rows, version, False):
+            if self._add(rows, version, False, large):
                 if version % self.every == 0:
                     self._snapshot()
                 return version
 
-    def _add(self, rows: DataFrame, version: int, snapshot: bool) -> bool:
+    def _add(self, rows: DataFrame, version: int, snapshot: bool, large: bool = False) -> bool:
         folder = f"{'snapshot' if snapshot else 'change'}-{version:012d}-{uuid.uuid4().hex}"
         rows = rows.select(*SCHEMA.names)
-        (rows if snapshot else rows.coalesce(1)).write.parquet(f"{self.path}/{folder}")
+        (rows if snapshot or large else rows.coalesce(1)).write.parquet(f"{self.path}/{folder}")
         if self.commits.add(f"{version:012d}", {"folder": folder, "snapshot": snapshot}):
             return True
         self._delete(folder)
@@ -167,6 +168,29 @@ class Settings:
 
         return {"_index": ".kibana", "_type": kind, "_id": id, "_version": self._change(made), "result": "updated"}
 
+    def load(self, rows: DataFrame, now_ns: int | None = None) -> int:
+        """Stores many documents (_id, type, doc as JSON) as one change, each in place of the one with its id. Of an
+        id that is given several times the document that sorts last is stored; those of no known type are left out."""
+        updated = F.timestamp_micros(F.lit((now_ns or time.time_ns()) // 1000))
+        rows = rows.where(F.col("type").isin(*FIELDS) & F.col("_id").isNotNull()).groupBy("_id").agg(F.max(F.struct("type", "doc")).alias("d")).select("_id", "d.*")
+        columns = []
+        for column in COLUMNS:
+            kind = _kind(column)
+            of = [F.when(F.col("type") == k, F.get_json_object("doc", "$." + path)) for k, fields in FIELDS.items() for path, c in fields.items() if c == column]
+            text = F.coalesce(*of)
+            if column in LISTS:
+                has = F.col("type").isin(*[k for k, fields in FIELDS.items() if column in fields.values()])
+                columns.append(F.coalesce(F.from_json(text, kind), F.when(has, F.array().cast(kind))).alias(column))
+            else:
+                columns.append((text if isinstance(kind, T.StringType) else text.try_cast(kind)).alias(column))
+        new = rows.select("_id", "type", updated.alias("updated_at"), F.lit(1).alias("sign"), *columns)
+
+        def made(docs: DataFrame, version: int) -> DataFrame:
+            old = docs.join(new.select("_id"), "_id", "left_semi").withColumn("sign", F.lit(-1)).select(*SCHEMA.names)
+            return old.unionByName(new.withColumn("seq", F.lit(version).cast("long")))
+
+        return self._change(made, large=True)
+
     def delete_by_query(self, body: dict) -> None:
         """Cancels the documents that the body's query selects."""
         if not body.get("query"):
