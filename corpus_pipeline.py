@@ -35,9 +35,8 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of documents that share five-word shingles at a similarity of 0.8, as their SimHash sketches
-    tell, the one with the smallest id; rows without an id come last, and rows that share an id are told apart
-    by their text. README has the recall by similarity."""
+    """Of each group of documents that share five-word shingles at a similarity of 0.8, the one with the smallest
+    id; rows without an id come last, and rows that share an id are told apart by their text."""
     return simhash.first_of_each(docs, words=5, similarity=0.8).select(*docs.columns)
 
 
@@ -67,7 +66,10 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rows of the last stage over the documents of sf_dir; each stage's rows are written and read again."""
-    docs = table(spark, sf_dir, "documents")
+    docs, last = table(spark, sf_dir, "documents"), None
     for _, stage in STAGES:
-        docs = Cut(stage(spark, docs, sf_dir)).df
+        made = Cut(stage(spark, docs, sf_dir))
+        if last is not None:
+            last.drop()
+        docs, last = made.df, made
     return docs

@@ -4,9 +4,9 @@ The builder turns markup into a tree the way browsers recover from it: it suppli
 paragraphs, list items, cells and options, ignores end tags that open nothing, and reads scripts, styles
 and other raw elements as data. The renderer walks the tree and emits all visible text: blocks on lines
 of their own with a blank line around paragraphs and headings, list items with their mark and depth,
-cells of a table in aligned columns, preformatted text as it stands. What is hidden by its tag, the
-hidden or aria-hidden attribute, an inline style or a rule of a style element is left out; what is made
-visible again within it is shown.
+cells of a table in aligned columns, with a row's last one of any number of lines, preformatted text as it stands. What is hidden by its tag, the
+hidden or aria-hidden attribute, an inline style, a rule of a style element or a closed <details> is left
+out; what is made visible again within it is shown.
 
 Time and memory grow with the page alone: open elements are found by their depth, list numbers and nesting
 are counted on the way.
@@ -56,17 +56,20 @@ WIDEST = 60  # a column is padded to so many characters; longer cells push the n
 DEEPEST = 80  # lines are indented so far at most
 # The largest spans that browsers take.
 COLUMNS, ROWS = 1000, 65534
+NESTED = 2  # tables that hold tables are aligned if these are nested no deeper, else shown cell by cell
 
 
 class Node:
-    """An element; `nested` says of a table that it holds another one."""
+    """An element; `nested` says of a table how deeply tables are nested in it, `rules` which rules that look at the
+    elements around it hold."""
 
-    __slots__ = ("tag", "attrs", "children", "nested", "known")
+    __slots__ = ("tag", "attrs", "children", "nested", "known", "rules")
 
     def __init__(self, tag: str, attrs: str = ""):
         self.tag, self.attrs = tag, attrs
         self.children: list[Node | str] = []
-        self.nested = False
+        self.nested = 0
+        self.rules: tuple = ()
         self.known: dict[str, str] | None = None
 
     def get(self, name: str) -> str | None:
@@ -130,8 +133,9 @@ def parse(markup: str) -> tuple[Node, list[str]]:
                     close(min(first))
         node = Node(tag, m[3])
         path[-1].children.append(node)
-        if tag == "table" and depths.get("table"):
-            path[depths["table"][-1]].nested = True
+        if tag == "table":
+            for deep, outer in enumerate(reversed(depths.get("table", [])[-NESTED - 1 :]), 1):
+                path[outer].nested = max(path[outer].nested, deep)
         if tag in RAW:
             ending = re.compile(rf"</{re.escape(tag)}[\s/>]", re.I).search(markup, pos)
             stop = ending.start() if ending else end
@@ -150,29 +154,67 @@ def parse(markup: str) -> tuple[Node, list[str]]:
 
 
 COMMENT = re.compile(r"/\*.*?(?:\*/|\Z)", re.S)
-AT_RULE = re.compile(r"@[^{};]*+(?:;|\{(?:[^{}]++|\{[^{}]*+\})*+\}|\Z)")
+AT_RULE = re.compile(r"@(media\b)?([^{};]*+)(?:;|\{((?:[^{}]++|\{[^{}]*+\})*+)\}|\Z)", re.I)
 RULE = re.compile(r"([^{}]+)\{([^{}]*)\}")
 COMPOUND = re.compile(r"(\*|[a-z][\w-]*)?((?:[.#][\w-]+)*)", re.I)
 SHOWN = re.compile(r"(?:^|;)\s*(display|visibility)\s*:\s*([a-z-]+)", re.I)
+ON_SCREEN = re.compile(r"\s*(?:only\s+)?(?:all|screen)\s*", re.I)
 
 
 class Styles:
-    """Which elements are shown. Of style sheets the rules for a tag, classes and an id count, by weight and
-    order; other selectors and what stands under a condition are not evaluated."""
+    """Which elements are shown. Of style sheets the rules for a tag, classes and an id count, also within others
+    (`.a p`), by weight and order, at any time or on all screens; other selectors and conditions are not evaluated."""
 
     def __init__(self, sheets: list[str]):
         self.rules: dict[str, list[tuple]] = {}  # by a class, id or tag that the element must have
+        self.within: list[tuple] = []  # rules for elements inside of others: those outside, from the outermost, and the rule
         order = 0
         for sheet in sheets:
-            for m in RULE.finditer(AT_RULE.sub("", COMMENT.sub("", sheet))):
+            flat = AT_RULE.sub(lambda m: m[3] or "" if m[1] and any(ON_SCREEN.fullmatch(x) for x in m[2].split(",")) else "", COMMENT.sub("", sheet))
+            for m in RULE.finditer(flat):
                 says = {k.lower(): v.lower() for k, v in SHOWN.findall(m[2])}
                 for selector in m[1].split(",") if says else ():
-                    if (c := COMPOUND.fullmatch(selector.strip())) and c[0]:
-                        names = re.findall(r"[.#][\w-]+", c[2])
-                        tag = (c[1] or "*").lower()
-                        order += 1
-                        weight = (sum(n[0] == "#" for n in names), len(names), tag != "*", order)
-                        self.rules.setdefault(names[0] if names else tag, []).append((weight, tag, frozenset(names), says))
+                    parts = [c for x in selector.split() if (c := COMPOUND.fullmatch(x)) and c[0]]
+                    if not parts or len(parts) < len(selector.split()):
+                        continue
+                    order += 1
+                    found = [((c[1] or "*").lower(), re.findall(r"[.#][\w-]+", c[2])) for c in parts]
+                    weight = (sum(n[0] == "#" for _, ns in found for n in ns), sum(len(ns) for _, ns in found), sum(t != "*" for t, _ in found), order)
+                    tag, names = found[-1]
+                    rule = (weight, tag, frozenset(names), says)
+                    if len(found) > 1:
+                        self.within.append(([(t, frozenset(ns)) for t, ns in found[:-1]], rule))
+                    else:
+                        self.rules.setdefault(names[0] if names else tag, []).append(rule)
+
+    @staticmethod
+    def names(node: Node) -> frozenset[str]:
+        return frozenset({"." + c for c in (node.get("class") or "").split()} | ({"#" + i} if (i := node.get("id")) else set()))
+
+    def mark(self, root: Node) -> None:
+        """Gives elements the rules that hold for them because of those around them, and takes away what a closed
+        <details> holds but its summary. One walk, on which each rule knows how many of its outer elements it has met."""
+        met = [0] * len(self.within)
+        todo: list[tuple] = [(root, None)]
+        while todo:
+            node, undo = todo.pop()
+            if undo is not None:
+                for k in undo:
+                    met[k] -= 1
+                continue
+            if node.tag == "details" and node.get("open") is None:
+                node.children = [c for c in node.children if isinstance(c, Node) and c.tag == "summary"][:1]
+            raised = []
+            if self.within:
+                names = self.names(node)
+                fits = lambda tag, wanted: tag in ("*", node.tag) and wanted <= names  # noqa: E731, B023
+                node.rules = tuple(rule for k, (outer, rule) in enumerate(self.within) if met[k] == len(outer) and fits(rule[1], rule[2]))
+                for k, (outer, _) in enumerate(self.within):
+                    if met[k] < len(outer) and fits(*outer[met[k]]):
+                        met[k] += 1
+                        raised.append(k)
+            todo.append((node, raised))
+            todo += [(c, None) for c in reversed(node.children) if isinstance(c, Node)]
 
     def of(self, node: Node) -> tuple[bool, bool | None]:
         """Whether an element is left out with all that it holds, and its own visibility, if it has one."""
@@ -180,14 +222,14 @@ class Styles:
         if tag in UNSEEN or tag == "dialog" and node.get("open") is None:
             return True, None
         plain = not node.attrs.strip(" /")
-        if plain and not self.rules:
+        if plain and not self.rules and not node.rules:
             return False, None
         says: dict[str, str] = {}
         if not plain and node.get("hidden") is not None:
             says["display"] = "none"
-        if self.rules:
-            names = {"." + c for c in (node.get("class") or "").split()} | ({"#" + i} if (i := node.get("id")) else set())
-            met = [r for key in (*names, tag, "*") for r in self.rules.get(key, ()) if r[1] in ("*", tag) and r[2] <= names]
+        if self.rules or node.rules:
+            names = self.names(node)
+            met = [r for key in (*names, tag, "*") for r in self.rules.get(key, ()) if r[1] in ("*", tag) and r[2] <= names] + list(node.rules)
             for rule in sorted(met, key=lambda r: r[0]):
                 says |= rule[3]
         if not plain:
@@ -279,7 +321,7 @@ class Renderer:
                 self.gap = 0 if i else self.gap
                 self.put(line.rstrip())
             self.end_line(1)
-        elif tag == "table" and not node.nested and (lines := aligned(node, self.styles, self.visible)) is not None:
+        elif tag == "table" and node.nested <= NESTED and (lines := aligned(node, self.styles, self.visible)) is not None:
             self.end_line(1)
             for line in lines:
                 self.put(line)
@@ -361,8 +403,9 @@ def plain(node: Node, styles: Styles, visible: bool) -> str:
 
 
 def cells_of(table: Node, styles: Styles, visible: bool) -> tuple[list[str], list[list[tuple[int, int, str]]]] | None:
-    """Captions and, by row, the cells (column, columns, text); None if one holds more than a line of blocks, or
-    text stands outside of cells."""
+    """What stands above the rows (captions, and text in no cell) and, by row, the cells (column, columns, text).
+    None if text in no cell stands between them, or a cell of several lines before another one that isn't empty:
+    text is to be read in the page's order."""
     captions: list[str] = []
     rows: list[list[tuple[int, int, str]]] = []
     open_cells: list[tuple[int, int, int]] = []  # those that reach into later rows: column, columns, rows left
@@ -371,7 +414,9 @@ def cells_of(table: Node, styles: Styles, visible: bool) -> tuple[list[str], lis
         x, seen = todo.pop()
         if isinstance(x, str):
             if x.strip() and seen:
-                return None
+                if rows:
+                    return None
+                captions.append(SPACE.sub(" ", x).strip())
             continue
         gone, own = styles.of(x)
         seen = seen if own is None else own
@@ -401,7 +446,7 @@ def cells_of(table: Node, styles: Styles, visible: bool) -> tuple[list[str], lis
                 cell = Renderer(styles, seen if own is None else own, cell=True)
                 cell.walk(c.children)
                 text = cell.text()
-                if "\n" in text:
+                if text and row and any("\n" in t for _, _, t in row):
                     return None
                 wide, high = c.number("colspan", COLUMNS) or 1, c.number("rowspan", ROWS)
                 row.append((column, wide, text))
@@ -426,26 +471,30 @@ def aligned(table: Node, styles: Styles, visible: bool) -> list[str] | None:
         for column, wide, text in row:
             if text:
                 width = widths.setdefault(column, [0, 0])
-                width[wide > 1] = max(width[wide > 1], min(len(text), WIDEST))
+                width[wide > 1] = max(width[wide > 1], min(max(map(len, text.split("\n"))), WIDEST))
     at, place = 0, {}
     for column in sorted(widths):
         place[column] = at
         at += (widths[column][0] or widths[column][1]) + 2
     out = [c for c in captions if c]
     for row in rows:
-        line = ""
-        for column, _, text in row:
+        line, text = "", ""
+        for column, _, text in [c for c in row if c[2]]:
             if text:
                 line = line.ljust(place[column]) if len(line) + 2 <= place[column] or not line else line + "  "
                 line += text
+        first, *more = line.split("\n")  # only a row's last text has several lines
         if line:
-            out.append(line)
+            out.append(first)
+            out += [" " * (len(first) - len(text.split("\n")[0])) + x if x else "" for x in more]
     return out
 
 
 def render(markup: str | None) -> str:
     root, sheets = parse(markup or "")
-    renderer = Renderer(Styles(sheets))
+    styles = Styles(sheets)
+    styles.mark(root)
+    renderer = Renderer(styles)
     renderer.walk(root.children)
     return renderer.text()
 

@@ -175,27 +175,26 @@ def sample_labels(labels: DataFrame, most: int = 40_000) -> DataFrame:
     return one.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample: int = 40_000, entries: int = 5000, least: int = 5, odds: float = 1.5, strength: float = 30.0, shortest: int = 4, threshold: float = 0.7, exceptions: tuple[str, ...] = EXCEPTIONS) -> Lexicon:
+def fit(docs: DataFrame, labels: DataFrame, sample: int = 40_000, least: int = 5, odds: float = 1.5, strength: float = 30.0, shortest: int = 4, threshold: float = 0.7, exceptions: tuple[str, ...] = EXCEPTIONS) -> Lexicon:
     """Learns from the texts of docs (doc_id, text) that labels (doc_id, label of 0 or 1) has.
 
     A bounded sample of `sample` labelled rows is used, so the ids are broadcast and texts not shuffled.
-    It gives the lexicon: at most `entries` beginnings, those with the highest likelihood
-    ratio among those seen `least` times in toxic texts, with log odds of `odds` and a ratio of
-    `strength` or more; whole words of lower odds under them come along as exceptions, and at most `entries`
-    pairs of a word of the lexicon and its neighbour that `least` places in clean texts hold, and clean texts
-    rather than toxic ones. The same sample fits the curve. Labels that are null or other, and rows without text, teach nothing; an id
+    It gives the lexicon, which it bounds too: all beginnings that are seen `least` times in toxic texts, with log
+    odds of `odds` and a likelihood ratio of `strength` or more; whole words of lower odds under them come along as
+    exceptions, and all pairs of a word of the lexicon and its neighbour that `least` places in clean texts hold,
+    and clean texts rather than toxic ones. The same sample fits the curve. Labels that are null or other, and rows without text, teach nothing; an id
     with both labels counts as 1, and an id with several texts teaches one of them, by its hash. With no rows: an empty lexicon, under which all texts score alike.
     """
     chosen = F.broadcast(sample_labels(labels, sample))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(chosen, "doc_id")
     one = F.min(F.struct(text_hash(F.col("text")).alias("h"), "text")).alias("one")  # an id may repeat, the sample must not grow
     taken = Cut(rows.groupBy("doc_id", "label").agg(one).select("doc_id", "label", "one.text"))
-    lexicon = _fit(taken.df, entries, least, odds, strength, shortest, threshold, exceptions)
+    lexicon = _fit(taken.df, least, odds, strength, shortest, threshold, exceptions)
     taken.drop()
     return lexicon
 
 
-def _fit(rows: DataFrame, entries: int, least: int, odds: float, strength: float, shortest: int, threshold: float, exceptions: tuple[str, ...]) -> Lexicon:
+def _fit(rows: DataFrame, least: int, odds: float, strength: float, shortest: int, threshold: float, exceptions: tuple[str, ...]) -> Lexicon:
     words = _word_counts(rows)
     parts = words.select("bad", "good", F.explode(F.concat(F.transform(F.sequence(F.lit(shortest), F.greatest(F.lit(shortest), F.least(F.length("word"), F.lit(LONGEST)))), lambda n: F.substring("word", F.lit(1), n)), F.array(F.concat(F.substring("word", 1, 4 * LONGEST), F.lit("|"))))).alias("part"))
     parts = parts.where(F.length("part") >= shortest).groupBy("part").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
@@ -208,14 +207,14 @@ def _fit(rows: DataFrame, entries: int, least: int, odds: float, strength: float
     term = lambda x, e: F.when(x > 0, x * F.log(x / e)).otherwise(0.0)
     ratio = 2 * (term(F.col("bad"), n * share) + term(F.col("good"), n * (1 - share)))
     scored = parts.where(f"bad >= {least}").select("part", log_odds.alias("w"), ratio.alias("g"))
-    found = {r.part: r.w for r in scored.where((F.col("w") >= odds) & (F.col("g") >= strength)).orderBy(F.desc("g"), "part").limit(entries).collect()}
+    found = {r.part: r.w for r in scored.where((F.col("w") >= odds) & (F.col("g") >= strength)).orderBy(F.desc("g"), "part").collect()}
     clean = parts.where("part like '%|' and good >= 20").select("part", log_odds.alias("w")).where(F.col("w") < odds)
     heads = rows.sparkSession.createDataFrame([(x,) for x in found if not x.endswith("|")] or [("",)], "head string")
     under = clean.withColumn("head", F.explode(F.transform(F.sequence(F.lit(shortest), F.greatest(F.lit(shortest), F.least(F.length("part") - 1, F.lit(LONGEST)))), lambda n: F.substring("part", F.lit(1), n))))
-    found |= {r.part: r.w for r in under.join(F.broadcast(heads), "head").select("part", "w").distinct().orderBy("w", "part").limit(entries).collect()}
+    found |= {r.part: r.w for r in under.join(F.broadcast(heads), "head").select("part", "w").distinct().orderBy("w", "part").collect()}
     lexicon = Lexicon(found, exceptions, shortest)
     pairs = _pairs(rows, lexicon).where(F.col("good") >= least).where((F.col("good") + 0.5) / good_all > (F.col("bad") + 0.5) / bad_all)
-    learned = [r.phrase for r in pairs.orderBy(F.desc("good"), "phrase").limit(entries).collect()]
+    learned = [r.phrase for r in pairs.orderBy(F.desc("good"), "phrase").collect()]
     lexicon = Lexicon(found, tuple(dict.fromkeys([*exceptions, *learned])), shortest)
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

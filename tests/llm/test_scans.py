@@ -535,6 +535,14 @@ PAGES = [
     ("<ol><li>a<li value=7>b<li hidden>no<li>c</ol>", "1. a\n7. b\n8. c"),
     ("<div><table><tr><td>a</div>b<td>c</table>", "ab  c"),
     ("<pre>a<div>b</div>c</pre>", "a\nb\nc"),
+    ("<style>.a .b{display:none} .a #c p{visibility:hidden} div i{display:none}</style><p class=b>yes</p><div class=a><p>x<span class=b>no</span><section id=c><p>no</p>y</section><i>no</i></div><i>z</i>", "yes\n\nx\n\ny\nz"),
+    ("<style>.a .b{display:none} .a .b.c{display:block}</style><div class=a><div class=b>no</div><div class='b c'>yes</div></div>", "yes"),
+    ("<style>@media screen{.c{display:none}} @media all, print {.d{display:none}} @media screen and (max-width:9px){.e{display:none}} @media print{.e{display:none}}</style><i class=c>no</i><i class=d>no</i><i class=e>yes</i>", "yes"),
+    ("<details>no<summary>S</summary><p>no</details><details open><summary>T</summary>yes</details>", "S\nT\nyes"),
+    ("<table>loose<tr><td>a<td>b<tr><td>ccc<td>d</table>", "loose\na    b\nccc  d"),
+    ("<table><tr><td>key<td><p>one<p>two<tr><td>k<td>three<tr><td><p>x<p>y<td></table>", "key  one\n\n     two\nk    three\nx\n\ny"),
+    ("<table><tr><td><p>a<p>b<td>c</table>", "a\n\nb\n\nc"),
+    ("<table><tr><td>a<td><table><tr><td>b<td>c<tr><td>ddd<td>e</table><tr><td>ff<td>g</table>", "a   b    c\n    ddd  e\nff  g"),
 ]
 
 
