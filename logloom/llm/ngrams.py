@@ -1,7 +1,8 @@
 """Frequent n-grams by hashed buckets and Apriori (PCY/DHP), a pass over the texts for each length.
 
 Each pass counts the n-grams of one length exactly and, meanwhile, adds the n-grams one longer to a table of
-buckets, saturated at the least frequency that is asked for. A bucket below it holds no frequent n-gram, and
+buckets, saturated at the least frequency that is asked for or, where that is a share of all words, which only
+the first pass tells, at what its buckets can hold. A bucket below it holds no frequent n-gram, and
 an n-gram is frequent only if both n-grams one shorter in it are. Both facts go to the next pass as bitmaps
 of a fixed size, whatever the corpus: they say which n-grams need not be counted, and never drop a frequent
 one. What is left is counted by the n-grams themselves, not by their hashes.
@@ -20,9 +21,10 @@ from pyspark.sql import functions as F
 
 from .common import Cut
 
-CHUNK = 6_000_000  # bytes of text that are looked at together
-HELD = 400_000  # n-grams whose counts a task holds before it hands them on
+CHUNK = 2_000_000  # bytes of text that are looked at together
+HELD = 150_000  # n-grams whose counts a task holds before it hands them on
 BLOCK = 1 << 18  # buckets of a row
+FULL = 65_535  # what buckets are counted up to while the least frequency isn't known
 END = b"\n"  # stands for a text's end; no word can be it
 
 #: Splits a text into words, and says where each piece begins that n-grams stay within.
@@ -146,17 +148,23 @@ def bitmap_of(hashes: DataFrame, bits: int) -> Bitmap:
     return Bitmap(bits, data)
 
 
-def _merged(parts: DataFrame, least: int, bits: int) -> Bitmap:
-    """Buckets that reach `least` in all tasks together; parts: block, buckets (compressed)."""
+def _kind(limit: int) -> type:
+    """The numbers that buckets are counted in up to a limit."""
+    return np.uint8 if limit <= 255 else np.uint16 if limit <= 65_535 else np.uint32
+
+
+def _merged(parts: DataFrame, least: int, limit: int, bits: int) -> Bitmap:
+    """Buckets that reach `least` in all tasks together, or `limit` in one; parts: block, buckets (compressed)."""
+    enough = min(least, limit)
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
         for b in batches:
             for k, data in zip(b.column(0).to_pylist(), b.column(1)):
-                new = np.frombuffer(zstandard.decompress(data.as_py()), np.uint8)
-                sums[k] = np.minimum(sums[k].astype(np.uint16) + new, least).astype(np.uint8) if k in sums else new
+                new = np.minimum(np.frombuffer(zstandard.decompress(data.as_py()), _kind(limit)), enough)
+                sums[k] = np.minimum(sums[k] + new.astype(np.uint64), enough).astype(_kind(enough)) if k in sums else new.astype(_kind(enough))
         if sums:
-            full = [np.packbits(s >= least, bitorder="little").tobytes() for s in sums.values()]
+            full = [np.packbits(s >= enough, bitorder="little").tobytes() for s in sums.values()]
             yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array(full, pa.binary())], ["block", "bits"])
 
     data = bytearray(1 << bits - 3)
@@ -166,11 +174,11 @@ def _merged(parts: DataFrame, least: int, bits: int) -> Bitmap:
     return Bitmap(bits, data)
 
 
-def one_pass(docs: DataFrame, split: Split, n: int, least: int, bits: int, shorter: Bitmap | None, buckets: Bitmap | None, longer: bool) -> tuple[DataFrame, Bitmap | None, Cut]:
-    """group, phrase, count of n-grams, the buckets of those one longer, and the table to be dropped.
+def one_pass(docs: DataFrame, split: Split, n: int, limit: int, bits: int, shorter: Bitmap | None, buckets: Bitmap | None, longer: bool) -> Cut:
+    """Two kinds of rows: group, phrase, count of n-grams in a task, and block, buckets of those one longer.
 
     docs: group, text. shorter: the frequent n-grams one shorter; buckets: those of this length. At length 1
-    all words are counted, beyond it those n-grams that may be frequent; a count is exact if it is `least` or more.
+    all words are counted, beyond it those n-grams that may be frequent. limit: what buckets are counted up to.
     """
     sc = docs.sparkSession.sparkContext
     shared = sc.broadcast((shorter, buckets))
@@ -179,7 +187,7 @@ def one_pass(docs: DataFrame, split: Split, n: int, least: int, bits: int, short
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shorter, buckets = shared.value
         counts: dict[tuple[str, bytes], int] = {}
-        table = np.zeros(size, np.uint8) if longer else None
+        table = np.zeros(size, _kind(limit)) if longer else None
 
         def rows(blocks: list[int], packed: list[bytes]) -> pa.RecordBatch:
             k = len(counts)
@@ -197,7 +205,7 @@ def one_pass(docs: DataFrame, split: Split, n: int, least: int, bits: int, short
             if longer and len(may) > 1:
                 both = may[:-1] & may[1:] & chunk.whole(n + 1)
                 at, c = np.unique(chunk.hashes(n + 1)[both] >> np.uint64(64 - bits), return_counts=True)
-                table[at] = np.minimum(table[at] + np.minimum(c, least), least)
+                table[at] = np.minimum(table[at] + c.astype(np.uint64), limit)
             if len(counts) >= HELD:
                 yield rows([], [])
                 counts = {}
@@ -207,10 +215,7 @@ def one_pass(docs: DataFrame, split: Split, n: int, least: int, bits: int, short
             yield rows(some, [zstandard.compress(table[k * block : (k + 1) * block].tobytes(), 1) for k in some])
             counts = {}
 
-    made = Cut(docs.select(F.col("group"), F.col("text").cast("string")).mapInArrow(each, "group string, phrase string, count long, block int, buckets binary"))
-    counted = made.df.where("phrase is not null").groupBy("group", "phrase").agg(F.sum("count").alias("count"))
-    full = _merged(made.df.where("block is not null").select("block", "buckets"), least, bits) if longer else None
-    return (counted if n == 1 else counted.where(F.col("count") >= least)), full, made
+    return Cut(docs.select(F.col("group"), F.col("text").cast("string")).mapInArrow(each, "group string, phrase string, count long, block int, buckets binary"))
 
 
 def with_hashes(phrases: DataFrame) -> DataFrame:
@@ -225,21 +230,25 @@ def with_hashes(phrases: DataFrame) -> DataFrame:
     return phrases.mapInArrow(each, f"{kinds}, h long")
 
 
-def frequent(docs: DataFrame, split: Split, longest: int, least: int, bits: int = 24) -> list[Cut]:
+def frequent(docs: DataFrame, split: Split, longest: int, least: int | Callable[[int], int], bits: int = 24) -> list[Cut]:
     """For each length from 1 to `longest` the table group, phrase, count: of words all of them, of longer n-grams
     those that occur `least` times or more. docs: group, text. The caller drops the tables.
 
-    bits: 2 ** bits buckets, of a byte each in a task and of a bit each in what is sent to the tasks. More of them
-    rule out more n-grams; results are the same for any number.
+    least: a number, or what makes one of the number of all words. bits: 2 ** bits buckets, each of a few bytes in a
+    task and of a bit in what is sent to the tasks. More of them rule out more n-grams; results are the same for
+    any number.
     """
-    if not 1 <= least <= 255:
-        raise ValueError("buckets are counted up to 255")
     tables: list[Cut] = []
     shorter = buckets = None
     for n in range(1, longest + 1):
-        counted, following, made = one_pass(docs, split, n, least, bits, shorter, buckets, n < longest)
-        tables.append(Cut(counted))
-        made.drop()
+        limit = FULL if callable(least) else least
+        made = one_pass(docs, split, n, limit, bits, shorter, buckets, n < longest)
+        counted = made.df.where("phrase is not null").groupBy("group", "phrase").agg(F.sum("count").alias("count"))
+        tables.append(Cut(counted if n == 1 else counted.where(F.col("count") >= least)))
+        if callable(least):
+            least = least(tables[0].df.agg(F.coalesce(F.sum("count"), F.lit(0))).first()[0])
         if n < longest:
-            shorter, buckets = bitmap_of(with_hashes(tables[-1].df.where(F.col("count") >= least).select("group", "phrase")), bits), following
+            buckets = _merged(made.df.where("block is not null").select("block", "buckets"), least, limit, bits)
+            shorter = bitmap_of(with_hashes(tables[-1].df.where(F.col("count") >= least).select("group", "phrase")), bits)
+        made.drop()
     return tables

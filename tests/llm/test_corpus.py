@@ -73,11 +73,15 @@ def test_counts_past_64_bits(spark):
     assert score == 2_000_000 * a // (2 * a + 7)
 
 
-def test_buckets_of_tasks_add_up(spark):
-    """An n-gram that is frequent only in all tasks together is found, and buckets do not overflow."""
-    rows = spark.createDataFrame([("g", "a b c")] * 300, "group string, text string").repartition(7)
+def test_buckets_of_tasks_add_up(spark, monkeypatch):
+    """An n-gram that is frequent only in all tasks together is found, whatever buckets are counted up to."""
+    rows = spark.createDataFrame([("g", "a b c")] * 300 + [("g", f"a b d{i}") for i in range(9)], "group string, text string").repartition(7)
     split = lambda t: (t.split(), None)
-    tables = ngrams.frequent(rows, split, 3, 255, bits=16)
+    for full, least in ((65_535, 255), (65_535, 300), (65_535, lambda n: n // 4), (20, lambda n: 300)):
+        monkeypatch.setattr(ngrams, "FULL", full)
+        tables = ngrams.frequent(rows, split, 3, least, bits=16)
+        assert [{(r.phrase, r["count"]) for r in t.df.collect()} for t in tables[1:]] == [{("a b", 309), ("b c", 300)}, {("a b c", 300)}]
+    tables = ngrams.frequent(rows.where("text = 'a b c'"), split, 3, 255, bits=16)
     assert [{(r.phrase, r["count"]) for r in t.df.collect()} for t in tables] == [{("a", 300), ("b", 300), ("c", 300)}, {("a b", 300), ("b c", 300)}, {("a b c", 300)}]
 
 
@@ -203,7 +207,7 @@ def test_scores_against_a_plain_tree(spark, monkeypatch, depth, share):
     monkeypatch.setattr(suffix_tree, "KNOWN_BITS", 16)
     train = [(k, language(k, 80)) for k in range(60)] + [(70, None), (71, ""), (72, "NEW York")]
     asked = [(100, language(100, 90)), (101, "york minster new york minster unseen words"), (101, "new"), *AWKWARD]
-    tree = suffix_tree.fit(documents(spark, train).repartition(4), depth=depth, least=4, least_context=20, bits=16)
+    tree = suffix_tree.fit(documents(spark, train).repartition(4), depth=depth, fewest=4, context=5, bits=16)
     plain = PlainTree([t for _, t in train], depth, 4, 20, 0.5)
     assert {tuple(r.context.split(" ")) for s in tree.states for r in s.df.collect()} == plain.states and max(map(len, plain.states)) == depth
     rows = train + asked
