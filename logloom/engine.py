@@ -50,6 +50,9 @@ def sort_values(values: list) -> list:
         return values
 
 
+MOST_WANTED = 1 << 17  # rows beyond which a page isn't sought among the newest ones any more
+
+
 class TooManyBuckets(ValueError):
     pass
 
@@ -97,9 +100,8 @@ class Engine:
         rollup = self.catalog.rollup(index)
         if rollup is not None and model.timestamp and request.sort[:1] == [(model.timestamp.name, True)]:
             high = self.plan(index).conditions(request.query)[2][1]
-            days = hits.newest_days(rollup, high)
             want = 2 * request.size
-            while (since := hits.newest_bound(rollup, days, high, want)) is not None:
+            while want <= MOST_WANTED and (since := hits.newest_bound(rollup, high, want)) is not None:
                 rows = self.hits(index, body, since).select("*", *extra).collect()
                 if len(rows) == request.size:
                     return rows

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import datetime
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,24 +17,14 @@ def top(df: DataFrame, model: Model, sort: list[tuple[str, bool]], size: int) ->
     return (df.orderBy(*keys) if keys else df).limit(size)
 
 
-def _until(rollup: DataFrame, high: int | None) -> DataFrame:
-    return rollup if high is None else rollup.where((F.col("key") <= high // ROLLUP_NS) & (F.col("day") <= F.lit(day_at(high))))
-
-
-def newest_days(rollup: DataFrame, high: int | None) -> list[tuple[datetime.date, int]]:
-    """The days up to a time and their rows, newest first."""
-    found = _until(rollup, high).groupBy("day").agg(F.sum("count").alias("n")).collect()
-    return sorted(((r.day, r.n) for r in found), reverse=True)
-
-
-def newest_bound(rollup: DataFrame, days: list[tuple[datetime.date, int]], high: int | None, want: int) -> int | None:
-    """The start, in nanoseconds, of the newest five-minute buckets that hold so many rows; None if all are fewer."""
+def newest_bound(rollup: DataFrame, high: int | None, want: int) -> int | None:
+    """The start, in nanoseconds, of the newest five-minute buckets up to a time that hold so many rows; None if all
+    are fewer. As each bucket has a row, no more than `want` of them are looked at."""
+    if high is not None:
+        rollup = rollup.where((F.col("key") <= high // ROLLUP_NS) & (F.col("day") <= F.lit(day_at(high))))
     seen = 0
-    for day, n in days:
-        if seen + n >= want:
-            for r in sorted(_until(rollup, high).where(F.col("day") == F.lit(day)).collect(), key=lambda r: r.key, reverse=True):
-                seen += r["count"]
-                if seen >= want:
-                    return r.key * ROLLUP_NS
-        seen += n
+    for r in rollup.orderBy(F.col("key").desc()).limit(want).collect():
+        seen += r["count"]
+        if seen >= want:
+            return r.key * ROLLUP_NS
     return None
