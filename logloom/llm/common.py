@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -33,13 +34,23 @@ def shared_dir(spark: SparkSession) -> str:
     return at.get().rstrip("/")
 
 
+ROWS_PER_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 class Cut:
-    """A DataFrame written to the shared folder: its lineage ends there."""
+    """A DataFrame written to the shared folder: its lineage ends there. batch: rows that are handed to Python at
+    once while it is written, where they hold whole texts; the buffers of each batch stay with the executor."""
 
-    def __init__(self, df: DataFrame):
+    def __init__(self, df: DataFrame, batch: int | None = None):
         self.spark = df.sparkSession
         self.path = f"{shared_dir(self.spark)}/cut-{uuid.uuid4().hex}"
-        df.write.parquet(self.path)
+        before = self.spark.conf.get(ROWS_PER_BATCH)
+        try:
+            if batch:
+                self.spark.conf.set(ROWS_PER_BATCH, str(batch))
+            df.write.parquet(self.path)
+        finally:
+            self.spark.conf.set(ROWS_PER_BATCH, before)
         self.df = self.spark.read.schema(df.schema).parquet(self.path)
 
     def drop(self) -> None:
@@ -52,6 +63,23 @@ def cut(df: DataFrame) -> DataFrame:
     return Cut(df).df
 
 
+def released(spark: SparkSession) -> None:
+    """Lets Spark delete the shuffle files of DataFrames that nothing refers to any more, rather than some time later."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
+def with_flag(df: DataFrame, key: Column, keys: DataFrame, name: str, bits: int) -> DataFrame:
+    """df with a truth value that is true wherever the key, a hash, is one of `keys`, and rarely elsewhere: by a bitmap
+    of 2 ** bits bits that is broadcast in rows of 4 KB, so no row of df moves."""
+    at = lambda h: F.shiftrightunsigned(h, 64 - bits)
+    column = F.col(keys.columns[0])
+    held = keys.groupBy(F.shiftright(at(column), 15).alias("_flag_block")).agg(F.bitmap_construct_agg(at(column).bitwiseAND(F.lit(32767))).alias("_flag_bits"))
+    out = df.withColumn("_flag_at", at(key)).withColumn("_flag_block", F.shiftright("_flag_at", 15)).join(F.broadcast(held), "_flag_block", "left")
+    bit = F.expr("shiftright(cast(conv(hex(substring(_flag_bits, cast((_flag_at & 32767) div 8 + 1 as int), 1)), 16, 10) as int), cast(_flag_at & 7 as int)) & 1 = 1")
+    return out.withColumn(name, F.coalesce(bit, F.lit(False))).drop("_flag_at", "_flag_block", "_flag_bits")
+
+
 def ascii_lower(text: Column) -> Column:
     """Lower-cases A-Z alone; null becomes the empty text."""
     return F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER)

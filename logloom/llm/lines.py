@@ -24,13 +24,13 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Cut, by_run, runs, text_hash
+from .common import Cut, by_run, released, runs, text_hash, with_flag
 from .components import components
 
 SEGMENT_CHARS = 4  # the edit join takes lines with so many characters a segment; shorter ones are compared whole
 PAIRS_UP_TO = 48
 TILE, TILE_CHARS = 512, 4_000_000
-BROADCAST = 64 << 20  # bytes of line numbers up to which they are sent to the texts rather than shuffled with them
+CHANGED_BITS = 27  # of the bitmap that says which texts may lose a line: 16 MB
 
 
 def within(a: str, b: str, k: int) -> bool:
@@ -283,7 +283,7 @@ def removals(docs: DataFrame, edits: int = 2, least_chars: int = 1) -> Cut:
     again = Cut(lone.unionByName(linked.drop("first").join(firsts, "component").select("h", "first")))
     table.drop()
     found.drop()
-    repeats = split_lines(docs, least_chars).select("h", "place", "row", "text_hash", "line_no").join(again.df, "h").where("place <> first")
+    repeats = split_lines(docs, least_chars).select("h", "place", "row", "text_hash", "line_no").join(again.df.hint("merge"), "h").where("place <> first")
     gone = Cut(repeats.groupBy("row", "text_hash").agg(F.array_sort(F.collect_set("line_no")).alias("gone")))
     again.drop()
     return gone
@@ -301,12 +301,14 @@ def dedup(docs: DataFrame, edits: int = 2, least_chars: int = 1) -> DataFrame:
     lines. Columns of docs named as the three new ones are replaced.
     """
     docs = docs.drop("n_lines", "n_removed", "gone")
-    gone = removals(docs, edits, least_chars).df.withColumnsRenamed({"row": "_row", "text_hash": "_hash"})
-    n, numbers = gone.agg(F.count("*"), F.coalesce(F.sum(F.size("gone")), F.lit(0))).first()
-    if 64 * n + 8 * numbers <= BROADCAST:
-        gone = F.broadcast(gone)
+    gone = removals(docs, edits, least_chars).df.withColumnsRenamed({"row": "_gone_row", "text_hash": "_gone_hash"})
+    released(docs.sparkSession)
     at = F.expr(ROW.replace("text_hash", "xxhash64(coalesce(cast(text as string), ''))")).cast("decimal(28,0)")
-    rows = docs.join(gone, (at == gone._row) & (text_hash(docs.text) == gone._hash), "left").drop(gone._row, gone._hash)
+    # texts that lose nothing stay where they are: a bitmap of a fixed size tells most of them at any size of docs
+    marked = with_flag(docs, text_hash(docs.text), gone.select("_gone_hash"), "_may_change", CHANGED_BITS)
+    # shuffled at any size: what is broadcast while it is small would not be later
+    rows = marked.where("_may_change").join(gone.hint("merge"), (at == gone._gone_row) & (text_hash(docs.text) == gone._gone_hash), "left").drop("_gone_row", "_gone_hash", "_may_change")
+    rows = rows.unionByName(marked.where("not _may_change").drop("_may_change").withColumn("gone", F.lit(None).cast("array<int>")))
     lines = F.split(F.col("text").cast("string"), "\n")
     kept = F.filter(lines, lambda x, i: ~F.coalesce(F.array_contains(F.col("gone"), i), F.lit(False)))
     text = F.when(F.col("gone").isNull(), F.col("text").cast("string")).otherwise(F.array_join(kept, "\n"))
