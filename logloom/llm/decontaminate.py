@@ -396,7 +396,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least: float = 0.6, sure
     about 2048 whose rows are written one after another. Repeated rows give one row; documents with a
     null id are reported as null.
     """
-    words = Cut(hashed(docs))
+    words = Cut(hashed(docs), batch=1000)
     space = words.df.sparkSession.sparkContext.broadcast(fit(words.df))
     items = benchmark.where("text is not null and item_id is not null").select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
     blocks = -(-items.count() // ITEMS) or 1

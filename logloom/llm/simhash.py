@@ -33,6 +33,7 @@ SEED = 42
 BITS = 64
 PAIRS_UP_TO = 64  # buckets of at most so many fingerprints are joined as pairs, larger ones in tiles
 TILE = 2048
+TEXTS = 1000  # that are handed to Python at once
 WANTED_BITS = 27  # of the bitmap that says which texts' shingles are needed: 16 MB
 
 
@@ -275,7 +276,7 @@ def _verified(docs: DataFrame, links: DataFrame, distinct: DataFrame, words: int
     """The links (u, v) between texts whose shingle sets are as similar, and the tables to be dropped."""
     texts = distinct.select("rep", "text_hash")
     ends = Cut(links.join(texts.withColumnsRenamed({"rep": "u", "text_hash": "hu"}), "u").join(texts.withColumnsRenamed({"rep": "v", "text_hash": "hv"}), "v"))
-    sets = Cut(_sets(docs, ends.df.select(F.explode(F.array("hu", "hv")).alias("text_hash")).distinct(), words))
+    sets = Cut(_sets(docs, ends.df.select(F.explode(F.array("hu", "hv")).alias("text_hash")).distinct(), words), batch=TEXTS)
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -298,7 +299,7 @@ def first_of_each(docs: DataFrame, words: int = 5, similarity: float = 0.8, marg
     error or more. In each bucket the nearest candidates that join all of them are verified by the shingles.
     """
     keys = SOUGHT + CHECKED
-    prints = Cut(_hashed(docs, keys, lambda t: sketches(t, words)))
+    prints = Cut(_hashed(docs, keys, lambda t: sketches(t, words)), batch=TEXTS)
     distinct = _numbered(prints.df, keys)
     links, sizes = near_links(distinct.df, SOUGHT, radius, CHECKED, differing(similarity - margin), 0, apart=True)
     candidates = Cut(links)
