@@ -53,7 +53,7 @@ def mine(docs: DataFrame, longest: int = 4, least: int = 30, covered: int = 80,
     """
     rows = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit(UNDETERMINED)).alias("group"), "text")
     tables = ngrams.frequent(rows, split, longest, least, bits)
-    sizes = tables[0].df.groupBy(F.col("group").alias("lang")).agg(F.sum("count").alias("n"))
+    sizes = Cut(tables[0].df.groupBy(F.col("group").alias("lang")).agg(F.sum("count").alias("n")))
     levels = [t.df.where(F.col("count") >= least).select(F.col("group").alias("lang"), "phrase", F.col("count").alias("a")) for t in tables]
     counts = reduce(DataFrame.unionByName, levels)
     found = reduce(DataFrame.unionByName, [t.withColumn("words", F.lit(k + 1)) for k, t in enumerate(levels) if k])
@@ -71,8 +71,9 @@ def mine(docs: DataFrame, longest: int = 4, least: int = 30, covered: int = 80,
     cuts = cuts.join(part("first", "l"), ["lang", "first"]).join(part("rest", "r"), ["lang", "rest"])
     lowest = cuts.withColumn("score", score()).groupBy("lang", "phrase", "a").agg(F.min(F.struct("score", "k", "l", "r")).alias("cut"))
     scored = Cut(lowest.select("lang", "phrase", "a", "cut.score", "cut.l", "cut.r"))
-    first = _best(scored.df, top)
-    return first.join(F.broadcast(sizes), "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+    for done in tables:
+        done.drop()
+    return _best(scored.df, top).join(sizes.df, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
 
 
 def sql(longest: int = 4, least: int = 30, covered: int = 80, top: int = 2000) -> str:
