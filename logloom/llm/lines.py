@@ -283,7 +283,7 @@ def removals(docs: DataFrame, edits: int = 2, least_chars: int = 1) -> Cut:
     again = Cut(lone.unionByName(linked.drop("first").join(firsts, "component").select("h", "first")))
     table.drop()
     found.drop()
-    repeats = split_lines(docs, least_chars).select("h", "place", "row", "text_hash", "line_no").join(again.df.hint("merge"), "h").where("place <> first")
+    repeats = split_lines(docs, least_chars).select("h", "place", "row", "text_hash", "line_no").join(again.df, "h").where("place <> first")
     gone = Cut(repeats.groupBy("row", "text_hash").agg(F.array_sort(F.collect_set("line_no")).alias("gone")))
     again.drop()
     return gone
@@ -306,8 +306,7 @@ def dedup(docs: DataFrame, edits: int = 2, least_chars: int = 1) -> DataFrame:
     at = F.expr(ROW.replace("text_hash", "xxhash64(coalesce(cast(text as string), ''))")).cast("decimal(28,0)")
     # texts that lose nothing stay where they are: a bitmap of a fixed size tells most of them at any size of docs
     marked = with_flag(docs, text_hash(docs.text), gone.select("_gone_hash"), "_may_change", CHANGED_BITS)
-    # shuffled at any size: what is broadcast while it is small would not be later
-    rows = marked.where("_may_change").join(gone.hint("merge"), (at == gone._gone_row) & (text_hash(docs.text) == gone._gone_hash), "left").drop("_gone_row", "_gone_hash", "_may_change")
+    rows = marked.where("_may_change").join(gone, (at == gone._gone_row) & (text_hash(docs.text) == gone._gone_hash), "left").drop("_gone_row", "_gone_hash", "_may_change")
     rows = rows.unionByName(marked.where("not _may_change").drop("_may_change").withColumn("gone", F.lit(None).cast("array<int>")))
     lines = F.split(F.col("text").cast("string"), "\n")
     kept = F.filter(lines, lambda x, i: ~F.coalesce(F.array_contains(F.col("gone"), i), F.lit(False)))
