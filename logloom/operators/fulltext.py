@@ -42,9 +42,35 @@ def build_lists(postings: DataFrame) -> DataFrame:
     return rows.agg(F.array_sort(F.collect_set("ts")).alias("times"))
 
 
+def lists_of_rows(df: DataFrame, model: Model) -> DataFrame:
+    """The lists of all rows' words, and `rows`: how many rows hold the word at each of the times. Rows are brought
+    together by span before they are split, so texts move once and their words, several times as large, do not."""
+    if not model.full_text or model.timestamp is None:
+        raise ValueError("the model has no full-text column or no timestamp")
+    ts = nanoseconds(model.timestamp)
+    texts = {f.name: f"_text_{i}" for i, f in enumerate(model.full_text)}
+    rows = df.select(ts.alias("ts"), span_of(ts).alias("span"), *[F.col(c).cast("string").alias(t) for c, t in texts.items()])
+    held = [_beside("column", F.lit(c), "word", tokens(F.col(t))) for c, t in texts.items()]
+    return _lists(rows.where("ts is not null").repartitionByRange("span").select("span", "ts", F.inline(F.concat(*held))), F.count("*"))
+
+
 def merge_lists(lists: DataFrame) -> DataFrame:
     """The lists that several batches have of a word and a span as one."""
-    return lists.groupBy("day", "span", "column", "word", "word_hash").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("times")))).alias("times"))
+    return _lists(_each_time(lists.repartitionByRange("span")), F.sum("n"))
+
+
+def _lists(words: DataFrame, rows: Column) -> DataFrame:
+    """Lists of words at times (span, ts, column, word); rows: the aggregate that counts a time's rows."""
+    counts = words.groupBy("span", "column", "word", "ts").agg(rows.alias("n"))
+    lists = counts.groupBy("span", "column", "word").agg(F.array_sort(F.collect_list(F.struct("ts", "n"))).alias("at"))
+    day, word_hash = day_of(F.col("span") * SPAN_NS).alias("day"), F.xxhash64("word").alias("word_hash")
+    return lists.select(day, "span", "column", "word", word_hash, F.col("at.ts").alias("times"), F.col("at.n").alias("rows"))
+
+
+def _each_time(lists: DataFrame) -> DataFrame:
+    """Lists' words time by time, each with its number of rows (n), which is 1 in lists that don't tell."""
+    at = F.arrays_zip("times", "rows") if "rows" in lists.columns else F.transform("times", lambda t: F.struct(t.alias("times"), F.lit(1).cast("long").alias("rows")))
+    return lists.select("day", "span", "column", "word", "word_hash", F.inline(at)).select("day", "span", F.col("times").alias("ts"), "column", "word", "word_hash", F.coalesce("rows", F.lit(1)).alias("n"))
 
 
 def postings_of(lists: DataFrame) -> DataFrame:
@@ -52,6 +78,11 @@ def postings_of(lists: DataFrame) -> DataFrame:
     return lists.select("day", F.explode("times").alias("ts"), "column", "word", "word_hash").distinct()
 
 
+def occurrences_of(lists: DataFrame) -> DataFrame:
+    """The postings that lists stand for, once for each row that holds the word."""
+    return _each_time(lists).withColumn("n", F.explode(F.sequence(F.lit(1), F.col("n")))).drop("span", "n")
+
+
 @dataclass(frozen=True)
 class Text:
     """A search text on one column: what the index must have, and what the row itself must hold."""

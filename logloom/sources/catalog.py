@@ -98,8 +98,8 @@ def stored_rows(rows: DataFrame, model: Model, day: str = DAY) -> tuple[DataFram
 
 
 def stored_lists(lists: DataFrame) -> tuple[DataFrame, str, dict]:
-    """Lists by day, words of a column side by side in files, which Spark sizes however many a day has."""
-    return lists.hint("rebalance", "day").sortWithinPartitions("day", "column", "word_hash", "span"), "day", looked_up_by("word_hash")
+    """Lists by day, words of a column side by side in files; they come in ranges of spans, so few files have a day."""
+    return lists.sortWithinPartitions("day", "column", "word_hash", "span"), "day", looked_up_by("word_hash")
 
 
 def stored_rollup(counts: DataFrame) -> tuple[DataFrame, str, dict]:
@@ -144,7 +144,7 @@ class Store:
         added, and the answer is False."""
         tables = {"rows": stored_rows(df.withColumn(DAY, day_of(nanoseconds(model.timestamp))), model), "rollup": stored_rollup(build_rollup(df, model.timestamp))}
         if model.full_text:
-            tables[index_name("lists")] = stored_lists(fulltext.build_lists(fulltext.build_postings(df, model)))
+            tables[index_name("lists")] = stored_lists(fulltext.lists_of_rows(df, model))
         return self.batches(name).write(batch or uuid.uuid4().hex, tables)
 
     def compact(self, name: str) -> bool:

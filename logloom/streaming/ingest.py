@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..model import Model, day_of, nanoseconds
-from ..operators.fulltext import build_lists, build_postings, merge_lists, postings_of
+from ..operators.fulltext import lists_of_rows, merge_lists, occurrences_of, postings_of
 from ..operators.histograms import build_rollup, merge_rollup
 from ..sources.batches import Batches
 from ..sources.catalog import stored_lists, stored_rollup, stored_rows
@@ -45,7 +45,7 @@ def write_batch(batch: DataFrame, number: int, model: Model, out: str, hash_id:
         good = good.where(F.col(model.timestamp.name).isNotNull())
         tables |= {"rows": stored_rows(transform(good, model, hash_id), model, "day"), "rollup": stored_rollup(build_rollup(good, model.timestamp))}
         if model.full_text:
-            tables["lists"] = stored_lists(build_lists(build_postings(good, model)))
+            tables["lists"] = stored_lists(lists_of_rows(good, model))
         return Batches(batch.sparkSession, out).write(f"{stream}{number:012d}", tables)
     finally:
         batch.unpersist()
@@ -63,12 +63,13 @@ def ingest(stream: DataFrame, model: Model, out: str, checkpoint: str, hash_id:
 
 
 def read(spark: SparkSession, out: str, table: str) -> DataFrame:
-    """A table that the ingest has written (rows, rollup, postings, lists, rejected); partial counts added up, a
-    time's postings once."""
-    df = Batches(spark, out).read("lists" if table == "postings" else table)
+    """A table that the ingest has written (rows, rollup, postings, occurrences, lists, rejected); partial counts
+    added up, a time's postings once, as occurrences once for each row that holds the word."""
+    df = Batches(spark, out).read("lists" if table in ("postings", "occurrences") else table)
     if df is None:
         raise ValueError(f"nothing is written yet: {table}")
-    return merge_rollup(df) if table == "rollup" else postings_of(df) if table == "postings" else df
+    made = {"rollup": merge_rollup, "postings": postings_of, "occurrences": occurrences_of}.get(table)
+    return made(df) if made else df
 
 
 def compact(spark: SparkSession, out: str, model: Model) -> bool:

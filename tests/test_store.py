@@ -7,7 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from logloom.engine import Engine
-from logloom.model import DAY, Model
+from logloom.functions.text import tokens
+from logloom.model import DAY, Model, nanoseconds
 from logloom.operators import fulltext, histograms
 from logloom.sources import settings as settings_
 from logloom.sources.batches import Batches, Commits
@@ -352,3 +353,26 @@ def test_two_writers_of_settings(spark, tmp_path):
     rows = {r["_id"]: r.url for r in stores[0].read().collect()}
     assert set(rows) == {"both", *(f"own {k} {n}" for k in range(2) for n in range(4))} and rows["both"] in ("/0/3", "/1/3")
     assert stores[0].read().count() == len(rows)
+
+
+@pytest.mark.parametrize("compact", [False, True])
+def test_occurrences_of_rows_that_share_a_time(spark, visits, tmp_path, compact):
+    """A word is told once for each row that holds it, within a batch and beyond it, merged or not."""
+    df, model = visits
+    df = df.unionByName(df.where("visit < 50")).unionByName(df.where("visit < 20").withColumn("shift", F.lit(None).cast("string")))
+    for k in range(2):
+        ingest.write_batch(df.where(f"visit % 3 <> {k}"), k, model, str(tmp_path))
+    if compact:
+        assert ingest.compact(spark, str(tmp_path), model)
+    twice = df.where("visit % 3 <> 0").unionByName(df.where("visit % 3 <> 1"))
+    ts = nanoseconds(model.timestamp).alias("ts")
+    want = [twice.select(ts, F.lit(c).alias("column"), F.explode(tokens(F.col(c))).alias("word")) for c in ("place", "shift")]
+    found = ingest.read(spark, str(tmp_path), "occurrences").select("ts", "column", "word")
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, want[0].unionByName(want[1]).collect()))
+
+
+def test_words_are_not_shuffled_into_lists(spark, visits):
+    """Only the rows move, by time; what they are split into stays there."""
+    df, model = visits
+    plan = plan_of(fulltext.lists_of_rows(df, model))
+    assert plan.count("Exchange") == 1 and "rangepartitioning(span" in plan
