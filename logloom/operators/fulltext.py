@@ -19,6 +19,7 @@ from ..model import Field, Model, day_at, day_of, in_time, nanoseconds
 from .predicates import literal, quoted_name
 
 SPAN_NS = 60 * 10**9  # a list holds the times of so long, at most as many as the timestamp can tell apart in it
+TASKS = 8  # that make lists of what one task reads
 
 
 def span_of(ns: Column) -> Column:
@@ -42,6 +43,12 @@ def build_lists(postings: DataFrame) -> DataFrame:
     return rows.agg(F.array_sort(F.collect_set("ts")).alias("times"))
 
 
+def _by_span(rows: DataFrame) -> DataFrame:
+    """Rows in ranges of spans, TASKS for each partition that is read, however many that are: a task holds all words of
+    its rows, several times what the rows take, so ranges are not joined to the size that Spark would have them at."""
+    return rows.repartitionByRange(TASKS * max(1, rows.rdd.getNumPartitions()), "span")
+
+
 def lists_of_rows(df: DataFrame, model: Model) -> DataFrame:
     """The lists of all rows' words, and `rows`: how many rows hold the word at each of the times. Rows are brought
     together by span before they are split, so texts move once and their words, several times as large, do not."""
@@ -51,12 +58,12 @@ def lists_of_rows(df: DataFrame, model: Model) -> DataFrame:
     texts = {f.name: f"_text_{i}" for i, f in enumerate(model.full_text)}
     rows = df.select(ts.alias("ts"), span_of(ts).alias("span"), *[F.col(c).cast("string").alias(t) for c, t in texts.items()])
     held = [_beside("column", F.lit(c), "word", tokens(F.col(t))) for c, t in texts.items()]
-    return _lists(rows.where("ts is not null").repartitionByRange("span").select("span", "ts", F.inline(F.concat(*held))), F.count("*"))
+    return _lists(_by_span(rows.where("ts is not null")).select("span", "ts", F.inline(F.concat(*held))), F.count("*"))
 
 
 def merge_lists(lists: DataFrame) -> DataFrame:
     """The lists that several batches have of a word and a span as one."""
-    return _lists(_each_time(lists.repartitionByRange("span")), F.sum("n"))
+    return _lists(_each_time(_by_span(lists)), F.sum("n"))
 
 
 def _lists(words: DataFrame, rows: Column) -> DataFrame:
