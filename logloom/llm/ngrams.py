@@ -178,7 +178,8 @@ def one_pass(docs: DataFrame, split: Split, n: int, limit: int, bits: int, short
     """Two kinds of rows: group, phrase, count of n-grams in a task, and block, buckets of those one longer.
 
     docs: group, text. shorter: the frequent n-grams one shorter; buckets: those of this length. At length 1
-    all words are counted, beyond it those n-grams that may be frequent. limit: what buckets are counted up to.
+    all words are counted, beyond it those n-grams that may be frequent; without buckets all that follow a frequent
+    one. limit: what buckets are counted up to.
     """
     sc = docs.sparkSession.sparkContext
     shared = sc.broadcast((shorter, buckets))
@@ -199,7 +200,7 @@ def one_pass(docs: DataFrame, split: Split, n: int, limit: int, bits: int, short
             may = chunk.whole(n)
             if shorter is not None:
                 held = shorter.holds(chunk.hashes(n - 1))
-                may &= held[:-1] & held[1:] & buckets.holds(chunk.hashes(n))
+                may &= held[:-1] if buckets is None else held[:-1] & held[1:] & buckets.holds(chunk.hashes(n))
             for g, p, c in chunk.counted(np.flatnonzero(may), n):
                 counts[g, p] = counts.get((g, p), 0) + c
             if longer and len(may) > 1:
@@ -252,3 +253,12 @@ def frequent(docs: DataFrame, split: Split, longest: int, least: int | Callable[
             shorter = bitmap_of(with_hashes(tables[-1].df.where(F.col("count") >= least).select("group", "phrase")), bits)
         made.drop()
     return tables
+
+
+def followed(docs: DataFrame, split: Split, n: int, contexts: DataFrame, bits: int = 24) -> Cut:
+    """group, phrase, count of all n-grams, however rare, whose first n - 1 words are one of `contexts` (group, phrase),
+    and of some others. The caller drops the table."""
+    made = one_pass(docs, split, n, 1, bits, bitmap_of(with_hashes(contexts), bits), None, False)
+    found = Cut(made.df.where("phrase is not null").groupBy("group", "phrase").agg(F.sum("count").alias("count")))
+    made.drop()
+    return found

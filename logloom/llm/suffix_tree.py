@@ -3,8 +3,7 @@
 The tree's states are contexts: the empty one, and the last words, up to `depth`, where they are frequent enough
 and a divergence test says that what follows them differs from what follows the same context without its first
 word. How frequent is a share of the corpus, as the method has it (a least probability), so at any size the same
-texts give the same tree. A state's next-word
-distribution is discounted and smoothed by that of its suffix, down to the words' own frequencies, so a word
+texts give the same tree. A state's next-word distribution has all words that ever follow it; it is discounted and smoothed by that of its suffix, down to the words' own frequencies, so a word
 is predicted by the longest suffix of what stands before it that is a state.
 
 The logarithm of that prediction is a sum of numbers that belong to n-grams alone: the word's own, one for each
@@ -85,28 +84,40 @@ def differs(k: Column, kept: Column, total: Column, weighed: Column, lower: Colu
     return 2 * divergence > k + 3 * F.sqrt(2 * k)
 
 
-def fit(docs: DataFrame, depth: int = 2, least_share: float = 2.0**-20, fewest: int = 4, context: int = 4, discount: float = 0.5, bits: int = 24) -> Tree:
+def fit(docs: DataFrame, depth: int = 2, least_share: float = 2.0**-20, fewest: int = 1, context: int = 4, discount: float = 0.5, bits: int = 24) -> Tree:
     """Learns from all texts of docs; a null text is just an end. Repeated texts count each time.
 
-    All words are counted, and n-grams up to depth + 1 words that make up `least_share` of all tokens, `fewest` at
-    least (`ngrams`); what a context is followed by less often is left to its suffix. Contexts that occur `context`
-    times as often are tested.
+    All words are counted, and contexts of up to `depth` words that make up `context` times `least_share` of all
+    tokens, `context` times `fewest` at least (`ngrams`). These are tested by the next words that make up
+    `least_share`. Of each all next words are counted, however rare; only a `fewest` above 1 leaves some to the suffix.
     """
+    rows = docs.select(F.lit("").alias("group"), "text")
     enough = lambda n: max(fewest, math.ceil(n * least_share))
-    tables = ngrams.frequent(docs.select(F.lit("").alias("group"), "text"), split, depth + 1, enough, bits)
+    tables = ngrams.frequent(rows, split, depth, lambda n: context * enough(n), bits)
     size = tables[0].df.agg(F.sum("count").alias("n"), F.count("*").alias("v")).first()
     n, v = size.n or 0, size.v
     least, least_context = enough(n), context * enough(n)
-    lower = tables[0].df.where(F.col("count") >= least).select("phrase", F.col("count").alias("c"), ((F.col("count") + 1) / (n + v + 1)).alias("p"))
+    lower = tables[0].df.select("phrase", F.col("count").alias("c"), ((F.col("count") + 1) / (n + v + 1)).alias("p"))
     contexts: list[Cut] = []
+    gramsets: list[Cut] = []
     seen: list[Cut] = []
-    for t in tables[1:]:
-        grams = t.df.select("phrase", F.col("count").alias("c"), _context("phrase").alias("context"), _suffix("phrase").alias("suffix"))
-        grams = grams.join(lower.select(F.col("phrase").alias("suffix"), F.col("p").alias("q")), "suffix")
-        sums = grams.groupBy("context").agg(F.count("*").alias("k"), F.sum("c").alias("kept"), F.sum("q").alias("lower"), F.sum(F.col("c") * F.log(F.col("c") / F.col("q"))).alias("weighed"))
-        sums = sums.join(lower.select(F.col("phrase").alias("context"), F.col("c").alias("total")), "context")
-        escape = 1 - (F.col("kept") - F.col("k") * discount) / F.col("total")
-        test = (F.col("total") >= least_context) & differs(F.col("k"), F.col("kept"), F.col("total"), F.col("weighed"), F.col("lower"))
+    for k, t in enumerate(tables, 1):
+        frequent = t.df.where(F.col("count") >= least_context)
+        found = ngrams.followed(rows, split, k + 1, frequent.select("group", "phrase"), bits)
+        totals = frequent.select(F.col("phrase").alias("context"), F.col("count").alias("total"))
+        grams = found.df.where(F.col("count") >= fewest).select("phrase", F.col("count").alias("c"), _context("phrase").alias("context"), _suffix("phrase").alias("suffix"))
+        grams = grams.join(totals.select("context"), "context", "left_semi").join(lower.select(F.col("phrase").alias("suffix"), F.col("p").alias("q")), "suffix")
+        gramsets.append(Cut(grams.select("phrase", "c", "context", "q")))
+        found.drop()
+        grams, tested = gramsets[-1].df, F.col("c") >= least
+        of = lambda f, x: F.coalesce(f(F.when(tested, x)), F.lit(0))
+        sums = grams.groupBy("context").agg(
+            F.count("*").alias("all"), F.sum("c").alias("all_kept"), of(F.count, F.lit(1)).alias("k"), of(F.sum, F.col("c")).alias("kept"), of(F.sum, F.col("q")).alias("lower"),
+            of(F.sum, F.col("c") * F.log(F.col("c") / F.col("q"))).alias("weighed"),
+        )
+        sums = sums.join(totals, "context")
+        escape = 1 - (F.col("all_kept") - F.col("all") * discount) / F.col("total")
+        test = (F.col("k") > 0) & differs(F.col("k"), F.col("kept"), F.col("total"), F.col("weighed"), F.col("lower"))
         contexts.append(Cut(sums.select("context", "total", escape.alias("escape"), test.alias("differs"))))
         found = grams.join(contexts[-1].df.drop("differs"), "context")
         seen.append(Cut(found.select("phrase", "c", "context", "q", "escape", ((F.col("c") - discount) / F.col("total") + F.col("escape") * F.col("q")).alias("p"))))
@@ -134,7 +145,7 @@ def fit(docs: DataFrame, depth: int = 2, least_share: float = 2.0**-20, fewest:
         rows = ngrams.with_hashes(rows if not k else rows.where("weight <> 0"))
         weights.append(rows.select("h", "weight", "count", F.lit(k == 0).alias("word")))
     tree = Tree(Cut(reduce(DataFrame.unionByName, weights)), n, v, states, depth)
-    for done in (*tables, *contexts, *seen):
+    for done in (*tables, *contexts, *gramsets, *seen):
         done.drop()
     return tree
 

@@ -229,3 +229,14 @@ def test_a_tree_of_nothing(spark):
     (row,) = suffix_tree.score(documents(spark, [(1, "a b")]), tree).collect()
     assert (row.n_tokens, row.n_known, row.train_tokens, row.base_score, row.score) == (3, 0, 0, 0, 0)
     assert suffix_tree.score(documents(spark, []), suffix_tree.fit(documents(spark, [(1, "a b")]), bits=16)).collect() == []
+
+
+def test_rare_next_words_are_counted(spark):
+    """A next word that a context had once is its own, whatever share of the corpus that is."""
+    train = [(k, language(k, 80)) for k in range(40)] + [(70, "new york rare once"), (71, "of the rarer")]
+    tree = suffix_tree.fit(documents(spark, train).repartition(3), least_share=2.0**-9, bits=16)
+    rare = suffix_tree.fit(documents(spark, train).repartition(3), least_share=2.0**-9, fewest=7, bits=16)
+    assert {len(r.context.split(" ")) for s in tree.states for r in s.df.collect()} == {1, 2}
+    asked = documents(spark, [(1, "the rarer"), (2, "york rare")])
+    all_, cut = ({r.doc_id: r.score for r in suffix_tree.score(asked, t).collect()} for t in (tree, rare))
+    assert all_[1] > cut[1] + 0.3 and all_[2] > cut[2] + 0.3
