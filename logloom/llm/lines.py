@@ -31,6 +31,7 @@ SEGMENT_CHARS = 4  # the edit join takes lines with so many characters a segment
 PAIRS_UP_TO = 48
 TILE, TILE_CHARS = 512, 4_000_000
 CHANGED_BITS = 27  # of the bitmap that says which texts may lose a line: 16 MB
+MET_BITS = 27  # of those that say which signatures several lines share, and which rows hold a line that is sought
 
 
 def within(a: str, b: str, k: int) -> bool:
@@ -99,9 +100,10 @@ def _signature(line: Column, length: Column, less: int, i: int, shift: int, edit
     return F.xxhash64(other, F.lit(i), F.substring(line, start + shift + 1, part))
 
 
-def _entries(line: Column, edits: int) -> list[tuple[tuple[int, int, int], Column]]:
-    """Every probe with its signature; probes without shift of the line's own length are what others look up."""
-    return [(x, _signature(line, F.length(line), *x, edits)) for x in probes(edits)]
+def _entries(line: Column, length: Column, edits: int) -> list[tuple[tuple[int, int, int], Column]]:
+    """Every probe with its signature; probes without shift of the line's own length are what others look up. length:
+    a column, as each signature has it several times."""
+    return [(x, _signature(line, length, *x, edits)) for x in probes(edits)]
 
 
 def _parts(length: int, n: int) -> list[tuple[int, int]]:
@@ -205,14 +207,18 @@ def _tile_links(edits: int):
     return each
 
 
-def _texts(docs: DataFrame, wanted: DataFrame, least_chars: int) -> DataFrame:
-    """h, line: of the hashes in `wanted` (h, first), read in the first row that has them."""
-    lists = wanted.groupBy(F.floor(F.col("first") / (1 << 31)).cast("decimal(28,0)").alias("row")).agg(F.collect_set("h").alias("hs"))
+def _texts(docs: DataFrame, wanted: DataFrame, least_chars: int) -> Cut:
+    """h, line: of the hashes in `wanted` (h, first), read in the first row that has them; no other text is moved."""
+    lists = Cut(wanted.groupBy(F.floor(F.col("first") / (1 << 31)).cast("decimal(28,0)").alias("row")).agg(F.collect_set("h").alias("hs")))
     rows = docs.where("text is not null").select(text_hash(F.col("text")).alias("text_hash"), F.col("doc_id"), F.col("text").cast("string").alias("text"))
-    held = rows.select(F.expr(ROW).cast("decimal(28,0)").alias("row"), "text").join(lists, "row")
+    rows = rows.select(F.expr(ROW).cast("decimal(28,0)").alias("row"), "text")
+    rows = with_flag(rows, F.xxhash64("row"), lists.df.select(F.xxhash64("row").alias("row")), "_may_hold", MET_BITS).where("_may_hold").drop("_may_hold")
+    held = rows.join(lists.df, "row")
     lines = held.select("hs", F.explode(F.split("text", "\n")).alias("line")).withColumn("line", F.lower(F.trim("line"))).where(F.length("line") >= least_chars)
     lines = lines.withColumn("h", F.xxhash64("line"))
-    return lines.where(F.array_contains("hs", F.col("h"))).select("h", "line").dropDuplicates(["h"])
+    texts = Cut(lines.where(F.array_contains("hs", F.col("h"))).select("h", "line").dropDuplicates(["h"]))
+    lists.drop()
+    return texts
 
 
 def _pairs(members: DataFrame) -> DataFrame:
@@ -226,10 +232,16 @@ def _met(entries: DataFrame) -> DataFrame:
     return entries.groupBy("sig").agg(F.count("*").cast("int").alias("size"), F.max("indexed").alias("any")).where("size > 1 and any").select("sig", "size")
 
 
+def _of(entries: DataFrame, met: DataFrame) -> DataFrame:
+    """The entries whose signature is in `met`, with its size. Few are: a bitmap of a fixed size rules out nearly all
+    others where they are, so that they aren't shuffled a second time, at any size of `met`."""
+    return with_flag(entries, F.col("sig"), met.select("sig"), "_may_meet", MET_BITS).where("_may_meet").drop("_may_meet").join(met, "sig")
+
+
 def _hot_links(hot: DataFrame, texts: DataFrame, edits: int) -> tuple[DataFrame, DataFrame, list[Cut]]:
     """Of hot signatures' lines (sig, h): candidate pairs u, v by finer signatures, links found in tiles where
     those are hot again, and the tables to be dropped."""
-    labelled = F.explode(F.array(*[F.struct(F.lit(k).alias("k"), sig.alias("hot_sig")) for k, (_, sig) in enumerate(_entries(F.col("line"), edits))])).alias("e")
+    labelled = F.explode(F.array(*[F.struct(F.lit(k).alias("k"), sig.alias("hot_sig")) for k, (_, sig) in enumerate(_entries(F.col("line"), F.length("line"), edits))])).alias("e")
     lines = hot.select("h").distinct().join(texts, "h").select("h", "line", labelled).select("h", "line", "e.*")
     lines = lines.join(hot.select(F.col("sig").alias("hot_sig")).distinct(), "hot_sig")
     beside = lines.mapInArrow(_finer(edits), "h long, sig long, indexed boolean, length int")
@@ -247,23 +259,24 @@ def _hot_links(hot: DataFrame, texts: DataFrame, edits: int) -> tuple[DataFrame,
 def line_classes(docs: DataFrame, edits: int = 2, least_chars: int = 1) -> tuple[Cut, Cut]:
     """All distinct lines (h, n, first) and node, component of those with near ones (as h); the caller drops
     both. Different lines of one hash, as the second hash tells, are left out, so that none is taken for another."""
-    lines = split_lines(docs, least_chars)
+    lines = split_lines(docs, least_chars).withColumn("length", F.length("line"))
     edit_chars = max(least_chars, SEGMENT_CHARS * (edits + 1))
-    length = F.length("line")
-    looks = _entries(F.col("line"), edits)
+    length = F.col("length")
+    looks = _entries(F.col("line"), length, edits)
     signs = [F.when(length >= edit_chars, sig).alias(f"s{k}") for k, (_, sig) in enumerate(looks)]
     kept = [F.first(f"s{k}").alias(f"s{k}") for k in range(len(looks))]
-    distinct = lines.select("h", "g", "place", length.alias("length"), *signs).groupBy("h").agg(F.count("*").alias("n"), F.min("place").alias("first"), F.min("g").alias("g"), F.max("g").alias("g2"), F.first("length").alias("length"), *kept)
+    distinct = lines.select("h", "g", "place", "length", *signs).groupBy("h").agg(F.count("*").alias("n"), F.min("place").alias("first"), F.min("g").alias("g"), F.max("g").alias("g2"), F.first("length").alias("length"), *kept)
     table = Cut(distinct.where("g = g2").drop("g", "g2"))
     looked_up = reduce(or_, [F.col("sig") == F.col(f"s{k}") for k, (x, _) in enumerate(looks) if x[0] == x[2] == 0])
     signatures = F.explode(F.array_distinct(F.array(*[f"s{k}" for k in range(len(looks))]))).alias("sig")
     entries = table.df.where(F.col("length") >= edit_chars).select("*", signatures).select("sig", "h", "length", looked_up.alias("indexed"))
     groups = Cut(_met(entries))
-    more = Cut(entries.join(groups.df, "sig").select("sig", "h", "indexed", "size"))
+    released(docs.sparkSession)
+    more = Cut(_of(entries, groups.df).select("sig", "h", "indexed", "size"))
     few, hot = more.df.where(F.col("size") <= PAIRS_UP_TO), more.df.where(F.col("size") > PAIRS_UP_TO)
     pairs = Cut(_pairs(few).distinct())
     named = pairs.df.select(F.explode(F.array("u", "v")).alias("h")).unionByName(hot.select("h")).distinct()
-    texts = Cut(_texts(docs, named.join(table.df.select("h", "first"), "h"), edit_chars))
+    texts = _texts(docs, named.join(table.df.select("h", "first"), "h"), edit_chars)
     finer, tiled, written = _hot_links(hot, texts.df, edits)
     left, right = texts.df.select(F.col("h").alias("u"), F.col("line").alias("x")), texts.df.select(F.col("h").alias("v"), F.col("line").alias("y"))
     links = pairs.df.unionByName(finer).distinct().join(left, "u").join(right, "v").select("u", "v", "x", "y").mapInArrow(_verify(edits), "u long, v long")

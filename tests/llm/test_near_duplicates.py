@@ -310,3 +310,34 @@ def test_one_row_of_each_component_stays(spark):
     rows = [(7, long), (7, prose(8, 80)), (9, long), (None, long), (None, prose(12, 60)), (None, prose(12, 60)), (4, prose(20, 50)), (4, prose(20, 50)), (11, None), (12, "")]
     got = sorted(((r.doc_id, r.text) for r in simhash.first_of_each(documents(spark, rows)).collect()), key=str)
     assert got == sorted([(7, long), (7, rows[1][1]), (None, rows[4][1]), (4, rows[6][1]), (11, None)], key=str)
+
+
+def test_signatures_that_nothing_shares_are_not_moved(spark, monkeypatch):
+    """Of many entries those of few signatures are joined: a bitmap rules out nearly all others where they are."""
+    entries = spark.range(20_000).select(F.xxhash64("id").alias("sig"), F.col("id").alias("h"), F.lit(True).alias("indexed"))
+    met = spark.range(5).select(F.xxhash64("id").alias("sig"), F.lit(2).alias("size"))
+    passed, flagged = [], lines.with_flag
+
+    def with_flag(df, key, keys, name, bits):
+        out = flagged(df, key, keys, name, bits)
+        passed.append(out.where(name).count())
+        return out
+
+    monkeypatch.setattr(lines, "with_flag", with_flag)
+    assert sorted(r.h for r in lines._of(entries, met).collect()) == [0, 1, 2, 3, 4]
+    assert len(passed) == 1 and 5 <= passed[0] < 50
+
+
+def test_only_texts_that_hold_a_sought_line_are_moved(spark, monkeypatch):
+    docs = spark.range(2000).select(F.col("id").alias("doc_id"), F.concat(F.lit("a line of its own, number "), F.col("id").cast("string")).alias("text"))
+    wanted = lines.split_lines(docs, 1).where("line like '% 7' or line like '% 1999'").select("h", F.col("place").alias("first"))
+    passed, flagged = [], lines.with_flag
+
+    def with_flag(df, key, keys, name, bits):
+        out = flagged(df, key, keys, name, bits)
+        passed.append(out.where(name).count())
+        return out
+
+    monkeypatch.setattr(lines, "with_flag", with_flag)
+    assert sorted(r.line for r in lines._texts(docs, wanted, 1).df.collect()) == ["a line of its own, number 1999", "a line of its own, number 7"]
+    assert len(passed) == 1 and 2 <= passed[0] < 20
