@@ -35,11 +35,16 @@ from .common import Cut, by_run, cut, runs
 UNSPACED = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3005-\u3007\u3040-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff"
 WORD = re.compile(rf"[^\W_{UNSPACED}]+|(?=[^\W_])[{UNSPACED}]")
 SPACED = re.compile(r"[^\W_]+")
+ALONE = re.compile(f"[{UNSPACED}]")
+PLAIN = bytes(c if c > 127 or chr(c).isalnum() else 32 for c in range(256))  # of UTF-8: ASCII that is in no word becomes a space
+FEW = 24  # other characters than letters and digits of spaced scripts are replaced one by one up to so many
+_letters = set(map(chr, range(128)))  # those met so far, and ASCII
 TERMS = 1 << 14
 PASSAGE = 64
 DAMPED = 0.25
 RANK, EXTRA = 112, 16
 CHUNK = 1 << 15  # words that a step takes at once
+SKETCHED = 1 << 12  # words that a step of the sketch takes at once, as a dense matrix of their terms and passages
 TASK_WORDS = 1 << 23  # about how many words a task of the sketch sums up, so that tasks grow with the input
 GROUP = 4  # windows begin and end at every fourth word
 COSINES = 1 << 22  # that a step of the search holds at once
@@ -52,9 +57,17 @@ HITS = "doc_id long, item_id long, cosine double, lcs double, answer double, sta
 def words_of(text: str | None) -> np.ndarray:
     """CRC-32 of the words of a text in lower case; a character is a word in scripts without spaces."""
     text = (text or "").lower()
-    words = (SPACED if text.isascii() else WORD).findall(text)
-    found = map(zlib.crc32, " ".join(words).encode("utf-8", "surrogatepass").split(b" "))
-    return np.fromiter(found, np.uint32, len(words)) if words else np.zeros(0, np.uint32)
+    if not text.isascii():
+        other = set(text) - _letters
+        odd = [c for c in other if ALONE.match(c) or not SPACED.match(c)]
+        _letters.update(other.difference(odd))
+        if len(odd) > FEW:
+            text = " ".join(WORD.findall(text))
+        else:
+            for c in odd:
+                text = text.replace(c, f" {c} " if WORD.match(c) else " ")
+    words = text.encode("utf-8", "surrogatepass").translate(PLAIN).split()
+    return np.fromiter(map(zlib.crc32, words), np.uint32, len(words))
 
 
 def hashed(docs: DataFrame) -> DataFrame:
@@ -124,7 +137,7 @@ def _sketch(idf: np.ndarray, columns: int):
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         column, sign = random_directions(columns)
-        total = np.zeros((columns, TERMS))
+        total = np.zeros((TERMS, columns))
 
         def add(docs: list[np.ndarray]) -> None:
             starts, n = [], 0
@@ -135,23 +148,27 @@ def _sketch(idf: np.ndarray, columns: int):
             weight = idf[terms]
             row = np.repeat(np.arange(len(at)), np.diff(np.append(at, n)))
             weight = weight / np.sqrt(np.add.reduceat(weight * weight, at))[row]
-            y = np.bincount(column[terms] * len(at) + row, weight * sign[terms], columns * len(at)).reshape(columns, len(at))
-            for k in range(columns):
-                total[k] += np.bincount(terms, weight * y[k][row], TERMS)
+            y = np.bincount(row * columns + column[terms], weight * sign[terms], columns * len(at)).reshape(len(at), columns)
+            held = np.zeros(TERMS, np.int64)
+            held[terms] = 1
+            some = np.flatnonzero(held)
+            held[some] = np.arange(len(some))
+            a = np.bincount(held[terms] * len(at) + row, weight, len(some) * len(at)).reshape(len(some), len(at))
+            total[some] += a.astype(np.float32) @ y.astype(np.float32)
 
         held, n = [], 0
         for b in batches:
             for x in _read(b.column(0)):
                 x = (x & (TERMS - 1)).astype(np.int64)
-                for i in range(0, len(x), CHUNK):
-                    held.append(x[i : i + CHUNK])
+                for i in range(0, len(x), SKETCHED):
+                    held.append(x[i : i + SKETCHED])
                     n += len(held[-1])
-                    if n >= CHUNK:
+                    if n >= SKETCHED:
                         add(held)
                         held, n = [], 0
         if n:
             add([x for x in held if len(x)])
-        yield _by_block(total.T.astype(np.float32))
+        yield _by_block(total.astype(np.float32))
 
     return each
 
@@ -283,7 +300,7 @@ class Search:
         latent, which, high = self.latent[some].T, np.array(some), max(1, COSINES // len(some))
         for a in range(0, len(windows), high):
             dot = windows[a : a + high] @ latent
-            i, j = np.divmod(np.flatnonzero(dot.ravel() >= np.repeat(least[a : a + high], len(some))), len(some))
+            i, j = np.divmod(np.flatnonzero(dot >= least[a : a + high, None]), len(some))
             yield a + i, which[j], dot[i, j] / least[a + i] * self.cosine
 
     def candidates(self, docs: list[np.ndarray]) -> Iterator[tuple[int, int, float, int, int]]:
