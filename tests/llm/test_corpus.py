@@ -240,3 +240,20 @@ def test_rare_next_words_are_counted(spark):
     asked = documents(spark, [(1, "the rarer"), (2, "york rare")])
     all_, cut = ({r.doc_id: r.score for r in suffix_tree.score(asked, t).collect()} for t in (tree, rare))
     assert all_[1] > cut[1] + 0.3 and all_[2] > cut[2] + 0.3
+
+
+def test_a_tree_of_many_pieces(spark, monkeypatch):
+    """Texts in many pieces and a frequent context's n-grams in several places give the plain tree's scores, and what
+    the tree keeps of an n-gram is a few bytes."""
+    monkeypatch.setattr(suffix_tree, "PIECE", 2000)
+    monkeypatch.setattr(suffix_tree, "PART", 30)
+    train = [(k, language(k, 80)) for k in range(60)] + [(61, "New  York\x0bcity\x1f")]
+    tree = suffix_tree.fit(documents(spark, train).repartition(2), fewest=2, context=5)
+    plain = PlainTree([t for _, t in train], 2, 2, 10, 0.5)
+    assert max(int(level.places.max()) for level in tree.levels) > 3
+    found = suffix_tree.score(documents(spark, train).repartition(3), tree).collect()
+    assert sorted((r.doc_id, round(r.score, 6)) for r in found) == [(i, round(plain.score(t)[4], 6)) for i, t in train]
+    whole = suffix_tree.fit(documents(spark, train).repartition(2), fewest=2, context=5)
+    kept = [suffix_tree.unpack(r["keys"]) for g in whole.grams for r in g.df.collect()]
+    assert sum(map(len, kept)) == sum(c >= 2 and len(g) > 1 and (g[:-1] in plain.followed and plain.counts[g[:-1]] >= 10) for g, c in plain.counts.items())
+    assert len(suffix_tree.pack(np.sort(np.concatenate(kept)))) < 8 * sum(map(len, kept))
