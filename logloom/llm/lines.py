@@ -263,9 +263,11 @@ def line_classes(docs: DataFrame, edits: int = 2, least_chars: int = 1) -> tuple
     edit_chars = max(least_chars, SEGMENT_CHARS * (edits + 1))
     length = F.col("length")
     looks = _entries(F.col("line"), length, edits)
-    signs = [F.when(length >= edit_chars, sig).alias(f"s{k}") for k, (_, sig) in enumerate(looks)]
-    kept = [F.first(f"s{k}").alias(f"s{k}") for k in range(len(looks))]
-    distinct = lines.select("h", "g", "place", "length", *signs).groupBy("h").agg(F.count("*").alias("n"), F.min("place").alias("first"), F.min("g").alias("g"), F.max("g").alias("g2"), F.first("length").alias("length"), *kept)
+    # of shorter lines they are not used: with a condition for each, the method that Spark generates is beyond the 8000 bytes
+    # that the JVM compiles. Lines of one h and g are the same, so the largest is theirs, and takes one buffer, a first two
+    signs = [sig.alias(f"s{k}") for k, (_, sig) in enumerate(looks)]
+    kept = [F.max(f"s{k}").alias(f"s{k}") for k in range(len(looks))]
+    distinct = lines.select("h", "g", "place", "length", *signs).groupBy("h").agg(F.count("*").alias("n"), F.min("place").alias("first"), F.min("g").alias("g"), F.max("g").alias("g2"), F.max("length").alias("length"), *kept)
     table = Cut(distinct.where("g = g2").drop("g", "g2"))
     looked_up = reduce(or_, [F.col("sig") == F.col(f"s{k}") for k, (x, _) in enumerate(looks) if x[0] == x[2] == 0])
     signatures = F.explode(F.array_distinct(F.array(*[f"s{k}" for k in range(len(looks))]))).alias("sig")

@@ -341,3 +341,24 @@ def test_only_texts_that_hold_a_sought_line_are_moved(spark, monkeypatch):
     monkeypatch.setattr(lines, "with_flag", with_flag)
     assert sorted(r.line for r in lines._texts(docs, wanted, 1).df.collect()) == ["a line of its own, number 1999", "a line of its own, number 7"]
     assert len(passed) == 1 and 2 <= passed[0] < 20
+
+
+def test_the_first_pass_over_lines_is_compiled(spark, monkeypatch):
+    """The JVM interprets methods beyond 8000 bytes, many times slower."""
+    written = []
+
+    class Told(lines.Cut):
+        def __init__(self, df, batch=None):
+            written.append(df)
+            super().__init__(df, batch)
+
+    monkeypatch.setattr(lines, "Cut", Told)
+    lines.line_classes(documents(spark, [(1, "one line of some length\nanother"), (2, None)]))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        again = written[0].select("*")
+        plan = spark._sc._jvm.PythonSQLUtils.explainString(again._jdf.queryExecution(), "codegen")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    sizes = [int(x.split(";")[0]) for x in plan.split("maxMethodCodeSize:")[1:]]
+    assert sizes and max(sizes) < 8000
