@@ -33,6 +33,7 @@ SEED = 42
 BITS = 64
 PAIRS_UP_TO = 64  # buckets of at most so many fingerprints are joined as pairs, larger ones in tiles
 TILE = 2048
+ENTRIES = 1 << 20  # of buckets that a task makes: nearly all differ, so it holds all of them while it counts them
 TEXTS = 1000  # that are handed to Python at once
 WANTED_BITS = 27  # of the bitmap that says which texts' shingles are needed: 16 MB
 
@@ -197,8 +198,9 @@ def near_links(prints: DataFrame, hashes: list[str], radius: int, check: list[st
     small buckets, whose pairs would together be all pairs of the group; then no bucket is to be joined so.
     apart: the links of a bucket are the nearest ones that join its near pairs.
     """
-    kept = F.array(*[F.col(h).bitwiseAND(F.lit(m)) for h in hashes for m in covering_masks(radius)])
-    entries = prints.select("rep", F.posexplode(kept).alias("t", "m"))
+    kept = [F.col(h).bitwiseAND(F.lit(m)) for h in hashes for m in covering_masks(radius)]
+    dealt = prints.select("rep", *hashes).repartition(prints.count() * len(kept) // ENTRIES + 1, "rep")  # a small table's file makes many entries
+    entries = dealt.select("rep", F.posexplode(F.array(*kept)).alias("t", "m"))
     sizes = Cut(entries.groupBy("t", "m").agg(F.count("*").cast("int").alias("n")).where("n > 1"))
     large = self_tiles(entries, sizes.df.where(F.col("n") > pairs_up_to), ["t", "m"], "rep", TILE).join(prints.select("rep", *check), "rep")
     links = by_run(large, ["t", "m", "tile_i", "tile_j"]).mapInArrow(_tile_links(check, most, apart), "u long, v long")

@@ -166,6 +166,25 @@ def test_links_in_tiles_count_all_bits(spark, monkeypatch):
         assert {i: found.get(i, i) for i in range(len(prints))} == want
 
 
+def test_entries_of_a_small_file_are_dealt_to_tasks(spark, tmp_path, monkeypatch):
+    """A task makes so many entries at most, give or take, however few files the prints lie in, and links stay the same."""
+    monkeypatch.setattr(simhash, "ENTRIES", 2000, raising=False)
+    rnd = random.Random(17)
+    prints = [rnd.getrandbits(64) for _ in range(1000)]
+    prints += [p ^ 1 << rnd.randrange(64) for p in prints[:50]]
+    rows = [(i, p - (1 << 64) if p >> 63 else p) for i, p in enumerate(prints)]
+    spark.createDataFrame(rows, "rep long, fp long").coalesce(1).write.parquet(str(tmp_path / "prints"))
+    spark.sparkContext.setJobGroup("entries", "entries")
+    try:
+        links, sizes = simhash.near_links(spark.read.parquet(str(tmp_path / "prints")), ["fp"], 3, ["fp"], 3, 64)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    told = spark.sparkContext.statusTracker()
+    stages = [told.getStageInfo(s) for j in told.getJobIdsForGroup("entries") for s in told.getJobInfo(j).stageIds]
+    assert max(s.numTasks for s in stages if s) >= len(rows) * 15 // 2000
+    assert {(r.u, r.v) for r in links.collect()} >= {(i, 1000 + i) for i in range(50)}
+
+
 def test_masks_cover_every_pair_in_the_radius():
     rnd = random.Random(3)
     for radius in (1, 2, 3):
